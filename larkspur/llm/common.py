@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -19,11 +20,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes a table into the shared folder and reads it again, so that its lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/larkspur/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within this block Python tasks get at most ``rows`` rows at once, which bounds their memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def cut(df: DataFrame, rows: int = 512) -> DataFrame:
+    """Writes a table into the shared folder and reads it again, so that its lineage ends there.
+
+    Python tasks of its plan get ``rows`` rows at once.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/larkspur/{uuid.uuid4().hex}"
+    with arrow_rows(spark, rows):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # 64-bit finalizer constants (fixed values).

@@ -28,7 +28,7 @@ LENGTH = 400
 ORDER = 17
 PERIOD = ORDER * ORDER + ORDER + 1
 #: Bytes of text whose positions are named together.
-PIECE = 4 << 20
+PIECE = 1 << 20
 #: Bytes of names in a range of hashes, and ranges at least.
 RANGE_BYTES, RANGES = 16 << 20, 64
 #: 64-bit words of the Bloom filter that keeps texts without repeated blocks out of the second shuffle: 16 bytes each.
@@ -152,7 +152,7 @@ def _sampled(length: int, ranges: int, cover: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = 0
         for b in batches:
-            texts = [x.encode() for x in b["text"]]
+            texts = [x.encode() for x in b.pop("text")]
             keys = b["key"].tolist()
             for i, j in pieces(texts, PIECE):
                 p = Piece(texts[i:j])
