@@ -20,6 +20,9 @@ BANDS, ROWS = 25, 5
 THRESHOLD = 0.8
 
 _U32 = float(2**32)
+#: Texts that throw darts together.
+TOGETHER = 512
+
 #: A region has as many darts as thresholds lie at or below its uniform number: a Poisson number of mean 1.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
 
@@ -77,11 +80,12 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for a, cell, doc in cells(b["text"].tolist()):
-            n = int(doc.max()) + 1 if len(doc) else 0
-            have = np.unique(doc)
-            keys = band_keys(darts(cell, doc, n))[have] if n else np.zeros((0, BANDS), np.int64)
-            part = b.iloc[a + have]
-            yield pd.DataFrame({"doc_id": part["doc_id"], "key": part["key"], "bands": list(keys)})
+            have, doc = np.unique(doc, return_inverse=True)
+            for i in range(0, len(have), TOGETHER):
+                own = slice(*np.searchsorted(doc, [i, i + TOGETHER]))
+                part = b.iloc[a + have[i : i + TOGETHER]]
+                keys = band_keys(darts(cell[own], doc[own] - i, len(part)))
+                yield pd.DataFrame({"doc_id": part["doc_id"], "key": part["key"], "bands": list(keys)})
 
 
 def _cells_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,7 +126,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     Texts are compared once for each key. A bucket of a band is resolved in rounds: the first member of the rarest
     component in it is held against all members of other components, verified on the full sets of cells, and leaves. A
     bucket ends when it has one component, so no pair within it is left out unless it is already connected, and a group of
-    n copies costs n pairs, not their square.
+    n copies costs n pairs, not their square. When the pairs between different components that are left in all buckets
+    together are no more than there are texts, they are verified at once.
     """
     texts = docs.select("doc_id", "text", _text_key()).where("text IS NOT NULL")
     banded = cut(texts.mapInPandas(_banded, "doc_id long, key binary, bands array<long>"))
@@ -133,28 +138,38 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     active = cut(all_rows.join(full, "bucket").select("bucket", "key", F.xxhash64("bucket", "key").alias("turn"), F.col("key").alias("root")))
     wanted = active.select("key").distinct()
     sets = cut(texts.select("key", "text").join(wanted, "key").dropDuplicates(["key"]).mapInPandas(_cells_of, "key binary, cells binary"))
+    n_keys = keys.count()
     links, roots = None, None
+    a_cells, b_cells = (sets.select(F.col("key").alias(x), F.col("cells").alias(f"{x}_cells")) for x in "ab")
     while True:
         per = active.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min(F.struct("turn", "key")).alias("first"))
-        pick = per.groupBy("bucket").agg(F.count("*").alias("roots"), F.min(F.struct("n", "first", "root")).alias("pick")).where("roots > 1")
-        pick = cut(pick.select("bucket", F.col("pick.first.key").alias("center"), F.col("pick.root").alias("center_root")))
-        if pick.isEmpty():
+        pick = per.groupBy("bucket").agg(
+            F.count("*").alias("roots"),
+            F.min(F.struct("n", "first", "root")).alias("pick"),
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+        ).where("roots > 1")
+        pick = cut(pick.select("bucket", F.col("pick.first.key").alias("center"), F.col("pick.root").alias("center_root"), "pairs"))
+        left = pick.agg(F.sum("pairs")).first()[0]
+        if left is None:
+            break
+        open_ = active.join(pick, "bucket").drop("pairs")
+        last = left <= n_keys
+        if last:
+            other = open_.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"))
+            pairs = open_.join(other, "bucket").where("root < b_root").select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+        else:
+            pairs = open_.where("root <> center_root").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b"))
+        found = pairs.distinct().join(a_cells, "a").join(b_cells, "b").select("a", "b", "a_cells", "b_cells").mapInPandas(_similar(threshold), "a binary, b binary")
+        found = cut(found)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
+        if last:
             break
-        open_ = active.join(pick, "bucket")
-        pairs = open_.where("root <> center_root").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b")).distinct()
-        found = (
-            pairs.join(sets.select(F.col("key").alias("a"), F.col("cells").alias("a_cells")), "a")
-            .join(sets.select(F.col("key").alias("b"), F.col("cells").alias("b_cells")), "b")
-            .select("a", "b", "a_cells", "b_cells")
-            .mapInPandas(_similar(threshold), "a binary, b binary")
-        )
-        links = cut(found) if links is None else cut(links.unionByName(found))
-        roots = components(links)
-        active = cut(
-            open_.where("key <> center").drop("root", "center", "center_root")
-            .join(roots.withColumnRenamed("node", "key"), "key", "left")
-            .select("bucket", "key", "turn", F.coalesce("root", "key").alias("root"))
-        )
+        active = open_.where("key <> center").drop("center", "center_root")
+        if roots is not None:
+            active = active.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        active = cut(active)
     if roots is None:
         roots = rows.select(F.col("key").alias("node"), F.col("key").alias("root")).limit(0)
     return rows, roots

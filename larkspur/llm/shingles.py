@@ -11,7 +11,7 @@ from larkspur.llm.common import GOLDEN, Powers, mix
 #: Words of a shingle.
 WORDS = 5
 #: Bytes of text that are hashed at once; a longer text is hashed alone.
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 #: Bytes between words: all of ASCII but letters and digits.
 _GAP = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
