@@ -172,9 +172,12 @@ def amenity_groups(items: Column) -> Column:
     items = F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
     known = lambda x: contains_any(x, [w for words in AMENITIES.values() for w in words])
     entries = []
+
+    def of(name: str):
+        return lambda x: known(x) & (amenity_category(x) == name)
+
     for name in AMENITIES:
-        own = F.filter(items, lambda x, name=name: known(x) & (amenity_category(x) == name))
-        own = F.array_distinct(own)
+        own = F.array_distinct(F.filter(items, of(name)))
         if name == "general":
             own = F.concat(own, F.filter(items, lambda x: ~known(x)))
         entries.append(F.struct(F.lit(name).alias("key"), own.alias("value")))

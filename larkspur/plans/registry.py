@@ -1,4 +1,623 @@
 """The registered queries and the SQL that gives the same rows."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from larkspur.functions import identity, significance, text
+from larkspur.operators import diff, extract, merge, quality, queue, search, stats
+from larkspur.plans import workflows
+from larkspur.sources import tables as t
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+FIELDS = ["title", "price", "property_type", "city", "bedrooms"]
+NOW = "2024-02-01"
+
+
+def query(name: str, sql: str | None = None, derived: bool = True):
+    def keep(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = (t.SQL if derived else "") + sql
+        return f
+
+    return keep
+
+
+def _now(at: str = NOW):
+    return F.lit(at).cast("timestamp")
+
+
+def _cascade(c: str, groups: dict[str, list[str]], default: str) -> str:
+    tests = lambda words: " OR ".join(f"strpos(lower({c}), '{w}') > 0" for w in words)
+    return "CASE " + " ".join(f"WHEN {tests(w)} THEN '{n}'" for n, w in groups.items()) + f" ELSE '{default}' END"
+
+
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+# statistics
+
+
+@query("property_stats", """
+SELECT property_type, city, count(*)::BIGINT AS total, round(avg(price), 4) AS avg_price, min(price) AS min_price, max(price) AS max_price,
+       (count(*) FILTER (status = 'active'))::BIGINT AS active FROM live GROUP BY ALL""")
+def _(s, d):
+    return stats.property_stats(t.live(s, d), "property_type", "city")
+
+
+@query("queue_stats", """
+SELECT (count(*) FILTER (status = 'pending'))::BIGINT AS pending, (count(*) FILTER (status = 'in_progress'))::BIGINT AS in_progress,
+       (count(*) FILTER (status = 'completed'))::BIGINT AS completed, (count(*) FILTER (status = 'failed'))::BIGINT AS failed,
+       (SELECT string_agg(priority::VARCHAR || ':' || n::VARCHAR, ',' ORDER BY priority) FROM (SELECT priority, count(*) AS n FROM queue WHERE status = 'pending' GROUP BY 1)) AS by_priority,
+       (SELECT string_agg(reason || ':' || n::VARCHAR, ',' ORDER BY reason) FROM (SELECT reason, count(*) AS n FROM queue WHERE status = 'pending' GROUP BY 1)) AS by_reason
+FROM queue""")
+def _(s, d):
+    said = lambda c, k: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x[k].cast("string"), x["n"].cast("string"))), ",").alias(c)
+    return queue.stats(t.queue(s, d)).select("pending", "in_progress", "completed", "failed", said("by_priority", "priority"), said("by_reason", "reason"))
+
+
+@query("last_tier_run", """
+SELECT tier, started_at, event_id, duration FROM runs WHERE status = 'completed'
+QUALIFY row_number() OVER (PARTITION BY tier ORDER BY started_at DESC, event_id DESC) = 1""")
+def _(s, d):
+    return stats.last_run(t.runs(s, d))
+
+
+@query("tier_due", f"""
+SELECT v.tier, max(r.started_at) AS last,
+       coalesce(epoch(TIMESTAMP '{NOW}') - epoch(max(r.started_at)) >= v.hours * 3600, true) AS due,
+       greatest(coalesce(to_timestamp(floor(epoch(max(r.started_at))) + v.hours * 3600)::TIMESTAMP, TIMESTAMP '{NOW}'), TIMESTAMP '{NOW}') AS next
+FROM (VALUES (1, 6), (2, 24), (3, 168), (4, 720)) v(tier, hours) LEFT JOIN runs r ON r.tier = v.tier AND r.status = 'completed' GROUP BY v.tier, v.hours""")
+def _(s, d):
+    return stats.schedule(t.runs(s, d), _now())
+
+
+@query("sync_summary", """
+SELECT v.tier, count(r.tier)::BIGINT AS n, (count(*) FILTER (r.status = 'completed'))::BIGINT AS ok, (count(*) FILTER (r.status = 'failed'))::BIGINT AS bad,
+       round(coalesce(avg(r.duration) FILTER (r.status = 'completed'), 0), 4) AS mean
+FROM (VALUES (1), (2), (3), (4)) v(tier) LEFT JOIN runs r ON r.tier = v.tier AND r.started_at >= TIMESTAMP '2024-01-25' GROUP BY 1""")
+def _(s, d):
+    return stats.sync_summary(t.runs(s, d), _now("2024-01-25"))
+
+
+@query("recent_sync", """
+SELECT count(*)::BIGINT AS n, round(coalesce(avg(duration) FILTER (duration <> 0), 0), 4) AS mean FROM runs WHERE started_at >= TIMESTAMP '2024-01-25'""")
+def _(s, d):
+    return t.runs(s, d).where(F.col("started_at") >= _now("2024-01-25")).agg(F.count("*").alias("n"), F.round(stats.mean_present("duration"), 4).alias("mean"))
+
+
+@query("manifest_stats", f"""
+SELECT count(*)::BIGINT AS total, (count(*) FILTER (event_id % 3 = 0))::BIGINT AS n_is_new, (count(*) FILTER (event_id % 5 = 0))::BIGINT AS n_price_changed,
+       (count(*) FILTER (event_id % 2 = 0))::BIGINT AS n_needs_full_scrape,
+       round(avg(floor((epoch(TIMESTAMP '{NOW}') - floor(epoch(started_at))) / 86400)), 2) AS avg_days, max(started_at) AS latest FROM runs""")
+def _(s, d):
+    r = t.runs(s, d).select((F.col("event_id") % 3 == 0).alias("is_new"), (F.col("event_id") % 5 == 0).alias("price_changed"), (F.col("event_id") % 2 == 0).alias("needs_full_scrape"), F.col("started_at").alias("seen_at"))
+    return stats.manifest_stats(r, _now())
+
+
+@query("staleness_pct", f"""
+SELECT 100.0::DOUBLE * count(*) FILTER (status = 'active' AND last_seen < DATE '{NOW}' - 30) / greatest(count(*) FILTER (status = 'active'), 1) AS pct FROM live""")
+def _(s, d):
+    return t.live(s, d).agg(stats.staleness_pct("status", "last_seen", F.lit(NOW).cast("date")).alias("pct"))
+
+
+@query("stale", f"""
+SELECT id, last_seen FROM (SELECT id, CASE WHEN id % 19 <> 0 THEN last_seen END AS last_seen, status FROM live)
+WHERE status = 'active' AND (last_seen IS NULL OR last_seen < DATE '{NOW}' - 14) ORDER BY last_seen NULLS FIRST, id LIMIT 100""")
+def _(s, d):
+    rows = t.live(s, d).withColumn("last_seen", F.when(F.col("id") % 19 != 0, F.col("last_seen")))
+    return stats.stale(rows, "last_seen", F.lit(NOW).cast("date"), 14, 100).select("id", "last_seen")
+
+
+@query("stale_strict", f"""
+SELECT id, last_seen FROM live WHERE status = 'active' AND id % 19 <> 0 AND last_seen < DATE '{NOW}' - 14 ORDER BY last_seen, id LIMIT 100""")
+def _(s, d):
+    rows = t.live(s, d).withColumn("last_seen", F.when(F.col("id") % 19 != 0, F.col("last_seen")))
+    return stats.stale(rows, "last_seen", F.lit(NOW).cast("date"), 14, 100, False).select("id", "last_seen")
+
+
+@query("sample", "SELECT id FROM live WHERE status = 'active' ORDER BY md5(id::VARCHAR), id LIMIT 50")
+def _(s, d):
+    return stats.hash_sample(t.live(s, d).where("status = 'active'").select("id"), "id", 50)
+
+
+@query("miss_streaks", """
+SELECT tier AS id, max(event_id) - coalesce(max(event_id) FILTER (status = 'failed'), 0) AS misses FROM runs GROUP BY 1""")
+def _(s, d):
+    return stats.miss_streaks(t.runs(s, d).select(F.col("tier").alias("id"), F.col("event_id").alias("session"), (F.col("status") == "failed").alias("present")))
+
+
+@query("pending_sessions", f"""
+SELECT event_id AS session_id FROM runs WHERE status = 'completed' AND epoch(TIMESTAMP '{NOW}') - floor(epoch(started_at)) <= 72 * 3600 AND event_id % 3 <> 0""")
+def _(s, d):
+    runs = t.runs(s, d).select(F.col("event_id").alias("session_id"), "status", F.col("started_at").alias("ended_at"))
+    done = runs.where("session_id % 3 = 0").select("session_id", F.lit("completed").alias("sync_status"))
+    return stats.pending_sessions(runs, done, _now(), 72).select("session_id")
+
+
+@query("tier_history", "SELECT event_id, tier, status, started_at, duration FROM runs ORDER BY started_at DESC, event_id DESC LIMIT 10")
+def _(s, d):
+    return stats.latest(t.runs(s, d), "started_at", 10)
+
+
+# text
+
+
+@query("normalize_url", r"SELECT page_id, regexp_replace(regexp_replace(lower(url), '[;?#][\s\S]*$', ''), '/+$', '') AS bare FROM pages", False)
+def _(s, d):
+    return t.read(s, d, "pages").select("page_id", identity.normalize_url(F.col("url")).alias("bare"))
+
+
+@query("property_id", r"SELECT page_id, 'pr-' || left(md5(regexp_replace(regexp_replace(lower(url), '[;?#][\s\S]*$', ''), '/+$', '')), 16) AS id FROM pages", False)
+def _(s, d):
+    return t.read(s, d, "pages").select("page_id", identity.property_id(F.col("url"), "pr-").alias("id"))
+
+
+@query("clean_text", rf"""
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '^[Dd]escription\s*:?\s*', ''), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'),
+       '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}\s{text.KEPT}]', '', 'g'), '^\s+', ''), '\s+$', '') AS cleaned FROM documents""", False)
+def _(s, d):
+    return t.read(s, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+
+
+_PRICE = "CASE p_partkey % 5 WHEN 0 THEN 'US$' || p_size::VARCHAR || ',000' WHEN 1 THEN '$' || p_size::VARCHAR || ',500' WHEN 2 THEN '€' || p_size::VARCHAR || '.5' WHEN 3 THEN 'Contact' ELSE 'usd ' || p_size::VARCHAR END"
+_PRICE_SPARK = _PRICE.replace("::VARCHAR", "").replace("p_size", "cast(p_size AS string)")
+
+
+@query("extract_price", f"""
+SELECT id, try_cast(nullif(regexp_extract(regexp_replace(replace(x, ',', ''), '[^0-9.]', '', 'g'), '([0-9]+([.][0-9]+)?)', 1), '') AS DOUBLE) AS amount,
+       CASE WHEN strpos(upper(x), 'USD') > 0 OR strpos(x, '$') > 0 THEN CASE WHEN strpos(upper(x), 'US$') > 0 OR strpos(x, 'USD') > 0 THEN 'USD' ELSE 'MXN' END
+            WHEN strpos(x, '€') > 0 THEN 'EUR' ELSE 'MXN' END AS currency
+FROM (SELECT p_partkey AS id, {_PRICE} AS x FROM part)""", False)
+def _(s, d):
+    x = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.expr(_PRICE_SPARK).alias("x"))
+    return x.select("id", text.price_amount(F.col("x")).alias("amount"), text.price_currency(F.col("x")).alias("currency"))
+
+
+_PLACE = "CASE p_partkey % 4 WHEN 0 THEN 'House in ' || p_name || ', Mérida, Yucatán 97314' WHEN 1 THEN p_name || ', Jalisco' WHEN 2 THEN p_name || ', Centro | Toluca' ELSE 'A, B, C, ' || p_name END"
+
+
+@query("extract_location", f"""
+SELECT id, CASE WHEN k = 0 THEN 'House in ' || n WHEN k = 3 THEN 'A' ELSE n END AS address,
+       CASE k WHEN 0 THEN 'Mérida' WHEN 2 THEN 'Centro' WHEN 3 THEN 'B' END AS neighborhood, CASE k WHEN 2 THEN 'Toluca' WHEN 3 THEN 'C' END AS city,
+       CASE k WHEN 0 THEN 'Yucatán' WHEN 1 THEN 'Jalisco' WHEN 3 THEN n END AS state, CASE k WHEN 0 THEN '97314' END AS postal_code
+FROM (SELECT p_partkey AS id, p_partkey % 4 AS k, trim(p_name) AS n FROM part)""", False)
+def _(s, d):
+    x = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.expr(_PLACE).alias("x"))
+    return x.select("id", text.location(F.col("x")).alias("l")).select("id", "l.*")
+
+
+_AREA = "CASE p_partkey % 4 WHEN 0 THEN 'Lot ' || p_size || ' m²' WHEN 1 THEN p_size || '.5m2 built' WHEN 2 THEN p_size || ' Sq M' ELSE p_size || ' metros' END"
+
+
+@query("extract_area", "SELECT p_partkey AS id, (p_size + CASE WHEN p_partkey % 4 = 1 THEN 0.5 ELSE 0 END)::DOUBLE AS area FROM part", False)
+def _(s, d):
+    x = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.expr(_AREA).alias("x"))
+    return x.select("id", text.area(F.col("x")).alias("area"))
+
+
+@query("first_number", r"SELECT doc_id, try_cast(nullif(regexp_extract(text, '([0-9]+)', 1), '') AS BIGINT) AS n FROM documents", False)
+def _(s, d):
+    return t.read(s, d, "documents").select("doc_id", text.first_number(F.col("text")).alias("n"))
+
+
+@query("property_type", f"SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN '' ELSE {_cascade('text', text.PROPERTY_TYPES, 'house')} END AS kind FROM documents", False)
+def _(s, d):
+    return t.read(s, d, "documents").select("doc_id", text.property_type(F.col("text")).alias("kind"))
+
+
+@query("operation_type", f"SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 'sale' ELSE {_cascade('text', text.OPERATIONS, 'sale')} END AS kind FROM documents", False)
+def _(s, d):
+    return t.read(s, d, "documents").select("doc_id", text.operation_type(F.col("text")).alias("kind"))
+
+
+@query("feature_keywords", f"SELECT doc_id, array_to_string(list_filter({_list(text.FEATURES)}, lambda w: strpos(lower(text), w) > 0), ',') AS found FROM documents", False)
+def _(s, d):
+    return t.read(s, d, "documents").select("doc_id", F.array_join(text.feature_keywords(F.col("text")), ",").alias("found"))
+
+
+_AGO = "CASE p_partkey % 5 WHEN 0 THEN 'Published ' || p_size || ' days ago' WHEN 1 THEN 'published a week ago' WHEN 2 THEN 'Published ' || p_size || ' months ago' WHEN 3 THEN 'Published an hour ago' ELSE 'soon' END"
+
+
+@query("listing_date", """
+SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN DATE '2024-03-31' - p_size WHEN 1 THEN DATE '2024-03-24' WHEN 2 THEN DATE '2024-03-31' - 30 * p_size WHEN 3 THEN DATE '2024-03-31' END AS listed FROM part""", False)
+def _(s, d):
+    x = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.expr(_AGO).alias("x"))
+    return x.select("id", text.listing_date(F.col("x"), _now("2024-03-31 12:00:00")).alias("listed"))
+
+
+_ITEMS = ["Covered parking", "Elevator", "Pets allowed", "Pool", "Ocean view", "Pool"]
+
+
+@query("amenity_groups", f"""
+SELECT id, CASE WHEN 'Covered parking' IN items THEN 'Covered parking' END AS exterior,
+       nullif(concat_ws('|', CASE WHEN 'Elevator' IN items THEN 'Elevator' END, CASE WHEN 'Ocean view' IN items THEN 'Ocean view' END), '') AS general,
+       CASE WHEN 'Pets allowed' IN items THEN 'Pets allowed' END AS policies, CASE WHEN 'Pool' IN items THEN 'Pool' END AS recreation
+FROM (SELECT p_partkey AS id, {_list(_ITEMS)}[1:(p_partkey % 7)] AS items FROM part)""", False)
+def _(s, d):
+    items = F.slice(F.array(*[F.lit(x) for x in _ITEMS]), 1, (F.col("p_partkey") % 7).cast("int"))
+    x = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), text.amenity_groups(items).alias("g"))
+    return x.select("id", *[F.array_join(F.try_element_at("g", F.lit(n)), "|").alias(n) for n in text.AMENITIES])
+
+
+@query("phones", """
+SELECT p_partkey AS id, '555-123-' || lpad(p_size::VARCHAR, 4, '0') AS found FROM part""", False)
+def _(s, d):
+    x = F.concat(F.lit("call 555-123-"), F.lpad(F.col("p_size").cast("string"), 4, "0"), F.lit(" or 12345"))
+    return t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.array_join(text.phones(x), ",").alias("found"))
+
+
+@query("presale_flag", "SELECT p_partkey AS id, p_partkey % 3 = 0 AS presale FROM part", False)
+def _(s, d):
+    x = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Casa en preventa "), F.col("p_name"))).otherwise(F.col("p_name"))
+    return t.read(s, d, "part").select(F.col("p_partkey").alias("id"), text.presale(x).alias("presale"))
+
+
+@query("positional_similarity", """
+SELECT a.p_partkey AS id, round(len(list_filter(range(1, 1 + least(length(a.p_name), length(b.p_name))), lambda i: lower(a.p_name)[i] = lower(b.p_name)[i]))::DOUBLE
+       / greatest(length(a.p_name), length(b.p_name)), 6) AS similarity
+FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1""", False)
+def _(s, d):
+    a = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("x"))
+    b = a.select((F.col("id") - 1).alias("id"), F.col("x").alias("y"))
+    return a.join(b, "id").select("id", F.round(text.positional_similarity(F.col("x"), F.col("y")), 6).alias("similarity"))
+
+
+@query("search_tokens", r"""
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> ''))), ' ') AS tokens FROM documents""", False)
+def _(s, d):
+    return t.read(s, d, "documents").select("doc_id", F.array_join(text.search_tokens(F.col("text")), " ").alias("tokens"))
+
+
+@query("trigram_similarity")
+def _(s, d):
+    a = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("x"))
+    b = a.select((F.col("id") - 1).alias("id"), F.col("x").alias("y"))
+    return a.join(b, "id").select("id", F.round(text.trigram_similarity(F.col("x"), F.col("y")), 6).alias("similarity"))
+
+
+@query("html_title", r"SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title FROM pages", False)
+def _(s, d):
+    return t.read(s, d, "pages").select("page_id", extract.html_title(F.col("html")).alias("title"))
+
+
+@query("html_links", """SELECT page_id, len(regexp_extract_all(html, '<a href="'))::INTEGER AS links FROM pages""", False)
+def _(s, d):
+    return t.read(s, d, "pages").select("page_id", extract.link_count(F.col("html")).cast("int").alias("links"))
+
+
+@query("html_cards", "SELECT page_id, '/p/' || page_id::VARCHAR AS link, 'Casa ' || page_id::VARCHAR AS title, '$' || page_id::VARCHAR AS price FROM pages", False)
+def _(s, d):
+    n = F.col("page_id").cast("string")
+    html = F.concat(F.lit('<ul><li class="property__component"><a href="/p/'), n, F.lit('"><img src="x.png"><span class="title">Casa '), n, F.lit('</span></a><li class="price">$'), n, F.lit("</li></li></ul>"))
+    return extract.listing_cards(t.read(s, d, "pages").select("page_id", "url", html.alias("html"))).select("page_id", "link", "title", "price")
+
+
+# snapshot comparison
+
+_CHANGED = """
+(CASE WHEN n.title IS NULL AND o.title IS NULL THEN false WHEN n.title IS NULL OR o.title IS NULL THEN true ELSE n.title <> o.title END
+ OR abs(n.price - o.price) / o.price > 0.01)"""
+
+
+@query("new_rows", "SELECT id FROM staging WHERE id NOT IN (SELECT id FROM live)")
+def _(s, d):
+    return diff.new_keys(t.staging(s, d), t.live(s, d), "id")
+
+
+@query("classify", f"""
+SELECT coalesce(n.id, o.id) AS id, CASE WHEN o.id IS NULL THEN 'new' WHEN n.id IS NULL THEN 'missing' WHEN {_CHANGED} THEN 'updated' ELSE 'unchanged' END AS change
+FROM staging n FULL JOIN live o ON n.id = o.id""")
+def _(s, d):
+    return diff.classify(t.staging(s, d), t.live(s, d), "id", FIELDS)
+
+
+@query("updated_rows", f"SELECT n.id FROM staging n JOIN live o ON n.id = o.id WHERE {_CHANGED}")
+def _(s, d):
+    return diff.classify(t.staging(s, d), t.live(s, d), "id", FIELDS).where("change = 'updated'").select("id")
+
+
+@query("field_changes", """
+SELECT n.id, 'title' AS field, o.title AS old_value, n.title AS new_value, 0.8::DOUBLE AS confidence, 'Field ''title'' changed' AS reason
+FROM staging n JOIN live o ON n.id = o.id WHERE n.title IS NULL
+UNION ALL SELECT n.id, 'price', NULL, NULL, CASE WHEN abs(n.price - o.price) / o.price > 0.1 THEN 0.95 ELSE 0.9 END, 'Field ''price'' changed'
+FROM staging n JOIN live o ON n.id = o.id WHERE abs(n.price - o.price) / o.price > 0.01""")
+def _(s, d):
+    f = diff.field_changes(t.staging(s, d), t.live(s, d), "id", FIELDS)
+    text_of = lambda c: F.when(F.col("field") != "price", F.col(c)).alias(c)
+    return f.select("id", "field", text_of("old_value"), text_of("new_value"), "confidence", "reason")
+
+
+@query("removed_rows", f"""
+SELECT id FROM live WHERE status = 'active' AND last_seen < DATE '{NOW}' - 3 AND id NOT IN (SELECT id FROM staging)""")
+def _(s, d):
+    seen = t.staging(s, d).select("id", F.lit(1).alias("session_id"))
+    sessions = s.createDataFrame([(1, "completed", "2024-01-30"), (2, "failed", "2024-01-31")], "session_id int, status string, created string")
+    return diff.removed_keys(t.live(s, d), seen, sessions.withColumn("created", F.col("created").cast("date")), F.lit(NOW).cast("date"))
+
+
+@query("manifest_new", "SELECT id, seq FROM manifest WHERE id NOT IN (SELECT id FROM live)")
+def _(s, d):
+    return t.manifest(s, d).join(t.live(s, d).select("id"), "id", "left_anti").select("id", "seq")
+
+
+@query("dedup_manifest", """
+SELECT id, seq, price FROM manifest QUALIFY row_number() OVER (PARTITION BY id ORDER BY (coalesce(price, 0) = 0)::INTEGER, seq) = 1""")
+def _(s, d):
+    return diff.dedup_manifest(t.manifest(s, d)).select("id", "seq", "price")
+
+
+@query("manifest_price", """
+SELECT id, round(old_price, 4) AS old_price, round(new_price, 4) AS new_price, round((new_price - old_price) / old_price, 4) AS share,
+       CASE WHEN new_price > old_price THEN 'increase' ELSE 'decrease' END AS direction
+FROM (SELECT m.id, o.price AS old_price, arg_max(m.price, m.seq) AS new_price FROM manifest m JOIN live o ON m.id = o.id WHERE m.price IS NOT NULL GROUP BY ALL)
+WHERE abs((new_price - old_price) / old_price) > 0.01""")
+def _(s, d):
+    rows = diff.manifest_price_changes(t.manifest(s, d), t.live(s, d))
+    return rows.select("id", *[F.round(c, 4).alias(c) for c in ("old_price", "new_price", "share")], "direction")
+
+
+@query("flag_price", """
+SELECT m.id, o.id IS NULL AS is_new, o.id IS NOT NULL AND coalesce(abs(m.price - o.price) > 1000 OR abs(m.price - o.price) / o.price * 100 > 1, false) AS price_changed,
+       o.id IS NULL OR coalesce(abs(m.price - o.price) > 1000 OR abs(m.price - o.price) / o.price * 100 > 1, false) AS needs_full_scrape, m.id % 2 = 1 AS unknown
+FROM (SELECT * FROM manifest QUALIFY row_number() OVER (PARTITION BY id ORDER BY (coalesce(price, 0) = 0)::INTEGER, seq) = 1) m LEFT JOIN live o ON m.id = o.id""")
+def _(s, d):
+    known = t.manifest(s, d).where("id % 2 = 0").select("id")
+    return diff.manifest_flags(diff.dedup_manifest(t.manifest(s, d)), t.live(s, d), known)
+
+
+@query("relisted", "SELECT id FROM live WHERE id % 5 = 0 AND id IN (SELECT id FROM manifest)")
+def _(s, d):
+    gone = t.live(s, d).select("id", F.when(F.col("id") % 5 == 0, "sold").otherwise("active").alias("listing_status"))
+    return diff.relisted(t.manifest(s, d), gone)
+
+
+@query("change_confidence", "SELECT id, CASE WHEN id % 7 = 0 THEN 0.9 WHEN id % 3 = 0 THEN 0.95 ELSE 0.9 END::DOUBLE AS confidence FROM live")
+def _(s, d):
+    new = F.when(F.col("id") % 7 == 0, F.col("price") * 1.05).when(F.col("id") % 3 == 0, F.col("price") * 1.2).otherwise(F.col("price"))
+    return t.live(s, d).select("id", significance.confidence("price", new, F.col("price")).cast("double").alias("confidence"))
+
+
+# quality
+
+
+@query("validation_errors", """
+SELECT id, 'title' AS field, 'required_title' AS rule, 'title is required' AS message, 'error' AS severity FROM staging WHERE title IS NULL
+UNION ALL SELECT id, 'price', 'price_range', 'price is below minimum', 'warning' FROM staging WHERE price < 1000
+UNION ALL SELECT id, 'bedrooms', 'bedrooms_range', 'bedrooms is above maximum', 'warning' FROM staging WHERE bedrooms > 20""")
+def _(s, d):
+    return quality.errors(t.staging(s, d), "id").drop("value")
+
+
+@query("errors_by", """
+SELECT severity, field, count(*)::BIGINT AS n FROM (
+  SELECT 'error' AS severity, 'title' AS field FROM staging WHERE title IS NULL UNION ALL SELECT 'warning', 'price' FROM staging WHERE price < 1000
+  UNION ALL SELECT 'warning', 'bedrooms' FROM staging WHERE bedrooms > 20) GROUP BY ALL""")
+def _(s, d):
+    return quality.errors(t.staging(s, d), "id").groupBy("severity", "field").agg(F.count("*").alias("n"))
+
+
+@query("validate_pattern", "SELECT event_id AS id, 'bad' AS verdict FROM events WHERE event_id % 3 = 0", False)
+def _(s, d):
+    rule = quality.Rule("valid_email", "email", "pattern", "warning", regex=r"^[^@]+@[^@]+\.[^@]+$")
+    mail = F.when(F.col("event_id") % 3 == 0, "nobody").otherwise("a@b.c x")
+    return t.read(s, d, "events").where(quality.rule_message(rule, mail).isNotNull()).select(F.col("event_id").alias("id"), F.lit("bad").alias("verdict"))
+
+
+@query("gps_consistency", "SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 1 THEN 'coordinate_consistency' WHEN 2 THEN 'coordinate_format' END AS problem FROM customer", False)
+def _(s, d):
+    k, lat, lng = F.col("c_custkey"), F.col("c_acctbal") / 1000, F.col("c_acctbal") / 500
+    gps = F.when(k % 4 == 1, F.concat_ws(",", lat + 1, lng)).when(k % 4 == 2, "north,west").when(k % 4 == 3, "1,2,3").otherwise(F.concat_ws(",", lat, lng))
+    return t.read(s, d, "customer").select(k.alias("id"), quality.gps_problem(gps, lat, lng).alias("problem"))
+
+
+@query("price_consistency", "SELECT id, CASE WHEN id % 3 = 1 THEN 'price_consistency' END AS problem FROM live")
+def _(s, d):
+    per = F.when(F.col("id") % 3 == 1, F.col("price") / 50).when(F.col("id") % 3 == 2, F.col("price") / 95).otherwise(0.0)
+    return t.live(s, d).select("id", quality.price_problem(F.col("price"), per, F.lit(100.0)).alias("problem"))
+
+
+@query("array_urls", "SELECT page_id, 1 AS at, 'ftp:' || page_id::VARCHAR AS url FROM pages", False)
+def _(s, d):
+    rows = t.read(s, d, "pages").select("page_id", F.array(F.col("url"), F.concat(F.lit("ftp:"), F.col("page_id").cast("string"))).alias("urls"))
+    return quality.bad_urls(rows, "page_id", "urls")
+
+
+@query("field_scores", """
+SELECT 'title' AS field, round(greatest(0, (count(title) - count(*) FILTER (title IS NULL)) / count(*)::DOUBLE), 4) AS score FROM staging
+UNION ALL SELECT f, 1.0 FROM (VALUES ('id'), ('price'), ('property_type'), ('city'), ('bedrooms'), ('status')) v(f)""")
+def _(s, d):
+    rows = t.staging(s, d)
+    return quality.field_scores(rows, quality.errors(rows, "id")).select("field", F.round("score", 4).alias("score"))
+
+
+_SCORE = """
+SELECT round(0.4 * avg(0.2 * (title IS NOT NULL)::INTEGER + 0.45) + 0.4 * greatest(0, 1 - count(*) FILTER (title IS NULL) / count(*)::DOUBLE)
+       + 0.2 * greatest(0, 1 - 0.5 * (count(*) FILTER (price < 1000) + count(*) FILTER (bedrooms > 20)) / count(*)::DOUBLE), 6)"""
+
+
+@query("overall_score", f"{_SCORE} AS score FROM staging")
+def _(s, d):
+    rows = t.staging(s, d)
+    return quality.overall_score(rows, quality.errors(rows, "id")).select(F.round("score", 6).alias("score"))
+
+
+@query("completeness", "SELECT id, round(0.45 + CASE WHEN title IS NOT NULL THEN 0.2 ELSE 0 END, 4)::DOUBLE AS score FROM staging")
+def _(s, d):
+    rows = t.staging(s, d)
+    return rows.select("id", F.round(quality.completeness(rows.columns), 4).alias("score"))
+
+
+@query("duplicate_rate", "SELECT round((count(*) - count(DISTINCT id)) / count(*)::DOUBLE, 6) AS rate FROM manifest")
+def _(s, d):
+    return t.manifest(s, d).agg(F.round(quality.duplicate_rate("id"), 6).alias("rate"))
+
+
+@query("freshness", "SELECT round(avg(CASE WHEN epoch(TIMESTAMP '2024-01-30') - floor(epoch(ts)) <= 86400 THEN 1.0 ELSE 0.0 END), 6) AS fresh FROM events", False)
+def _(s, d):
+    return t.read(s, d, "events").agg(F.round(quality.freshness("ts", _now("2024-01-30")), 6).alias("fresh"))
+
+
+@query("geo_diversity", """
+SELECT round(0.4 * least(1, count(DISTINCT c_mktsegment) / 10.0::DOUBLE) + 0.4 * least(1, count(DISTINCT c_nationkey) / 50.0::DOUBLE)
+       + 0.2 * least(1, ((max(c_acctbal) - min(c_acctbal)) / 100 + (max(c_acctbal) - min(c_acctbal)) / 50) / 2), 6) AS diversity FROM customer""", False)
+def _(s, d):
+    c = t.read(s, d, "customer").select("c_mktsegment", F.col("c_nationkey").cast("string").alias("hood"), (F.col("c_acctbal") / 100).alias("lat"), (F.col("c_acctbal") / 50).alias("lng"))
+    return c.agg(F.round(quality.geo_diversity("c_mktsegment", "hood", "lat", "lng"), 6).alias("diversity"))
+
+
+@query("overall_quality", "SELECT id, round(0.4 * (id % 100) / 100 + 0.2 * (1 - (id % 7) / 100.0::DOUBLE) + 0.2 * (id % 11) / 10 + 0.1, 6)::DOUBLE AS quality, id % 100 >= 70 AND id % 7 <= 2 AND id % 11 >= 8 AS passes FROM live")
+def _(s, d):
+    i = F.col("id")
+    q, ok = quality.overall_quality((i % 100) / 100, (i % 7) / 100, (i % 11) / 10, F.lit(0.5))
+    return t.live(s, d).select("id", F.round(q, 6).alias("quality"), ok.alias("passes"))
+
+
+@query("recommendations", "SELECT id, (id % 100 < 70)::INTEGER + (id % 10 < 8)::INTEGER + (id % 3 = 2)::INTEGER AS n FROM live")
+def _(s, d):
+    i = F.col("id")
+    return t.live(s, d).select("id", F.size(quality.recommendations((i % 100) / 100, (i % 10) / 10, (i % 3) / 10 - 0.05, F.lit(0.0), F.lit(1.0))).alias("n"))
+
+
+# merge and lifecycle
+
+
+@query("merge_live", f"""
+SELECT coalesce(n.id, o.id) AS id, CASE WHEN o.id IS NULL OR coalesce({_CHANGED}, false) AND n.id IS NOT NULL THEN n.title ELSE o.title END AS title,
+       round(CASE WHEN o.id IS NULL OR coalesce({_CHANGED}, false) AND n.id IS NOT NULL THEN n.price ELSE o.price END, 4) AS price,
+       CASE WHEN o.id IS NULL THEN 'active' WHEN n.id IS NULL AND o.id % 3 = 0 THEN 'inactive' ELSE o.status END AS status,
+       CASE WHEN n.id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '2023-06-01' END AS last_seen
+FROM staging n FULL JOIN live o ON n.id = o.id""")
+def _(s, d):
+    old = _now("2023-06-01")
+    base = t.live(s, d).withColumns({"first_seen": old, "last_updated": old, "last_seen": old})
+    gone = base.join(t.staging(s, d).select("id"), "id", "left_anti").where("id % 3 = 0").select("id")
+    return merge.promote(t.staging(s, d), base, _now(), FIELDS, gone).select("id", "title", F.round("price", 4).alias("price"), "status", "last_seen")
+
+
+@query("sparse_upsert", """
+SELECT coalesce(n.id, o.id) AS id, coalesce(n.title, o.title) AS title, round(coalesce(n.price, o.price), 4) AS price,
+       CASE WHEN n.id IS NOT NULL THEN 'active' ELSE o.status END AS status, CASE WHEN n.id IS NOT NULL THEN 0 ELSE o.misses END AS misses
+FROM staging n FULL JOIN live o ON n.id = o.id""")
+def _(s, d):
+    live = t.live(s, d).withColumn("priority", F.lit(2))
+    return merge.sparse_upsert(t.staging(s, d), live, FIELDS).select("id", "title", F.round("price", 4).alias("price"), "status", "misses")
+
+
+@query("insert_ignore", "SELECT id, price FROM live UNION ALL SELECT id, price FROM staging WHERE id NOT IN (SELECT id FROM live)")
+def _(s, d):
+    return merge.insert_ignore(t.staging(s, d).select("id", "price"), t.live(s, d).select("id", "price"), "id")
+
+
+@query("missing_count", f"""
+SELECT id, CASE WHEN id IN (SELECT id FROM manifest) THEN 0 WHEN status = 'active' THEN misses + 1 ELSE misses END AS misses,
+       CASE WHEN id IN (SELECT id FROM manifest) AND misses > 0 THEN DATE '{NOW}' ELSE last_seen END AS last_seen FROM live""")
+def _(s, d):
+    return merge.count_misses(t.live(s, d), t.manifest(s, d), F.lit(NOW).cast("date")).select("id", "misses", "last_seen")
+
+
+@query("removal_candidates", """
+SELECT id, misses + 1 AS misses FROM live WHERE status = 'active' AND id NOT IN (SELECT id FROM manifest) AND misses + 1 >= 2""")
+def _(s, d):
+    return merge.count_misses(t.live(s, d), t.manifest(s, d), F.lit(NOW).cast("date")).where("status = 'active' AND misses >= 2").select("id", "misses")
+
+
+@query("removal_verdict", """
+SELECT id, CASE WHEN id % 6 = 0 THEN 'removed' WHEN id % 6 = 1 THEN 'removed' WHEN id % 6 = 2 THEN 'removed' ELSE 'kept' END AS verdict FROM live""")
+def _(s, d):
+    k = F.col("id") % 6
+    status = F.when(k == 1, 404).when(k.isin(2, 3), 301).when(k == 4, 200).otherwise(503)
+    return t.live(s, d).select("id", merge.removal_verdict(F.when(k == 0, "").otherwise("u"), status, F.when(k == 2, "/search").when(k == 3, "/home/x")).alias("verdict"))
+
+
+@query("apply_verdicts", "SELECT id, CASE WHEN id % 4 = 0 THEN 'inactive' ELSE status END AS status, CASE WHEN id % 4 = 1 THEN 0 ELSE misses END AS misses FROM live")
+def _(s, d):
+    v = t.live(s, d).where("id % 4 < 2").select("id", F.when(F.col("id") % 4 == 0, "removed").otherwise("kept").alias("verdict"))
+    return merge.apply_verdicts(t.live(s, d), v).select("id", "status", "misses")
+
+
+@query("retention", f"SELECT id FROM live WHERE last_seen >= DATE '{NOW}' - 30")
+def _(s, d):
+    return merge.retain(t.live(s, d), "last_seen", F.lit(NOW).cast("date"), 30).select("id")
+
+
+@query("expire_inactive", f"SELECT id, CASE WHEN status = 'inactive' AND last_seen < DATE '{NOW}' - 20 THEN 'removed' ELSE status END AS status FROM live")
+def _(s, d):
+    return merge.expire_inactive(t.live(s, d), F.lit(NOW).cast("date"), 10).select("id", "status")
+
+
+@query("id_migration", r"""
+SELECT outcome, count(*)::BIGINT AS n FROM (
+  SELECT CASE WHEN page_id % 7 = 0 THEN 'no_url' WHEN page_id % 5 = 0 THEN 'already_hash' ELSE 'migrate' END AS outcome FROM pages) GROUP BY 1""", False)
+def _(s, d):
+    rows = t.read(s, d, "pages").select(F.when(F.col("page_id") % 5 == 0, F.substring(F.md5("url"), 1, 16)).otherwise("slug").alias("id"), F.when(F.col("page_id") % 7 != 0, F.col("url")).alias("url"))
+    return merge.migrate_ids(rows, "id", "url").groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("blank_id_repair", r"""
+SELECT page_id, CASE WHEN page_id % 2 = 0 THEN left(md5(regexp_replace(regexp_replace(lower(url), '[;?#][\s\S]*$', ''), '/+$', '')), 16) ELSE 'x' END AS id FROM pages""", False)
+def _(s, d):
+    rows = t.read(s, d, "pages").select("page_id", "url", F.when(F.col("page_id") % 2 == 0, "").otherwise("x").alias("id"))
+    return merge.repair_blank_ids(rows, "id", "url").select("page_id", "id")
+
+
+# queue
+
+
+@query("queue_claim", "SELECT id, attempts + 1 AS attempts FROM queue WHERE status = 'pending' ORDER BY priority, queued_at, id LIMIT 500")
+def _(s, d):
+    return queue.claim(t.queue(s, d), 500).select("id", "attempts")
+
+
+@query("queue_enqueue", """
+SELECT id AS property_id, CASE WHEN id % 2 = 0 THEN 'new' ELSE 'stale' END AS reason, CASE WHEN id % 2 = 0 THEN 1 ELSE 4 END AS priority
+FROM live WHERE id NOT IN (SELECT property_id FROM queue WHERE status = 'pending')""")
+def _(s, d):
+    wanted = t.live(s, d).select(F.col("id").alias("property_id"), F.when(F.col("id") % 2 == 0, "new").otherwise("stale").alias("reason"))
+    return queue.enqueue(t.queue(s, d), wanted, 10**12)
+
+
+@query("queue_finish", "SELECT id, CASE WHEN status = 'in_progress' AND id % 3 < 2 THEN CASE WHEN id % 3 = 0 THEN 'completed' ELSE 'failed' END ELSE status END AS status FROM queue")
+def _(s, d):
+    done = t.queue(s, d).where("id % 3 < 2").select("id", (F.col("id") % 3 == 0).alias("ok"), F.lit("boom").alias("error"))
+    return queue.finish(t.queue(s, d), done).select("id", "status")
+
+
+@query("queue_release", "SELECT id, CASE WHEN status = 'in_progress' AND epoch(TIMESTAMP '1996-01-01') - epoch(queued_at) > 1800 THEN 'pending' ELSE status END AS status FROM queue")
+def _(s, d):
+    return queue.release_stale(t.queue(s, d), _now("1996-01-01"), at="queued_at").select("id", "status")
+
+
+@query("queue_cancel", "SELECT id, CASE WHEN status = 'pending' AND reason = 'stale' THEN 'cancelled' ELSE status END AS status FROM queue")
+def _(s, d):
+    return queue.cancel(t.queue(s, d), "stale").select("id", "status")
+
+
+@query("queue_retry", "SELECT id, CASE WHEN status = 'failed' AND attempts < 3 THEN 'pending' ELSE status END AS status FROM queue")
+def _(s, d):
+    return queue.retry(t.queue(s, d)).select("id", "status")
+
+
+@query("queue_cleanup", "SELECT id FROM queue WHERE NOT (status IN ('completed', 'cancelled') AND queued_at < TIMESTAMP '1996-01-01' - INTERVAL 7 DAY)")
+def _(s, d):
+    return queue.cleanup(t.queue(s, d), F.lit("1996-01-01").cast("date")).select("id")
+
+
+@query("manifest_to_queue", """
+SELECT m.id AS property_id, CASE WHEN o.id IS NULL THEN 'new' ELSE 'price_change' END AS reason, CASE WHEN o.id IS NULL THEN 1 ELSE 2 END AS priority
+FROM (SELECT * FROM manifest QUALIFY row_number() OVER (PARTITION BY id ORDER BY (coalesce(price, 0) = 0)::INTEGER, seq) = 1) m LEFT JOIN live o ON m.id = o.id
+WHERE (o.id IS NULL OR abs(m.price - o.price) / o.price * 100 > 1) AND m.id NOT IN (SELECT property_id FROM queue WHERE status = 'pending')""")
+def _(s, d):
+    from larkspur.plans.config import Settings
+
+    return workflows.manifest_to_queue(t.manifest(s, d), t.live(s, d), t.manifest(s, d).select("id"), t.queue(s, d), Settings(backlog_cap=10**12))
+
+
+@query("fuzzy_dups")
+def _(s, d):
+    c = t.read(s, d, "customer")
+    rows = c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("title"), F.col("c_mktsegment").alias("address"), (F.col("c_acctbal") / 1000).alias("lat"), (F.col("c_acctbal") / 1000).alias("lng"))
+    return search.fuzzy_duplicates(rows)
