@@ -21,25 +21,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Within this block Python tasks get at most ``rows`` rows at once, which bounds their memory."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def set_for(spark: SparkSession, **values):
+    """Settings of the session that hold within this block; dots of their names are written as double underscores."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def cut(df: DataFrame, rows: int = 512) -> DataFrame:
     """Writes a table into the shared folder and reads it again, so that its lineage ends there.
 
-    Python tasks of its plan get ``rows`` rows at once.
+    Python tasks of its plan get ``rows`` rows at once, which bounds their memory, and its shuffle files go when the table
+    is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/larkspur/{uuid.uuid4().hex}"
-    with arrow_rows(spark, rows):
+    with set_for(
+        spark,
+        spark__sql__execution__arrow__maxRecordsPerBatch=str(rows),
+        spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
+    ):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
