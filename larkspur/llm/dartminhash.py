@@ -20,6 +20,9 @@ BANDS, ROWS = 25, 5
 THRESHOLD = 0.8
 
 _U32 = float(2**32)
+#: Pairs between components of all buckets together, for each text, that are held against the bound in one join.
+PAIRS_A_KEY = 400
+
 #: Texts that throw darts together.
 TOGETHER = 512
 
@@ -113,6 +116,23 @@ def _similar(threshold: float):
     return run
 
 
+def _exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        parts = [np.frombuffer(x, np.int64) for x in b["cells"]]
+        n = [len(x) for x in parts]
+        yield pd.DataFrame({"key": np.repeat(b["key"].to_numpy(), n), "cell": np.concatenate(parts) if parts else np.zeros(0, np.int64)})
+
+
+def _bounds(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, size, shared): the cells of each text, and those that another one of ``keys`` has, too."""
+    own = sets.join(keys, "key", "left_semi")
+    rows = cut(own.mapInPandas(_exploded, "key binary, cell long"))
+    common = rows.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
+    shared = rows.join(common, "cell").groupBy("key").agg(F.count("*").alias("shared"))
+    sizes = own.select("key", (F.octet_length("cells") / 8).cast("long").alias("size"))
+    return cut(sizes.join(shared, "key", "left").select("key", "size", F.coalesce("shared", F.lit(0)).alias("shared")))
+
+
 def _text_key():
     return F.unhex(F.md5(F.col("text"))).alias("key")
 
@@ -126,16 +146,21 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     Texts are compared once for each key. A bucket of a band is resolved in rounds: the first member of the rarest
     component in it is held against all members of other components, verified on the full sets of cells, and leaves. A
     bucket ends when it has one component, so no pair within it is left out unless it is already connected, and a group of
-    n copies costs n pairs, not their square. When the pairs between different components that are left in all buckets
-    together are no more than there are texts, they are verified at once.
+    n copies costs n pairs, not their square. After the first round, cells that only one of the open texts has are set
+    apart: two texts share at most the rest of either, and pairs that this bound keeps below the threshold are not
+    verified. When the pairs between different components are few enough (PAIRS_A_KEY), those within the bound are
+    verified at once.
     """
     texts = docs.select("doc_id", "text", _text_key()).where("text IS NOT NULL")
     banded = cut(texts.mapInPandas(_banded, "doc_id long, key binary, bands array<long>"))
     rows = banded.select("doc_id", "key")
     keys = banded.groupBy("key").agg(F.any_value("bands").alias("bands"))
     all_rows = keys.select("key", F.explode("bands").alias("bucket"))
-    full = all_rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    active = cut(all_rows.join(full, "bucket").select("bucket", "key", F.xxhash64("bucket", "key").alias("turn"), F.col("key").alias("root")))
+    full = all_rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    active = cut(all_rows.join(full, "bucket").select("bucket", "key", "n"))
+    # the text that meets most others comes first: in a group of near copies the one they were made of
+    meets = active.groupBy("key").agg(F.sum("n").alias("meets"))
+    active = cut(active.join(meets, "key").select("bucket", "key", (-F.col("meets")).alias("turn"), F.col("key").alias("root")))
     wanted = active.select("key").distinct()
     sets = cut(texts.select("key", "text").join(wanted, "key").dropDuplicates(["key"]).mapInPandas(_cells_of, "key binary, cells binary"))
     n_keys = keys.count()
@@ -153,14 +178,19 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
         if left is None:
             break
         open_ = active.join(pick, "bucket").drop("pairs")
-        last = left <= n_keys
+        last = left <= n_keys or (links is not None and left <= PAIRS_A_KEY * n_keys)
         if last:
-            other = open_.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"))
-            pairs = open_.join(other, "bucket").where("root < b_root").select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+            bounds = _bounds(sets, open_.select("key").distinct()).where(F.col("shared") >= threshold * F.col("size"))
+            near = open_.select("bucket", "key", "root").join(bounds, "key")
+            other = near.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"), F.col("shared").alias("b_shared"))
+            within = F.least("shared", "b_shared") * (1 + threshold) >= threshold * (F.col("size") + F.col("b_size"))
+            pairs = near.join(other, "bucket").where((F.col("root") < F.col("b_root")) & within).select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
         else:
             pairs = open_.where("root <> center_root").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b"))
-        found = pairs.distinct().join(a_cells, "a").join(b_cells, "b").select("a", "b", "a_cells", "b_cells").mapInPandas(_similar(threshold), "a binary, b binary")
-        found = cut(found)
+        pairs = cut(pairs.distinct())
+        found = cut(
+            pairs.join(a_cells, "a").join(b_cells, "b").select("a", "b", "a_cells", "b_cells").mapInPandas(_similar(threshold), "a binary, b binary")
+        )
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = components(links)
