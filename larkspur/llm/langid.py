@@ -198,6 +198,8 @@ def label(text: str | None, scorer: Scorer) -> tuple[str, float, list[tuple[str,
         return "und", 0.0, []
     if not langs:
         return "und", 0.0, []
+    if len(langs) == 1:
+        return langs[0], 1.0, [(langs[0], 0, len(words))]
     scores = scorer.scores(words)
     if not scores.any():
         return langs[scorer.model.usual], 0.0, []

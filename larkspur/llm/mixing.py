@@ -40,7 +40,8 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most
 def _keyed(docs: DataFrame) -> DataFrame:
     name = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return docs.select(
-        "*",
+        F.struct("*").alias("row"),
+        "doc_id",
         word_count(F.col("text")).alias("size"),
         F.col("source").isNull().alias("source_null"),
         F.coalesce("source", F.lit("")).alias("source_key"),
@@ -98,8 +99,7 @@ def mix_documents(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most:
     mixed = keyed.join(cuts, ["source_null", "source_key"]).withColumn(
         "copies", F.col("epochs") + F.when(few & (F.col("size") > 0) & (F.col("mix_key") <= F.col("top.mix_key")), 1).otherwise(0)
     )
-    names = docs.columns
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[f"`{n}`" for n in names])
+    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
