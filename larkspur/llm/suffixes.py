@@ -10,6 +10,7 @@ turn, and equal neighbours are the repeated strings. Names are sorted within ran
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -28,9 +29,9 @@ LENGTH = 400
 ORDER = 11
 PERIOD = ORDER * ORDER + ORDER + 1
 #: Bytes of text whose positions are named together.
-PIECE = 1 << 20
+PIECE = 384 << 10
 #: Bytes of names in a range of hashes, and ranges at least.
-RANGE_BYTES, RANGES = 16 << 20, 64
+RANGE_BYTES, RANGES = 5 << 20, 64
 #: 64-bit words of the Bloom filter that keeps texts without repeated blocks out of the second shuffle: 16 bytes each.
 BLOOM_WORDS = 1 << 17
 
@@ -109,6 +110,11 @@ def _unpack(x: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
 
 
+def _frames(rows: Iterator[tuple], most: int = 64) -> Iterator[pd.DataFrame]:
+    while part := list(itertools.islice(rows, most)):
+        yield pd.DataFrame(part, columns=["batch", "part", "kind", "names", "at", "info"])
+
+
 def _matched(wide: bool):
     """Within a range of names: positions whose name occurs again go back to their batch; other rows pass."""
 
@@ -158,7 +164,7 @@ def _sampled(length: int, ranges: int, cover: np.ndarray):
                 info = p.size.astype("<u4").tobytes() + b"".join(bytes(k) for k in keys[i:j])
                 rows = _dealt(_batch_name(seen), p.names(at, block, False), at, info, ranges, seen % ranges)
                 seen += 1
-                yield pd.DataFrame(list(rows), columns=["batch", "part", "kind", "names", "at", "info"])
+                yield from _frames(rows)
 
     return run
 
@@ -202,7 +208,7 @@ def _whole(length: int, ranges: int):
                 twice = np.concatenate([np.arange(len(at)), np.flatnonzero(known)])
                 rows = _dealt(_batch_name(seen), names[twice], at[twice], info, ranges, seen % ranges)
                 seen += 1
-                yield pd.DataFrame(list(rows), columns=["batch", "part", "kind", "names", "at", "info"])
+                yield from _frames(rows)
 
     return run
 
@@ -258,7 +264,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("batch").applyInPandas(_candidates, "key binary, blocks binary")
         .groupBy("key").agg(F.any_value("blocks").alias("blocks"))
     )
-    blocks = cut(blocks)
+    blocks = cut(blocks, 256)
 
     slot = F.shiftrightunsigned(F.xxhash64("key"), 6)
     word, bit = F.pmod(slot, F.lit(BLOOM_WORDS)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64("key").bitwiseAND(F.lit(63)).cast("int"))
@@ -271,7 +277,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("batch").applyInPandas(_removed(length), "key binary, n_removed long, n_spans long, kept_sha256 string")
         .where("n_removed > 0")
     )
-    found = cut(found)
+    found = cut(found, 256)
     rows = base.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), _key(), F.sha2(F.encode("text", "utf-8"), 256).alias("all_sha256"))
     return rows.join(found, "key", "left").select(
         "doc_id",
