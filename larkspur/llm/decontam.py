@@ -42,8 +42,8 @@ class Item:
     edits: int
     #: Shared q-grams that a passage within the edits has at least: m - q + 1 - q * edits.
     least: int
-    #: Diagonals of half a band; two neighbouring halves hold every path within the edits.
-    width: int
+    #: Diagonals of half a band, as a power of two: more than twice the edits, so that two neighbouring halves hold every path.
+    shift: int
 
 
 class Index:
@@ -64,13 +64,15 @@ class Index:
             codes.append(grams(data))
             item.append(np.full(m - Q + 1, len(self.items)))
             at.append(np.arange(m - Q + 1))
-            self.items.append(Item(item_id, data, edits, m - Q + 1 - Q * edits, 2 * edits + 1))
+            self.items.append(Item(item_id, data, edits, m - Q + 1 - Q * edits, (2 * edits).bit_length()))
         code = np.concatenate(codes) if codes else np.zeros(0, "<u8")
         order = np.argsort(code, kind="stable")
         self.codes, self.first, self.many = np.unique(code[order], return_index=True, return_counts=True)
-        self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
-        self.at = np.concatenate(at)[order] if at else np.zeros(0, np.int64)
-        self.width = np.array([i.width for i in self.items], np.int64)
+        self.item = np.concatenate(item)[order].astype(np.int32) if item else np.zeros(0, np.int32)
+        self.at = np.concatenate(at)[order].astype(np.int32) if at else np.zeros(0, np.int32)
+        self.shift = np.array([i.shift for i in self.items], np.int32)[self.item] if item else np.zeros(0, np.int32)
+        self.longest = max((len(i.data) for i in self.items), default=0)
+        self.thinnest = min((i.shift for i in self.items), default=0)
         self.least = np.array([i.least for i in self.items], np.int64)
         self.screen = np.zeros(1 << SCREEN_BITS, bool)
         self.screen[(self.codes * SPREAD) >> np.uint64(64 - SCREEN_BITS)] = True
@@ -88,20 +90,22 @@ class Index:
         total = int(many.sum())
         if not total:
             return []
-        step = np.arange(total) - np.repeat(np.cumsum(many) - many, many)
-        post = np.repeat(self.first[found], many) + step
-        item = self.item[post]
-        half = (np.repeat(at, many) - self.at[post]) // self.width[item]
-        key, count = np.unique((item << 40) + half + (1 << 39), return_counts=True)
-        both = count.copy()
-        after = np.flatnonzero(key[1:] == key[:-1] + 1)
-        both[after] += count[after + 1]
-        item = key >> 40
-        enough = both >= self.least[item]
-        # a band that starts one half earlier counts for the later half alone, too
-        late = np.flatnonzero((count >= self.least[item]) & ~np.isin(key - 1, key))
-        out = [(int(i), int(k & ((1 << 40) - 1)) - (1 << 39)) for i, k in zip(item[enough], key[enough])]
-        return out + [(int(item[x]), int(key[x] & ((1 << 40) - 1)) - (1 << 39) - 1) for x in late]
+        post = np.repeat(self.first[found] - np.cumsum(many) + many, many) + np.arange(total)
+        # diagonals from 1 up: the lowest one is minus the longest item
+        low = (self.longest >> self.thinnest) + 2
+        stride = low + (len(data) >> self.thinnest) + 2
+        half = (np.repeat(at.astype(np.int32), many) - self.at[post]) >> self.shift[post]
+        key = self.item[post].astype(np.int64) * stride + (half + low)
+        if stride * len(self.items) <= 16 * total + 4096:
+            count = np.bincount(key, minlength=stride * len(self.items) + 1)
+            both = count[:-1] + count[1:]
+            hit = np.flatnonzero(both.reshape(-1, stride) >= self.least[:, None])
+        else:
+            key, n = np.unique(key, return_counts=True)
+            starts = np.unique(np.concatenate([key, key - 1]))
+            count = lambda k: np.where(key[at := np.minimum(np.searchsorted(key, k), len(key) - 1)] == k, n[at], 0)
+            hit = starts[count(starts) + count(starts + 1) >= self.least[np.maximum(starts, 0) // stride]]
+        return [(int(k // stride), int(k % stride) - low) for k in hit]
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """The best passage for each item that has one: (item_id, start, end, edits), in bytes of the normalized text."""
@@ -111,7 +115,7 @@ class Index:
             item = self.items[i]
             if item.item_id in best and best[item.item_id][0] == 0:
                 continue
-            low, high = half * item.width, (half + 2) * item.width - 1
+            low, high = half << item.shift, ((half + 2) << item.shift) - 1
             found = align(item.data, data, low, high, item.edits)
             if found and (item.item_id not in best or found < best[item.item_id]):
                 best[item.item_id] = found
@@ -121,10 +125,11 @@ class Index:
         return [(k, s, e, d) for k, (d, s, e) in sorted(best.items())]
 
 
-def _rows(item: np.ndarray, text: np.ndarray, low: int, high: int, ends: bool) -> tuple[np.ndarray, int]:
+def _rows(item: np.ndarray, text: np.ndarray, low: int, high: int, ends: bool, edits: int) -> tuple[np.ndarray, int]:
     """Last row of the alignment of ``item`` with ``text`` along the diagonals low to high.
 
-    The start is free if ``ends`` is false; else the path starts at position 0 of the text.
+    The start is free if ``ends`` is false; else the path starts at position 0 of the text. The least number of a row never
+    falls, so the alignment ends early when it is beyond ``edits``.
     """
     m, width = len(item), high - low + 1
     pad = np.full(m + width + abs(low) + 1, 256, np.int16)
@@ -136,6 +141,8 @@ def _rows(item: np.ndarray, text: np.ndarray, low: int, high: int, ends: bool) -
         new = row + (padded[base + i : base + i + width] != item[i])
         new[:-1] = np.minimum(new[:-1], row[1:] + 1)
         row = np.minimum.accumulate(new - step) + step
+        if i % 4 == 3 and row.min() > edits:
+            break
     return row, low
 
 
@@ -148,14 +155,14 @@ def align(item: bytes, data: bytes, low: int, high: int, edits: int) -> tuple[in
     if edits == 0:
         return None
     x, y = np.frombuffer(item, np.uint8).astype(np.int16), np.frombuffer(data, np.uint8)[a:b].astype(np.int16)
-    row, first = _rows(x, y, low - a, high - a, False)
+    row, first = _rows(x, y, low - a, high - a, False, edits)
     where = np.arange(len(row)) + first + len(x)
     row = np.where((where >= 0) & (where <= len(y)), row, 1 << 30)
     k = int(row.argmin())
     if row[k] > edits:
         return None
     end = int(where[k])
-    back, _ = _rows(x[::-1], y[:end][::-1], -edits, edits, True)
+    back, _ = _rows(x[::-1], y[:end][::-1], -edits, edits, True, edits)
     length = len(x) + int(back.argmin()) - edits
     return int(row[k]), a + max(0, end - length), a + end
 
