@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.llm.common import GOLDEN, mix
+
 #: Labelled documents that a model is fitted on at most, about (picked by a hash of the id).
 SAMPLE = 20_000
 #: Hash buckets of the letter n-grams: the fixed size of a model for each language.
@@ -25,7 +26,9 @@ SWITCH = 12.0
 #: Share of a language's letters from which a script counts as one of its own.
 SCRIPT_SHARE = 0.01
 #: Words whose scores are kept at once in a worker.
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
+#: Texts whose new words are scored together.
+TOGETHER = 128
 
 # First and last code points of the letters of each script.
 SCRIPTS = [
@@ -56,10 +59,20 @@ def script_of(letter: str) -> str:
     return next((name for name, first, last in SCRIPTS if first <= c <= last), "other")
 
 
-def grams_of(word: str) -> list[int]:
-    """Hash buckets of the n-grams of a word."""
-    marked = f"<{word}>"
-    return [zlib.crc32(marked[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash bucket of each n-gram, word that it belongs to), word by word."""
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    owner = np.repeat(np.arange(len(words)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(code))
+    h, buckets, owners = np.zeros(len(code), np.uint64), [], []
+    for i in range(max(GRAMS)):
+        h[: len(code) - i] = mix(h[: len(code) - i] * GOLDEN + code[i:])
+        if i + 1 in GRAMS:
+            own = left > i
+            buckets.append((h[own] % np.uint64(BUCKETS)).astype(np.int64))
+            owners.append(owner[own])
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 @dataclass
@@ -91,18 +104,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams: dict[str, np.ndarray] = {}
         scripts: dict[tuple[str, str], int] = {}
-        seen: dict[str, list[int]] = {}
         for b in batches:
             for text, lang in zip(b["text"], b["lang"]):
                 words = WORDS.findall(text.lower())
                 to = grams.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for w in words:
-                    if w not in seen:
-                        if len(seen) > MAX_WORDS:
-                            seen.clear()
-                        seen[w] = grams_of(w)
-                at = [g for w in words for g in seen[w]]
-                to += np.bincount(np.array(at, np.int64), minlength=BUCKETS)
+                if words:
+                    to += np.bincount(grams_of(words)[0], minlength=BUCKETS)
                 for w in words:
                     k = (lang, script_of(w[0]))
                     scripts[k] = scripts.get(k, 0) + len(w)
@@ -133,30 +140,34 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 class Scorer(dict):
-    """Word -> number of its row of scores, computed when the word is first met."""
+    """Word -> number of its row of scores. Words that are new are scored together."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.rows = model, np.zeros((1024, len(model.langs)), np.float32)
-
-    def __missing__(self, word: str) -> int:
-        m, n = self.model, len(self)
-        if n == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        allowed = m.scripts.get(script_of(word[0]))
-        if allowed is None:
-            score = np.zeros(len(m.langs), np.float32)
-        else:
-            score = m.weights[grams_of(word)].sum(0)
-            score = np.where(allowed, score, -np.inf)
-            score = np.maximum(score - score.max(), -MOST)
-        self.rows[n] = score
-        self[word] = n
-        return n
+        self.model, self.rows = model, np.zeros((0, len(model.langs)), np.float32)
 
-    def scores(self, words: list[str]) -> np.ndarray:
+    def learn(self, words: set[str]) -> None:
+        """Scores the words that have none yet; forgets all others first if there are too many."""
+        m = self.model
         if len(self) > MAX_WORDS:
             self.clear()
+            self.rows = self.rows[:0]
+        new = [w for w in words if w not in self]
+        if not new or not m.langs:
+            return
+        bucket, owner = grams_of(new)
+        score = np.stack([np.bincount(owner, m.weights[bucket, k], len(new)) for k in range(len(m.langs))], axis=1)
+        none = np.zeros(len(m.langs), bool)
+        allowed = np.stack([m.scripts.get(script_of(w[0]), none) for w in new])
+        score = np.where(allowed, score, -np.inf)
+        known = allowed.any(1)
+        score[known] = np.maximum(score[known] - score[known].max(1, keepdims=True), -MOST)
+        score[~known] = 0
+        start = len(self.rows)
+        self.rows = np.concatenate([self.rows, score.astype(np.float32)])
+        self.update(zip(new, range(start, start + len(new))))
+
+    def scores(self, words: list[str]) -> np.ndarray:
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return self.rows[at].astype(np.float64)
 
@@ -192,7 +203,17 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 
 def label(text: str | None, scorer: Scorer) -> tuple[str, float, list[tuple[str, int, int]]]:
     """(language, share of the letters in its spans, spans as (language, first word, words))."""
-    words = WORDS.findall(text.lower()) if text else []
+    return label_all([text], scorer)[0]
+
+
+def label_all(texts: list[str | None], scorer: Scorer) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
+    """Labels of several texts, whose new words are scored together."""
+    words = [WORDS.findall(x.lower()) if x else [] for x in texts]
+    scorer.learn(set().union(*words))
+    return [_labelled(w, scorer) for w in words]
+
+
+def _labelled(words: list[str], scorer: Scorer) -> tuple[str, float, list[tuple[str, int, int]]]:
     langs = scorer.model.langs
     if not words:
         return "und", 0.0, []
@@ -228,7 +249,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = kept.setdefault(0, Scorer(shared.value))
         for b in batches:
-            found = [label(x, scorer) for x in b["text"]]
+            texts = b["text"].tolist()
+            found = [y for i in range(0, len(texts), TOGETHER) for y in label_all(texts[i : i + TOGETHER], scorer)]
             out = pd.DataFrame(
                 {
                     "lang_pred": [x[0] for x in found],
