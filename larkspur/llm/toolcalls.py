@@ -28,21 +28,52 @@ def canonical_json(text: Column) -> Column:
 
 def _levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of the calls that are not on or behind a cycle: 0 without a known call before it, else one
-    more than the highest of those. One round for each level."""
-    nodes = calls.groupBy("conv_id", "call_id").agg(F.flatten(F.collect_set(F.coalesce("after", F.array().cast("array<string>")))).alias("after"))
-    edges = nodes.select("conv_id", "call_id", F.explode(F.array_distinct("after")).alias("before"))
+    more than the highest of those.
+
+    A call that waits for one call points to it, and pointers are doubled until they reach an anchor: a call that waits for
+    none or for several. So a chain of n calls takes log n rounds. Then one round for each level of the calls that wait for
+    several; a round reads only what is still open.
+    """
+    at = ["conv_id", "call_id"]
+    nodes = calls.select(*at).distinct()
+    edges = calls.select(*at, F.explode("after").alias("before")).distinct()
     edges = cut(edges.join(nodes.select("conv_id", F.col("call_id").alias("before")), ["conv_id", "before"], "left_semi"))
-    held = edges.select("conv_id", "call_id").distinct()
-    done = cut(nodes.select("conv_id", "call_id").join(held, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)))
-    level, fresh = 0, done
-    while True:
-        level += 1
-        touched = edges.join(fresh.select("conv_id", F.col("call_id").alias("before")), ["conv_id", "before"], "left_semi").select("conv_id", "call_id").distinct()
-        open_ = edges.join(done.select("conv_id", F.col("call_id").alias("before")), ["conv_id", "before"], "left_anti").select("conv_id", "call_id").distinct()
-        fresh = cut(touched.join(open_, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)))
-        if fresh.isEmpty():
-            return done
-        done = cut(done.unionByName(fresh))
+    waits = edges.groupBy(*at).agg(F.count("*").alias("n"), F.min("before").alias("before"))
+    one = F.coalesce(F.col("n") == 1, F.lit(False))
+    state = cut(
+        nodes.join(waits, at, "left").select(
+            *at, F.coalesce("n", F.lit(0)).alias("n"), F.when(one, F.col("before")).otherwise(F.col("call_id")).alias("anchor"),
+            F.when(one, 1).otherwise(0).cast("long").alias("far"), one.alias("open"),
+        )
+    )
+    longest = state.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(longest.bit_length()):
+        if state.where("open").isEmpty():
+            break
+        to = state.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("far").alias("more"), F.col("open").alias("on"))
+        moved = state.where("open").join(to, ["conv_id", "anchor"]).select(
+            *at, "n", F.col("next").alias("anchor"), (F.col("far") + F.col("more")).alias("far"), F.col("on").alias("open")
+        )
+        state = cut(state.where("NOT open").unionByName(moved))
+    ends = state.where("NOT open").select(*at, "anchor", "far")
+    levels = state.where("n = 0").select("conv_id", F.col("call_id").alias("anchor"), F.lit(0).cast("long").alias("base"))
+    several = state.where("n > 1").select(*at)
+    if several.isEmpty():
+        known = ends.join(levels, ["conv_id", "anchor"])
+        return cut(known.select(*at, F.col("far").alias("level")))
+    behind = state.select("conv_id", F.col("call_id").alias("before"), F.when(F.col("open"), None).otherwise(F.col("anchor")).alias("anchor"), "far")
+    open_ = edges.join(several, at, "left_semi").join(behind, ["conv_id", "before"])
+    # an anchor that is null is never reached; steps: how far behind its anchor, reached: the level itself
+    open_ = cut(open_.groupBy(*at, "anchor").agg((F.max("far") + 1).alias("steps"), F.lit(None).cast("long").alias("reached")))
+    fresh = levels
+    while not fresh.isEmpty():
+        met = open_.join(fresh, ["conv_id", "anchor"], "left").select(*at, "anchor", "steps", F.coalesce("reached", F.col("base") + F.col("steps")).alias("reached"))
+        met = cut(met)
+        ready = met.groupBy(*at).agg(F.max("reached").alias("base"), F.every(F.col("reached").isNotNull()).alias("all")).where("all")
+        fresh = cut(ready.select("conv_id", F.col("call_id").alias("anchor"), "base"))
+        levels = levels.unionByName(fresh)
+        open_ = met.join(fresh.select("conv_id", F.col("anchor").alias("call_id")), at, "left_anti")
+    return cut(ends.join(levels, ["conv_id", "anchor"]).select(*at, (F.col("far") + F.col("base")).alias("level")))
 
 
 def _problems(fields: Column, arguments: Column) -> Column:

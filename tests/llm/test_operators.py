@@ -81,6 +81,26 @@ def test_tool_calls(spark):
     assert next(r.json for r in rows if r.call_id == "a" and r.turn == 0) == '{"arguments":{"a":"x","n":1},"call_id":"a","kind":"call","name":"f","turn":0}'
 
 
+def test_levels_agree_with_brute_force(spark):
+    rng = random.Random(3)
+    rows, want = [], {}
+    for conv, several in ((1, 0), (2, 1), (3, 3)):
+        n = 40
+        for i in range(n):
+            after = rng.sample(range(i), min(i, rng.randint(0, several))) if several else [i - 1]
+            if conv == 3 and i in (30, 31):
+                after = [61 - i]
+            rows.append((conv, str(i), [str(x) for x in after] + ["unknown"]))
+        held = {i: [int(x) for x in a if x.isdigit() and int(x) < n] for c, i, a in ((c, int(i), a) for c, i, a in rows if c == conv)}
+        for _ in range(n):
+            for i, a in held.items():
+                if all((conv, str(x)) in want for x in a):
+                    want[conv, str(i)] = max((want[conv, str(x)] + 1 for x in a), default=0)
+    frame = spark.createDataFrame(rows + rows[:5], "conv_id long, call_id string, after array<string>")
+    got = toolcalls._levels(frame).collect()
+    assert len(got) == len(want) and {(r.conv_id, r.call_id): r.level for r in got} == want
+
+
 def edit(a, b):
     d = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
