@@ -22,8 +22,14 @@ BLOCK = 16_384
 LINKS, THIN = 24, 16
 #: First width of the beams, and vectors that are searched together.
 BEAM, TOGETHER = 48, 256
+#: Widest beam; queries with more links are compared with all vectors of the shard, so many queries at once.
+WIDEST, DENSE = 384, 32
 #: An audit holds so many vectors against all others and asks for this recall.
 AUDIT, RECALL = 256, 0.999
+#: Links of a query in a shard that leave the task as pairs; of a query with more only their number leaves it.
+FEW = 64
+#: Pairs that are verified at once.
+PAIRS = 65_536
 #: Candidates are taken from single-precision searches with this margin and verified in double precision.
 MARGIN = 1e-4
 
@@ -145,15 +151,35 @@ def build(x: np.ndarray) -> list[np.ndarray]:
 
 
 def linked(x: np.ndarray, levels: list[np.ndarray], q: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(queries, nodes) of cosine ``least`` or more. A beam that ends full of links is widened until it is not."""
+    """(queries, nodes) of cosine ``least`` or more.
+
+    A beam that ends full of links is widened until it is not; beyond WIDEST the query is compared with the whole shard.
+    """
     for a in range(0, len(q), TOGETHER):
         open_, w = np.arange(a, min(len(q), a + TOGETHER)), min(width, len(x))
-        while len(open_):
+        while len(open_) and w <= max(width, WIDEST):
             ids, sims = descend(x, levels, q[open_], w)
             full = ((sims >= least).sum(1) * 2 > w) if w < len(x) else np.zeros(len(open_), bool)
             r, c = np.nonzero((sims >= least) & (ids >= 0) & ~full[:, None])
             yield open_[r], ids[r, c]
             open_, w = open_[full], min(2 * w, len(x))
+        for i in range(0, len(open_), DENSE):
+            part = open_[i : i + DENSE]
+            r, c = np.nonzero(q[part] @ x.T >= least)
+            yield part[r], c
+
+
+def join_roots(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Joins the trees of each u and v in place; afterwards each entry points at the least one of its tree."""
+    while True:
+        a, b = root[u], root[v]
+        apart = a != b
+        if not apart.any():
+            return
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := root[root], root):
+            root[:] = up
 
 
 def _matrix(v) -> np.ndarray:
@@ -179,41 +205,66 @@ def _graph(part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values(["turn", "rep"]).reset_index(drop=True)
     levels = build(_unit(_matrix(part["v"])).astype(np.float32))
     near = [[u[i].astype(np.int32).tobytes() for u in levels if i < len(u)] for i in range(len(part))]
-    return part.assign(pos=np.arange(len(part), dtype=np.int32), near=near)[["dim", "shard", "pos", "rep", "v", "near"]]
+    return part.assign(pos=np.arange(len(part), dtype=np.int32), near=near)[["dim", "shard", "pos", "rep", "n", "v", "near"]]
 
 
 def _asked(width: int, threshold: float):
+    """Rows (a, b, shard, near) of one shard and one block of queries.
+
+    Up to FEW links of a query: a row for each end, with the other end b, the shard of b and the vectors equal to b. Of a
+    query with more: (a, null, shard, near) with the vectors linked to it, and edges (a, b, null, null) that make a forest
+    over its links, one row for each vector of the task at most.
+    """
+
     def run(graph: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         if not len(graph) or not len(ask):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            return pd.DataFrame({"a": [], "b": [], "shard": [], "near": []}, dtype="Int64")
         graph = graph.sort_values("pos")
         deep = graph["near"].map(len)
         levels = [np.stack([np.frombuffer(x[k - int(deep.iloc[0])], np.int32) for x in graph["near"] if len(x) >= int(deep.iloc[0]) - k]) for k in range(int(deep.iloc[0]))]
         own, other = _unit(_matrix(graph["v"])), _unit(_matrix(ask["v"]))
         single = own.astype(np.float32)
-        rep, asks = graph["rep"].to_numpy(), ask["rep"].to_numpy()
-        a, b = [], []
+        rep, asks, n = graph["rep"].to_numpy(), ask["rep"].to_numpy(), graph["n"].to_numpy()
+        shard, home, weight = int(graph["shard"].iloc[0]), ask["home"].to_numpy(), ask["n"].to_numpy()
+        ids, root = np.concatenate([rep, asks]), np.arange(len(rep) + len(asks))
+        rows: list[tuple] = []
         for r, c in linked(single, levels, other.astype(np.float32), threshold - MARGIN, width):
-            ok = np.einsum("rd,rd->r", other[r], own[c]) >= threshold
-            a.append(asks[r[ok]])
-            b.append(rep[c[ok]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        keep = a != b
-        return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]}).drop_duplicates()
+            ok = asks[r] != rep[c]
+            for i in range(0, len(r), PAIRS):
+                part = slice(i, i + PAIRS)
+                ok[part] &= np.einsum("rd,rd->r", other[r[part]], own[c[part]]) >= threshold
+            r, c = r[ok], c[ok]
+            many = np.bincount(r, minlength=len(asks)) > FEW
+            p, q = r[~many[r]], c[~many[r]]
+            rows += [(asks[p], rep[q], np.full(len(p), shard), n[q]), (rep[q], asks[p], home[p], weight[p])]
+            p, q, dense = r[many[r]], c[many[r]], np.flatnonzero(many)
+            near = np.zeros(len(asks), np.int64)
+            np.add.at(near, p, n[q])
+            rows.append((asks[dense], None, np.full(len(dense), shard), near[dense]))
+            join_roots(root, p + len(rep), q)
+        joined = np.flatnonzero(root != np.arange(len(root)))
+        rows.append((ids[joined], ids[root[joined]], None, None))
+        empty = lambda x, k: pd.array([None] * k if x is None else x, "Int64")
+        return pd.concat([pd.DataFrame({k: empty(x, len(y[0])) for k, x in zip(("a", "b", "shard", "near"), y)}) for y in rows if len(y[0])] or [pd.DataFrame({k: empty(None, 0) for k in ("a", "b", "shard", "near")})])
 
     return run
 
 
-def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Links (a, b), a < b, between the representatives of ``classes`` (rep, n, v, dim)."""
+def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """(degrees, edges) of the representatives of ``classes`` (rep, n, v, dim).
+
+    degrees: (a, near), the vectors linked to a, each class counted n times. edges: (a, b), whose components are those of
+    the links. Neither grows with the pairs of a group: a query hands on 2 * FEW rows of a shard at most, and a link found
+    from either end counts for both.
+    """
     spark = classes.sparkSession
     n = classes.count()
     shards, blocks = max(SHARDS, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(n / BLOCK))
     placed = classes.withColumn("turn", F.xxhash64("v")).withColumn("shard", F.pmod("turn", F.lit(shards)).cast("int"))
     graph = cut(
-        placed.groupBy("dim", "shard").applyInPandas(_graph, "dim int, shard int, pos int, rep long, v binary, near array<binary>")
+        placed.groupBy("dim", "shard").applyInPandas(_graph, "dim int, shard int, pos int, rep long, n long, v binary, near array<binary>")
     ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asks = placed.select("dim", "rep", "v", F.pmod(F.xxhash64("turn"), F.lit(blocks)).cast("int").alias("block")).withColumn(
+    asks = placed.select("dim", "rep", "n", "v", F.col("shard").alias("home"), F.pmod(F.xxhash64("turn"), F.lit(blocks)).cast("int").alias("block")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     )
     audited = placed.orderBy(F.xxhash64("turn", F.lit(3)), "rep").select("rep", "v").limit(AUDIT).collect()
@@ -223,22 +274,26 @@ def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float =
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for dim in {len(x) for x in sample}:
-                own = [i for i, x in enumerate(sample) if len(x) == dim]
+                own = np.array([i for i, x in enumerate(sample) if len(x) == dim])
                 same = b[b["v"].map(len) == dim]
                 if len(same):
-                    q, c = np.nonzero(_unit(_matrix([sample[i] for i in own])) @ _unit(_matrix(same["v"])).T >= threshold)
-                    yield pd.DataFrame({"a": ids[own][q], "b": same["rep"].to_numpy()[c]}).query("a != b")
-
-    truth = placed.select("rep", "v").mapInPandas(exact, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    truth = cut(truth.distinct())
-    want, width, links = truth.count(), BEAM, None
+                    hit = _unit(_matrix([sample[i] for i in own])) @ _unit(_matrix(same["v"])).T >= threshold
+                    hit &= ids[own][:, None] != same["rep"].to_numpy()
+                    yield pd.DataFrame({"a": ids[own], "near": hit @ same["n"].to_numpy()})
+
+    truth = placed.select("rep", "n", "v").mapInPandas(exact, "a long, near long")
+    want = truth.agg(F.coalesce(F.sum("near"), F.lit(0))).first()[0]
+    checked = F.broadcast(spark.createDataFrame([(int(x),) for x in ids], "a long"))
+    width = BEAM
     while True:
         keys = ("dim", "shard", "block")
-        found = graph.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(_asked(width, threshold), "a long, b long")
-        links = cut((found if links is None else found.unionByName(links)).distinct())
-        got = truth.join(links, ["a", "b"], "left_semi").count()
+        found = cut(graph.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(_asked(width, threshold), "a long, b long, shard int, near long"))
+        dense = found.where("b IS NULL")
+        few = found.where("b IS NOT NULL AND shard IS NOT NULL").distinct().join(dense, ["a", "shard"], "left_anti")
+        degrees = few.select("a", "near").unionByName(dense.select("a", "near")).groupBy("a").agg(F.sum("near").alias("near"))
+        got = degrees.join(checked, "a", "left_semi").agg(F.coalesce(F.sum("near"), F.lit(0))).first()[0]
         if got >= recall * want or width >= 4096:
-            return links
+            return degrees, found.where("b IS NOT NULL").select("a", "b")
         width *= 2
 
 
@@ -255,10 +310,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows.where("v IS NOT NULL AND vec_id IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
         .withColumn("dim", F.octet_length("v"))
     )
-    links = find_links(classes, threshold)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(classes.select(F.col("rep").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("near"))
-    roots = components(links)
+    degree, edges = find_links(classes, threshold)
+    roots = components(edges)
     known = (
         classes.join(degree, classes.rep == degree.a, "left").join(roots, classes.rep == roots.node, "left")
         .select("v", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))

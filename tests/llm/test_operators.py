@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,27 @@ def test_vectors(spark):
     assert hnsw.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vectors_of_a_large_group():
+    """A query with many links hands on their number and a forest, one with few the pairs; both add up to brute force."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1100, 16))
+    x[:1000] = x[0] + rng.normal(size=(1000, 16)) * 0.02
+    x[1000:1010] = x[1050] + rng.normal(size=(10, 16)) * 0.02
+    part = pd.DataFrame({"dim": 128, "shard": 3, "turn": np.arange(1100), "rep": np.arange(1100), "n": 1 + np.arange(1100) % 3, "home": 3, "v": [v.tobytes() for v in x]})
+    got = hnsw._asked(hnsw.BEAM, 0.9)(hnsw._graph(part), part)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (u @ u.T >= 0.9) & ~np.eye(1100, dtype=bool)
+    counted = got[got.shard.notna()].drop_duplicates().groupby("a").near.sum().reindex(range(1100), fill_value=0)
+    assert (counted.to_numpy() == near @ part.n.to_numpy()).all()
+    assert len(got) < 4000
+    root = np.arange(1100)
+    edges = got[got.b.notna()].astype({"a": int, "b": int})
+    hnsw.join_roots(root, edges.a.to_numpy(), edges.b.to_numpy())
+    want = np.arange(1100)
+    hnsw.join_roots(want, *np.nonzero(near))
+    assert (root == want).all()
+
+
 def shingle_counts(t):
     w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
     n = min(5, len(w))
