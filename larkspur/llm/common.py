@@ -34,17 +34,31 @@ def set_for(spark: SparkSession, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def cut(df: DataFrame, rows: int = 512) -> DataFrame:
+#: Rows and bytes that a Python task gets at once at most (a longer row comes alone).
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on Python tasks of this session get whole texts in batches of BATCH_ROWS rows and BATCH_BYTES bytes at most.
+
+    For operators that hand whole texts to Python in a frame that the caller runs later.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def cut(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """Writes a table into the shared folder and reads it again, so that its lineage ends there.
 
-    Python tasks of its plan get ``rows`` rows at once, which bounds their memory, and its shuffle files go when the table
-    is written.
+    Python tasks of its plan get ``rows`` rows and BATCH_BYTES bytes at once at most, which bounds their memory, and its
+    shuffle files go when the table is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/larkspur/{uuid.uuid4().hex}"
     with set_for(
         spark,
         spark__sql__execution__arrow__maxRecordsPerBatch=str(rows),
+        spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES),
         spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
     ):
         df.write.parquet(path)

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.llm.common import bound_batches
+
 #: Bytes of a q-gram: one machine word.
 Q = 8
 #: Edits that a passage may have, as a share of its item's bytes.
@@ -179,6 +181,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, bl
     The benchmark comes in blocks of about ``block_bytes``, each broadcast once and held against all documents.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import GOLDEN, mix
+from larkspur.llm.common import GOLDEN, bound_batches, mix
 
 #: Labelled documents that a model is fitted on at most, about (picked by a hash of the id).
 SAMPLE = 20_000
@@ -97,6 +97,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     Counts of (script, bucket, lang) are summed on the executors; the driver gets BUCKETS rows for each language at most.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    bound_batches(docs.sparkSession)
     n = known.select("doc_id").count()
     if n > sample:
         known = known.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(9)), F.lit(1 << 30)) < int((1 << 30) * sample / n))
@@ -241,6 +242,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     letters, 0 where no word speaks for a language. spans: runs of words with one language. Each row stands for itself;
     the prediction sees the text alone. The model is broadcast: BUCKETS numbers for each language.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("lang_pred", "score", "spans")
     names = docs.columns
