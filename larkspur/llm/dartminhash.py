@@ -148,8 +148,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     bucket ends when it has one component, so no pair within it is left out unless it is already connected, and a group of
     n copies costs n pairs, not their square. After the first round, cells that only one of the open texts has are set
     apart: two texts share at most the rest of either, and pairs that this bound keeps below the threshold are not
-    verified. When the pairs between different components are few enough (PAIRS_A_KEY), those within the bound that meet
-    in two bands or more are verified at once (two texts of similarity 0.8 meet in fewer with a chance of 0.0007).
+    verified. When the pairs between different components are few enough (PAIRS_A_KEY), all within the bound are verified
+    at once, each in the first band in which it meets.
     """
     texts = docs.select("doc_id", "text", _text_key()).where("text IS NOT NULL")
     banded = cut(texts.mapInPandas(_banded, "doc_id long, key binary, bands array<long>"))
@@ -184,8 +184,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
             near = open_.select("bucket", "key", "root").join(bounds, "key").join(keys, "key")
             other = near.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("key", "root", "size", "shared", "bands")])
             meet = F.array_intersect("bands", "b_bands")
-            once = (F.size(meet) >= 2) & (F.try_element_at(meet, F.lit(1)) == F.col("bucket"))
-            within = F.least("shared", "b_shared") * (1 + threshold) >= threshold * (F.col("size") + F.col("b_size"))
+            once = F.try_element_at(meet, F.lit(1)) == F.col("bucket")
+            most = F.least("shared", "b_shared")
+            within = most >= threshold * (F.col("size") + F.col("b_size") - most)
             pairs = near.join(other, "bucket").where((F.col("root") < F.col("b_root")) & within & once).select(F.least("key", "b_key").alias("a"), F.greatest("key", "b_key").alias("b"))
         else:
             pairs = open_.where("root <> center_root").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b"))

@@ -223,6 +223,25 @@ def test_near_duplicates(corpus, empty):
     assert dartminhash.near_duplicates(empty).count() == 0 and dartminhash.keep_one(empty).count() == 0
 
 
+def test_near_duplicates_that_meet_in_one_band(spark):
+    rng = random.Random(1598)
+    w = words(rng, 50).split()
+    texts = [" ".join(w), " ".join(w[:25] + ["changed"] + w[26:])]
+    (_, cell, doc), = dartminhash.cells(texts)
+    a, b = dartminhash.band_keys(dartminhash.darts(cell, doc, 2))
+    assert (a == b).sum() == 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.class_id for r in dartminhash.near_duplicates(docs).collect()} == {0}
+
+
+def test_near_duplicates_of_just_the_least_similarity(spark):
+    rng = random.Random(3)
+    w = words(rng, 39).split()
+    texts = [" ".join(w), " ".join(w[:32])] + [words(rng, 20) for _ in range(30)]  # 28 of 35 shingles; the rest are for the last round
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.class_id for r in dartminhash.near_duplicates(docs).collect()) == [0, 0, *range(2, 32)]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 2**63, 400, dtype=np.uint64)
