@@ -22,7 +22,7 @@ BLOCK = 16_384
 LINKS, THIN = 24, 16
 #: First width of the beams, and vectors that are searched together.
 BEAM, TOGETHER = 48, 256
-#: Widest beam; queries with more links are compared with all vectors of the shard, so many queries at once.
+#: Widest beam; queries with more links (or more than FEW) are compared with all vectors of the shard, so many at once.
 WIDEST, DENSE = 384, 32
 #: An audit holds so many vectors against all others and asks for this recall.
 AUDIT, RECALL = 256, 0.999
@@ -153,16 +153,22 @@ def build(x: np.ndarray) -> list[np.ndarray]:
 def linked(x: np.ndarray, levels: list[np.ndarray], q: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(queries, nodes) of cosine ``least`` or more.
 
-    A beam that ends full of links is widened until it is not; beyond WIDEST the query is compared with the whole shard.
+    A beam that ends full of links is widened until it is not; beyond WIDEST, and if it finds more than FEW links, the query
+    is compared with the whole shard.
     """
     for a in range(0, len(q), TOGETHER):
         open_, w = np.arange(a, min(len(q), a + TOGETHER)), min(width, len(x))
+        dense = open_[:0]
         while len(open_) and w <= max(width, WIDEST):
             ids, sims = descend(x, levels, q[open_], w)
-            full = ((sims >= least).sum(1) * 2 > w) if w < len(x) else np.zeros(len(open_), bool)
-            r, c = np.nonzero((sims >= least) & (ids >= 0) & ~full[:, None])
+            found = (sims >= least).sum(1)
+            many = found > FEW
+            full = ~many & (found * 2 > w) & (w < len(x))
+            r, c = np.nonzero((sims >= least) & (ids >= 0) & ~(full | many)[:, None])
             yield open_[r], ids[r, c]
+            dense = np.concatenate([dense, open_[many]])
             open_, w = open_[full], min(2 * w, len(x))
+        open_ = np.concatenate([dense, open_])
         for i in range(0, len(open_), DENSE):
             part = open_[i : i + DENSE]
             r, c = np.nonzero(q[part] @ x.T >= least)
@@ -254,8 +260,9 @@ def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float =
     """(degrees, edges) of the representatives of ``classes`` (rep, n, v, dim).
 
     degrees: (a, near), the vectors linked to a, each class counted n times. edges: (a, b), whose components are those of
-    the links. Neither grows with the pairs of a group: a query hands on 2 * FEW rows of a shard at most, and a link found
-    from either end counts for both.
+    the links. Neither grows with the pairs of a group: a query hands on 2 * FEW rows of a shard at most. A query with more
+    links in a shard has been compared with all of it; of others a link found from either end counts for both, unless the
+    other end has more than FEW.
     """
     spark = classes.sparkSession
     n = classes.count()

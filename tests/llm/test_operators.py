@@ -194,6 +194,19 @@ def test_vectors_of_a_large_group():
     assert (root == want).all()
 
 
+def test_vectors_of_a_middling_group():
+    """More than FEW links are counted exactly, even where the graph leads to half of them only."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 16))
+    x[:150] = x[0] + rng.normal(size=(150, 16)) * 0.02
+    x = hnsw._unit(x).astype(np.float32)
+    levels = hnsw.build(x)
+    for u in levels:
+        u[u % 2 == 1] = -1
+    got = np.concatenate([r for r, _ in hnsw.linked(x, levels, x, 0.9, hnsw.BEAM)])
+    assert (np.bincount(got, minlength=600)[:150] == 150).all()
+
+
 def shingle_counts(t):
     w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
     n = min(5, len(w))
