@@ -154,12 +154,12 @@ def linked(x: np.ndarray, levels: list[np.ndarray], q: np.ndarray, least: float,
     """(queries, nodes) of cosine ``least`` or more.
 
     A beam that ends full of links is widened until it is not; beyond WIDEST, and if it finds more than FEW links, the query
-    is compared with the whole shard.
+    is compared with the whole shard. With a width of 0 all of them are.
     """
     for a in range(0, len(q), TOGETHER):
         open_, w = np.arange(a, min(len(q), a + TOGETHER)), min(width, len(x))
         dense = open_[:0]
-        while len(open_) and w <= max(width, WIDEST):
+        while len(open_) and 0 < w <= max(width, WIDEST):
             ids, sims = descend(x, levels, q[open_], w)
             found = (sims >= least).sum(1)
             many = found > FEW
@@ -262,7 +262,8 @@ def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float =
     degrees: (a, near), the vectors linked to a, each class counted n times. edges: (a, b), whose components are those of
     the links. Neither grows with the pairs of a group: a query hands on 2 * FEW rows of a shard at most. A query with more
     links in a shard has been compared with all of it; of others a link found from either end counts for both, unless the
-    other end has more than FEW.
+    other end has more than FEW. The audit counts links between classes that beams had to find, each once, without those
+    of queries that were compared with whole shards; if the widest beam fails it, all queries are compared with them.
     """
     spark = classes.sparkSession
     n = classes.count()
@@ -286,10 +287,11 @@ def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float =
                 if len(same):
                     hit = _unit(_matrix([sample[i] for i in own])) @ _unit(_matrix(same["v"])).T >= threshold
                     hit &= ids[own][:, None] != same["rep"].to_numpy()
-                    yield pd.DataFrame({"a": ids[own], "near": hit @ same["n"].to_numpy()})
+                    r, c = np.nonzero(hit)
+                    yield pd.DataFrame({"a": ids[own][r], "shard": same["shard"].to_numpy()[c]}).value_counts().rename("links").reset_index()
 
-    truth = placed.select("rep", "n", "v").mapInPandas(exact, "a long, near long")
-    want = truth.agg(F.coalesce(F.sum("near"), F.lit(0))).first()[0]
+    pairs = placed.select("rep", "shard", "v").mapInPandas(exact, "a long, shard int, links long")
+    truth = cut(pairs.groupBy("a", "shard").agg(F.sum("links").alias("links")))
     checked = F.broadcast(spark.createDataFrame([(int(x),) for x in ids], "a long"))
     width = BEAM
     while True:
@@ -298,10 +300,10 @@ def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float =
         dense = found.where("b IS NULL")
         few = found.where("b IS NOT NULL AND shard IS NOT NULL").distinct().join(dense, ["a", "shard"], "left_anti")
         degrees = few.select("a", "near").unionByName(dense.select("a", "near")).groupBy("a").agg(F.sum("near").alias("near"))
-        got = degrees.join(checked, "a", "left_semi").agg(F.coalesce(F.sum("near"), F.lit(0))).first()[0]
-        if got >= recall * want or width >= 4096:
+        want = truth.join(dense, ["a", "shard"], "left_anti").agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
+        if not width or few.join(checked, "a", "left_semi").count() >= recall * want:
             return degrees, found.where("b IS NOT NULL").select("a", "b")
-        width *= 2
+        width = 2 * width if width < 4096 else 0
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

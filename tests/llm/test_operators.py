@@ -207,6 +207,32 @@ def test_vectors_of_a_middling_group():
     assert (np.bincount(got, minlength=600)[:150] == 150).all()
 
 
+def test_audit_of_vectors_beside_a_large_group(spark, monkeypatch):
+    """Beams that miss all sparse links fail the audit, however many links a large group has; then shards are compared."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 16))
+    x[:300] = x[0] + rng.normal(size=(300, 16)) * 0.02
+    x[450:] = x[300:450] + rng.normal(size=(150, 16)) * 0.02
+    real = hnsw._asked
+
+    def blind(width, threshold):
+        def run(graph, ask):
+            got = real(width, threshold)(graph, ask)
+            return got[got.b.isna() | got.shard.isna()] if width else got
+
+        return run
+
+    monkeypatch.setattr(hnsw, "_asked", blind)
+    monkeypatch.setattr(hnsw, "BEAM", 4096)
+    monkeypatch.setattr(hnsw, "SHARDS", 2)
+    classes = spark.createDataFrame([(i, 1 + 99 * (i < 300), v.tobytes(), 128) for i, v in enumerate(x)], "rep long, n long, v binary, dim int")
+    degrees, _ = hnsw.find_links(classes)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (u @ u.T >= 0.9) & ~np.eye(600, dtype=bool)
+    got = degrees.toPandas().set_index("a").near.reindex(range(600), fill_value=0)
+    assert (got.to_numpy() == near @ np.where(np.arange(600) < 300, 100, 1)).all()
+
+
 def shingle_counts(t):
     w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
     n = min(5, len(w))
