@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
+
+    Where neither is set and all runs on this machine (a local master), a temporary folder; elsewhere an error.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="larkspur-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="larkspur-"))
+        found = context.getCheckpointDir()
     return found
 
 
@@ -51,10 +57,10 @@ def cut(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """Writes a table into the shared folder and reads it again, so that its lineage ends there.
 
     Python tasks of its plan get ``rows`` rows and BATCH_BYTES bytes at once at most, which bounds their memory, and its
-    shuffle files go when the table is written.
+    shuffle files go when the table is written. Tables are below larkspur/<application>; ``discard`` removes one.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/larkspur/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/larkspur/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     with set_for(
         spark,
         spark__sql__execution__arrow__maxRecordsPerBatch=str(rows),
@@ -62,7 +68,18 @@ def cut(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
         spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
     ):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes tables that ``cut`` has written and that nothing reads any more."""
+    for t in tables:
+        if path := getattr(t, "cut_path", None):
+            spark = t.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 # 64-bit finalizer constants (fixed values).
@@ -107,12 +124,14 @@ class Powers:
         return mix((prefix[end] - prefix[start]) * self.down[start])
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """Connected components of ``edges`` (a, b) by alternating large and small stars.
 
     Returns (node, root): each node that has an edge to another node and the least node it can reach.
     Loops and null ends are ignored; an empty table gives an empty table. Each round is one written table
-    in the shared folder; hot nodes are combined before the shuffle and split by the skew join.
+    in the shared folder, removed after the next; hot nodes are combined before the shuffle and split by the skew join.
+    Rounds go on until nothing changes, which takes about the square of the logarithm of the nodes; beyond ``rounds`` an
+    error is raised.
     """
     e = cut(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
@@ -127,9 +146,10 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         large = large.where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        old, e = e, cut(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        discard(old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            break
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    raise RuntimeError(f"components are not complete after {rounds} rounds")

@@ -1,4 +1,10 @@
-"""Near-duplicate vectors by navigable small-world graphs: one graph per shard, every vector asks every shard."""
+"""Near-duplicate vectors by navigable small-world graphs: one graph per shard, every group of vectors asks every shard.
+
+Within a shard, vectors nearer to an earlier one than ATTACH of the threshold's angle join its group; the first of each group
+is a node of the graph. The searches only propose pairs of groups. By the triangle inequality of angles a pair of groups
+whose members all lie near enough to their two centres is linked as a whole, one whose members are all too far apart is not,
+and the members of the rest are compared in double precision. So a tight group costs its size, not its square.
+"""
 
 from __future__ import annotations
 
@@ -10,28 +16,28 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import components, cut
+from larkspur.llm.common import components, cut, discard
 
 #: Cosine from which two vectors are linked.
 THRESHOLD = 0.9
 #: Shards at least, and vectors of a shard at most (more shards are made beyond it).
-SHARDS, SHARD_ROWS = 8, 250_000
-#: Vectors that ask a shard in one task.
-BLOCK = 16_384
+SHARDS, SHARD_ROWS = 8, 65_536
+#: Tasks of a search at least, and groups that ask a shard in one task at most.
+TASKS, BLOCK = 24, 131_072
+#: Share of the threshold's angle within which a vector joins a group.
+ATTACH = 0.7
 #: Links of a node, and the factor by which each level is thinner than the one below.
 LINKS, THIN = 24, 16
-#: First width of the beams, and vectors that are searched together.
-BEAM, TOGETHER = 48, 256
-#: Widest beam; queries with more links (or more than FEW) are compared with all vectors of the shard, so many at once.
-WIDEST, DENSE = 384, 32
-#: An audit holds so many vectors against all others and asks for this recall.
-AUDIT, RECALL = 256, 0.999
-#: Links of a query in a shard that leave the task as pairs; of a query with more only their number leaves it.
-FEW = 64
-#: Pairs that are verified at once.
-PAIRS = 65_536
-#: Candidates are taken from single-precision searches with this margin and verified in double precision.
-MARGIN = 1e-4
+#: First width of the beams, the factor by which the beams of shards that fail the audit widen, and queries searched together.
+BEAM, WIDER, TOGETHER = 32, 4, 256
+#: Queries with more candidates than half of this beam, and shards that fail the audit at it, are compared whole, so many at once.
+WIDEST, DENSE = 1024, 64
+#: An audit holds so many vectors against all others and asks for this mean share of the links of each.
+AUDIT, RECALL = 1024, 0.999
+#: Vectors whose cosines with a whole group are worked out together.
+PART = 512
+#: Single-precision searches keep what is within this of a bound on the cosine; bounds on sums of angles keep this distance.
+MARGIN, SLACK = 1e-4, 1e-6
 
 
 def _choose(x: np.ndarray, of: np.ndarray, cand: np.ndarray, keep: int) -> np.ndarray:
@@ -150,42 +156,52 @@ def build(x: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
-def linked(x: np.ndarray, levels: list[np.ndarray], q: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(queries, nodes) of cosine ``least`` or more.
+def near_nodes(x: np.ndarray, levels: list[np.ndarray], q: np.ndarray, least: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(queries, nodes, cosines) of at least ``least`` of the query.
 
-    A beam that ends full of links is widened until it is not; beyond WIDEST, and if it finds more than FEW links, the query
-    is compared with the whole shard. With a width of 0 all of them are.
+    A beam of which more than half is near enough is widened; beyond WIDEST the query is compared with all nodes, and with a
+    width of 0 all queries are.
     """
     for a in range(0, len(q), TOGETHER):
         open_, w = np.arange(a, min(len(q), a + TOGETHER)), min(width, len(x))
-        dense = open_[:0]
         while len(open_) and 0 < w <= max(width, WIDEST):
             ids, sims = descend(x, levels, q[open_], w)
-            found = (sims >= least).sum(1)
-            many = found > FEW
-            full = ~many & (found * 2 > w) & (w < len(x))
-            r, c = np.nonzero((sims >= least) & (ids >= 0) & ~(full | many)[:, None])
-            yield open_[r], ids[r, c]
-            dense = np.concatenate([dense, open_[many]])
+            hit = (sims >= least[open_, None]) & (ids >= 0)
+            full = (hit.sum(1) * 2 > w) & (w < len(x))
+            r, c = np.nonzero(hit & ~full[:, None])
+            yield open_[r], ids[r, c], sims[r, c]
             open_, w = open_[full], min(2 * w, len(x))
-        open_ = np.concatenate([dense, open_])
         for i in range(0, len(open_), DENSE):
             part = open_[i : i + DENSE]
-            r, c = np.nonzero(q[part] @ x.T >= least)
-            yield part[r], c
-
-
-def join_roots(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
-    """Joins the trees of each u and v in place; afterwards each entry points at the least one of its tree."""
-    while True:
-        a, b = root[u], root[v]
-        apart = a != b
-        if not apart.any():
-            return
-        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while not np.array_equal(up := root[root], root):
-            root[:] = up
+            sims = q[part] @ x.T
+            r, c = np.nonzero(sims >= least[part, None])
+            yield part[r], c, sims[r, c]
+
+
+def leaders(x: np.ndarray, least: float) -> np.ndarray:
+    """For each row the first earlier row that leads a group and has a cosine of ``least`` or more, or the row itself."""
+    own = np.arange(len(x))
+    lead = np.zeros(0, np.int64)
+    for a in range(0, len(x), PART):
+        q = x[a : a + PART]
+        best = np.full(len(q), -1)
+        if len(lead):
+            sims = q @ x[lead].T
+            top = sims.argmax(1)
+            best = np.where(sims[np.arange(len(q)), top] >= least, lead[top], -1)
+        free = np.flatnonzero(best < 0)
+        inside = q[free] @ q[free].T >= least
+        first: list[int] = []
+        for i in range(len(free)):
+            near = np.flatnonzero(inside[i, first]) if first else ()
+            if len(near):
+                best[free[i]] = a + free[first[near[0]]]
+            else:
+                first.append(i)
+                best[free[i]] = a + free[i]
+        own[a : a + PART] = best
+        lead = np.concatenate([lead, a + free[first]]) if first else lead
+    return own
 
 
 def _matrix(v) -> np.ndarray:
@@ -197,6 +213,10 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def _angle(cosine):
+    return np.arccos(np.clip(cosine, -1.0, 1.0))
+
+
 def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
@@ -207,103 +227,204 @@ def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"vec_id": b["vec_id"], "v": out})
 
 
-def _graph(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values(["turn", "rep"]).reset_index(drop=True)
-    levels = build(_unit(_matrix(part["v"])).astype(np.float32))
-    near = [[u[i].astype(np.int32).tobytes() for u in levels if i < len(u)] for i in range(len(part))]
-    return part.assign(pos=np.arange(len(part), dtype=np.int32), near=near)[["dim", "shard", "pos", "rep", "n", "v", "near"]]
+GROUPS = (
+    "dim int, shard int, pos int, g long, lead binary, reach double, near array<binary>, center binary, radius double, n long, "
+    "reps array<long>, many array<long>, vectors binary"
+)
+
+
+def _grouped(threshold: float):
+    """The groups of a shard, each with its node of the graph: ``g`` is the least representative of the group, ``reach`` the
+    radius about the centre and the angle between centre and node, ``vectors`` the unit vectors of the members."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["turn", "rep"])
+        x = _unit(_matrix(part["v"]))
+        rep, many = part["rep"].to_numpy(), part["n"].to_numpy()
+        lead = leaders(x.astype(np.float32), math.cos(ATTACH * math.acos(threshold)))
+        order = np.argsort(lead, kind="stable")
+        nodes, first = np.unique(lead[order], return_index=True)
+        levels = build(x[nodes].astype(np.float32))
+        rows = []
+        for i, own in enumerate(np.split(order, first[1:])):
+            center = _unit(x[own].sum(0, keepdims=True))[0] if len(own) > 1 else x[own[0]]
+            radius = float(_angle(x[own] @ center).max()) if len(own) > 1 else 0.0
+            off = float(_angle(x[nodes[i]] @ center)) if len(own) > 1 else 0.0
+            rows.append((
+                i, int(rep[own].min()), x[nodes[i]].tobytes(), radius + off, [u[i].astype(np.int32).tobytes() for u in levels if i < len(u)],
+                center.tobytes(), radius, int(many[own].sum()), rep[own], many[own], x[own].tobytes(),
+            ))
+        out = pd.DataFrame(rows, columns=["pos", "g", "lead", "reach", "near", "center", "radius", "n", "reps", "many", "vectors"])
+        return out.assign(dim=part["dim"].iloc[0], shard=part["shard"].iloc[0])[[f.split()[0] for f in GROUPS.split(", ")]]
 
+    return run
 
-def _asked(width: int, threshold: float):
-    """Rows (a, b, shard, near) of one shard and one block of queries.
 
-    Up to FEW links of a query: a row for each end, with the other end b, the shard of b and the vectors equal to b. Of a
-    query with more: (a, null, shard, near) with the vectors linked to it, and edges (a, b, null, null) that make a forest
-    over its links, one row for each vector of the task at most.
-    """
+def _asked(threshold: float):
+    """Pairs (g, h), g < h, of groups of one shard and of one block of queries that may have linked members."""
+    bound = math.acos(threshold)
 
     def run(graph: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        if not len(graph) or not len(ask):
-            return pd.DataFrame({"a": [], "b": [], "shard": [], "near": []}, dtype="Int64")
-        graph = graph.sort_values("pos")
-        deep = graph["near"].map(len)
-        levels = [np.stack([np.frombuffer(x[k - int(deep.iloc[0])], np.int32) for x in graph["near"] if len(x) >= int(deep.iloc[0]) - k]) for k in range(int(deep.iloc[0]))]
-        own, other = _unit(_matrix(graph["v"])), _unit(_matrix(ask["v"]))
-        single = own.astype(np.float32)
-        rep, asks, n = graph["rep"].to_numpy(), ask["rep"].to_numpy(), graph["n"].to_numpy()
-        shard, home, weight = int(graph["shard"].iloc[0]), ask["home"].to_numpy(), ask["n"].to_numpy()
-        ids, root = np.concatenate([rep, asks]), np.arange(len(rep) + len(asks))
-        rows: list[tuple] = []
-        for r, c in linked(single, levels, other.astype(np.float32), threshold - MARGIN, width):
-            ok = asks[r] != rep[c]
-            for i in range(0, len(r), PAIRS):
-                part = slice(i, i + PAIRS)
-                ok[part] &= np.einsum("rd,rd->r", other[r[part]], own[c[part]]) >= threshold
-            r, c = r[ok], c[ok]
-            many = np.bincount(r, minlength=len(asks)) > FEW
-            p, q = r[~many[r]], c[~many[r]]
-            rows += [(asks[p], rep[q], np.full(len(p), shard), n[q]), (rep[q], asks[p], home[p], weight[p])]
-            p, q, dense = r[many[r]], c[many[r]], np.flatnonzero(many)
-            near = np.zeros(len(asks), np.int64)
-            np.add.at(near, p, n[q])
-            rows.append((asks[dense], None, np.full(len(dense), shard), near[dense]))
-            join_roots(root, p + len(rep), q)
-        joined = np.flatnonzero(root != np.arange(len(root)))
-        rows.append((ids[joined], ids[root[joined]], None, None))
-        empty = lambda x, k: pd.array([None] * k if x is None else x, "Int64")
-        return pd.concat([pd.DataFrame({k: empty(x, len(y[0])) for k, x in zip(("a", "b", "shard", "near"), y)}) for y in rows if len(y[0])] or [pd.DataFrame({k: empty(None, 0) for k in ("a", "b", "shard", "near")})])
+        pairs = [np.zeros((0, 2), np.int64)]
+        if len(graph) and len(ask):
+            graph = graph.sort_values("pos")
+            deep = int(graph["near"].map(len).max())
+            levels = [np.stack([np.frombuffer(x[k - deep], np.int32) for x in graph["near"] if len(x) >= deep - k]) for k in range(deep)]
+            x, q = (_matrix(t["lead"]).astype(np.float32) for t in (graph, ask))
+            g, h, reach, own = graph["g"].to_numpy(), ask["g"].to_numpy(), graph["reach"].to_numpy(), ask["reach"].to_numpy()
+            least = np.cos(np.minimum(bound + own + reach.max(), math.pi)).astype(np.float32) - np.float32(MARGIN)
+            for r, c, sims in near_nodes(x, levels, q, least, int(ask["width"].iloc[0])):
+                ok = (h[r] != g[c]) & (sims >= np.cos(np.minimum(bound + own[r] + reach[c], math.pi)) - MARGIN)
+                pairs.append(np.stack([np.minimum(h[r[ok]], g[c[ok]]), np.maximum(h[r[ok]], g[c[ok]])], 1))
+        return pd.DataFrame(np.unique(np.concatenate(pairs), axis=0), columns=["g", "h"])
+
+    return run
+
+
+def _judged(threshold: float):
+    """(g, h, all): whether all members of two groups are linked; pairs without links are left out, open ones have null."""
+    bound = math.acos(threshold)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            apart = _angle(np.array([np.frombuffer(x) @ np.frombuffer(y) for x, y in zip(b["g_center"], b["h_center"])], np.float64))
+            both = b["g_radius"].to_numpy() + b["h_radius"].to_numpy()
+            every = apart + both <= bound - SLACK
+            some = every | (apart - both <= bound + SLACK)
+            yield pd.DataFrame({"g": b["g"], "h": b["h"], "every": pd.array(np.where(every, True, None), "boolean")})[some]
 
     return run
 
 
-def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """(degrees, edges) of the representatives of ``classes`` (rep, n, v, dim).
+def _linked(x: np.ndarray, y: np.ndarray, center: np.ndarray, radius: float, n: np.ndarray, threshold: float) -> np.ndarray:
+    """For each x the weights ``n`` of the y it is linked to: all or none where the angle to their centre tells, else compared."""
+    bound = math.acos(threshold)
+    apart = _angle(x @ center)
+    out = np.where(apart + radius <= bound - SLACK, n.sum(), 0)
+    open_ = np.flatnonzero((apart + radius > bound - SLACK) & (apart - radius <= bound + SLACK))
+    for i in range(0, len(open_), PART):
+        for j in range(0, len(y), 8 * PART):
+            out[open_[i : i + PART]] += (x[open_[i : i + PART]] @ y[j : j + 8 * PART].T >= threshold) @ n[j : j + 8 * PART]
+    return out
+
+
+def _compared(threshold: float):
+    """(g, h, rep, links) of open pairs: the links of each member of either group that has one. Pairs (g, g) are a group's own."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                x, y = (np.frombuffer(v).reshape(len(k), -1) for v, k in ((r.g_vectors, r.g_reps), (r.h_vectors, r.h_reps)))
+                sides = [(r.g_reps, _linked(x, y, np.frombuffer(r.h_center), r.h_radius, np.asarray(r.h_many), threshold))]
+                if r.g == r.h:
+                    sides[0][1][:] -= np.asarray(r.g_many)
+                else:
+                    sides.append((r.h_reps, _linked(y, x, np.frombuffer(r.g_center), r.g_radius, np.asarray(r.g_many), threshold)))
+                for reps, links in sides:
+                    have = np.flatnonzero(links)
+                    yield pd.DataFrame({"g": r.g, "h": r.h, "rep": np.asarray(reps)[have], "links": links[have]})
 
-    degrees: (a, near), the vectors linked to a, each class counted n times. edges: (a, b), whose components are those of
-    the links. Neither grows with the pairs of a group: a query hands on 2 * FEW rows of a shard at most. A query with more
-    links in a shard has been compared with all of it; of others a link found from either end counts for both, unless the
-    other end has more than FEW. The audit counts links between classes that beams had to find, each once, without those
-    of queries that were compared with whole shards; if the widest beam fails it, all queries are compared with them.
+    return run
+
+
+def _audited(sample: list[tuple[int, bytes]], threshold: float):
+    """(a, g, shard, links): the links of each sampled vector in each group, copies of the vector itself left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = {dim: [i for i, x in enumerate(sample) if len(x[1]) == dim] for dim in {len(x[1]) for x in sample}}
+        unit = {dim: _unit(_matrix([sample[i][1] for i in at])) for dim, at in own.items()}
+        ids = np.array([x[0] for x in sample], np.int64)
+        for b in batches:
+            for dim, part in b.groupby("dim"):
+                if dim not in own:
+                    continue
+                size = part["reps"].map(len).to_numpy()
+                reps = np.concatenate(part["reps"].to_list())
+                v = np.concatenate([np.frombuffer(x).reshape(-1, dim // 8) for x in part["vectors"]])
+                place = np.repeat(np.arange(len(part)), size)
+                hit = unit[dim] @ v.T >= threshold
+                hit &= ids[own[dim]][:, None] != reps
+                r, c = np.nonzero(hit)
+                one = pd.DataFrame({"a": ids[own[dim]][r], "at": place[c]}).value_counts().rename("links").reset_index()
+                yield pd.DataFrame({"a": one["a"], "g": part["g"].to_numpy()[one["at"]], "shard": part["shard"].to_numpy()[one["at"]], "links": one["links"]})
+
+    return run
+
+
+def find_pairs(groups: DataFrame, members: DataFrame, n: int, shards: int, threshold: float, recall: float) -> DataFrame:
+    """(g, h), g < h: pairs of groups that may have linked members.
+
+    Each group asks every shard. The audit takes AUDIT vectors by hash, compares them with all others, and asks whether the
+    pair of groups of each link was proposed; the mean share over the vectors that have links must reach ``recall``. Where it
+    doesn't, the shards at either end of a missing pair are asked again by WIDER beams, and compared whole in the end.
     """
-    spark = classes.sparkSession
+    spark = groups.sparkSession
+    blocks = max(math.ceil(TASKS / shards), math.ceil(n / BLOCK))
+    graph = groups.select("dim", "shard", "pos", "g", "lead", "reach", "near")
+    # aliases, so that the two sides of the search don't share columns
+    asks = groups.select(*[F.col(c).alias(c) for c in ("dim", "g", "lead", "reach")], F.pmod(F.xxhash64("g"), F.lit(blocks)).cast("int").alias("block"))
+    sample = members.orderBy(F.xxhash64("rep"), "rep").select("rep", "v").limit(AUDIT).collect()
+    truth = groups.select("dim", "shard", "g", "reps", "vectors").mapInPandas(_audited([(r.rep, bytes(r.v)) for r in sample], threshold), "a long, g long, shard int, links long")
+    own = members.select(F.col("rep").alias("a"), F.col("g").alias("own"), F.col("shard").alias("own_shard"))
+    truth = cut(truth.join(own, "a").select("a", "shard", "own_shard", "links", F.least("g", "own").alias("g"), F.greatest("g", "own").alias("h")))
+    pairs, widths = None, dict.fromkeys(range(shards), BEAM)
+    while True:
+        ask = F.broadcast(spark.createDataFrame(list(widths.items()), "shard int, width int"))
+        own = F.broadcast(spark.createDataFrame([(k,) for k in range(blocks)], "block int"))
+        found = (
+            graph.join(ask.select("shard"), "shard").join(own).groupBy("dim", "shard", "block")
+            .cogroup(asks.join(ask).groupBy("dim", "shard", "block"))
+            .applyInPandas(_asked(threshold), "g long, h long")
+        )
+        old = pairs
+        pairs = cut((found if old is None else found.unionByName(old)).distinct())
+        discard(old)
+        seen = truth.join(pairs.withColumn("found", F.lit(True)), ["g", "h"], "left").withColumn("found", (F.col("g") == F.col("h")) | F.coalesce("found", F.lit(False)))
+        share = seen.groupBy("a").agg((F.sum(F.when(F.col("found"), F.col("links")).otherwise(0)) / F.sum("links")).alias("share")).agg(F.avg("share")).first()[0]
+        if share is None or share >= recall:
+            return pairs
+        missed = seen.where(~F.col("found")).select(F.explode(F.array("shard", "own_shard")).alias("shard")).distinct().collect()
+        wider = lambda w: 0 if not w or w * WIDER > WIDEST else w * WIDER
+        widths = {r.shard: wider(widths.get(r.shard, BEAM)) for r in missed}
+
+
+def find_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """(rep, near, root) of the representatives of ``classes`` (rep, n, v, dim): the vectors linked to each, every class
+    counted n times, and the least representative of its component. Nothing here grows with the pairs of a tight group."""
     n = classes.count()
-    shards, blocks = max(SHARDS, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(n / BLOCK))
+    shards = max(SHARDS, math.ceil(n / SHARD_ROWS))
     placed = classes.withColumn("turn", F.xxhash64("v")).withColumn("shard", F.pmod("turn", F.lit(shards)).cast("int"))
-    graph = cut(
-        placed.groupBy("dim", "shard").applyInPandas(_graph, "dim int, shard int, pos int, rep long, n long, v binary, near array<binary>")
-    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asks = placed.select("dim", "rep", "n", "v", F.col("shard").alias("home"), F.pmod(F.xxhash64("turn"), F.lit(blocks)).cast("int").alias("block")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    groups = cut(placed.groupBy("dim", "shard").applyInPandas(_grouped(threshold), GROUPS))
+    each = groups.select("g", "shard", "dim", "n", "radius", F.posexplode("reps").alias("at", "rep"), "many", "vectors")
+    members = cut(each.select("rep", "g", "shard", "n", "radius", F.element_at("many", F.col("at") + 1).alias("own"), F.expr("substring(vectors, at * dim + 1, dim)").alias("v")))
+    pairs = find_pairs(groups, members, n, shards, threshold, recall)
+
+    def side(x: str, *names: str) -> DataFrame:
+        return groups.select(F.col("g").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in names])
+
+    judged = pairs.join(side("g", "center", "radius"), "g").join(side("h", "center", "radius"), "h")
+    judged = cut(judged.select("g", "h", "g_center", "h_center", "g_radius", "h_radius").mapInPandas(_judged(threshold), "g long, h long, every boolean"))
+    tight = F.col("radius") * 2 <= math.acos(threshold) - SLACK
+    loose = groups.where((F.size("reps") > 1) & ~tight).select("g", F.col("g").alias("h"))
+    heavy = ("center", "radius", "reps", "many", "vectors")
+    open_ = judged.where("every IS NULL").select("g", "h").unionByName(loose)
+    compared = cut(
+        open_.join(side("g", *heavy), "g").join(side("h", *heavy), "h").mapInPandas(_compared(threshold), "g long, h long, rep long, links long"), 64
     )
-    audited = placed.orderBy(F.xxhash64("turn", F.lit(3)), "rep").select("rep", "v").limit(AUDIT).collect()
-    ids = np.array([r.rep for r in audited], np.int64)
-    sample = [bytes(r.v) for r in audited]
-
-    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for dim in {len(x) for x in sample}:
-                own = np.array([i for i, x in enumerate(sample) if len(x) == dim])
-                same = b[b["v"].map(len) == dim]
-                if len(same):
-                    hit = _unit(_matrix([sample[i] for i in own])) @ _unit(_matrix(same["v"])).T >= threshold
-                    hit &= ids[own][:, None] != same["rep"].to_numpy()
-                    r, c = np.nonzero(hit)
-                    yield pd.DataFrame({"a": ids[own][r], "shard": same["shard"].to_numpy()[c]}).value_counts().rename("links").reset_index()
-
-    pairs = placed.select("rep", "shard", "v").mapInPandas(exact, "a long, shard int, links long")
-    truth = cut(pairs.groupBy("a", "shard").agg(F.sum("links").alias("links")))
-    checked = F.broadcast(spark.createDataFrame([(int(x),) for x in ids], "a long"))
-    width = BEAM
-    while True:
-        keys = ("dim", "shard", "block")
-        found = cut(graph.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(_asked(width, threshold), "a long, b long, shard int, near long"))
-        dense = found.where("b IS NULL")
-        few = found.where("b IS NOT NULL AND shard IS NOT NULL").distinct().join(dense, ["a", "shard"], "left_anti")
-        degrees = few.select("a", "near").unionByName(dense.select("a", "near")).groupBy("a").agg(F.sum("near").alias("near"))
-        want = truth.join(dense, ["a", "shard"], "left_anti").agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
-        if not width or few.join(checked, "a", "left_semi").count() >= recall * want:
-            return degrees, found.where("b IS NOT NULL").select("a", "b")
-        width = 2 * width if width < 4096 else 0
+    whole = judged.where("every")
+    weights = groups.select(F.col("g").alias("other"), "n")
+    by_group = (
+        whole.select("g", F.col("h").alias("other")).unionByName(whole.select(F.col("h").alias("g"), F.col("g").alias("other")))
+        .join(weights, "other").groupBy("g").agg(F.sum("n").alias("by_group"))
+    )
+    by_rep = compared.groupBy("rep").agg(F.sum("links").alias("by_rep"))
+    edges = whole.select(F.col("g").alias("a"), F.col("h").alias("b")).unionByName(compared.where("g <> h").select(F.col("g").alias("a"), F.col("h").alias("b")))
+    roots = components(edges).withColumnRenamed("node", "g")
+    near = F.when(tight, F.col("n") - F.col("own")).otherwise(0) + F.coalesce("by_group", F.lit(0)) + F.coalesce("by_rep", F.lit(0))
+    return (
+        members.join(by_group, "g", "left").join(by_rep, "rep", "left").join(roots, "g", "left")
+        .select("rep", near.alias("near"), F.coalesce("root", "g").alias("root"))
+    )
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -319,12 +440,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows.where("v IS NOT NULL AND vec_id IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
         .withColumn("dim", F.octet_length("v"))
     )
-    degree, edges = find_links(classes, threshold)
-    roots = components(edges)
-    known = (
-        classes.join(degree, classes.rep == degree.a, "left").join(roots, classes.rep == roots.node, "left")
-        .select("v", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    )
+    found = classes.join(find_links(classes, threshold), "rep")
+    known = found.select("v", (F.col("n") - 1 + F.col("near")).alias("n_links"), F.col("root").alias("component_id"))
     alone = rows.where("v IS NULL OR vec_id IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = rows.where("v IS NOT NULL AND vec_id IS NOT NULL").join(known, "v").select("vec_id", "n_links", "component_id").unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

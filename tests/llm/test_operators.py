@@ -7,7 +7,6 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,38 +172,39 @@ def test_vectors(spark):
     assert hnsw.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_vectors_of_a_large_group():
-    """A query with many links hands on their number and a forest, one with few the pairs; both add up to brute force."""
-    rng = np.random.default_rng(2)
-    x = rng.normal(size=(1100, 16))
-    x[:1000] = x[0] + rng.normal(size=(1000, 16)) * 0.02
-    x[1000:1010] = x[1050] + rng.normal(size=(10, 16)) * 0.02
-    part = pd.DataFrame({"dim": 128, "shard": 3, "turn": np.arange(1100), "rep": np.arange(1100), "n": 1 + np.arange(1100) % 3, "home": 3, "v": [v.tobytes() for v in x]})
-    got = hnsw._asked(hnsw.BEAM, 0.9)(hnsw._graph(part), part)
+def linked_by_brute_force(x, n=None):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    near = (u @ u.T >= 0.9) & ~np.eye(1100, dtype=bool)
-    counted = got[got.shard.notna()].drop_duplicates().groupby("a").near.sum().reindex(range(1100), fill_value=0)
-    assert (counted.to_numpy() == near @ part.n.to_numpy()).all()
-    assert len(got) < 4000
-    root = np.arange(1100)
-    edges = got[got.b.notna()].astype({"a": int, "b": int})
-    hnsw.join_roots(root, edges.a.to_numpy(), edges.b.to_numpy())
-    want = np.arange(1100)
-    hnsw.join_roots(want, *np.nonzero(near))
-    assert (root == want).all()
-
-
-def test_vectors_of_a_middling_group():
-    """More than FEW links are counted exactly, even where the graph leads to half of them only."""
+    near = (u @ u.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    root = np.arange(len(x))
+    while not np.array_equal(up := np.where(near, root, len(x)).min(1, initial=len(x)).clip(max=root), root):
+        root = up
+    return near @ (np.ones(len(x), int) if n is None else n), root
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.08, 0.13])
+def test_vectors_in_groups_of_several_sizes(spark, noise):
+    """Tight groups are linked by their angles alone, loose ones, of which some pairs are linked and some not, by comparing."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1500, 16))
+    at = 0
+    for size in (700, 150, 60, 9, 3, 2):
+        x[at : at + size] = x[at] + rng.normal(size=(size, 16)) * noise * np.linalg.norm(x[at])
+        at += size
+    x = x[rng.permutation(1500)]
+    rows = spark.createDataFrame([(i, [float(z) for z in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = hnsw.near_vectors(rows.repartition(5)).toPandas().set_index("vec_id").sort_index()
+    links, root = linked_by_brute_force(x)
+    assert links.max() > 50 and (got.n_links.to_numpy() == links).all()
+    assert (got.component_id.to_numpy() == root).all() and (got.kept.to_numpy() == (root == np.arange(1500))).all()
+
+
+def test_leaders():
     rng = np.random.default_rng(6)
-    x = rng.normal(size=(600, 16))
-    x[:150] = x[0] + rng.normal(size=(150, 16)) * 0.02
-    x = hnsw._unit(x).astype(np.float32)
-    levels = hnsw.build(x)
-    for u in levels:
-        u[u % 2 == 1] = -1
-    got = np.concatenate([r for r, _ in hnsw.linked(x, levels, x, 0.9, hnsw.BEAM)])
-    assert (np.bincount(got, minlength=600)[:150] == 150).all()
+    x = hnsw._unit(rng.normal(size=(1300, 8)))
+    lead = hnsw.leaders(x, 0.95)
+    assert (lead[lead] == lead).all() and (np.einsum("rd,rd->r", x, x[lead]) >= 0.95 - 1e-9).all()
+    first = np.unique(lead)
+    assert ((x[first] @ x[first].T >= 0.95) == np.eye(len(first), dtype=bool)).all()
 
 
 def test_audit_of_vectors_beside_a_large_group(spark, monkeypatch):
@@ -215,22 +215,20 @@ def test_audit_of_vectors_beside_a_large_group(spark, monkeypatch):
     x[450:] = x[300:450] + rng.normal(size=(150, 16)) * 0.02
     real = hnsw._asked
 
-    def blind(width, threshold):
+    def blind(threshold):
         def run(graph, ask):
-            got = real(width, threshold)(graph, ask)
-            return got[got.b.isna() | got.shard.isna()] if width else got
+            got = real(threshold)(graph, ask)
+            return got[:0] if len(ask) and ask["width"].iloc[0] else got
 
         return run
 
     monkeypatch.setattr(hnsw, "_asked", blind)
-    monkeypatch.setattr(hnsw, "BEAM", 4096)
     monkeypatch.setattr(hnsw, "SHARDS", 2)
-    classes = spark.createDataFrame([(i, 1 + 99 * (i < 300), v.tobytes(), 128) for i, v in enumerate(x)], "rep long, n long, v binary, dim int")
-    degrees, _ = hnsw.find_links(classes)
-    u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    near = (u @ u.T >= 0.9) & ~np.eye(600, dtype=bool)
-    got = degrees.toPandas().set_index("a").near.reindex(range(600), fill_value=0)
-    assert (got.to_numpy() == near @ np.where(np.arange(600) < 300, 100, 1)).all()
+    n = np.where(np.arange(600) < 300, 100, 1)
+    classes = spark.createDataFrame([(i, int(n[i]), v.tobytes(), 128) for i, v in enumerate(x)], "rep long, n long, v binary, dim int")
+    got = hnsw.find_links(classes).toPandas().set_index("rep").sort_index()
+    links, root = linked_by_brute_force(x, n)
+    assert (got.near.to_numpy() == links).all() and (got.root.to_numpy() == root).all()
 
 
 def shingle_counts(t):
