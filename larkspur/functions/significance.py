@@ -25,24 +25,38 @@ MONITORED = {
 RELATIVE, NEAR, EXACT = {"price", "price_per_m2"}, {"latitude", "longitude"}, {"image_urls", "amenities", "features"}
 
 
-def differs(field: str, new: Column, old: Column) -> Column:
-    """Whether a field has changed by more than its tolerance; exactly one null is a change."""
-    if field in RELATIVE:
-        a, b = new.cast("double"), old.cast("double")
-        changed = F.when(b == 0, a != 0).otherwise(F.abs(a - b) / F.nullif(b, F.lit(0.0)) > 0.01)
-    elif field in NEAR:
-        changed = F.abs(new.cast("double") - old.cast("double")) > 1e-4
+def canonical(c: Column, kind: str = "") -> Column:
+    """A value that equal nested values share: maps as sorted entries, JSON text with sorted keys, arrays as they are."""
+    if kind.startswith("map"):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    if kind == "string":
+        return F.coalesce(F.to_json(F.try_parse_json(c)), c)
+    return F.to_json(c)
+
+
+def differs(field: str, new: Column, old: Column, kind: str = "") -> Column:
+    """Whether a field has changed by more than its tolerance; exactly one null is a change.
+
+    Numbers that can't be read are compared as text. ``kind``: the type of a nested field, as ``dtypes`` gives it.
+    """
+    if field in RELATIVE | NEAR:
+        a, b = (x.cast("string").try_cast("double") for x in (new, old))
+        apart = F.abs(a - b) > 1e-4
+        if field in RELATIVE:
+            apart = F.when(b == 0, a != 0).otherwise(F.abs(a - b) / F.nullif(b, F.lit(0.0)) > 0.01)
+        changed = F.when(a.isNull() | b.isNull(), new.cast("string") != old.cast("string")).otherwise(apart)
     elif field in EXACT:
-        changed = F.to_json(new) != F.to_json(old) if field == "amenities" else new != old
+        changed = canonical(new, kind) != canonical(old, kind)
     else:
         changed = strip(new.cast("string")) != strip(old.cast("string"))
     return F.when(new.isNull() & old.isNull(), False).when(new.isNull() | old.isNull(), True).otherwise(changed)
 
 
 def confidence(field: str, new: Column, old: Column) -> Column:
-    base = CONFIDENCE.get(MONITORED.get(field, ""), 0.7)
-    if field in RELATIVE:
-        a, b = new.cast("double"), old.cast("double")
+    """How sure a change is: by its class, fields without one count as status; more for a price that moves by over a tenth."""
+    base = CONFIDENCE[MONITORED.get(field, "status_change")]
+    if field == "price":
+        a, b = (x.cast("string").try_cast("double") for x in (new, old))
         return F.when((b != 0) & (F.abs(a - b) / F.nullif(b, F.lit(0.0)) > 0.1), min(0.95, base + 0.1)).otherwise(base)
     if field in {"title", "description"}:
         return F.when(new.isNotNull() & old.isNotNull() & (positional_similarity(new, old) > 0.9), round(base * 0.7, 4)).otherwise(base)

@@ -74,10 +74,11 @@ def contains_any(c: Column, words: list[str]) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """Without a leading 'Description', runs of white space as one blank, unusual characters removed. Null as ''."""
+    """Without a leading 'Description', runs of white space as one blank, then unusual characters removed, so that a blank
+    beside one stays. Null as ''."""
     x = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?iU)^Description\s*:?\s*", "")
     x = F.regexp_replace(strip(x), r"(?U)\s+", " ")
-    return strip(F.regexp_replace(x, rf"(?U)[^\w\s{KEPT}]", ""))
+    return F.regexp_replace(x, rf"(?U)[^\w\s{KEPT}]", "")
 
 
 def first_match(c: Column, groups: dict[str, list[str]], default: str) -> Column:
@@ -101,7 +102,7 @@ def operation_from_url(url: Column) -> Column:
 
 def feature_keywords(c: Column) -> Column:
     low = F.lower(F.coalesce(c, F.lit("")))
-    return F.filter(F.array(*[F.lit(w) for w in FEATURES]), lambda w: F.instr(low, w) > 0)
+    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(w)), F.lit(w)) for w in FEATURES]))
 
 
 def first_number(c: Column) -> Column:
@@ -184,10 +185,17 @@ def amenity_groups(items: Column) -> Column:
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: F.size(e["value"]) > 0))
 
 
+# Patterns of phone numbers in the order in which their finds are listed.
+PHONES = [
+    r"\+\d{1,3}\s*\d{3,4}\s*\d{3,4}\s*\d{3,4}", r"\+\d{10,15}", r"\(\d{3}\)\s*\d{3}[-\s]?\d{4}", r"\d{3}[-\s]?\d{3}[-\s]?\d{4}", r"\b\d{10,15}\b",
+    r"\d{3}\.\d{3}\.\d{4}",
+]
+
+
 def phones(c: Column) -> Column:
     """Phone candidates of ten digits or more, in the order of the patterns, each once."""
-    patterns = [r"\+\d{1,3}[\s-]?\d{2,3}[\s-]?\d{3,4}[\s-]?\d{4}", r"\(\d{2,3}\)[\s-]?\d{3,4}[\s-]?\d{4}", r"\b\d{3}[\s-]\d{3}[\s-]\d{4}\b", r"\b\d{10}\b"]
-    found = F.flatten(F.array(*[F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({p})"), F.lit(1)) for p in patterns]))
+    text = F.coalesce(c, F.lit(""))
+    found = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(f"({p})"), F.lit(1)) for p in PHONES]))
     return F.filter(F.array_distinct(found), lambda x: F.length(F.regexp_replace(x, r"\D", "")) >= 10)
 
 
@@ -195,17 +203,25 @@ def agent_email(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"(?U)([\w.\-]+@[\w.\-]+\.\w+)", 1), F.lit(""))
 
 
+def _unlabelled(c: Column) -> Column:
+    return strip(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?iU)published\s+by\s*:?\s*", ""), r"(?iU)contact\s*:?\s*", ""))
+
+
+def agent_phone(c: Column) -> Column:
+    """The first run of 7 to 15 digits, blanks, hyphens and brackets."""
+    return F.nullif(strip(F.regexp_extract(_unlabelled(c), r"(?U)(\+?[\d\s\-()]{7,15})", 1)), F.lit(""))
+
+
 def agent_names(c: Column) -> Column:
     """Struct of agent_name and agency_name by the look of the lines."""
-    text = strip(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?iU)published\s+by\s*:?\s*", ""), r"(?iU)contact\s*:?\s*", ""))
-    lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(_unlabelled(c), "\n"), strip), lambda x: x != "")
     one, two = F.try_element_at(lines, F.lit(1)), F.try_element_at(lines, F.lit(2))
     person = lambda x, dots: x.contains(" ") & F.regexp_replace(x, "[ .]" if dots else " ", "").rlike(r"^\p{L}+$")
-    plain = ~one.rlike(r"[@+\d]") & (F.length(one) < 60)
+    plain, short = ~one.rlike(r"(?U)[@+\d]") & (F.length(one) < 100), F.length(one) < 60
     swap = ~person(one, True) & two.isNotNull()
     return F.struct(
-        F.when(two.isNull(), F.when(plain & person(one, False), one)).when(swap, two).otherwise(one).alias("agent_name"),
-        F.when(two.isNull(), F.when(plain & ~person(one, False), one)).when(swap, one).otherwise(two).alias("agency_name"),
+        F.when(two.isNull(), F.when(plain & short & person(one, False), one)).when(swap, two).otherwise(one).alias("agent_name"),
+        F.when(two.isNull(), F.when(plain & ~(short & person(one, False)), one)).when(swap, one).otherwise(two).alias("agency_name"),
     )
 
 
@@ -216,27 +232,72 @@ def presale(title: Column) -> Column:
 def positional_similarity(a: Column, b: Column) -> Column:
     """Share of equal characters at equal places of the trimmed lower-case strings, of the longer length; 0 if both are empty."""
     a, b = F.lower(strip(a)), F.lower(strip(b))
-    n, most = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    same = F.size(F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: (i <= n) & (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1)))))
+    most = F.greatest(F.length(a), F.length(b))
+    same = F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x == y), lambda x: F.coalesce(x, F.lit(False))))
     return F.when(most == 0, 0.0).otherwise(same / most)
 
 
+# Frequent Spanish words that a search vector leaves out.
+STOP_WORDS = [
+    "a", "al", "algo", "ante", "como", "con", "contra", "cual", "cuando", "de", "del", "desde", "donde", "durante", "e", "el", "ella",
+    "en", "entre", "era", "es", "esa", "ese", "eso", "esta", "este", "esto", "está", "fue", "ha", "hasta", "hay", "la", "las", "le", "les",
+    "lo", "los", "me", "mi", "muy", "más", "nada", "ni", "no", "nos", "o", "otra", "otro", "para", "pero", "poco", "por", "porque", "que",
+    "quien", "qué", "se", "ser", "si", "sin", "sobre", "son", "su", "sus", "sí", "también", "te", "todo", "tu", "un", "una", "uno", "y", "ya", "yo",
+]
+
+
 def search_tokens(*columns: Column) -> Column:
-    """Distinct lower-case words of the columns together, sorted."""
-    text = F.lower(F.concat_ws(" ", *columns))
-    return F.array_sort(F.array_distinct(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda x: x != "")))
+    """Distinct lower-case words of the columns together, without stop-words, sorted."""
+    words = F.array_distinct(F.split(F.lower(F.concat_ws(" ", *columns)), r"[^\p{L}\p{N}]+"))
+    return F.array_sort(F.array_except(words, F.array(*[F.lit(w) for w in ["", *STOP_WORDS]])))
+
+
+def words_of(c: Column) -> Column:
+    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+
+
+def _word_trigrams(w: Column) -> Column:
+    """The trigrams of a word that is padded with two blanks before and one behind, in order."""
+    return F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)))
 
 
 def trigrams(c: Column) -> Column:
-    """Distinct trigrams of the lower-case words, each padded with two blanks before and one behind."""
-    words = F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    each = F.transform(
-        words,
-        lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3))),
-    )
-    return F.array_distinct(F.flatten(each))
+    """Distinct trigrams of the lower-case words."""
+    return F.array_distinct(F.flatten(F.transform(words_of(c), _word_trigrams)))
+
+
+def _share(x: Column, y: Column) -> Column:
+    both = F.size(F.array_intersect(x, y))
+    return F.coalesce(F.try_divide(both, F.size(x) + F.size(y) - both), F.lit(0.0))
 
 
 def trigram_similarity(a: Column, b: Column) -> Column:
-    x, y = trigrams(a), trigrams(b)
-    return F.when(F.size(F.array_union(x, y)) == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
+    return _share(trigrams(a), trigrams(b))
+
+
+def trigram_distance(a: Column, b: Column) -> Column:
+    return 1 - trigram_similarity(a, b)
+
+
+def _best_extent(a: Column, parts: Column, flat) -> Column:
+    """The greatest share that the trigrams of ``a`` have in common with those of a run of ``parts``."""
+    n = F.size(parts)
+    x = trigrams(a)
+    at = lambda i: F.sequence(i, F.greatest(n, F.lit(1)))
+    each = F.flatten(F.transform(at(F.lit(1)), lambda i: F.transform(at(i), lambda j: _share(x, F.array_distinct(flat(F.slice(parts, i, j - i + 1)))))))
+    return F.when(n == 0, 0.0).otherwise(F.array_max(each))
+
+
+def word_similarity(a: Column, b: Column) -> Column:
+    """Similarity of ``a`` and the run of trigrams of ``b`` that is most like it."""
+    return _best_extent(a, F.flatten(F.transform(words_of(b), _word_trigrams)), lambda x: x)
+
+
+def strict_word_similarity(a: Column, b: Column) -> Column:
+    """Similarity of ``a`` and the run of whole words of ``b`` that is most like it."""
+    return _best_extent(a, F.transform(words_of(b), _word_trigrams), F.flatten)
+
+
+def staleness_days(at: Column, now: Column) -> Column:
+    """Whole days since ``at``; null stays null."""
+    return F.floor((F.unix_timestamp(now) - F.unix_timestamp(at)) / 86400)

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from larkspur.functions import significance as sig
 
 
-def paired(new: DataFrame, old: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """One row for each key of either side with n_<field> and o_<field>, in_new and in_old: one full outer join."""
+def paired(new: DataFrame, old: DataFrame, key: str, fields: list[str], kept: list[str] = ()) -> DataFrame:
+    """One row for each key of either side with n_<field> and o_<field>, in_new and in_old: one full outer join. ``kept``: more
+    columns of the old side, under their own names."""
     a = new.select(key, F.lit(True).alias("in_new"), *[F.col(f).alias(f"n_{f}") for f in fields])
-    b = old.select(key, F.lit(True).alias("in_old"), *[F.col(f).alias(f"o_{f}") for f in fields])
+    b = old.select(key, F.lit(True).alias("in_old"), *[F.col(f).alias(f"o_{f}") for f in fields], *kept)
     return a.join(b, key, "full").withColumns({x: F.coalesce(x, F.lit(False)) for x in ("in_new", "in_old")})
 
 
@@ -93,3 +94,38 @@ def manifest_price_changes(manifest: DataFrame, live: DataFrame, least: float =
 def relisted(manifest: DataFrame, live: DataFrame) -> DataFrame:
     gone = live.where(F.col("listing_status").isin("confirmed_removed", "sold", "likely_removed")).select("id")
     return manifest.select("id").distinct().join(gone, "id", "left_semi")
+
+
+def entity_changes(ids: DataFrame, kind: str, session: Column) -> DataFrame:
+    """One record for each id: kind (created, removed, ...), confidence and reason."""
+    return ids.select(
+        "id", F.lit(kind).alias("change_type"), F.lit(0.95 if kind in ("created", "removed") else 0.8).alias("confidence"),
+        F.concat(F.lit(f"Property {kind} in session "), session.cast("string")).alias("reason"),
+    )
+
+
+def flagged_price_changes(manifest: DataFrame, live: DataFrame) -> DataFrame:
+    """Manifest rows flagged as price_changed whose price differs from the live one; neither may be null or 0. percent is of the
+    live price."""
+    both = manifest.where("price_changed").join(live.select("id", F.col("price").alias("old_price")), "id")
+    some = (F.coalesce("price", F.lit(0.0)) != 0) & (F.coalesce("old_price", F.lit(0.0)) != 0)
+    return both.where(some & (F.col("price") != F.col("old_price"))).select(
+        "id", "old_price", F.col("price").alias("new_price"), (F.abs(F.col("price") - F.col("old_price")) / F.col("old_price") * 100).alias("percent"), "url"
+    )
+
+
+def clear_flags(manifest: DataFrame, session: Column) -> DataFrame:
+    """The flags of a session's manifest rows are false."""
+    own = F.coalesce(F.col("session_id") == session, F.lit(False))
+    return manifest.withColumns({c: F.when(own, False).otherwise(F.col(c)) for c in ("is_new", "price_changed", "needs_full_scrape")})
+
+
+def push_prices(manifest: DataFrame, live: DataFrame, session: Column, now: Column) -> DataFrame:
+    """Live rows take the price that a session's manifest gives for them, the last of it where there are several."""
+    last = manifest.where((F.col("session_id") == session) & F.col("price").isNotNull()).groupBy("id").agg(F.max_by("price", "seq").alias("seen_price"))
+    rows = live.join(last, "id", "left")
+    seen = F.col("seen_price").isNotNull()
+    return rows.select(
+        *[c for c in live.columns if c not in ("manifest_price", "manifest_seen")],
+        F.coalesce("seen_price", "manifest_price").alias("manifest_price"), F.when(seen, now).otherwise(F.col("manifest_seen")).alias("manifest_seen"),
+    )

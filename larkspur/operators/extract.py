@@ -1,75 +1,325 @@
-"""Listing cards out of pages at rest: an Arrow UDF over the standard HTML parser, then column expressions."""
+"""Listing cards and detail pages out of HTML at rest: an Arrow UDF reads the tags that a schema names, columns do the rest."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CARD = "struct<title:string,link:string,price:string,location:string,image:string,lat:string,lng:string,features:string>"
+from larkspur.functions import identity, text
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_STEP = re.compile(r"^([a-z0-9]+)?((?:\.[\w-]+)*)((?:\[[^\]]+\])*)$")
+_TEST = re.compile(r"\[([\w-]+)(?:(\*?)=['\"]?([^'\"\]]*)['\"]?)?\]")
+
+
+@dataclass(frozen=True)
+class Field:
+    """``where``: selectors, comma-separated, of tags, .classes and [attributes], with blanks between ancestors and
+    descendants; '' is the record's own element. ``take``: the first attribute that is there, or nothing for the text."""
+
+    name: str
+    where: str
+    take: tuple[str, ...] = ()
+    many: bool = False
+    join: str = ""
+
+
+@dataclass(frozen=True)
+class Schema:
+    """Records are the elements that ``card`` selects; '' is the whole page."""
+
+    name: str
+    card: str
+    fields: tuple[Field, ...]
+
+    def ddl(self) -> str:
+        return "struct<" + ",".join(f"{f.name}:{'array<string>' if f.many else 'string'}" for f in self.fields) + ">"
+
+
+# The classes of a result list, of a manifest's list and of a detail page.
+CARDS = Schema("cards", "li.property__component", (
+    Field("title", ".title"), Field("price", "li.price"), Field("location", ".location"), Field("link", "a", ("href",)),
+    Field("image", ".property__media img", ("src", "data-src")), Field("lat", "", ("data-lat",)), Field("lng", "", ("data-long",)),
+    Field("features", ".features"), Field("parts", ".features div", many=True),
+    Field("published", ".published, .date, [class*='published'], [class*='date']"),
+    Field("agent", ".agent, .contact, [class*='agent'], [class*='contact']"),
+    Field("message", "a[href*='message'], a[href*='contact'], .message-btn, .contact-btn", ("href",)),
+))
+MANIFEST = Schema("cards", CARDS.card, tuple(f for f in CARDS.fields if f.name in ("title", "price", "link", "lat", "lng")))
+PAGE = Schema("page", "", (
+    Field("title", "h1"), Field("description", ".text-description", join=" "), Field("location", ".map-address-info"),
+    Field("kind", "h2.location"), Field("map", ".map-container div[data-lazy-iframe-url]", ("data-lazy-iframe-url",)),
+    Field("price", "div.listing__price div.price div.digits"), Field("operation", "div.listing__price div.price div.operation-type"),
+    Field("images", "div.property__gallery div.picture img", ("src", "data-src"), many=True),
+    Field("agent", ".publisher-name"), Field("agency", ".publisher-organization-name"), Field("phones", ".publisher-phones", many=True),
+    Field("listing_id", ".listing-id span"),
+))
+ICONS = Schema("icons", "div.listing__features div.feature-icon", (Field("icon", "i", ("class",)), Field("value", "", join="|")))
+AMENITY_GROUPS = Schema("groups", "div.listing__amenities div.amenities-group", (
+    Field("title", "div.amenities-group-title"), Field("items", "div.amenities-list li span", many=True),
+))
+#: Another site: the same reader with another list of fields.
+OTHER_SITE = Schema("cards", ".posting-card, .property-card, article[data-qa='posting PROPERTY']", (
+    Field("title", "h2, .posting-title, .property-title"), Field("price", ".price, .posting-price, .property-price"),
+    Field("location", ".location, .posting-location, .property-location"), Field("details", ".details, .posting-details, .property-details"),
+    Field("link", "a", ("href",)), Field("image", "img", ("src",)), Field("bedrooms", ".bedrooms, .rooms"), Field("bathrooms", ".bathrooms, .baths"),
+    Field("area", ".area, .surface"), Field("property_type", ".property-type, .type"),
+))
+
 
+def _selectors(where: str) -> list[list[tuple]]:
+    out = []
+    for part in filter(None, map(str.strip, where.split(","))):
+        steps = []
+        for step in re.findall(r"(?:[^\s\[]|\[[^\]]*\])+", part):
+            tag, classes, tests = _STEP.match(step).groups()
+            steps.append((tag, frozenset(filter(None, classes.split("."))), tuple(_TEST.findall(tests))))
+        out.append(steps)
+    return out
 
-class _Cards(HTMLParser):
-    """Cards are elements of class ``card``; fields are the text or attributes of classed elements within them."""
 
-    def __init__(self, card: str):
+def _is(step: tuple, element: tuple) -> bool:
+    (tag, classes, tests), (name, own, attrs) = step, element
+    return (
+        (tag is None or tag == name) and classes <= own
+        and all(n in attrs and (not v or (v in attrs[n] if part else v == attrs[n])) for n, part, v in tests)
+    )
+
+
+def _selected(selectors: list[list[tuple]], stack: list[tuple]) -> bool:
+    """Whether the innermost element of the stack is selected."""
+    for steps in selectors:
+        if _is(steps[-1], stack[-1]):
+            at = iter(stack[:-1])
+            if all(any(_is(step, x) for x in at) for step in steps[:-1]):
+                return True
+    return False
+
+
+class Reader(HTMLParser):
+    """Records of several schemas in one pass over a page."""
+
+    def __init__(self, schemas: tuple[Schema, ...]):
         super().__init__(convert_charrefs=True)
-        self.card, self.cards, self.stack, self.own = card, [], [], None
+        self.schemas = [(s, _selectors(s.card), [(f, _selectors(f.where)) for f in s.fields]) for s in schemas]
+
+    def read(self, html: str | None) -> dict[str, list[dict]]:
+        self.reset()
+        self.stack, self.open, self.texts = [], [], []
+        self.found = {s.name: [] for s, _, _ in self.schemas}
+        for s, card, fields in self.schemas:
+            if not card:
+                self._record(s, fields, 0)
+        self.feed(html or "")
+        self.close()
+        for r in (r for rows in self.found.values() for r in rows):
+            for k, v in r.items():
+                if isinstance(v, _Text):
+                    r[k] = v.value()
+                elif isinstance(v, list):
+                    r[k] = [y for y in (x.value() if isinstance(x, _Text) else x for x in v) if y]
+        return self.found
+
+    def _record(self, schema: Schema, fields: list, depth: int) -> dict:
+        record = {f.name: [] if f.many else None for f in schema.fields}
+        self.found[schema.name].append(record)
+        self.open.append((depth, record, fields, set()))
+        return record
+
+    def _take(self, record: dict, f: Field, attrs: dict) -> None:
+        if f.take:
+            value = next((attrs[a] for a in f.take if attrs.get(a)), None)
+        else:
+            value = _Text(f.join)
+            self.texts.append((len(self.stack), value))
+        if f.many:
+            record[f.name].append(value)
+        else:
+            record[f.name] = value
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        classes = (a.get("class") or "").split()
-        if self.card in classes:
-            self.own = {"depth": len(self.stack)}
-            self.cards.append(self.own)
-        if self.own is not None:
-            if tag == "a" and a.get("href"):
-                self.own.setdefault("link", a["href"])
-            if tag == "img" and a.get("src"):
-                self.own.setdefault("image", a["src"])
-            for name, key in (("data-lat", "lat"), ("data-long", "lng")):
-                if a.get(name):
-                    self.own.setdefault(key, a[name])
-        if tag not in VOID:
-            field = next((f for f in ("title", "price", "location", "features") if f in classes), None)
-            self.stack.append((tag, field))
+        a = {k: v or "" for k, v in reversed(attrs)}
+        self.stack.append((tag, frozenset(a.get("class", "").split()), a))
+        for _, record, fields, done in self.open:
+            for f, where in fields:
+                if where and f.name not in done and _selected(where, self.stack):
+                    if not f.many:
+                        done.add(f.name)
+                    self._take(record, f, a)
+        for s, card, fields in self.schemas:
+            if card and _selected(card, self.stack):
+                record = self._record(s, fields, len(self.stack))
+                for f, where in fields:
+                    if not where:
+                        self._take(record, f, a)
+        if tag in VOID:
+            self._leave()
+
+    def _leave(self):
+        self.stack.pop()
+        n = len(self.stack)
+        self.open = [x for x in self.open if x[0] <= n]
+        self.texts = [x for x in self.texts if x[0] <= n]
 
     def handle_endtag(self, tag):
-        while self.stack:
-            top, _ = self.stack.pop()
-            if self.own is not None and len(self.stack) <= self.own["depth"]:
-                self.own = None
-            if top == tag:
-                break
+        if any(x[0] == tag for x in self.stack):
+            while self.stack[-1][0] != tag:
+                self._leave()
+            self._leave()
 
     def handle_data(self, data):
-        if self.own is not None:
-            for f in {f for _, f in self.stack[self.own["depth"] :] if f}:
-                self.own[f] = (self.own.get(f, "") + " " + data.strip()).strip()
+        for _, t in self.texts:
+            t.parts.append(data)
+
+
+class _Text:
+    """Text nodes of an element, trimmed and joined."""
 
+    def __init__(self, join: str):
+        self.join, self.parts = join, []
 
-def cards_of(html: str | None, card: str = "property__component") -> list[dict]:
-    if not html:
-        return []
-    p = _Cards(card)
-    p.feed(html)
-    names = ("title", "link", "price", "location", "image", "lat", "lng", "features")
-    return [{n: c.get(n) for n in names} for c in p.cards if c.get("title") and c.get("link")]
+    def value(self) -> str | None:
+        return self.join.join(filter(None, map(str.strip, self.parts))) or None
 
 
-def listing_cards(pages: DataFrame, card: str = "property__component") -> DataFrame:
-    """(page_id, url, card fields) of each card that has a title and a link."""
+def records(pages: DataFrame, *schemas: Schema) -> DataFrame:
+    """Adds an array of records to ``pages`` (with ``html``) for each schema, under its name, in one pass over each page."""
+    kind = "struct<" + ",".join(f"{s.name}:array<{s.ddl()}>" for s in schemas) + ">"
 
-    @F.pandas_udf(f"array<{CARD}>")
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(kind)
+    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reader = Reader(schemas)
         for html in batches:
-            yield pd.Series([cards_of(x, card) for x in html])
+            found = [reader.read(x) for x in html]
+            yield pd.DataFrame({s.name: [x[s.name] for x in found] for s in schemas})
+
+    return pages.withColumn("_read", parse("html")).select(*pages.columns, *[F.col(f"_read.{s.name}").alias(s.name) for s in schemas])
+
+
+def listing_cards(pages: DataFrame, schema: Schema = CARDS) -> DataFrame:
+    """(page_id, url, fields) of each card that has a title and a link."""
+    cards = records(pages.select("page_id", "url", "html"), schema).select("page_id", "url", F.explode(schema.name).alias("card"))
+    return cards.select("page_id", "url", "card.*").where("title IS NOT NULL AND link IS NOT NULL")
+
+
+def _last(items: Column) -> Column:
+    return F.try_element_at(items, F.lit(-1))
+
+
+def staging_rows(cards: DataFrame, base: str, now: Column, operation: Column | None = None, prefix: str = "") -> DataFrame:
+    """Typed records of cards: one row for each, with page_id. ``operation``: the type that the source is known for."""
+    link = identity.absolute_url(F.lit(base), F.col("link"))
+    parts = F.transform("parts", F.lower)
+    beds, baths = (lambda x: x.contains("bedroom")), (lambda x: x.contains("bathroom"))
+    count = lambda c: F.nullif(text.first_number(c), F.lit(0)).cast("int")
+    lat, lng = F.col("lat").try_cast("double"), F.col("lng").try_cast("double")
+    both = lat.isNotNull() & lng.isNotNull()
+    sale = F.when(F.lower("price").contains("for sale"), "For Sale").when(F.lower("price").contains("for rent"), "For Rent")
+    title = text.clean_text(F.col("title"))
+    kind = text.operation_type(sale) if operation is None else operation
+    return cards.select(
+        "page_id", text_id(link, prefix).alias("property_id"), title.alias("title"), link.alias("source_url"), F.col("image").alias("main_image_url"),
+        text.price_amount(F.col("price")).alias("price"), text.price_currency(F.coalesce("price", F.lit(""))).alias("currency"), text.location(F.col("location")).alias("place"),
+        count(_last(F.filter(parts, beds))).alias("bedrooms"), count(_last(F.filter(parts, lambda x: ~beds(x) & baths(x)))).alias("bathrooms"),
+        F.nullif(text.area(_last(F.filter(parts, lambda x: ~beds(x) & ~baths(x) & x.contains("m²")))), F.lit(0.0)).alias("total_area_m2"),
+        F.when(both, lat).alias("latitude"), F.when(both, lng).alias("longitude"),
+        text.property_type(F.concat(title, F.lit(" "))).alias("property_type"), kind.alias("operation_type"),
+        text.agent_names(F.col("agent")).alias("contact"), text.agent_email(F.col("agent")).alias("agent_email"), text.agent_phone(F.col("agent")).alias("agent_phone"),
+        text.listing_date(F.col("published"), now).alias("listing_date"), identity.absolute_url(F.lit(base), F.col("message")).alias("message_url"),
+        text.feature_keywords(F.lower("features")).alias("features"), now.alias("scraped_at"),
+    ).select("*", "place.*", "contact.*").drop("place", "contact")
+
+
+def text_id(url: Column, prefix: str) -> Column:
+    return identity.property_id(url, prefix)
+
+
+# Words of the detail page and what they stand for.
+KINDS = {"departamento": "apartment", "casa": "house", "terreno": "lot", "lote": "lot"}
+DEALS = {"venta": "sale", "renta": "rent", "sale": "sale", "rent": "rent"}
+GROUP_NAMES = {"Exterior": "exterior", "General": "general", "Políticas": "policies", "Recreación": "recreation"}
+ICON_OF = {
+    "bedrooms": "fa-bed", "bathrooms": "fa-bath", "parking_spaces": "fa-car", "covered_area_m2": "fa-cube", "total_area_m2": "fa-expand",
+    "floor_number": "fa-building", "construction_year": "fa-calendar",
+}
+_READ = {"covered_area_m2": (r"(\d+(?:\.\d+)?)", "double"), "total_area_m2": (r"(\d+(?:\.\d+)?)", "double"), "construction_year": (r"(\d{4})", "int")}
+
+
+def _named(value: Column, names: dict[str, str]) -> Column:
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), value), value)
+
+
+def _icon(name: str) -> Column:
+    """The value beside the last icon of a kind that can be read; an icon counts for the first kind that its classes name."""
+    kinds = list(ICON_OF)
+    earlier = [ICON_OF[k] for k in kinds[: kinds.index(name)]]
+
+    def own(x: Column) -> Column:
+        hit = F.coalesce(x["icon"].contains(ICON_OF[name]), F.lit(False))
+        for e in earlier:
+            hit = hit & ~x["icon"].contains(e)
+        return hit
+
+    def value(x: Column) -> Column:
+        said = F.try_element_at(F.split(x["value"], r"\|"), F.lit(2))
+        pattern, kind = _READ.get(name, (r"^\s*([-+]?\d+)\s*$", "int"))
+        return F.nullif(F.regexp_extract(said, pattern, 1), F.lit("")).try_cast(kind)
+
+    return _last(F.array_compact(F.transform(F.filter("icons", own), value)))
+
+
+def detail_records(pages: DataFrame, site: str = "") -> DataFrame:
+    """One typed record for each detail page: what its tags say, null where they say nothing. ``pages``: page_id, url, html."""
+    rows = records(pages.select("page_id", "url", "html"), PAGE, ICONS, AMENITY_GROUPS).withColumn("p", F.element_at("page", 1)).drop("html", "page")
+    f = lambda n: F.col(f"p.{n}")
+    kind = F.lower(F.element_at(F.split(f("kind"), r"\s+"), 1))
+    center = F.split(F.try_url_decode(F.nullif(F.regexp_extract(f("map"), r"[?&]q=([^&#]*)", 1), F.lit(""))), ",")
+    lat, lng = (F.try_element_at(center, F.lit(i)).try_cast("double") for i in (1, 2))
+    placed = (F.size(center) == 2) & lat.isNotNull() & lng.isNotNull()
+    amount = F.trim(F.regexp_replace(F.regexp_replace(f("price"), r"US\$", ""), r"[,$]", "")).try_cast("double")
+    images = F.array_distinct(
+        F.transform(
+            F.filter(f("images"), lambda x: ~x.contains("placeholder")),
+            lambda x: F.when(x.startswith("//"), F.concat(F.lit("https:"), x)).when(x.startswith("/"), F.concat(F.lit(site), x)).otherwise(x),
+        )
+    )
+    entries = F.filter(
+        F.transform("groups", lambda g: F.struct(F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in GROUP_NAMES.items() for x in kv]), g["title"]), F.lower(g["title"])).alias("key"), g["items"].alias("value"))),
+        lambda e: e["key"].isNotNull() & (F.size(e["value"]) > 0),
+    )
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries) + 1), lambda x: x["key"] == e["key"]))
+    cleaned = lambda c: F.when(c.isNotNull(), text.clean_text(c))
+    out = rows.select(
+        "page_id", "url", cleaned(f("title")).alias("title"), cleaned(f("description")).alias("description"),
+        F.when(f("location").isNotNull(), text.location(f("location"))).alias("place"), _named(kind, KINDS).alias("property_type"),
+        F.when(placed, lat).alias("latitude"), F.when(placed, lng).alias("longitude"),
+        amount.alias("price"), F.when(amount.isNotNull(), F.when(f("price").contains("US$"), "USD").otherwise("MXN")).alias("currency"),
+        _named(F.lower(F.regexp_replace(f("operation"), "En ", "")), DEALS).alias("operation_type"), *[_icon(n).alias(n) for n in ICON_OF],
+        F.when(F.size(last) > 0, F.map_from_entries(last)).alias("amenities"), F.when(F.size(images) > 0, images).alias("image_urls"), F.try_element_at(images, F.lit(1)).alias("main_image_url"),
+        cleaned(f("agent")).alias("agent_name"), cleaned(f("agency")).alias("agency_name"), F.try_element_at(f("phones"), F.lit(1)).alias("agent_phone"), f("listing_id").alias("listing_id"),
+    )
+    return out.select("*", "place.*").drop("place")
+
 
-    return pages.select("page_id", "url", F.explode(parse("html")).alias("card")).select("page_id", "url", "card.*")
+def nested_json(details: DataFrame) -> DataFrame:
+    """(page_id, document): a detail record as one nested JSON document; absent numbers are 0, absent text is empty."""
+    s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    n = lambda c: F.coalesce(c, F.lit(0))
+    title = s("title")
+    document = F.struct(
+        F.trim(F.regexp_replace(s("listing_id"), "ID: ", "")).alias("id"), title.alias("title"), text.presale(title).cast("int").alias("presale"), n("price").alias("price"), s("operation_type").alias("operation"),
+        s("property_type").alias("type"), F.struct(s("address").alias("address"), "latitude", "longitude").alias("place"),
+        F.struct(*[n(c).alias(c) for c in ICON_OF if c != "construction_year"], "construction_year").alias("features"),
+        F.coalesce("image_urls", F.array().cast("array<string>")).alias("images"), F.struct(s("agent_name").alias("name"), s("agency_name").alias("organization")).alias("publisher"),
+        "url", s("description").alias("description"),
+    )
+    return details.select("page_id", F.to_json(document).alias("document"))
 
 
 def html_title(html):
@@ -81,10 +331,11 @@ def link_count(html):
 
 
 def page_total(html):
-    """Pages of a result list: 'Page i of n', else the highest page=n, else 100."""
-    said = F.nullif(F.regexp_replace(F.regexp_extract(html, r"(?i)Page\s+\d+\s+of\s+([\d,]+)", 1), ",", ""), F.lit("")).try_cast("int")
-    linked = F.array_max(F.transform(F.regexp_extract_all(html, F.lit(r"page=(\d+)"), F.lit(1)), lambda x: x.try_cast("int")))
-    return F.coalesce(said, linked, F.lit(100))
+    """Pages of a result list: 'Page i of n' of its summary, else the highest number among its pager links and their texts, else 100."""
+    said = F.regexp_extract(html, r"(?is)class=[\"']pagination-summary[\"'][^>]*>[^<]*Page\s+\d+\s+of\s+([\d,]+)", 1)
+    links = F.flatten(F.transform(F.regexp_extract_all(html, F.lit(r"(?s)class=[\"'](?:pagination|pager)[\"'](.*?)</(?:div|ul|nav)>"), F.lit(1)), lambda x: F.regexp_extract_all(x, F.lit(r"page=(\d+)|>\s*(\d+)\s*</a>"), F.lit(0))))
+    most = F.array_max(F.transform(links, lambda x: F.regexp_replace(x, r"\D", "").try_cast("int")))
+    return F.coalesce(F.nullif(F.regexp_replace(said, ",", ""), F.lit("")).try_cast("int"), F.when(most > 1, most), F.lit(100))
 
 
 def overlay(cards: DataFrame, details: DataFrame, key: str, fields: list[str]) -> DataFrame:

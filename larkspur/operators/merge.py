@@ -14,8 +14,7 @@ def promote(staging: DataFrame, live: DataFrame, now: Column, fields: list[str],
     """The next live table, by one full outer join: new rows come in as active, changed rows take all fields (nulls, too) and
     keep status and first_seen, removed ones turn inactive, unchanged ones are seen. ``live`` has first_seen, last_seen,
     last_updated and status."""
-    kept = ["status", "first_seen", "last_seen", "last_updated"]
-    rows = paired(staging.select("id", *fields), live.select("id", *fields), "id", fields).join(live.select("id", *kept), "id", "left")
+    rows = paired(staging.select("id", *fields), live, "id", fields, ["status", "first_seen", "last_seen", "last_updated"])
     gone = F.lit(False)
     if removed is not None:
         rows = rows.join(removed.select("id", F.lit(True).alias("gone")).distinct(), "id", "left")
@@ -36,7 +35,7 @@ def promote(staging: DataFrame, live: DataFrame, now: Column, fields: list[str],
 
 def sparse_upsert(details: DataFrame, live: DataFrame, fields: list[str]) -> DataFrame:
     """Only values that are not null overwrite; touched rows become active with no misses and priority 3."""
-    rows = paired(details, live, "id", fields).join(live.select("id", "status", "misses", "priority"), "id", "left")
+    rows = paired(details, live, "id", fields, ["status", "misses", "priority"])
     touched = F.col("in_new")
     return rows.select(
         "id", *[F.coalesce(f"n_{f}", f"o_{f}").alias(f) for f in fields],
@@ -92,16 +91,6 @@ def expire_inactive(live: DataFrame, now: Column, days: int) -> DataFrame:
     return live.withColumn("status", F.when((F.col("status") == "inactive") & (F.col("last_seen") < F.date_sub(now, 2 * days)), "removed").otherwise(F.col("status")))
 
 
-def migrate_ids(rows: DataFrame, id: str, url: str, prefix: str = "") -> DataFrame:
-    """(columns, new_id, outcome): no_url, already_hash, unchanged or migrate; the first that holds."""
-    new = property_id(F.col(url), prefix)
-    outcome = (
-        F.when(F.coalesce(url, F.lit("")) == "", "no_url").when(is_hash_id(F.col(id)), "already_hash")
-        .when(F.col(id) == new, "unchanged").otherwise("migrate")
-    )
-    return rows.withColumn("new_id", F.when(outcome == "migrate", new).otherwise(F.col(id))).withColumn("outcome", outcome)
-
-
 def cascade_ids(children: DataFrame, mapping: DataFrame, id: str) -> DataFrame:
     """Children follow the renaming (old_id, new_id) of their parents."""
     m = mapping.select(F.col("old_id").alias(id), F.col("new_id").alias("renamed"))
@@ -110,3 +99,148 @@ def cascade_ids(children: DataFrame, mapping: DataFrame, id: str) -> DataFrame:
 
 def repair_blank_ids(rows: DataFrame, id: str, url: str, prefix: str = "") -> DataFrame:
     return rows.withColumn(id, F.when(F.coalesce(id, F.lit("")) == "", property_id(F.col(url), prefix)).otherwise(F.col(id)))
+
+
+# The columns that a staged row hands to the live table.
+LIVE_COLUMNS = [
+    "property_id", "title", "description", "property_type", "operation_type", "address", "neighborhood", "city", "state", "postal_code",
+    "latitude", "longitude", "gps_coordinates", "price", "currency", "price_per_m2", "bedrooms", "bathrooms", "half_bathrooms",
+    "parking_spaces", "total_area_m2", "covered_area_m2", "lot_size_m2", "floor_number", "total_floors", "age_years", "construction_year",
+    "features", "amenities", "main_image_url", "image_urls", "virtual_tour_url", "video_url", "agent_name", "agent_phone", "agent_email",
+    "agency_name", "message_url", "is_featured", "is_premium", "source_url", "page_number", "listing_date",
+]
+
+
+def live_record(staging: DataFrame, now: Column, new: bool) -> DataFrame:
+    """The live columns that a staged row has, nulls included, with its times and its completeness; new rows are active."""
+    have = [c for c in LIVE_COLUMNS if c in staging.columns]
+    scraped = F.col("scraped_at") if "scraped_at" in staging.columns else now
+    fresh = [now.alias("first_seen"), F.lit("active").alias("status")] if new else []
+    score = F.round(completeness(staging.columns, RECORD), 2).alias("completeness")
+    return staging.select(*have, scraped.alias("scraped_at"), now.alias("last_seen"), now.alias("last_updated"), *fresh, score)
+
+
+def upsert_by(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """The target with ``rows`` in place of, or beside, its rows of the same key; of repeated keys in ``rows`` the last by seq."""
+    fields = [c for c in target.columns if c != key]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*fields), "seq").alias("r")).select(key, F.lit(True).alias("hit"), *[F.col(f"r.{c}").alias(f"n_{c}") for c in fields])
+    both = target.join(last, key, "full")
+    return both.select(key, *[F.when(F.col("hit"), F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in fields])
+
+
+def append(rows: DataFrame, path: str) -> None:
+    rows.write.mode("append").parquet(path)
+
+
+def truncate(rows: DataFrame) -> DataFrame:
+    """An empty table of the same columns."""
+    return rows.where(F.lit(False))
+
+
+def error_records(failed: DataFrame, session: Column, now: Column) -> DataFrame:
+    """Rows for the error log. failed: (url, error_type, error_message)."""
+    return failed.select(session.alias("session_id"), "url", "error_type", F.left("error_message", F.lit(1000)).alias("error_message"), now.alias("created_at"))
+
+
+def adopt_legacy(legacy: DataFrame, live: DataFrame) -> DataFrame:
+    """The live table with the legacy rows whose id it lacks: created_at is when they were first seen, updated_at when they were
+    last seen and updated. Rows with a null id stay behind; of a repeated id one comes."""
+    new = legacy.where("id IS NOT NULL").withColumns({"first_seen": F.col("created_at"), "last_seen": F.col("updated_at"), "last_updated": F.col("updated_at")})
+    return insert_ignore(new, live, "id")
+
+
+def backfill(live: DataFrame) -> DataFrame:
+    """Missing times from the next best one, and listing_status from status: removed if inactive or removed, active if active."""
+    status = F.when(F.col("status") == "active", "active").when(F.col("status").isin("inactive", "removed"), "confirmed_removed")
+    return live.withColumns({
+        "manifest_seen": F.coalesce("manifest_seen", "last_seen", "last_updated", "created_at"),
+        "full_scrape": F.coalesce("full_scrape", "scraped_at", "last_updated", "created_at"),
+        "listing_status": F.coalesce("listing_status", status),
+    })
+
+
+def backfill_gps(rows: DataFrame) -> DataFrame:
+    """gps_coordinates from latitude and longitude where it is null and both are there."""
+    both = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    return rows.withColumn("gps_coordinates", F.when(F.col("gps_coordinates").isNull() & both, F.concat_ws(",", "latitude", "longitude")).otherwise(F.col("gps_coordinates")))
+
+
+# Amenity flags of the legacy table, by group.
+FLAGS = {
+    "recreation": {"has_pool": "Pool", "has_gym": "Gym"},
+    "exterior": {"has_garden": "Garden", "has_balcony": "Balcony", "has_terrace": "Terrace"},
+    "general": {"has_elevator": "Elevator", "has_security": "24 Hour Security", "furnished": "Furnished"},
+    "policies": {"pet_friendly": "Pets Allowed"},
+}
+
+
+def flags_to_amenities(rows: DataFrame) -> DataFrame:
+    """amenities as a map of all groups to the names of the flags that are set, where it is null or empty."""
+    groups = [x for g, flags in FLAGS.items() for x in (F.lit(g), F.array_compact(F.array(*[F.when(F.col(c), n) for c, n in flags.items()])))]
+    return rows.withColumn("amenities", F.when(F.coalesce(F.size("amenities"), F.lit(0)) <= 0, F.create_map(*groups)).otherwise(F.col("amenities")))
+
+
+def mark_seen(live: DataFrame, seen: DataFrame, kind: Column | None = None) -> DataFrame:
+    """All rows, or those of ``kind``, are off; those that were seen are on again, with price and page of the sight. A seen row of
+    another kind is on, too."""
+    rows = live.join(seen.select("id", F.col("price").alias("p"), F.col("page").alias("g"), F.lit(True).alias("hit")), "id", "left")
+    off = F.lit(True) if kind is None else kind
+    return rows.select(
+        *[c for c in live.columns if c not in ("status", "price", "page")],
+        F.when(F.col("hit"), 1).when(off, 0).otherwise(F.col("status")).alias("status"), F.when(F.col("hit"), F.col("p")).otherwise(F.col("price")).alias("price"),
+        F.when(F.col("hit"), F.col("g")).otherwise(F.col("page")).alias("page"),
+    )
+
+
+def migration_plan(rows: DataFrame, id: str, url: str, prefix: str) -> DataFrame:
+    """(columns, new_id, outcome). Outcomes, the first that holds: no_source_url, no_property_id, skipped (without the prefix),
+    already_correct (hash after the prefix, or the id that would come out), needs_migration."""
+    new = property_id(F.col(url), prefix)
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    outcome = (
+        F.when(blank(url), "no_source_url").when(blank(id), "no_property_id").when(~F.col(id).startswith(prefix), "skipped")
+        .when(is_hash_id(F.substring(F.col(id), len(prefix) + 1, 1 << 20)) | (F.col(id) == new), "already_correct").otherwise("needs_migration")
+    )
+    return rows.withColumn("new_id", F.when(outcome == "needs_migration", new).otherwise(F.col(id))).withColumn("outcome", outcome)
+
+
+def retire_staging(staging: DataFrame, sessions: DataFrame, session: Column, now: Column, days: int = 7) -> DataFrame:
+    """A session's rows are processed; rows of sessions created more than ``days`` ago go."""
+    old = sessions.where(F.col("created_at") < F.date_sub(now, days)).select(F.col("id").alias("session_id"))
+    own = F.when(F.col("session_id") == session, "processed").otherwise(F.col("processing_status"))
+    return staging.join(old, "session_id", "left_anti").withColumn("processing_status", own).select(*staging.columns)
+
+
+def cleanup_counts(sessions: DataFrame, staging: DataFrame, changes: DataFrame, syncs: DataFrame, live: DataFrame, now: Column, days: int = 30) -> DataFrame:
+    """One row: how many rows of sessions older than ``days`` a cleanup takes from each table, and how many listings it removes."""
+    old = sessions.where(F.col("created_at") < F.date_sub(now, days)).select(F.col("id").alias("session_id"))
+    gone = lambda t, n: F.broadcast(t.join(old, "session_id", "left_semi").agg(F.count("*").alias(n)))
+    marked = live.agg(F.count_if((F.col("status") == "inactive") & (F.col("last_seen") < F.date_sub(now, 2 * days))).alias("marked_removed"))
+    return marked.join(gone(staging, "staging")).join(gone(changes, "changes")).join(gone(syncs, "syncs"))
+
+
+def update_session(sessions: DataFrame, results: DataFrame, now: Column) -> DataFrame:
+    """Sessions with what their sync has inserted and updated, completed now. results: (id, inserted, updated)."""
+    rows = sessions.join(results.select("id", F.col("inserted").alias("i"), F.col("updated").alias("u"), F.lit(True).alias("hit")), "id", "left")
+    set_ = lambda c, v: F.when(F.col("hit"), v).otherwise(F.col(c)).alias(c)
+    return rows.select(*[c for c in sessions.columns if c not in ("inserted", "updated", "completed_at")], set_("inserted", F.col("i")), set_("updated", F.col("u")), set_("completed_at", now))
+
+
+#: What a sync may turn into from each status.
+SYNC_STEPS = {"pending": ["running", "failed"], "running": ["completed", "failed"]}
+
+
+def advance_sync(syncs: DataFrame, steps: DataFrame, now: Column) -> DataFrame:
+    """Syncs take the status of ``steps`` (id, status, errors) where it may follow theirs; ends have a time, errors are joined by '; '."""
+    rows = syncs.join(steps.select("id", F.col("status").alias("to"), "errors"), "id", "left")
+    follows = F.lit(False)
+    for before, after in SYNC_STEPS.items():
+        follows = follows | ((F.col("sync_status") == before) & F.col("to").isin(after))
+    ok = F.coalesce(follows, F.lit(False))
+    said = F.nullif(F.array_join("errors", "; "), F.lit(""))
+    return rows.select(
+        *[c for c in syncs.columns if c not in ("sync_status", "completed_at", "error_summary")],
+        F.when(ok, F.col("to")).otherwise(F.col("sync_status")).alias("sync_status"),
+        F.when(ok & F.col("to").isin("completed", "failed"), now).otherwise(F.col("completed_at")).alias("completed_at"),
+        F.when(ok & said.isNotNull(), said).otherwise(F.col("error_summary")).alias("error_summary"),
+    )

@@ -44,6 +44,42 @@ DEFAULT_RULES = [
 ]
 
 
+def load_rules(table: DataFrame | None) -> list[Rule]:
+    """The active rules of a table (rule_name, field_name, rule_type, rule_config as JSON, severity, is_active), or the default
+    ones if there is no table or it lacks one of these columns. The table has a row for each rule, so it is read whole."""
+    names = ["rule_name", "field_name", "rule_type", "severity"]
+    if table is None or not {*names, "rule_config", "is_active"} <= set(table.columns):
+        return DEFAULT_RULES
+    said = F.from_json("rule_config", "min double, max double, regex string")
+    rows = table.where("is_active").select(*names, said.alias("c")).orderBy("rule_name").collect()
+    return [Rule(*[r[n] for n in names], *(r.c or (None,) * 3)) for r in rows]
+
+
+# Fixed value: what an image address must look like.
+URL_PATTERN = r"^https?://[^\s/$.?#].[^\s]*$"
+
+
+def valid_rows(rows: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
+    """Rows without a problem of severity error."""
+    return rows.join(found.where("severity = 'error'").select(key), key, "left_anti")
+
+
+def report(rows: DataFrame, found: DataFrame, checks: DataFrame, key: str = "id") -> DataFrame:
+    """One row: totals, scores, problems by severity and by field, scores by field, the checks and recommendations.
+
+    ``checks``: one row with duplicate_rate and freshness. Everything here has one row, or one for each field or rule.
+    """
+    by = lambda c: found.groupBy(c).agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct(c, "n"))).alias(f"by_{c}"))
+    fields = field_scores(rows, found).agg(F.array_sort(F.collect_list(F.struct("field", F.round("score", 4).alias("score")))).alias("fields"))
+    invalid = found.where("severity = 'error'").agg(F.count_distinct(key).alias("invalid"))
+    complete = rows.agg(F.coalesce(F.avg(completeness(rows.columns)), F.lit(0.0)).alias("completeness"))
+    one = overall_score(rows, found)
+    for t in (invalid, complete, by("severity"), by("field"), fields, checks):
+        one = one.join(F.broadcast(t))
+    advice = recommendations(F.col("score"), F.col("completeness"), F.coalesce(F.col("errors") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0)), F.col("duplicate_rate"), F.col("freshness"), F.col("fields"))
+    return one.select("n", (F.col("n") - F.col("invalid")).alias("valid"), "invalid", "score", "completeness", "by_severity", "by_field", "fields", *checks.columns, advice.alias("recommendations"))
+
+
 def rule_message(rule: Rule, value: Column, custom: dict | None = None) -> Column:
     """What is wrong with a value, or null."""
     if rule.kind == "required":
@@ -89,7 +125,7 @@ def price_problem(price: Column, per_m2: Column, area: Column) -> Column:
 
 def bad_urls(rows: DataFrame, key: str, urls: str) -> DataFrame:
     """(key, at, url) of elements that are no http address."""
-    return rows.select(key, F.posexplode(urls).alias("at", "url")).where(~F.coalesce(F.col("url").rlike(r"^https?://[^\s/$.?#].[^\s]*$"), F.lit(False)))
+    return rows.select(key, F.posexplode(urls).alias("at", "url")).where(~F.coalesce(F.col("url").rlike(URL_PATTERN), F.lit(False)))
 
 
 def completeness(columns: list[str], weights: dict[str, float] = COMPLETENESS) -> Column:
@@ -141,8 +177,10 @@ def overall_quality(score: Column, duplicates: Column, fresh: Column, diversity:
     return 0.4 * score + 0.2 * (1 - duplicates) + 0.2 * fresh + 0.2 * diversity, (score >= 0.7) & (duplicates <= 0.02) & (fresh >= 0.8)
 
 
-def recommendations(score: Column, complete: Column, error_share: Column, duplicates: Column, fresh: Column) -> Column:
-    return F.array_compact(
+def recommendations(score: Column, complete: Column, error_share: Column, duplicates: Column, fresh: Column, fields: Column | None = None) -> Column:
+    """``fields``: an array of (field, score); each below a half has a message of its own."""
+    low = F.array().cast("array<string>") if fields is None else F.transform(F.filter(fields, lambda x: x["score"] < 0.5), lambda x: F.concat(F.lit("Field "), x["field"], F.lit(" has a low score.")))
+    return F.concat(low, F.array_compact(
         F.array(
             F.when(score < 0.7, "Overall quality is low: review the extraction."),
             F.when(complete < 0.8, "Completeness is low: check that required fields are extracted."),
@@ -150,4 +188,4 @@ def recommendations(score: Column, complete: Column, error_share: Column, duplic
             F.when(duplicates > 0.02, "Many duplicates: review the identity of rows."),
             F.when(fresh < 0.8, "Data is stale: refresh more often."),
         )
-    )
+    ))

@@ -14,32 +14,53 @@ def priority_of(reason: Column) -> Column:
 
 
 def resolve_urls(ids: DataFrame, manifest: DataFrame, live: DataFrame) -> DataFrame:
-    """(property_id, url): the manifest's address, else the live one; ids with neither or an empty one go."""
+    """``ids`` with url: the manifest's address, even an empty one, else the live one; ids with neither or an empty one go."""
     m, v = manifest.select("property_id", F.col("url").alias("m")), live.select("property_id", F.col("url").alias("l"))
-    return ids.join(m, "property_id", "left").join(v, "property_id", "left").select("property_id", F.coalesce("m", "l").alias("url")).where("url <> ''")
+    return ids.join(m, "property_id", "left").join(v, "property_id", "left").select(*ids.columns, F.coalesce("m", "l").alias("url")).where("url <> ''")
 
 
-def enqueue(queue: DataFrame, wanted: DataFrame, cap: int = 10_000) -> DataFrame:
-    """Rows to add: (property_id, reason, priority) without pending ones, one for each id; none if the backlog is at the cap."""
+def enqueue(queue: DataFrame, wanted: DataFrame, cap: int = 10_000, *more: str) -> DataFrame:
+    """Rows to add: (property_id, reason, priority) and ``more`` columns of ``wanted``, without pending ones, one for each id; none
+    if the backlog is at the cap."""
     pending = queue.where("status = 'pending'")
     room = F.broadcast(pending.agg(F.count("*").alias("n")).where(F.col("n") < cap))
-    once = wanted.withColumn("priority", priority_of(F.col("reason"))).groupBy("property_id").agg(F.min(F.struct("priority", "reason")).alias("w"))
-    return once.join(pending.select("property_id"), "property_id", "left_anti").join(room, F.lit(True), "left_semi").select("property_id", "w.reason", "w.priority")
+    once = wanted.withColumn("priority", priority_of(F.col("reason"))).groupBy("property_id").agg(F.min(F.struct("priority", "reason", *more)).alias("w"))
+    return once.join(pending.select("property_id"), "property_id", "left_anti").join(room, F.lit(True), "left_semi").select("property_id", "w.reason", "w.priority", *[f"w.{c}" for c in more])
 
 
-def claim(queue: DataFrame, n: int) -> DataFrame:
-    """The next ``n`` pending rows by priority, age and id, as in_progress with one attempt more: a distributed top-k."""
-    return queue.where("status = 'pending'").orderBy("priority", "queued_at", "id").limit(n).withColumn("status", F.lit("in_progress")).withColumn("attempts", F.col("attempts") + 1)
+def claim(queue: DataFrame, n: int, now: Column | None = None, worker: str | None = None) -> DataFrame:
+    """The next ``n`` pending rows by priority, age and id, as in_progress with one attempt more: a distributed top-k. With a clock
+    they also have claimed_at and claimed_by."""
+    rows = queue.where("status = 'pending'").orderBy("priority", "queued_at", "id").limit(n).withColumn("status", F.lit("in_progress")).withColumn("attempts", F.col("attempts") + 1)
+    return rows if now is None else rows.withColumns({"claimed_at": now, "claimed_by": F.lit(worker)})
 
 
-def finish(queue: DataFrame, results: DataFrame) -> DataFrame:
-    """Claimed rows become completed or failed; errors keep 1000 characters. results: (id, ok, error)."""
+def drain(queue: DataFrame, scraped: DataFrame, n: int, now: Column, worker: str = "drain") -> DataFrame:
+    """The queue after its next ``n`` rows have been worked on at once: (columns, claimed_at, claimed_by, completed_at, last_error).
+
+    scraped: (url, ...), what came back; a claimed address without it fails. Claims older than half an hour are released first.
+    """
+    free = release_stale(queue, now, at="claimed_at") if "claimed_at" in queue.columns else queue
+    claimed = claim(free, n, now, worker).select("id", "attempts", "claimed_at", "claimed_by", F.lit(True).alias("hit"))
+    got = scraped.select("url", F.lit(True).alias("got")).distinct()
+    kept = [c for c in queue.columns if c not in ("status", "attempts", "claimed_at", "claimed_by", "completed_at", "last_error")]
+    rows = free.select(*kept, "status", F.col("attempts").alias("tried")).join(claimed, "id", "left").join(got, "url", "left")
+    hit, ok = F.col("hit").isNotNull(), F.col("got").isNotNull()
+    return rows.select(
+        *kept, F.when(hit, F.when(ok, "completed").otherwise("failed")).otherwise(F.col("status")).alias("status"), F.coalesce("attempts", "tried").alias("attempts"),
+        "claimed_at", "claimed_by", F.when(hit, now).alias("completed_at"), F.when(hit & ~ok, "No data returned").alias("last_error"),
+    )
+
+
+def finish(queue: DataFrame, results: DataFrame, now: Column | None = None) -> DataFrame:
+    """Claimed rows become completed or failed, at ``now`` if it is given; errors keep 1000 characters. results: (id, ok, error)."""
     rows = queue.join(results, "id", "left")
     done = F.col("ok").isNotNull() & (F.col("status") == "in_progress")
     return rows.select(
         *[c for c in queue.columns if c not in ("status", "last_error")],
         F.when(done, F.when(F.col("ok"), "completed").otherwise("failed")).otherwise(F.col("status")).alias("status"),
         F.when(done & ~F.col("ok"), F.left("error", F.lit(1000))).alias("last_error"),
+        *([] if now is None else [F.when(done, now).alias("completed_at")]),
     )
 
 
@@ -58,7 +79,7 @@ def retry(queue: DataFrame, most: int = 3, limit: int | None = None) -> DataFram
     if limit is None:
         return queue.withColumn("status", F.when(again, "pending").otherwise(F.col("status")))
     some = queue.where(again).orderBy("queued_at", "id").limit(limit).select("id", F.lit(True).alias("again"))
-    return queue.join(F.broadcast(some), "id", "left").withColumn("status", F.when(F.col("again"), "pending").otherwise(F.col("status"))).drop("again")
+    return queue.join(some, "id", "left").withColumn("status", F.when(F.col("again"), "pending").otherwise(F.col("status"))).drop("again")
 
 
 def cleanup(queue: DataFrame, now: Column, days: int = 7, at: str = "queued_at") -> DataFrame:

@@ -7,24 +7,37 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import trigram_similarity
 
-#: Degrees of a block; 100 m are less than a third of it below 70 degrees of latitude.
-CELL = 0.01
+EARTH_M = 6371000
+_SAME = ("title", "address", "lat", "lng")
 
 
 def distance_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
-    return 2 * 6371000 * F.asin(F.sqrt(a))
+    return 2 * EARTH_M * F.asin(F.sqrt(a))
+
+
+def fuzzy_members(rows: DataFrame) -> DataFrame:
+    """(id, rep): rows of equal title, address and place belong to the least id among them. Rows without a place have none."""
+    same = [F.col(c).alias(c) for c in _SAME]
+    reps = rows.where("lat IS NOT NULL AND lng IS NOT NULL").groupBy(*_SAME).agg(F.min("id").alias("rep")).select("rep", *[F.col(c).alias(f"r_{c}") for c in _SAME])
+    match = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in _SAME]
+    return rows.select("id", *same).join(reps, match).select("id", "rep")
 
 
 def fuzzy_duplicates(rows: DataFrame, title: float = 0.8, address: float = 0.7, metres: float = 100) -> DataFrame:
-    """(id1, id2), id1 < id2: similar titles and addresses nearer than ``metres``. Each row meets its own and the eight
-    neighbouring blocks, so no near pair is lost and far ones never meet."""
-    a = rows.withColumn("cy", F.floor(F.col("lat") / CELL)).withColumn("cx", F.floor(F.col("lng") / CELL))
-    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    b = a.withColumn("dy", step).withColumn("dx", step).select(
-        F.col("id").alias("id2"), F.col("title").alias("t2"), F.col("address").alias("a2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"),
-        (F.col("cy") + F.col("dy")).alias("cy"), (F.col("cx") + F.col("dx")).alias("cx"),
-    )
-    pairs = a.join(b, ["cy", "cx"]).where("id < id2").where(distance_m(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")) < metres)
-    near = (trigram_similarity(F.col("title"), F.col("t2")) > title) & (trigram_similarity(F.col("address"), F.col("a2")) > address)
+    """(id1, id2), id1 < id2: similar titles and addresses nearer than ``metres``, between representatives of equal rows.
+
+    ``fuzzy_members`` gives the rows behind each, so that copies of one listing cost no pairs. Places are points of the
+    globe in a grid of ``metres``: each meets its own and the 26 neighbouring cells, so no near pair is lost, at any
+    latitude, and far ones never meet. The pairs of one cell are verified where the skew join puts them.
+    """
+    placed = rows.where("lat IS NOT NULL AND lng IS NOT NULL").groupBy(*_SAME).agg(F.min("id").alias("id"))
+    lat, lng = F.radians("lat"), F.radians("lng")
+    axes = {"cx": F.cos(lat) * F.cos(lng), "cy": F.cos(lat) * F.sin(lng), "cz": F.sin(lat)}
+    a = placed.withColumns({c: F.floor(x * EARTH_M / metres) for c, x in axes.items()})
+    b = a.select(F.col("id").alias("id2"), *[F.col(c).alias(f"{c}2") for c in _SAME], *axes)
+    for c in axes:
+        b = b.withColumn(c, F.explode(F.array(*[F.col(c) + F.lit(i) for i in (-1, 0, 1)])))
+    pairs = a.join(b, list(axes)).where("id < id2").where(distance_m(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")) < metres)
+    near = (trigram_similarity(F.col("title"), F.col("title2")) > title) & (trigram_similarity(F.col("address"), F.col("address2")) > address)
     return pairs.where(near).select(F.col("id").alias("id1"), "id2")

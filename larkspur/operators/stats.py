@@ -10,9 +10,10 @@ EVERY = {1: 6, 2: 24, 3: 168, 4: 720}
 
 
 def property_stats(live: DataFrame, *by: str) -> DataFrame:
-    return live.groupBy(*by).agg(
+    """Counts, prices and mean area by property type, operation type and city, or by the given columns."""
+    return live.groupBy(*(by or ("property_type", "operation_type", "city"))).agg(
         F.count("*").alias("total"), F.round(F.avg("price"), 4).alias("avg_price"), F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-        F.count_if(F.col("status") == "active").alias("active"),
+        F.round(F.avg("total_area_m2"), 4).alias("avg_area"), F.count_if(F.col("status") == "active").alias("active"),
     )
 
 
@@ -88,3 +89,124 @@ def last_by(rows: DataFrame, key: str, seq: str) -> DataFrame:
     """The last row of each key."""
     order = Window.partitionBy(key).orderBy(F.col(seq).desc())
     return rows.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
+
+
+COUNTERS = ["new_properties", "price_changes", "removals", "scraped"]
+
+
+def _counted(status: str = "status") -> list[Column]:
+    return [F.count("*").alias("n"), F.count_if(F.col(status) == "completed").alias("ok"), F.count_if(F.col(status) == "failed").alias("bad")]
+
+
+def sync_totals(runs: DataFrame, since: Column, every: dict[int, int] = EVERY) -> DataFrame:
+    """The totals row (tier null) and a row for each tier: runs, successes, failures, sums of the counters, mean seconds.
+
+    Null counters and durations count as 0, and so do tiers without runs; the mean is over all runs.
+    """
+    recent = runs.where(F.col("started_at") >= since)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]
+    mean = F.coalesce(F.round(F.sum(F.coalesce("duration_ms", F.lit(0))) / F.nullif(F.count("*"), F.lit(0)) / 1000, 4), F.lit(0.0)).alias("seconds")
+    tiers = runs.sparkSession.createDataFrame([(t,) for t in every], "tier int")
+    per = F.broadcast(tiers).join(recent.groupBy("tier").agg(*_counted(), *sums, mean), "tier", "left").na.fill(0)
+    return recent.agg(*_counted(), *sums, mean).withColumn("tier", F.lit(None).cast("int")).unionByName(per)
+
+
+def recent_sync_summary(syncs: DataFrame, since: Column) -> DataFrame:
+    """One row: syncs, successes, failures, sums, and means over values that are neither null nor 0."""
+    sums = {"total_scraped": "processed", "new_properties": "new", "updated_properties": "updated", "removed_properties": "removed"}
+    return syncs.where(F.col("created_at") >= since).agg(
+        F.count("*").alias("n"), F.count_if(F.col("sync_status") == "completed").alias("ok"), F.count_if(F.col("sync_status") == "failed").alias("bad"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in sums.items()],
+        F.round(mean_present("data_quality_score"), 4).alias("mean_score"), F.round(mean_present("sync_duration_ms"), 4).alias("mean_ms"),
+    )
+
+
+def request_summary(requests: DataFrame, user: Column) -> DataFrame:
+    """(status, n, latest) of one user's requests, the status that changed last first."""
+    per = requests.where(F.col("user_id") == user).groupBy("status").agg(F.count("*").alias("n"), F.max("status_updated_at").alias("latest"))
+    return per.orderBy(F.col("latest").desc(), "status")
+
+
+def scan_sources(sources: dict[str, DataFrame], operations: dict[str, str], only: list[str] | None = None) -> DataFrame:
+    """The rows of all sources, or of those in ``only``, with the name and the operation type of their source."""
+    out = None
+    for name, rows in sources.items():
+        if only is None or name in only:
+            rows = rows.withColumn("source", F.lit(name)).withColumn("operation_type", F.lit(operations[name]))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def source_stats(rows: DataFrame, inserted: DataFrame) -> DataFrame:
+    """(source, pages, scraped, inserted): ``rows`` with source, page and id; ``inserted`` with the ids that were new."""
+    marked = rows.join(inserted.select("id", F.lit(1).alias("new")).distinct(), "id", "left")
+    return marked.groupBy("source").agg(F.count_distinct("page").alias("pages"), F.count("*").alias("scraped"), F.count("new").alias("inserted"))
+
+
+def price_buckets(rows: DataFrame, ranges: list[tuple[float, float]], price: str = "price", key: str = "id") -> DataFrame:
+    """Rows within any of the ranges, both ends included, once for each key, with the first range that holds them (from 1)."""
+    at = F.coalesce(*[F.when(F.col(price).between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(ranges, 1)])
+    return rows.withColumn("bucket", at).where("bucket IS NOT NULL").dropDuplicates([key])
+
+
+def batch_totals(results: DataFrame) -> DataFrame:
+    return results.agg(F.count("*").alias("n"), F.count_if("success").alias("successful"), F.count_if(~F.col("success")).alias("failed"))
+
+
+def session_progress(sessions: DataFrame, errors: DataFrame, properties: DataFrame, most: int = 5) -> DataFrame:
+    """One row for the latest session: progress, the page to go on from, pages left, its newest errors, counts of properties."""
+    last = sessions.orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(1)
+    pages, done, total = F.coalesce("pages_scraped", F.lit(0)), F.coalesce("last_page", F.lit(0)), F.coalesce("total_pages", F.lit(100))
+    resume = F.when(F.col("status").isin("running", "paused"), F.when(done > 0, done + 1).otherwise(pages + 1)).when(F.col("status") == "failed", F.greatest(F.lit(1), done))
+    recent = (
+        errors.join(F.broadcast(last.select(F.col("id").alias("session_id"))), "session_id", "left_semi").orderBy(F.col("created_at").desc(), "error_id").limit(most)
+        .agg(F.array_sort(F.collect_list(F.struct("created_at", "error_id", "error_type"))).alias("errors"))
+    )
+    return last.select(
+        "id", "status", F.when(pages > 0, F.round(pages / total * 100, 1)).alias("percent"), resume.alias("resume"), (total - pages).alias("left"),
+        F.coalesce("inserted", F.lit(0)).alias("inserted"), F.coalesce("updated", F.lit(0)).alias("updated"),
+    ).join(F.broadcast(recent)).join(F.broadcast(properties.agg(F.count("*").alias("properties"))))
+
+
+def dashboard(syncs: DataFrame, sessions: DataFrame, live: DataFrame, since: Column, n: int = 10) -> dict[str, DataFrame]:
+    """Summary, the last ``n`` sessions, the trend of quality and the number of active listings."""
+    recent = sessions.where(F.col("created_at") >= since)
+    return {
+        "summary": recent_sync_summary(syncs, since),
+        "sessions": recent.orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(n),
+        "trend": syncs.where(F.col("created_at") >= since).select("created_at", "data_quality_score", "completeness_rate"),
+        "active": live.where("status = 'active'").agg(F.count("*").alias("n")),
+    }
+
+
+def tier_rollup(runs: DataFrame, errors: DataFrame, most: int = 5) -> DataFrame:
+    """Each run with its final status, the number of its errors and the first of them joined by '; '. errors: (run_id, at, message)."""
+    per = errors.groupBy("run_id").agg(F.count("*").alias("error_count"), F.array_sort(F.collect_list(F.struct("at", "message"))).alias("e"))
+    said = F.array_join(F.slice(F.transform("e", lambda x: x["message"]), 1, most), "; ")
+    both = runs.join(per, "run_id", "left")
+    return both.select(
+        *runs.columns, F.when(F.col("error_count") > 0, "failed").otherwise("completed").alias("final"),
+        F.coalesce("error_count", F.lit(0)).alias("error_count"), said.alias("error_summary"),
+    )
+
+
+def sample_size(live: DataFrame, percent: float) -> DataFrame:
+    """One row: how many active rows are ``percent`` of them, rounded down."""
+    return live.where("status = 'active'").agg(F.floor(F.count("*") * percent / 100).alias("n"))
+
+
+def sample_percent(live: DataFrame, key: str, percent: float) -> DataFrame:
+    """``percent`` of the active rows in the order of the MD5 of their key; the size is one number that is read first."""
+    n = sample_size(live, percent).first()["n"]
+    return hash_sample(live.where("status = 'active'"), key, int(n))
+
+
+def cancel_run(runs: DataFrame, tier: int, now: Column) -> DataFrame:
+    """The latest running run of a tier is cancelled; other rows stay."""
+    last = runs.where((F.col("tier") == tier) & (F.col("status") == "running")).orderBy(F.col("started_at").desc(), F.col("run_id").desc()).limit(1)
+    rows = runs.join(F.broadcast(last.select("run_id", F.lit(True).alias("hit"))), "run_id", "left")
+    return rows.select(
+        *[c for c in runs.columns if c not in ("status", "completed_at", "error_summary")],
+        F.when(F.col("hit"), "cancelled").otherwise(F.col("status")).alias("status"), F.when(F.col("hit"), now).otherwise(F.col("completed_at")).alias("completed_at"),
+        F.when(F.col("hit"), "Cancelled by user request").otherwise(F.col("error_summary")).alias("error_summary"),
+    )

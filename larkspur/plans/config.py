@@ -13,10 +13,12 @@ class Tier:
     every_hours: int
     pages: int | None
     queue_cap: int
+    stale_days: int = 30
+    sample_percent: float = 10
 
 
 # The four tiers.
-TIERS = (Tier(1, "hot_listings", 6, 10, 500), Tier(2, "daily_sync", 24, 100, 5_000), Tier(3, "weekly_deep", 168, None, 10_000), Tier(4, "monthly_refresh", 720, None, 20_000))
+TIERS = (Tier(1, "hot_listings", 6, 10, 500), Tier(2, "daily_sync", 24, 100, 5_000), Tier(3, "weekly_deep", 168, None, 10_000, 7), Tier(4, "monthly_refresh", 720, None, 20_000))
 
 
 @dataclass(frozen=True)

@@ -6,27 +6,12 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import identity, significance, text
 from larkspur.operators import diff, extract, merge, quality, queue, search, stats
-from larkspur.plans import workflows
+from larkspur.plans import lifecycle, listings, workflows  # noqa: F401
+from larkspur.plans.base import CHANGED as _CHANGED
+from larkspur.plans.base import FIELDS, NOW, ORACLES, QUERIES, at, query
 from larkspur.sources import tables as t
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-FIELDS = ["title", "price", "property_type", "city", "bedrooms"]
-NOW = "2024-02-01"
-
-
-def query(name: str, sql: str | None = None, derived: bool = True):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = (t.SQL if derived else "") + sql
-        return f
-
-    return keep
-
-
-def _now(at: str = NOW):
-    return F.lit(at).cast("timestamp")
+_now = at
 
 
 def _cascade(c: str, groups: dict[str, list[str]], default: str) -> str:
@@ -42,10 +27,11 @@ def _list(words: list[str]) -> str:
 
 
 @query("property_stats", """
-SELECT property_type, city, count(*)::BIGINT AS total, round(avg(price), 4) AS avg_price, min(price) AS min_price, max(price) AS max_price,
-       (count(*) FILTER (status = 'active'))::BIGINT AS active FROM live GROUP BY ALL""")
+SELECT property_type, CASE WHEN id % 4 = 0 THEN 'rent' ELSE 'sale' END AS operation_type, city, count(*)::BIGINT AS total, round(avg(price), 4) AS avg_price, min(price) AS min_price,
+       max(price) AS max_price, round(avg(bedrooms * 10.5::DOUBLE), 4) AS avg_area, (count(*) FILTER (status = 'active'))::BIGINT AS active FROM live GROUP BY ALL""")
 def _(s, d):
-    return stats.property_stats(t.live(s, d), "property_type", "city")
+    rows = t.live(s, d).withColumns({"operation_type": F.when(F.col("id") % 4 == 0, "rent").otherwise("sale"), "total_area_m2": F.col("bedrooms") * F.lit(10.5)})
+    return stats.property_stats(rows)
 
 
 @query("queue_stats", """
@@ -83,12 +69,6 @@ def _(s, d):
     return stats.sync_summary(t.runs(s, d), _now("2024-01-25"))
 
 
-@query("recent_sync", """
-SELECT count(*)::BIGINT AS n, round(coalesce(avg(duration) FILTER (duration <> 0), 0), 4) AS mean FROM runs WHERE started_at >= TIMESTAMP '2024-01-25'""")
-def _(s, d):
-    return t.runs(s, d).where(F.col("started_at") >= _now("2024-01-25")).agg(F.count("*").alias("n"), F.round(stats.mean_present("duration"), 4).alias("mean"))
-
-
 @query("manifest_stats", f"""
 SELECT count(*)::BIGINT AS total, (count(*) FILTER (event_id % 3 = 0))::BIGINT AS n_is_new, (count(*) FILTER (event_id % 5 = 0))::BIGINT AS n_price_changed,
        (count(*) FILTER (event_id % 2 = 0))::BIGINT AS n_needs_full_scrape,
@@ -157,8 +137,8 @@ def _(s, d):
 
 
 @query("clean_text", rf"""
-SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '^[Dd]escription\s*:?\s*', ''), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'),
-       '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}\s{text.KEPT}]', '', 'g'), '^\s+', ''), '\s+$', '') AS cleaned FROM documents""", False)
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '^[Dd]escription\s*:?\s*', ''), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'),
+       '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}\s{text.KEPT}]', '', 'g') AS cleaned FROM documents""", False)
 def _(s, d):
     return t.read(s, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
@@ -243,17 +223,19 @@ def _(s, d):
     return x.select("id", *[F.array_join(F.try_element_at("g", F.lit(n)), "|").alias(n) for n in text.AMENITIES])
 
 
-@query("phones", """
-SELECT p_partkey AS id, '555-123-' || lpad(p_size::VARCHAR, 4, '0') AS found FROM part""", False)
+_PHONES = ", ".join(f"regexp_extract_all(text, '{p}')" for p in text.PHONES)
+
+
+@query("phones", f"""
+SELECT doc_id, array_to_string(list_filter(f, lambda x, i: list_position(f, x) = i AND len(regexp_replace(x, '[^0-9]', '', 'g')) >= 10), ',') AS found
+FROM (SELECT doc_id, flatten([{_PHONES}]) AS f FROM documents)""", False)
 def _(s, d):
-    x = F.concat(F.lit("call 555-123-"), F.lpad(F.col("p_size").cast("string"), 4, "0"), F.lit(" or 12345"))
-    return t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.array_join(text.phones(x), ",").alias("found"))
+    return t.read(s, d, "documents").select("doc_id", F.array_join(text.phones(F.col("text")), ",").alias("found"))
 
 
-@query("presale_flag", "SELECT p_partkey AS id, p_partkey % 3 = 0 AS presale FROM part", False)
+@query("presale_flag", "SELECT page_id, strpos(upper(url || html), 'PREVENTA') > 0 AS presale FROM listing_pages")
 def _(s, d):
-    x = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Casa en preventa "), F.col("p_name"))).otherwise(F.col("p_name"))
-    return t.read(s, d, "part").select(F.col("p_partkey").alias("id"), text.presale(x).alias("presale"))
+    return t.listing_pages(s, d).select("page_id", text.presale(F.concat("url", "html")).alias("presale"))
 
 
 @query("positional_similarity", """
@@ -266,42 +248,69 @@ def _(s, d):
     return a.join(b, "id").select("id", F.round(text.positional_similarity(F.col("x"), F.col("y")), 6).alias("similarity"))
 
 
-@query("search_tokens", r"""
-SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> ''))), ' ') AS tokens FROM documents""", False)
+_STOP = _list(["", *text.STOP_WORDS])
+
+
+@query("search_tokens", rf"""
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: NOT list_contains({_STOP}, x)))), ' ') AS tokens
+FROM documents""", False)
 def _(s, d):
     return t.read(s, d, "documents").select("doc_id", F.array_join(text.search_tokens(F.col("text")), " ").alias("tokens"))
 
 
-@query("trigram_similarity")
-def _(s, d):
+def _grams(x: str) -> str:
+    return rf"list_transform(list_filter(regexp_split_to_array(lower({x}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))"
+
+
+def _common(x: str, y: str) -> str:
+    return f"(len(list_intersect({x}, {y}))::DOUBLE / len(list_distinct(list_concat({x}, {y}))))"
+
+
+_NEIGHBOURS = f"""
+WITH named AS (
+  SELECT a.p_partkey AS id, list_distinct(flatten({_grams("a.p_name")})) AS x, {_grams("b.p_name")} AS words, flatten({_grams("b.p_name")}) AS y
+  FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1
+)"""
+
+
+def _neighbours(s, d):
     a = t.read(s, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("x"))
-    b = a.select((F.col("id") - 1).alias("id"), F.col("x").alias("y"))
-    return a.join(b, "id").select("id", F.round(text.trigram_similarity(F.col("x"), F.col("y")), 6).alias("similarity"))
+    return a.join(a.select((F.col("id") - 1).alias("id"), F.col("x").alias("y")), "id")
 
 
-@query("html_title", r"SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title FROM pages", False)
+@query("trigram_similarity", f"""{_NEIGHBOURS}
+SELECT id, round({_common("x", "list_distinct(y)")}, 6) AS similarity, round(1 - {_common("x", "list_distinct(y)")}, 6) AS distance, array_to_string(list_sort(x), '|') AS trigrams FROM named""", False)
 def _(s, d):
-    return t.read(s, d, "pages").select("page_id", extract.html_title(F.col("html")).alias("title"))
+    x, y = F.col("x"), F.col("y")
+    return _neighbours(s, d).select(
+        "id", F.round(text.trigram_similarity(x, y), 6).alias("similarity"), F.round(text.trigram_distance(x, y), 6).alias("distance"),
+        F.array_join(F.array_sort(text.trigrams(x)), "|").alias("trigrams"),
+    )
 
 
-@query("html_links", """SELECT page_id, len(regexp_extract_all(html, '<a href="'))::INTEGER AS links FROM pages""", False)
+@query("word_similarity", f"""{_NEIGHBOURS}, extents AS (
+  SELECT id, x, unnest(flatten(list_transform(range(1, len(y) + 1), lambda i: list_transform(range(i, len(y) + 1), lambda j: y[i:j])))) AS e FROM named
+), whole AS (
+  SELECT id, x, unnest(flatten(list_transform(range(1, len(words) + 1), lambda i: list_transform(range(i, len(words) + 1), lambda j: flatten(words[i:j]))))) AS e FROM named
+)
+SELECT id, round(a.best, 6) AS similarity, round(b.best, 6) AS strict
+FROM (SELECT id, max({_common("x", "list_distinct(e)")}) AS best FROM extents GROUP BY id) a JOIN (SELECT id, max({_common("x", "list_distinct(e)")}) AS best FROM whole GROUP BY id) b USING (id)""", False)
 def _(s, d):
-    return t.read(s, d, "pages").select("page_id", extract.link_count(F.col("html")).cast("int").alias("links"))
+    x, y = F.col("x"), F.col("y")
+    return _neighbours(s, d).select("id", F.round(text.word_similarity(x, y), 6).alias("similarity"), F.round(text.strict_word_similarity(x, y), 6).alias("strict"))
 
 
-@query("html_cards", "SELECT page_id, '/p/' || page_id::VARCHAR AS link, 'Casa ' || page_id::VARCHAR AS title, '$' || page_id::VARCHAR AS price FROM pages", False)
+@query("html_title", r"SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title FROM pages", False)
 def _(s, d):
-    n = F.col("page_id").cast("string")
-    html = F.concat(F.lit('<ul><li class="property__component"><a href="/p/'), n, F.lit('"><img src="x.png"><span class="title">Casa '), n, F.lit('</span></a><li class="price">$'), n, F.lit("</li></li></ul>"))
-    return extract.listing_cards(t.read(s, d, "pages").select("page_id", "url", html.alias("html"))).select("page_id", "link", "title", "price")
+    return t.read(s, d, "pages").select("page_id", extract.html_title(F.col("html")).alias("title"))
 
 
-# snapshot comparison
+@query("html_links", """SELECT page_id, len(regexp_extract_all(html, '<a href="'))::INTEGER AS links FROM pages""", False)
+def _(s, d):
+    return t.read(s, d, "pages").select("page_id", extract.link_count(F.col("html")).cast("int").alias("links"))
 
-_CHANGED = """
-(CASE WHEN n.title IS NULL AND o.title IS NULL THEN false WHEN n.title IS NULL OR o.title IS NULL THEN true ELSE n.title <> o.title END
- OR abs(n.price - o.price) / o.price > 0.01)"""
 
+# snapshot comparison
 
 @query("new_rows", "SELECT id FROM staging WHERE id NOT IN (SELECT id FROM live)")
 def _(s, d):
@@ -549,14 +558,6 @@ def _(s, d):
     return merge.expire_inactive(t.live(s, d), F.lit(NOW).cast("date"), 10).select("id", "status")
 
 
-@query("id_migration", r"""
-SELECT outcome, count(*)::BIGINT AS n FROM (
-  SELECT CASE WHEN page_id % 7 = 0 THEN 'no_url' WHEN page_id % 5 = 0 THEN 'already_hash' ELSE 'migrate' END AS outcome FROM pages) GROUP BY 1""", False)
-def _(s, d):
-    rows = t.read(s, d, "pages").select(F.when(F.col("page_id") % 5 == 0, F.substring(F.md5("url"), 1, 16)).otherwise("slug").alias("id"), F.when(F.col("page_id") % 7 != 0, F.col("url")).alias("url"))
-    return merge.migrate_ids(rows, "id", "url").groupBy("outcome").agg(F.count("*").alias("n"))
-
-
 @query("blank_id_repair", r"""
 SELECT page_id, CASE WHEN page_id % 2 = 0 THEN left(md5(regexp_replace(regexp_replace(lower(url), '[;?#][\s\S]*$', ''), '/+$', '')), 16) ELSE 'x' END AS id FROM pages""", False)
 def _(s, d):
@@ -573,11 +574,14 @@ def _(s, d):
 
 
 @query("queue_enqueue", """
-SELECT id AS property_id, CASE WHEN id % 2 = 0 THEN 'new' ELSE 'stale' END AS reason, CASE WHEN id % 2 = 0 THEN 1 ELSE 4 END AS priority
-FROM live WHERE id NOT IN (SELECT property_id FROM queue WHERE status = 'pending')""")
+SELECT id AS property_id, CASE WHEN id % 2 = 0 THEN 'new' ELSE 'stale' END AS reason, CASE WHEN id % 2 = 0 THEN 1 ELSE 4 END AS priority, cap
+FROM live, (VALUES (100), (1000000)) v(cap)
+WHERE id NOT IN (SELECT property_id FROM queue WHERE status = 'pending') AND (SELECT count(*) FROM queue WHERE status = 'pending') < cap""")
 def _(s, d):
+    """Under a cap that the backlog has reached nothing is added, under a higher one all."""
     wanted = t.live(s, d).select(F.col("id").alias("property_id"), F.when(F.col("id") % 2 == 0, "new").otherwise("stale").alias("reason"))
-    return queue.enqueue(t.queue(s, d), wanted, 10**12)
+    low, high = (queue.enqueue(t.queue(s, d), wanted, cap).withColumn("cap", F.lit(cap)) for cap in (100, 1_000_000))
+    return low.unionByName(high)
 
 
 @query("queue_finish", "SELECT id, CASE WHEN status = 'in_progress' AND id % 3 < 2 THEN CASE WHEN id % 3 = 0 THEN 'completed' ELSE 'failed' END ELSE status END AS status FROM queue")
@@ -616,8 +620,28 @@ def _(s, d):
     return workflows.manifest_to_queue(t.manifest(s, d), t.live(s, d), t.manifest(s, d).select("id"), t.queue(s, d), Settings(backlog_cap=10**12))
 
 
-@query("fuzzy_dups")
+
+_PLACES = """
+WITH placed AS (
+  SELECT c_custkey AS id, c_mktsegment AS title, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE c_mktsegment || ' district' END AS address, floor(c_acctbal / 50) / 1000 AS lat, floor(c_acctbal / 50) / 1000 AS lng FROM customer
+), reps AS (SELECT title, address, lat, lng, min(id) AS rep FROM placed GROUP BY ALL)"""
+
+
+def _places(s, d):
+    c, at = t.read(s, d, "customer"), F.floor(F.col("c_acctbal") / 50) / 1000
+    address = F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).otherwise(F.concat("c_mktsegment", F.lit(" district")))
+    return c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("title"), address.alias("address"), at.alias("lat"), at.alias("lng"))
+
+
+@query("fuzzy_dups", f"""{_PLACES}
+SELECT a.rep AS id1, b.rep AS id2 FROM reps a JOIN reps b ON a.rep < b.rep AND abs(a.lat - b.lat) < 0.001
+WHERE 2 * 6371000 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))) < 100
+  AND {_common(f"list_distinct(flatten({_grams('a.title')}))", f"list_distinct(flatten({_grams('b.title')}))")} > 0.8
+  AND {_common(f"list_distinct(flatten({_grams('a.address')}))", f"list_distinct(flatten({_grams('b.address')}))")} > 0.4""", False)
+def _(s, d):
+    return search.fuzzy_duplicates(_places(s, d), address=0.4)
+
+
+@query("fuzzy_members", f"{_PLACES} SELECT id, rep FROM placed JOIN reps USING (title, address, lat, lng)", False)
 def _(s, d):
-    c = t.read(s, d, "customer")
-    rows = c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("title"), F.col("c_mktsegment").alias("address"), (F.col("c_acctbal") / 1000).alias("lat"), (F.col("c_acctbal") / 1000).alias("lng"))
-    return search.fuzzy_duplicates(rows)
+    return search.fuzzy_members(_places(s, d))

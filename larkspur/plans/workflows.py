@@ -1,4 +1,7 @@
-"""The two workflows: a session's staging into the live table, and a manifest into the queue. Nothing is written before the gates pass."""
+"""The workflows as pure compositions: a session into the live table, a manifest into a diff, a tier's whole run.
+
+Nothing is written: each gives the next snapshots. Gates read tables of one row.
+"""
 
 from __future__ import annotations
 
@@ -7,30 +10,145 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.operators import diff, merge, quality, queue
+from larkspur.operators import diff, merge, quality, queue, stats
 from larkspur.plans.config import Settings
 
 
+def session_ready(sessions: DataFrame, staging: DataFrame, session) -> bool:
+    """Whether a session is completed and has staged rows."""
+    done = sessions.where((F.col("id") == session) & (F.col("status") == "completed"))
+    return not done.isEmpty() and not staging.where(F.col("session_id") == session).isEmpty()
+
+
+def quality_checks(rows: DataFrame, now: Column, key: str = "id") -> DataFrame:
+    """One row: duplicate_rate, freshness and diversity; a check whose columns the rows lack has its value for no rows."""
+    have = set(rows.columns)
+    fresh = quality.freshness("scraped_at", now) if "scraped_at" in have else F.lit(0.0)
+    spread = quality.geo_diversity("city", "neighborhood", "latitude", "longitude") if {"city", "neighborhood", "latitude", "longitude"} <= have else F.lit(0.0)
+    return rows.agg(quality.duplicate_rate(key).alias("duplicate_rate"), fresh.alias("freshness"), spread.alias("diversity"))
+
+
 @dataclass(frozen=True)
 class Synced:
     passed: bool
+    why: str
     score: float
     live: DataFrame
     changes: DataFrame
     problems: DataFrame
 
 
-def daily_sync(staging: DataFrame, live: DataFrame, now: Column, fields: list[str], removed: DataFrame | None = None, settings: Settings = Settings()) -> Synced:
-    """Validates, and if the score passes the gate promotes; the gate reads one row."""
-    problems = quality.errors(staging, "id")
-    score = quality.overall_score(staging, problems).first()["score"]
-    if score < settings.score_gate:
-        return Synced(False, score, live, diff.field_changes(staging, live, "id", fields).limit(0), problems)
-    return Synced(True, score, merge.promote(staging, live, now, fields, removed), diff.field_changes(staging, live, "id", fields), problems)
+def daily_sync(
+    staging: DataFrame, live: DataFrame, now: Column, fields: list[str], removed: DataFrame | None = None, settings: Settings = Settings(),
+    sessions: DataFrame | None = None, session=None,
+) -> Synced:
+    """Promotes a session's rows if it is completed and has rows, if the overall quality reaches one gate and the score another.
+
+    Without ``sessions`` only the score is asked for.
+    """
+    rows = staging if sessions is None else staging.where(F.col("session_id") == session)
+    problems = quality.errors(rows, "id")
+    refused = lambda why, score: Synced(False, why, score, live, diff.field_changes(rows, live, "id", fields).limit(0), problems)
+    if sessions is not None and not session_ready(sessions, staging, session):
+        return refused("session", 0.0)
+    score = quality.overall_score(rows, problems)
+    if sessions is not None:
+        overall, _ = quality.overall_quality(F.col("score"), F.col("duplicate_rate"), F.col("freshness"), F.col("diversity"))
+        one = score.join(F.broadcast(quality_checks(rows, now))).select("score", overall.alias("overall")).first()
+        if one.overall < settings.quality_gate:
+            return refused("quality", one.score)
+    else:
+        one = score.first()
+    if one.score < settings.score_gate:
+        return refused("score", one.score)
+    return Synced(True, "", one.score, merge.promote(rows, live, now, fields, removed), diff.field_changes(rows, live, "id", fields), problems)
+
+
+def wanted_of(flags: DataFrame) -> DataFrame:
+    return flags.where("needs_full_scrape").select(F.col("id").alias("property_id"), F.when(F.col("is_new"), "new").otherwise("price_change").alias("reason"))
 
 
 def manifest_to_queue(manifest: DataFrame, live: DataFrame, known: DataFrame, pending: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """What a scan adds to the queue: new listings and price moves that are not pending yet."""
     flags = diff.manifest_flags(diff.dedup_manifest(manifest), live, known, settings.price_percent, settings.price_amount)
-    wanted = flags.where("needs_full_scrape").select(F.col("id").alias("property_id"), F.when(F.col("is_new"), "new").otherwise("price_change").alias("reason"))
-    return queue.enqueue(pending, wanted, settings.backlog_cap)
+    return queue.enqueue(pending, wanted_of(flags), settings.backlog_cap)
+
+
+@dataclass(frozen=True)
+class Diff:
+    new: DataFrame
+    price_changes: DataFrame
+    relisted: DataFrame
+    candidates: DataFrame
+    verdicts: DataFrame | None
+    live: DataFrame
+
+
+def full_diff(manifest: DataFrame, live: DataFrame, now: Column, probes: DataFrame | None = None, settings: Settings = Settings()) -> Diff:
+    """All differences of a scan: new ids, price changes of flagged rows, relisted ids, candidates for removal and, with ``probes``
+    (id, url, http_status, location), their verdicts; and the live table after them.
+
+    manifest: (id, seq, price, url, price_changed); live: (id, price, status, listing_status, misses, last_seen, ...).
+    """
+    back = diff.relisted(manifest, live)
+    counted = merge.count_misses(live, manifest, now)
+    candidates = counted.where((F.col("status") == "active") & (F.col("misses") >= settings.missing_before_removal)).select("id", "misses")
+    verdicts, after = None, counted
+    if probes is not None:
+        verdicts = candidates.join(probes, "id").select("id", merge.removal_verdict(F.col("url"), F.col("http_status"), F.col("location")).alias("verdict"))
+        after = merge.apply_verdicts(counted, verdicts)
+    return Diff(diff.new_keys(manifest, live, "id"), diff.flagged_price_changes(manifest, live), back, candidates, verdicts, merge.relist(after, back))
+
+
+@dataclass(frozen=True)
+class TierRun:
+    queue: DataFrame
+    live: DataFrame
+    manifest: DataFrame
+
+
+def wanted_by_tier(level: int, found: Diff, live: DataFrame, now: Column, settings: Settings) -> DataFrame:
+    """(property_id, reason) that a tier asks for: 1 new; 2 and price changes and relisted; 3 and the stalest, half the cap at
+    most; 4 the stalest and a sample of the active rows."""
+    tier = next(t for t in settings.tiers if t.level == level)
+    ask = lambda rows, why: rows.select(F.col("id").alias("property_id"), F.lit(why).alias("reason"))
+    if level == 4:
+        return ask(stats.stale(live, "last_seen", now, tier.stale_days, tier.queue_cap, False), "stale").unionByName(ask(stats.sample_percent(live, "id", tier.sample_percent), "sample"))
+    out = ask(found.new, "new")
+    if level > 1:
+        out = out.unionByName(ask(found.price_changes, "price_change")).unionByName(ask(found.relisted, "relisted"))
+    if level == 3:
+        out = out.unionByName(ask(stats.stale(live, "last_seen", now, tier.stale_days, tier.queue_cap // 2, False), "stale"))
+    return out
+
+
+def tier_run(
+    level: int, manifest: DataFrame, live: DataFrame, pending: DataFrame, scraped: DataFrame, now: Column, fields: list[str],
+    probes: DataFrame | None = None, session: Column | None = None, settings: Settings = Settings(), row_id: Column | None = None,
+) -> TierRun:
+    """A tier's run as one set-based step: diff, enqueue with addresses, drain up to the tier's cap, take over what came back.
+
+    Tier 2 also pushes the manifest's prices, tier 3 asks the probes about removals and drops removed rows from the manifest; tiers
+    1 to 3 clear the session's flags. ``scraped``: (id, url, fields), what the addresses gave. ``pending``: the queue with url.
+    """
+    tier = next(t for t in settings.tiers if t.level == level)
+    found = full_diff(manifest, live, now, probes if level == 3 else None, settings)
+    base = found.live if level in (2, 3) else live
+    asked = queue.enqueue(pending, queue.resolve_urls(wanted_by_tier(level, found, base, now, settings), ids_of(manifest), ids_of(live)), settings.backlog_cap, "url")
+    key = F.xxhash64("property_id", "reason") if row_id is None else row_id
+    added = asked.select(key.alias("id"), "property_id", "reason", "priority", "url", F.lit("pending").alias("status"), now.alias("queued_at"), F.lit(0).alias("attempts"))
+    after = queue.drain(pending.select(*added.columns).unionByName(added), scraped, tier.queue_cap, now)
+    done = after.where(F.col("completed_at").isNotNull() & (F.col("status") == "completed")).select("url").distinct()
+    merged = merge.sparse_upsert(scraped.join(done, "url", "left_semi"), base, fields)
+    seen = manifest
+    if level == 2 and session is not None:
+        merged = diff.push_prices(manifest, merged.withColumns({"manifest_price": F.lit(None).cast("double"), "manifest_seen": F.lit(None).cast("date")}), session, now)
+    if level == 3 and found.verdicts is not None:
+        seen = seen.join(found.verdicts.where("verdict = 'removed'").select("id"), "id", "left_anti")
+    if level < 4 and session is not None:
+        seen = diff.clear_flags(seen, session)
+    return TierRun(after, merged, seen)
+
+
+def ids_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(F.col("id").alias("property_id")).agg(F.min("url").alias("url"))

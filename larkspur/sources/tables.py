@@ -10,6 +10,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, type, nullable, position) of the given tables: a row for each column."""
+    rows = [(name, f.name, f.dataType.simpleString(), f.nullable, i) for name, df in tables.items() for i, f in enumerate(df.schema, 1)]
+    return spark.createDataFrame(rows, "table string, column string, type string, nullable boolean, position int")
+
+
 def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"),
@@ -54,9 +60,35 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Cards and details of listings, written into a page in front of its end: an expression of page_id that both engines read.
+MARKUP = """
+'<ul><li class="property__component" data-lat="19.' || CAST(page_id AS STRING) || '" data-long="-99.' || CAST(page_id AS STRING) || '"><div class="property__media"><img data-src="/img/' || CAST(page_id AS STRING)
+|| '.jpg"></div><a href="/en/home/' || CAST(page_id AS STRING) || '?ref=1"><span class="title">' || CASE page_id % 3 WHEN 0 THEN 'Casa en preventa' WHEN 1 THEN 'Departamento !' ELSE 'Terreno (plano)' END
+|| ' ' || CAST(page_id AS STRING) || '</span></a><span class="location">Calle ' || CAST(page_id AS STRING) || ', Centro, Toluca</span><ul><li class="price">' || CASE WHEN page_id % 2 = 0 THEN 'US$' ELSE '$' END
+|| CAST(page_id AS STRING) || ',500 For ' || CASE WHEN page_id % 7 = 0 THEN 'Rent' ELSE 'Sale' END || '</li></ul><div class="features"><div>' || CAST(page_id % 5 AS STRING) || ' Bedrooms</div><div>2 bathrooms</div><div>'
+|| CAST(page_id AS STRING) || '.5 m²</div></div><p class="published">Published ' || CAST(page_id % 20 + 1 AS STRING) || ' days ago</p><div class="agent-box">Published by: Ana López</div></li><!--card-->'
+|| '<li class="property__component"><a href="https://other.example.com/' || CAST(page_id AS STRING) || '">' || CASE WHEN page_id % 5 = 0 THEN '' ELSE '<b class="title">Lote ' || CAST(page_id AS STRING) || '</b>' END
+|| '</a><ul><li class="price">Contact</li></ul></li><!--card--></ul><div class="pagination-summary">Page 1 of ' || CAST(page_id + 1 AS STRING) || ',001</div><h2 class="location">' || CASE WHEN page_id % 2 = 0 THEN 'Casa' ELSE 'Bodega' END
+|| ' en venta</h2><div class="text-description"><p>Description: Amplia</p><p>casa &amp; patio ' || CAST(page_id AS STRING) || '</p></div><div class="map-address-info">Av ' || CAST(page_id AS STRING) || ', Centro | Toluca</div>'
+|| '<div class="map-container"><div data-lazy-iframe-url="https://maps.example.com/x?z=1&amp;q=19.' || CAST(page_id AS STRING) || '%2C' || CASE WHEN page_id % 11 = 0 THEN 'west' ELSE '-99.5' END || '"></div></div>'
+|| '<div class="listing__price"><div class="price"><div class="digits">' || CASE WHEN page_id % 2 = 0 THEN 'US$' ELSE '$' END || CAST(page_id AS STRING) || ',000</div><div class="operation-type">En Venta</div></div></div>'
+|| '<div class="listing__features"><div class="feature-icon"><i class="fal fa-bed"></i>Rec<span>' || CAST(page_id % 6 AS STRING) || '</span></div><div class="feature-icon"><i class="fal fa-expand"></i>Lot<span>' || CAST(page_id AS STRING)
+|| '.25 m2</span></div></div><div class="listing__amenities"><div class="amenities-group"><div class="amenities-group-title">Recreación</div><div class="amenities-list"><ul><li><span>Alberca</span></li><li><span>Gym</span></li></ul></div></div></div>'
+|| '<div class="property__gallery"><div class="picture"><img src="/a/' || CAST(page_id AS STRING) || '.jpg"></div><div class="picture"><img src="/placeholder.png"></div><div class="picture"><img data-src="//cdn.example.com/b.jpg"></div></div>'
+|| '<span class="publisher-name">Ana López</span><span class="publisher-organization-name">Casas &amp; Más</span><span class="publisher-phones">686 523 ' || lpad(CAST(page_id % 10000 AS STRING), 4, '0') || '</span></body>'
+"""
+LISTING_HTML = f"replace(html, '</body>', {MARKUP.strip()})"
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as they are, with cards and details of a listing in them."""
+    return read(spark, sf_dir, "pages").select("page_id", "url", F.expr(LISTING_HTML).alias("html"))
+
+
 #: The same tables as SQL: common table expressions in front of a query.
-SQL = """
-WITH live AS (
+SQL = f"""
+WITH listing_pages AS (SELECT page_id, url, {LISTING_HTML} AS html FROM pages),
+live AS (
   SELECT p_partkey AS id, p_name AS title, p_retailprice AS price, p_type AS property_type, p_brand AS city, p_size AS bedrooms,
          CASE WHEN p_partkey % 17 = 0 THEN 'inactive' ELSE 'active' END AS status, (p_partkey % 4)::INTEGER AS misses,
          (DATE '2024-02-01' - (p_partkey % 40)::INTEGER)::DATE AS last_seen

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def payload():
+    return F.to_json(F.struct("type", "id", "property_id"))
+
+
 def notifications(changes: DataFrame) -> DataFrame:
     """JSON payloads of an append-only change log (type, id, property_id)."""
-    return changes.select(F.to_json(F.struct("type", "id", "property_id")).alias("payload"))
+    return changes.select(payload().alias("payload"))
 
 
 def open_log(spark: SparkSession, folder: str, schema, files: int = 1) -> DataFrame:
@@ -26,3 +30,10 @@ def sessions(events: DataFrame, key: str, at: str = "ts", gap: str = "30 minutes
 def drain(stream: DataFrame, sink, checkpoint: str) -> None:
     """Runs a stream over what is there and hands each batch to ``sink(batch, number)``."""
     stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def landed(stream: DataFrame, folder: str) -> DataFrame:
+    """Runs an append-only stream over what is there into a folder that all machines share, and reads what it wrote."""
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")

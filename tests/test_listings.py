@@ -1,4 +1,4 @@
-"""Golden values and edge cases of the listing functions."""
+"""Golden values (fixed) and edge cases of the listing functions."""
 
 import datetime
 
@@ -103,9 +103,71 @@ def test_removal(spark):
 
 
 def test_cards_of_broken_html():
-    assert extract.cards_of(None) == [] and extract.cards_of("<li class='property__component'><b>x") == []
-    got = extract.cards_of('<li class="property__component"><a href="/a"><h2 class="title">T</a><p>open</li>')
-    assert got[0]["title"].startswith("T") and got[0]["link"] == "/a"
+    read = lambda x: extract.Reader((extract.CARDS,)).read(x)["cards"]
+    assert read(None) == [] and read("")  == [] and read("<p>no card</p></p></div>") == []
+    half = read("<li class='property__component'><b>x")
+    assert half[0]["title"] is None and half[0]["parts"] == []
+    got = read('<li class="property__component" data-lat="1"><a href="/a"><h2 class="title">T &amp; U</h2><img src="x"><p>open</li><li class="property__component"><a href="/b"><i class="title">V</i></a></li>')
+    assert [(x["title"], x["link"], x["lat"]) for x in got] == [("T & U", "/a", "1"), ("V", "/b", None)]
+
+
+def test_selectors():
+    schema = extract.Schema("r", "div.box[data-k='1'], article", (
+        extract.Field("one", "ul li b, i"), extract.Field("all", "ul li", many=True, join=" "), extract.Field("href", "a[href*='msg']", ("href",)), extract.Field("k", "", ("data-k",)),
+    ))
+    html = "<div class='box'><b>no</b></div><div class='box' data-k=1><b>no</b><ul><li>x <b>y</b></li><li> z</li></ul><a href='/x'></a><a href='/msg/1'></a></div>"
+    assert extract.Reader((schema,)).read(html)["r"] == [{"one": "y", "all": ["x y", "z"], "href": "/msg/1", "k": "1"}]
+
+
+PHONES = [
+    ("+52 686 523 1719", ["+52 686 523 1719", "686 523 1719"]), ("+526865231719", ["+526865231719", "5268652317", "526865231719"]), ("(686) 523-1719", ["(686) 523-1719"]),
+    ("686.523.1719", ["686.523.1719"]), ("5266865231719", ["5266865231", "5266865231719"]), ("tel 555-0199", []), (None, []), ("", []),
+]
+
+
+@pytest.mark.parametrize("given,want", PHONES)
+def test_phones(spark, given, want):
+    assert one(spark, text.phones(F.lit(given).cast("string"))) == want
+
+
+def test_unreadable_numbers_are_compared_as_text(spark):
+    differs = lambda f, a, b: one(spark, significance.differs(f, F.lit(a), F.lit(b)))
+    assert [differs("price", "abc", "abc"), differs("price", "abc", "1"), differs("latitude", "x", "19.5"), differs("price", "-5", "-1")] == [False, True, True, False]
+
+
+def test_nested_fields_in_any_order(spark):
+    a, b = (F.create_map(*[F.lit(x) for x in xs]) for xs in (("k", 1, "l", 2), ("l", 2, "k", 1)))
+    assert one(spark, significance.differs("amenities", a, b, "map<string,int>")) is False
+    assert one(spark, significance.differs("features", F.lit('{"b":1,"a":[2]}'), F.lit('{"a": [2], "b": 1}'), "string")) is False
+    assert one(spark, significance.differs("image_urls", F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("a")), "array<string>")) is True
+
+
+def test_confidence(spark):
+    sure = lambda f, new, old: float(one(spark, significance.confidence(f, F.lit(new), F.lit(old))))
+    assert [sure("price", 120.0, 100.0), sure("price_per_m2", 120.0, 100.0), sure("unknown", "a", "b"), sure("title", "abcdefghijkm", "abcdefghijkl")] == [0.95, 0.9, 0.95, 0.56]
+
+
+@pytest.mark.parametrize("given,want", [("Nice house !", "Nice house "), ("a !b", "a b"), ("!", "")])
+def test_clean_keeps_the_blank_beside_what_goes(spark, given, want):
+    assert one(spark, text.clean_text(F.lit(given))) == want
+
+
+@pytest.mark.parametrize("given,want", [
+    ("Published by: Ana López\nCasas Más", ("Ana López", "Casas Más")), ("Casas 24\nAna López", ("Ana López", "Casas 24")), ("Inmobiliaria", (None, "Inmobiliaria")),
+    ("Ana López", ("Ana López", None)), ("x" * 70, (None, "x" * 70)), ("a@b.mx", (None, None)), (None, (None, None)),
+])
+def test_agents(spark, given, want):
+    assert tuple(one(spark, text.agent_names(F.lit(given).cast("string")))) == want
+
+
+def test_word_similarity(spark):
+    got = [round(one(spark, f(F.lit("word"), F.lit("two words"))), 6) for f in (text.trigram_similarity, text.word_similarity, text.strict_word_similarity)]
+    assert got == [0.363636, 0.8, 0.571429]
+    assert one(spark, text.word_similarity(F.lit("a"), F.lit(""))) == 0.0
+
+
+def test_rules_fall_back(spark):
+    assert quality.load_rules(None) == quality.DEFAULT_RULES and quality.load_rules(spark.range(1)) == quality.DEFAULT_RULES
 
 
 def test_fuzzy(spark):
