@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.llm.common import cut
+
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Ranges that the hash keys of a source are dealt to: the first three hexadecimal digits.
 RANGE_DIGITS = 3
+#: Sources whose cuts are broadcast; with more of them the documents are joined with salted cuts instead.
+MAX_BROADCAST_SOURCES, SALTS = 100_000, 64
 
 
 def word_count(text: Column) -> Column:
@@ -38,7 +42,8 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    name = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    # a null id hashes as the text, so that documents without ids are spread, too
+    name = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce("text", F.lit(""))))))
     return docs.select(
         F.struct("*").alias("row"),
         "doc_id",
@@ -55,9 +60,10 @@ def plan_mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int =
 
     Returns doc_id, source_null, source_key, mix_key, size, source_size, target, copies and taken (size times copies).
     A source is read whole as often as its target holds it; the rest of the target goes to its documents in the order
-    of the MD5 of their ids, up to the document whose middle passes the budget. Null texts have no words, a null id
-    hashes as the empty string, the null source is a source, equal rows are separate documents, and an empty table
-    gives an empty table. A hot source is spread over 16**RANGE_DIGITS ranges of keys.
+    of the MD5 of their ids, up to the document whose middle passes the budget. Documents of one id in one source, and
+    those of equal text without an id, are taken or left together; each has a row. Null texts have no words, the null
+    source is a source, and an empty table gives an empty table. A hot source is spread over 16**RANGE_DIGITS ranges of
+    keys.
     """
     rows = _keyed(docs).select("doc_id", "source_null", "source_key", "mix_key", "mix_range", "size")
     ranges = rows.groupBy("source_null", "source_key", "mix_range").agg(F.sum("size").alias("range_size"))
@@ -67,11 +73,12 @@ def plan_mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int =
     starts = ranges.withColumn(
         "start", F.coalesce(F.sum("range_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).join(targets, ["source_null", "source_key"])
-    inside = Window.partitionBy("source_null", "source_key", "mix_range").orderBy("mix_key", "doc_id", "size")
-    placed = rows.withColumn("before", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    inside = Window.partitionBy("source_null", "source_key", "mix_range").orderBy("mix_key")
+    together = F.sum("size").over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+    placed = rows.withColumn("unit", together).withColumn("before", F.sum("size").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("unit"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    extra = (F.col("size") > 0) & (F.col("start") + F.col("before") + F.col("size") / F.lit(2.0) <= rest)
+    extra = (F.col("size") > 0) & (F.col("start") + F.col("before") + F.col("unit") / F.lit(2.0) <= rest)
     return (
         placed.join(starts, ["source_null", "source_key", "mix_range"])
         .withColumn("epochs", epochs)
@@ -87,7 +94,9 @@ def mix_documents(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most:
     """The mixed corpus with the columns of ``docs``: each document as often as the plan takes it.
 
     The texts are not shuffled: the plan leaves one row for each source (epochs and the last key that is taken once
-    more), which is joined to the documents. Equal rows share the decision of the first of them.
+    more), which is broadcast if there are up to MAX_BROADCAST_SOURCES of them; with more the documents are dealt by
+    source and one of SALTS salts. Each document is there as often as ``plan_mix`` says; columns keep their names,
+    whatever they are.
     """
     plan = plan_mix(docs, weights, share, most)
     cuts = plan.groupBy("source_null", "source_key").agg(
@@ -95,8 +104,15 @@ def mix_documents(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most:
         F.max(F.struct("copies", "mix_key")).alias("top"),
     )
     few = F.col("epochs") < F.col("top.copies")
-    keyed = _keyed(docs)
-    mixed = keyed.join(cuts, ["source_null", "source_key"]).withColumn(
+    keyed, on = _keyed(docs), ["source_null", "source_key"]
+    cuts = cut(cuts)
+    if cuts.count() <= MAX_BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)
+    else:
+        on = [*on, "salt"]
+        keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("mix_key"), F.lit(SALTS)).cast("int"))
+        cuts = cuts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    mixed = keyed.join(cuts, on).withColumn(
         "copies", F.col("epochs") + F.when(few & (F.col("size") > 0) & (F.col("mix_key") <= F.col("top.mix_key")), 1).otherwise(0)
     )
     return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
