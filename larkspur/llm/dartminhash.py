@@ -181,13 +181,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
         last = left <= n_keys or (links is not None and left <= PAIRS_A_KEY * n_keys)
         if last:
             bounds = _bounds(sets, open_.select("key").distinct()).where(F.col("shared") >= threshold * F.col("size"))
-            near = open_.select("bucket", "key", "root").join(bounds, "key").join(keys, "key")
-            other = near.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("key", "root", "size", "shared", "bands")])
+            # of the largest component of a bucket no member meets another: one side is always of a smaller one
+            largest = per.join(pick.select("bucket"), "bucket").groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m")).select("bucket", F.col("m.root").alias("largest"))
+            near = open_.select("bucket", "key", "root").join(largest, "bucket").join(bounds, "key").join(keys, "key")
+            other = near.where("root <> largest").select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("key", "root", "size", "shared", "bands")])
             meet = F.array_intersect("bands", "b_bands")
             once = F.try_element_at(meet, F.lit(1)) == F.col("bucket")
             most = F.least("shared", "b_shared")
             within = most >= threshold * (F.col("size") + F.col("b_size") - most)
-            pairs = near.join(other, "bucket").where((F.col("root") < F.col("b_root")) & within & once).select(F.least("key", "b_key").alias("a"), F.greatest("key", "b_key").alias("b"))
+            pairs = near.join(other, "bucket").where(((F.col("root") < F.col("b_root")) | (F.col("root") == F.col("largest"))) & (F.col("root") != F.col("b_root")) & within & once).select(F.least("key", "b_key").alias("a"), F.greatest("key", "b_key").alias("b"))
         else:
             pairs = open_.where("root <> center_root").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b"))
         pairs = cut(pairs.distinct())
@@ -230,19 +232,24 @@ def has_words():
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without near copies: of each group the one with the least doc_id stays, once; same columns."""
+    """The documents without near copies: of each group the one with the least doc_id stays, once; same columns.
+
+    Ids that are null come last; among rows of one id the text with the least MD5 stays, of repeated rows one. Null texts
+    and texts without words are no copies of anything and stay, each row. Columns of any name are kept as they are, and
+    an empty table gives an empty one.
+    """
     rows, roots = near_classes(docs, threshold)
     classed = rows.join(roots.withColumnRenamed("node", "key"), "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root"))
-    stays = classed.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("s")).select(F.col("s.doc_id").alias("stay_id"), F.col("s.key").alias("stay_key"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    stays = classed.groupBy("root").agg(first.alias("s")).select(F.col("s.doc_id").alias("stay_id"), F.col("s.key").alias("stay_key"))
     same = classed.groupBy("doc_id", "key").agg(F.count("*").alias("n_same"))
     stays = stays.join(same, stays.stay_id.eqNullSafe(same.doc_id) & (stays.stay_key == same.key)).select("stay_id", "stay_key", "n_same")
-    names = [f"`{n}`" for n in docs.columns]
-    worded = docs.withColumn("stay_key", F.unhex(F.md5("text"))).where(F.col("text").isNotNull() & has_words())
-    kept = worded.join(stays, (worded.stay_key == stays.stay_key) & worded.doc_id.eqNullSafe(stays.stay_id)).drop(stays.stay_key)
-    once = kept.where("n_same = 1").select(*names)
-    many = kept.where("n_same > 1").dropDuplicates(["stay_key", "doc_id"]).select(*names)
-    rest = docs.where(F.col("text").isNull() | ~has_words()).select(*names)
-    return once.unionByName(many).unionByName(rest)
+    worded = F.col("text").isNotNull() & has_words()
+    own = docs.where(worded).select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), F.unhex(F.md5("text")).alias("own_key"))
+    kept = own.join(stays, (F.col("own_key") == F.col("stay_key")) & F.col("own_id").eqNullSafe(F.col("stay_id")))
+    once = kept.where("n_same = 1").select("row")
+    many = kept.where("n_same > 1").dropDuplicates(["own_key", "own_id"]).select("row")
+    return once.unionByName(many).select("row.*").unionByName(docs.where(~worded))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
