@@ -20,9 +20,23 @@ TOP = float(2**53)
 KEYS = ("at", "group_key", "row_key")
 
 
-def _ordinal(text: Column) -> Column:
-    """A number that keeps the order of the first six bytes of a string; null as 0."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.encode(text, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double"), F.lit(0.0))
+#: Ranks of strings that are broadcast; with more of them the points are joined by a shuffle.
+MAX_BROADCAST_RANKS = 100_000
+
+
+def _ranked(rows: DataFrame, column: str, into: str) -> DataFrame:
+    """Adds the rank of a string among its distinct values, from 1; null is 0.
+
+    The distinct values are range-sorted; the counts of the sorted parts, one row each, give their offsets.
+    """
+    known = cut(rows.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().orderBy("v").select("v", F.monotonically_increasing_id().alias("at")))
+    known = known.select("v", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("nth"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = known.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    ranks = known.join(F.broadcast(offsets), "part").select("v", (F.col("start") + F.col("nth") + 1).cast("double").alias(into))
+    if known.count() <= MAX_BROADCAST_RANKS:
+        ranks = F.broadcast(ranks)
+    return rows.join(ranks, rows[column] == ranks["v"], "left").drop("v", column).withColumn(into, F.coalesce(into, F.lit(0.0)))
 
 
 def _unit(key: Column) -> Column:
@@ -33,6 +47,9 @@ def _unit(key: Column) -> Column:
 def points_of(docs: DataFrame) -> DataFrame:
     """One row for each document without its text: (doc_id, size, text_crc32, dimensions, group_key, row_key).
 
+    Sources and langs count by their ranks. Rows of equal id, such as repeated ones, are told apart by their place in the
+    files, so which of them goes where depends on that; all else does not.
+
     Dimensions: size, source, lang. Equal texts share one point (the least source and lang of their group), so that a
     median falls between groups wherever the balance allows it.
     """
@@ -42,10 +59,10 @@ def points_of(docs: DataFrame) -> DataFrame:
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "utf-8")).cast("long").alias("text_crc32"),
         F.xxhash64(text).alias("text_key"),
-        _ordinal(F.col("source")).alias("d_source"),
-        _ordinal(F.col("lang")).alias("d_lang"),
-    )
+        "source", "lang",
+    )
     rows = cut(rows.withColumn("row_key", _unit(F.xxhash64("doc_id", F.monotonically_increasing_id()))))
+    rows = _ranked(_ranked(rows, "source", "d_source"), "lang", "d_lang")
     groups = rows.groupBy("text_key", "size").agg(F.min("d_source").alias("g_source"), F.min("d_lang").alias("g_lang"))
     return cut(
         rows.join(groups, ["text_key", "size"]).select(
