@@ -1,9 +1,14 @@
-"""Token counts by a finite-state transducer over words.
+"""Token counts by a compiled transducer over bytes.
 
-The transducer has one state between words. Each arc reads one whole word of the tokenizer's splitting pattern and is
-annotated with the number of tokens that the merges leave of it; arcs are compiled when their word is first met. A chunk
-of a text maps the open word before it to the open word behind it: (head, tokens between, tail). These maps compose
-associatively, so that long texts are read chunk by chunk in parallel and put together in the order of their chunks.
+A byte-pair vocabulary is compiled into one deterministic automaton: its states are the prefixes of tokens, a transition reads
+one byte (or the last byte of a word, a letter of its own), and a state knows the tokens that end in it, the longest first.
+The encoding of a string is the only sequence of tokens of which each neighbouring pair is what the merges leave of the two
+together. So the last token of each prefix follows from the last tokens before it: a transition accepts the one token that
+ends there and agrees with the token in front of it, and is annotated with the number of tokens emitted so far. A word takes
+time in proportion to its bytes, however long it is; the counts of words that were met are kept as arcs of whole words.
+
+A chunk of a text maps the open word before it to the open word behind it: (head, tokens between, tail). These maps compose
+associatively, so that long texts are read chunk by chunk in parallel and put together by a scan over blocks of maps.
 """
 
 from __future__ import annotations
@@ -19,8 +24,10 @@ from pyspark.sql import functions as F
 
 #: Characters of a chunk. Longer texts are dealt out in chunks.
 CHUNK = 1 << 16
-#: Arcs kept at once; beyond that they are compiled anew.
-MAX_ARCS = 1_000_000
+#: Arcs, and pairs of tokens, kept at once; beyond that they are worked out anew. Longer words are not kept.
+MAX_ARCS, LONGEST_ARC = 1_000_000, 64
+#: Maps of a long text that are composed in one group of the first step of the scan.
+SCAN = 64
 
 SPACE = regex.compile(r"\p{White_Space}+")
 
@@ -39,36 +46,118 @@ class Transducer(dict):
         super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.path, self.letters = path, byte_letters()
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(spec["model"]["merges"])}
-        self.end = spec["model"]["end_of_word_suffix"]
+        self.path = path
+        letters, end = byte_letters(), spec["model"]["end_of_word_suffix"]
+        # a symbol is a byte, or 256 more where it ends a word
+        symbol = {c: i for i, c in enumerate(letters)} | {c + end: 256 + i for i, c in enumerate(letters)}
+        self.token: list[tuple[int, ...]] = []
+        number: dict[tuple[int, ...], int] = {}
+
+        def known(text: str) -> int:
+            ends = text.endswith(end)
+            body = text[: -len(end)] if ends else text
+            key = tuple(symbol[c] for c in body[:-1]) + (symbol[body[-1] + end * ends],)
+            if key not in number:
+                number[key] = len(self.token)
+                self.token.append(key)
+            return number[key]
+
+        self.single = [known(c) for c in letters] + [known(c + end) for c in letters]
+        self.ranks = {(known(a), known(b)): (i, known(a + b)) for i, (a, b) in enumerate(spec["model"]["merges"])}
+        self._compile()
+        self.agree: dict[tuple[int, int], bool] = {}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.marks = tuple({s[:2] for s in special})
 
-    def __missing__(self, word: str) -> int:
-        parts = [self.letters[b] for b in word.encode("utf-8")]
-        parts[-1] += self.end
-        ranks, far = self.ranks, len(self.ranks)
+    def _compile(self) -> None:
+        """step: state and symbol -> state; longest: state -> the longest token that ends in it; shorter: token -> the next one."""
+        self.step, ends, depth = {}, [-1], [()]
+        for k, token in enumerate(self.token):
+            state = 0
+            for i, x in enumerate(token):
+                state = self.step.setdefault(state << 9 | x, len(ends))
+                if state == len(ends):
+                    ends.append(-1)
+                    depth.append(token[: i + 1])
+            ends[state] = k
+        self.fail, self.longest, self.shorter = [0] * len(ends), list(ends), [-1] * len(self.token)
+        for state in sorted(range(1, len(ends)), key=lambda q: len(depth[q])):
+            x = depth[state]
+            if len(x) > 1:
+                up = self.fail[self._parent(x)]
+                while up and (up << 9 | x[-1]) not in self.step:
+                    up = self.fail[up]
+                self.fail[state] = self.step.get(up << 9 | x[-1], 0)
+            below = self.longest[self.fail[state]]
+            if ends[state] < 0:
+                self.longest[state] = below
+            else:
+                self.shorter[ends[state]] = below
+
+    def _parent(self, x: tuple[int, ...]) -> int:
+        state = 0
+        for y in x[:-1]:
+            state = self.step[state << 9 | y]
+        return state
+
+    def _merged(self, symbols: tuple[int, ...]) -> list[int]:
+        """The tokens that the merges leave of a short string, by definition: the pair of least rank first."""
+        parts = [self.single[x] for x in symbols]
         while len(parts) > 1:
-            best, pair = min((ranks.get(p, far), p) for p in zip(parts, parts[1:]))
-            if best == far:
+            best = min((self.ranks[p] + p for p in zip(parts, parts[1:]) if p in self.ranks), default=None)
+            if best is None:
                 break
+            _, whole, a, b = best
             joined, i = [], 0
             while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                    joined.append(parts[i] + parts[i + 1])
+                if i + 1 < len(parts) and parts[i] == a and parts[i + 1] == b:
+                    joined.append(whole)
                     i += 2
                 else:
                     joined.append(parts[i])
                     i += 1
             parts = joined
-        if len(self) >= MAX_ARCS:
-            self.clear()
-        self[word] = len(parts)
-        return len(parts)
+        return parts
+
+    def _agrees(self, before: int, token: int) -> bool:
+        """Whether two neighbouring tokens are what the merges leave of them; -1 is the start of a word."""
+        key = (before, token)
+        if key not in self.agree:
+            if len(self.agree) >= MAX_ARCS:
+                self.agree.clear()
+            own = [token] if before < 0 else [before, token]
+            self.agree[key] = self._merged(sum((self.token[k] for k in own), ())) == own
+        return self.agree[key]
+
+    def run(self, symbols: list[int]) -> int:
+        """Tokens of a string of symbols. Only the last tokens within the longest open prefix are looked up again."""
+        step, fail, longest, shorter, token, agrees = self.step, self.fail, self.longest, self.shorter, self.token, self._agrees
+        last, emitted, state = [-1] * len(symbols), [0] * (len(symbols) + 1), 0
+        for i, x in enumerate(symbols):
+            while (state << 9 | x) not in step:
+                state = fail[state]
+            state = step[state << 9 | x]
+            k = longest[state]
+            while True:
+                at = i + 1 - len(token[k])
+                if agrees(last[at - 1] if at else -1, k):
+                    break
+                k = shorter[k]
+            last[i], emitted[i + 1] = k, emitted[at] + 1
+        return emitted[-1]
+
+    def __missing__(self, word: str) -> int:
+        symbols = list(word.encode("utf-8"))
+        symbols[-1] += 256
+        n = self.run(symbols)
+        if len(word) <= LONGEST_ARC:
+            if len(self) >= MAX_ARCS:
+                self.clear()
+            self[word] = n
+        return n
 
     def plain(self, text: str) -> int:
         """Tokens of a text without special strings."""
@@ -96,15 +185,23 @@ class Transducer(dict):
             last -= 1
         return text[: first.start()], self.count(text[first.start() : last]), text[last:]
 
-    def compose(self, maps: list[tuple[str, int | None, str]]) -> int:
-        """Tokens of a text from the maps of its chunks in order."""
-        total, open_word = 0, []
-        for head, between, tail in maps:
-            open_word.append(head)
-            if between is not None:
-                total += self.count("".join(open_word)) + between
-                open_word = [tail]
-        return total + self.count("".join(open_word))
+    def pair(self, a: tuple[str, int | None, str], b: tuple[str, int | None, str]) -> tuple[str, int | None, str]:
+        """The map of two neighbouring chunks; associative."""
+        if a[1] is None:
+            return a[0] + b[0], b[1], b[2]
+        if b[1] is None:
+            return a[0], a[1], a[2] + b[0]
+        return a[0], a[1] + self.count(a[2] + b[0]) + b[1], b[2]
+
+    def compose(self, maps: list[tuple[str, int | None, str]]) -> tuple[str, int | None, str]:
+        """The map of neighbouring chunks, composed two and two."""
+        while len(maps) > 1:
+            maps = [self.pair(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0]
+
+    def closed(self, m: tuple[str, int | None, str]) -> int:
+        """Tokens of a text from its map."""
+        return self.count(m[0]) + (0 if m[1] is None else m[1] + self.count(m[2]))
 
 
 _loaded: dict[str, Transducer] = {}
@@ -122,7 +219,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
 
     ``tokenizer``: the path of a word-end BPE file, the same on every machine. A null text counts as the empty one
     (0 tokens); repeated rows and null ids give a row each; other columns are ignored; an empty table gives an empty table.
-    Texts of up to CHUNK characters are counted where they are read; of longer ones only the chunk maps are shuffled.
+    Texts of up to CHUNK characters are counted where they are read; of longer ones only the chunk maps are shuffled, and
+    composed SCAN at a time and then all. Ids that aren't integers must be cast to long by the caller.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
 
@@ -137,11 +235,18 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
             head, between, tail = zip(*map(t.chunk, b["text"])) if len(b) else ((), (), ())
             yield b.drop(columns="text").assign(head=head, between=pd.array(between, "Int64"), tail=tail)
 
-    def composed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = transducer(tokenizer)
-        for b in batches:
-            n = [t.compose([(m["head"], None if pd.isna(m["between"]) else int(m["between"]), m["tail"]) for m in x]) for x in b["maps"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": b["n_bytes"], "n_tokens": n})
+    def composed(last: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            t = transducer(tokenizer)
+            for b in batches:
+                found = [t.compose([(m["head"], None if pd.isna(m["between"]) else int(m["between"]), m["tail"]) for m in x]) for x in b["maps"]]
+                if last:
+                    yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": b["n_bytes"], "n_tokens": list(map(t.closed, found))})
+                else:
+                    head, between, tail = zip(*found) if len(b) else ((), (), ())
+                    yield b.drop(columns="maps").assign(head=head, between=pd.array(between, "Int64"), tail=tail)
+
+        return run
 
     schema = "doc_id long, n_bytes long, n_tokens long"
     short = rows.where(F.length("text") <= CHUNK).mapInPandas(whole, schema)
@@ -153,12 +258,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
         .select("row", "at", "doc_id", "n_bytes", F.substring("text", F.col("at") * CHUNK + 1, F.lit(CHUNK)).alias("text"))
     )
     kept = "row long, at int, doc_id long, n_bytes long, head string, between long, tail string"
-    long = (
-        chunks.mapInPandas(maps, kept)
-        .groupBy("row", "doc_id", "n_bytes")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "head", "between", "tail"))).alias("maps"))
-        .mapInPandas(composed, schema)
-    )
+    in_order = F.array_sort(F.collect_list(F.struct("at", "head", "between", "tail"))).alias("maps")
+    blocks = (
+        chunks.mapInPandas(maps, kept).groupBy("row", "doc_id", "n_bytes", F.floor(F.col("at") / SCAN).cast("int").alias("block")).agg(in_order)
+        .withColumnRenamed("block", "at").mapInPandas(composed(False), kept)
+    )
+    long = blocks.groupBy("row", "doc_id", "n_bytes").agg(in_order).mapInPandas(composed(True), schema)
     return short.unionByName(long).withColumn("over_limit", F.col("n_tokens") > limit)
 
 

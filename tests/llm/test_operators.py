@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -312,12 +313,51 @@ def test_tokens(spark, corpus, empty, monkeypatch):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(corpus.select("doc_id", "text"))
     for chunk in (1 << 16, 23):
         monkeypatch.setattr(tokens, "CHUNK", chunk)
+        monkeypatch.setattr(tokens, "SCAN", 3)
         got = collections.Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in tokens.count_tokens(rows, path).collect())
         want = collections.Counter((r.doc_id, len((r.text or "").encode()), len(ref.encode(r.text or "", add_special_tokens=False).ids)) for r in rows.collect())
         assert got == want
     assert tokens.count_tokens(empty, path).count() == 0
 
 
+def test_tokens_of_strange_words():
+    """The automaton against the library, on letters that merge in many ways."""
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    ref, own = Tokenizer.from_file(path), tokens.transducer(path)
+    rng = random.Random(1)
+    for _ in range(1500):
+        alphabet = rng.choice(["ab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "-=_*", "éèñüß", "日本語中国", "aA1. ", "0123456789", "'st'rd", "🎉🙂a"])
+        x = "".join(rng.choices(alphabet, k=rng.choice([1, 3, 8, 30, 200])))
+        assert own.count(x) == len(ref.encode(x, add_special_tokens=False).ids), x
+
+
+def test_tokens_of_a_very_long_word():
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    ref, own = Tokenizer.from_file(path), tokens.transducer(path)
+    rng = random.Random(7)
+    for x in ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1 << 20)), "-" * (1 << 20)):
+        start = time.time()
+        n = own.count(x)
+        assert time.time() - start < 60 and n == len(ref.encode(x, add_special_tokens=False).ids)
+
+
+def test_maps_of_chunks_compose_in_any_grouping():
+    P = pytest.importorskip("public_tokenizers")
+    t = tokens.transducer(P.path("word_bpe_49k.json"))
+    rng = random.Random(3)
+    for _ in range(50):
+        x = "".join(rng.choices("ab \n.", weights=[9, 9, 1, 1, 1], k=200))
+        maps = [t.chunk(x[i : i + 11]) for i in range(0, len(x), 11)]
+        k = rng.randrange(1, len(maps))
+        assert t.closed(t.compose(maps)) == t.closed(t.pair(t.compose(maps[:k]), t.compose(maps[k:]))) == t.count(x)
+
+
 def test_language(spark, corpus, empty):
     rng = random.Random(9)
     rows = [(i, words(rng, 30, "abcdefg" if i % 2 else "tuvwxyz"), "aa" if i % 2 else "tt") for i in range(300)]
