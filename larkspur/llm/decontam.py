@@ -11,35 +11,60 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import bound_batches
+from larkspur.llm.common import bound_batches, cut
 
-#: Bytes of a q-gram: one machine word.
+#: Characters of a q-gram at most; short items take fewer, so that the lemma asks for one shared q-gram at least.
 Q = 8
-#: Edits that a passage may have, as a share of its item's bytes.
+#: Edits that a passage may have, as a share of its item's characters.
 BUDGET = 0.1
 #: Bytes of benchmark text in a block. Each block is one broadcast and one pass over the documents.
 BLOCK_BYTES = 4 << 20
+#: Blocks that one plan passes the documents through; then they are written.
+CHAIN = 8
 #: Bits of the table that screens q-grams before the exact look-up.
 SCREEN_BITS = 20
+#: Pairs of equal q-grams, of a text and of items, that are counted at once.
+SLICE = 1 << 20
 
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def normalized(text: str | None) -> bytes:
+def normalized(text: str | None) -> str:
     """Lower case, runs of white space as one blank, none at the ends."""
-    return " ".join(text.lower().split()).encode() if text else b""
+    return " ".join(text.lower().split()) if text else ""
 
 
-def grams(data: bytes) -> np.ndarray:
-    """The q-gram at each position as a number."""
-    n = len(data) - Q + 1
-    return np.ndarray((n,), "<u8", data, strides=(1,)) if n > 0 else np.zeros(0, "<u8")
+def codes_of(data: str) -> np.ndarray:
+    return np.frombuffer(data.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-gram at each position as a number: a polynomial of its characters, put together from parts of 8, 4, 2 and 1."""
+    n = len(codes) - q + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    part, power, parts = codes, SPREAD, {1: (codes, SPREAD)}
+    size = 1
+    while 2 * size <= q:
+        part = part[:-size] * power + part[size:]
+        with np.errstate(over="ignore"):
+            power = power * power
+        size *= 2
+        parts[size] = part, power
+    out, at = part[:n], size
+    while size > 1:
+        size //= 2
+        if q & size:
+            part, power = parts[size]
+            out = out * power + part[at : at + n]
+            at += size
+    return out
 
 
 @dataclass
 class Item:
     item_id: int
-    data: bytes
+    data: str
     #: Edits allowed.
     edits: int
     #: Shared q-grams that a passage within the edits has at least: m - q + 1 - q * edits.
@@ -48,79 +73,99 @@ class Item:
     shift: int
 
 
-class Index:
-    """The q-grams of a block of items, with the items and positions of each."""
+class Grams:
+    """The q-grams of items of one q, with the items and positions of each."""
 
-    def __init__(self, rows: list[tuple[int, str]], budget: float = BUDGET):
-        self.items: list[Item] = []
-        self.short: list[tuple[int, bytes]] = []
-        codes, item, at = [], [], []
-        for item_id, text in rows:
-            data = normalized(text)
-            m = len(data)
-            if m < Q:
-                if m:
-                    self.short.append((item_id, data))
-                continue
-            edits = min(int(budget * m), (m - Q) // Q)
-            codes.append(grams(data))
-            item.append(np.full(m - Q + 1, len(self.items)))
-            at.append(np.arange(m - Q + 1))
-            self.items.append(Item(item_id, data, edits, m - Q + 1 - Q * edits, (2 * edits).bit_length()))
-        code = np.concatenate(codes) if codes else np.zeros(0, "<u8")
+    def __init__(self, q: int, items: list[Item]):
+        self.q, self.items = q, items
+        codes = [grams(codes_of(i.data), q) for i in items]
+        item = np.repeat(np.arange(len(items)), [len(c) for c in codes])
+        at = np.concatenate([np.arange(len(c)) for c in codes])
+        code = np.concatenate(codes)
         order = np.argsort(code, kind="stable")
         self.codes, self.first, self.many = np.unique(code[order], return_index=True, return_counts=True)
-        self.item = np.concatenate(item)[order].astype(np.int32) if item else np.zeros(0, np.int32)
-        self.at = np.concatenate(at)[order].astype(np.int32) if at else np.zeros(0, np.int32)
-        self.shift = np.array([i.shift for i in self.items], np.int32)[self.item] if item else np.zeros(0, np.int32)
-        self.longest = max((len(i.data) for i in self.items), default=0)
-        self.thinnest = min((i.shift for i in self.items), default=0)
-        self.least = np.array([i.least for i in self.items], np.int64)
+        self.item, self.at = item[order].astype(np.int32), at[order].astype(np.int32)
+        self.shift = np.array([i.shift for i in items], np.int32)[self.item]
+        self.longest, self.thinnest = max(len(i.data) for i in items), min(i.shift for i in items)
+        self.least = np.array([i.least for i in items], np.int64)
         self.screen = np.zeros(1 << SCREEN_BITS, bool)
         self.screen[(self.codes * SPREAD) >> np.uint64(64 - SCREEN_BITS)] = True
 
-    def bands(self, data: bytes) -> list[tuple[int, int]]:
+    def bands(self, codes: np.ndarray) -> Iterator[tuple[Item, int]]:
         """(item, half band) whose q-grams, with the next half's, are enough."""
-        code = grams(data)
-        if not len(code) or not len(self.codes):
-            return []
+        code = grams(codes, self.q)
+        if not len(code):
+            return
         at = np.flatnonzero(self.screen[(code * SPREAD) >> np.uint64(64 - SCREEN_BITS)])
         found = np.minimum(np.searchsorted(self.codes, code[at]), len(self.codes) - 1)
         same = self.codes[found] == code[at]
-        at, found = at[same], found[same]
+        at, found = at[same].astype(np.int32), found[same]
         many = self.many[found]
-        total = int(many.sum())
-        if not total:
-            return []
-        post = np.repeat(self.first[found] - np.cumsum(many) + many, many) + np.arange(total)
+        end = np.cumsum(many)
+        if not len(end):
+            return
         # diagonals from 1 up: the lowest one is minus the longest item
         low = (self.longest >> self.thinnest) + 2
-        stride = low + (len(data) >> self.thinnest) + 2
-        half = (np.repeat(at.astype(np.int32), many) - self.at[post]) >> self.shift[post]
-        key = self.item[post].astype(np.int64) * stride + (half + low)
-        if stride * len(self.items) <= 16 * total + 4096:
-            count = np.bincount(key, minlength=stride * len(self.items) + 1)
+        stride = low + (len(codes) >> self.thinnest) + 2
+        total, cells = int(end[-1]), stride * len(self.items)
+        few = cells <= 16 * min(total, SLICE) + 4096
+        count, keys, sums = np.zeros(cells + 1, np.int64) if few else None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        i = 0
+        while i < len(at):
+            j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + SLICE, side="right")))
+            n = many[i:j]
+            post = np.repeat(self.first[found[i:j]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            half = (np.repeat(at[i:j], n) - self.at[post]) >> self.shift[post]
+            key = self.item[post].astype(np.int64) * stride + (half + low)
+            if few:
+                count += np.bincount(key, minlength=cells + 1)
+            else:
+                key, n = np.unique(key, return_counts=True)
+                keys, where = np.unique(np.concatenate([keys, key]), return_inverse=True)
+                sums = np.bincount(where, np.concatenate([sums, n])).astype(np.int64)
+            i = j
+        if few:
             both = count[:-1] + count[1:]
             hit = np.flatnonzero(both.reshape(-1, stride) >= self.least[:, None])
         else:
-            key, n = np.unique(key, return_counts=True)
-            starts = np.unique(np.concatenate([key, key - 1]))
-            count = lambda k: np.where(key[at := np.minimum(np.searchsorted(key, k), len(key) - 1)] == k, n[at], 0)
-            hit = starts[count(starts) + count(starts + 1) >= self.least[np.maximum(starts, 0) // stride]]
-        return [(int(k // stride), int(k % stride) - low) for k in hit]
+            starts = np.unique(np.concatenate([keys, keys - 1]))
+            own = lambda k: np.where(keys[p := np.minimum(np.searchsorted(keys, k), len(keys) - 1)] == k, sums[p], 0)
+            hit = starts[own(starts) + own(starts + 1) >= self.least[np.maximum(starts, 0) // stride]]
+        for k in hit:
+            yield self.items[int(k // stride)], int(k % stride) - low
+
+
+class Index:
+    """The items of a block of the benchmark, by the q of their q-grams."""
+
+    def __init__(self, rows: list[tuple[int, str]], budget: float = BUDGET):
+        self.short: list[tuple[int, str]] = []
+        by_q: dict[int, list[Item]] = {}
+        for item_id, text in rows:
+            data = normalized(text)
+            m = len(data)
+            edits = int(budget * m)
+            if m < Q and not edits:
+                if m:
+                    self.short.append((item_id, data))
+                continue
+            q = max(1, min(Q, m // (edits + 1)))
+            by_q.setdefault(q, []).append(Item(item_id, data, edits, m - q + 1 - q * edits, (2 * edits).bit_length()))
+        self.grams = [Grams(q, items) for q, items in sorted(by_q.items(), reverse=True)]
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """The best passage for each item that has one: (item_id, start, end, edits), in bytes of the normalized text."""
+        """The best passage for each item that has one: (item_id, start, end, edits), in characters of the normalized text."""
         data = normalized(text)
+        codes = codes_of(data)
         best: dict[int, tuple[int, int, int]] = {}
-        for i, half in self.bands(data):
-            item = self.items[i]
-            if item.item_id in best and best[item.item_id][0] == 0:
-                continue
-            low, high = half << item.shift, ((half + 2) << item.shift) - 1
-            found = align(item.data, data, low, high, item.edits)
-            if found and (item.item_id not in best or found < best[item.item_id]):
-                best[item.item_id] = found
+        for g in self.grams:
+            for item, half in g.bands(codes):
+                if item.item_id in best and best[item.item_id][0] == 0:
+                    continue
+                low, high = half << item.shift, ((half + 2) << item.shift) - 1
+                found = align(item.data, data, low, high, item.edits)
+                if found and (item.item_id not in best or found < best[item.item_id]):
+                    best[item.item_id] = found
         for item_id, part in self.short:
             if (s := data.find(part)) >= 0:
                 best[item_id] = min(best.get(item_id, (9**9, 0, 0)), (0, s, s + len(part)))
@@ -134,7 +179,7 @@ def _rows(item: np.ndarray, text: np.ndarray, low: int, high: int, ends: bool, e
     falls, so the alignment ends early when it is beyond ``edits``.
     """
     m, width = len(item), high - low + 1
-    pad = np.full(m + width + abs(low) + 1, 256, np.int16)
+    pad = np.full(m + width + abs(low) + 1, -1, np.int32)
     padded = np.concatenate([pad, text, pad])
     base = len(pad) + low
     step = np.arange(width)
@@ -148,7 +193,7 @@ def _rows(item: np.ndarray, text: np.ndarray, low: int, high: int, ends: bool, e
     return row, low
 
 
-def align(item: bytes, data: bytes, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
+def align(item: str, data: str, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best passage whose path keeps to the diagonals, or None beyond ``edits``."""
     a, b = max(0, low), min(len(data), high + len(item) + edits)
     s = data.find(item, a, b)
@@ -156,7 +201,7 @@ def align(item: bytes, data: bytes, low: int, high: int, edits: int) -> tuple[in
         return 0, s, s + len(item)
     if edits == 0:
         return None
-    x, y = np.frombuffer(item, np.uint8).astype(np.int16), np.frombuffer(data, np.uint8)[a:b].astype(np.int16)
+    x, y = codes_of(item).astype(np.int32), codes_of(data[a:b]).astype(np.int32)
     row, first = _rows(x, y, low - a, high - a, False, edits)
     where = np.arange(len(row)) + first + len(x)
     row = np.where((where >= 0) & (where <= len(y)), row, 1 << 30)
@@ -175,10 +220,12 @@ LEAKS = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
 def find_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Adds ``leaks`` to ``docs``: the best passage for each benchmark item that the text holds within its edit budget.
 
-    ``benchmark``: (item_id, text). Texts are compared in lower case with white space collapsed, byte by byte; items
-    shorter than Q bytes must occur unchanged, and empty or null items and items with a null id match nothing. A null or
-    empty text has an empty array. Rows are kept as they are, repeated ones included; a column ``leaks`` is replaced.
-    The benchmark comes in blocks of about ``block_bytes``, each broadcast once and held against all documents.
+    ``benchmark``: (item_id, text). Texts are compared in lower case with white space collapsed, character by character;
+    a passage may have ``budget`` of an item's characters as edits, rounded down. Empty or null items and items with a null
+    id match nothing. A null or empty text has an empty array. Rows are kept as they are, repeated ones included; a column
+    ``leaks`` is replaced. The benchmark comes in blocks of about ``block_bytes``, each broadcast once and held against all
+    documents; after CHAIN blocks the documents are written. Equal q-grams are counted in slices, so that a repetitive text
+    and a repetitive item take bounded memory.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -199,6 +246,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, bl
                 yield b
 
         out = out.mapInPandas(scan, schema)
+        if k % CHAIN == CHAIN - 1 and k + 1 < blocks:
+            out = cut(out)
     return out
 
 

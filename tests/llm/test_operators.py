@@ -135,10 +135,58 @@ def test_alignment_agrees_with_brute_force():
             x[k : k + 1] = rng.choice(["", "z", "zz"])
         text = "".join(rng.choices("xyz", k=rng.randint(0, 20))) + "".join(x) + "".join(rng.choices("xyz", k=9))
         want = min(edit(item, text[i:j]) for i in range(len(text)) for j in range(i, min(len(text), i + 46) + 1))
-        got = decontam.align(item.encode(), text.encode(), -10, 40, 8)
+        got = decontam.align(item, text, -10, 40, 8)
         assert got and got[0] == want and edit(item, text[got[1] : got[2]]) == want
 
 
+def least_edits(item, text):
+    """The least number of edits between an item and any passage of a text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_decontamination_agrees_with_brute_force(spark):
+    """Items of 1 to 90 characters, passages with about as many edits as the budget has, letters of several bytes."""
+    rng = random.Random(11)
+    items = ["".join(rng.choices("abcdé日 ", k=n)).strip() or "a" for n in (1, 5, 7, 8, 9, 10, 14, 19, 20, 25, 29, 30, 33, 39, 40, 55, 80, 90)]
+    texts = []
+    for item in items:
+        for edits in (0, 1, 2, 3, 4, 8, 10):
+            x = list(item)
+            for _ in range(edits):
+                k = rng.randrange(max(1, len(x)))
+                x[k : k + 1] = rng.choice(["", "z", "zy"])
+            texts.append("".join(rng.choices("vwxyz ", k=rng.randint(0, 30))) + "".join(x) + "".join(rng.choices("vwxyz ", k=rng.randint(0, 30))))
+    norm = [decontam.normalized(x) for x in items]
+    want = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(norm):
+            if item and (n := least_edits(item, decontam.normalized(text))) <= int(0.1 * len(item)):
+                want[d, i] = n
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for size in (1 << 20, 60):
+        found = decontam.find_leaks(docs, bench, block_bytes=size).collect()
+        assert {(r.doc_id, x.item_id): x.edits for r in found for x in r.leaks} == want
+    norms = [decontam.normalized(x) for x in texts]
+    assert all(edit(norm[x.item_id], norms[r.doc_id][x.start : x.end]) == x.edits for r in found for x in r.leaks)
+    assert len(want) > 60
+
+
+def test_repetitive_texts_are_counted_in_slices(monkeypatch):
+    item = "-" * 300 + " end"
+    index = decontam.Index([(1, item), (2, "-" * 200)])
+    text = "x " + "-" * 3000 + " end"
+    whole = index.leaks(text)
+    monkeypatch.setattr(decontam, "SLICE", 1000)
+    assert index.leaks(text) == whole == [(1, 2702, 3006, 0), (2, 2, 202, 0)]
+
+
 @pytest.mark.parametrize("n", [8, 3, 1])
 def test_sharding(corpus, n):
     got = sharding.shard_documents(corpus, n).toPandas()
