@@ -122,7 +122,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         )
         .select("host", "path", "best.rule", "best.verdict")
     )
-    return judged.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    # URLs without a host fit nothing and stay out of the join, where they would share one key
+    hosted = judged.where("host <> ''").join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    bare = judged.where("host = ''").withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+    return hosted.unionByName(bare)
 
 
 #: The rules of the registered query: (host, path, verdict).
