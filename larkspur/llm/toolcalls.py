@@ -110,13 +110,13 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     ones, a result follows its call, and what a call waits for comes before it; null for orphans and cycles. Sorting by
     (conv_id, level, turn) is a topological order. Calls that are waited for but unknown are ignored. problems: arguments
     that are no JSON object, unknown tools, and fields that miss their schema. json: sorted keys; arguments that are not
-    JSON stay a string. Null identifiers link with nothing; other columns are ignored; empty tables give no rows.
+    JSON stay a string. Null identifiers and null conversations link with nothing; other columns are ignored; empty tables give no rows.
     """
     calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "after")
     results = results.select("conv_id", "turn", "call_id", "content")
     first = calls.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "name", "arguments")).alias("c"))
     answer = results.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
-    linked = cut(first.join(answer, ["conv_id", "call_id"], "full").join(_levels(calls.where("call_id IS NOT NULL")), ["conv_id", "call_id"], "left"))
+    linked = cut(first.join(answer.hint("shuffle_hash"), ["conv_id", "call_id"], "full").join(_levels(calls.where("call_id IS NOT NULL")), ["conv_id", "call_id"], "left"))
 
     fields = F.array_sort(F.collect_list(F.struct("field", "type", "required", "least", "most"))).alias("fields")
     known = schemas.groupBy("name").agg(fields)
@@ -130,9 +130,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
         .select(
             "conv_id", "turn", F.lit("call").alias("kind"), "call_id", "name",
             F.when(F.col("c").isNotNull() & (F.struct("turn", "name", "arguments") != F.col("c")), "duplicate")
-            .when(F.col("call_id").isNotNull() & F.col("level").isNull(), "cycle")
+            .when(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & F.col("level").isNull(), "cycle")
             .when(F.col("r").isNotNull() & (F.col("r.turn") >= F.col("turn")), "linked").otherwise("unanswered").alias("status"),
-            F.when(F.col("call_id").isNull(), 0).otherwise(F.col("level") * 2).cast("int").alias("level"),
+            F.when(F.col("call_id").isNull() | F.col("conv_id").isNull(), 0).otherwise(F.col("level") * 2).cast("int").alias("level"),
             F.when(F.col("map").isNull(), F.array(F.lit("arguments: not an object")))
             .when(F.col("fields").isNull(), F.array(F.lit("name: unknown tool")))
             .otherwise(_problems(F.col("fields"), F.col("map"))).alias("problems"),
@@ -162,7 +162,8 @@ SCHEMAS = [("reply", "prompt", "string", True, 1, 400), ("configure", "instructi
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Turns as tool calls: a user turn calls ``reply``, the assistant turn behind it is the result; a user turn waits for the
-    one two turns before it; a system turn calls ``configure``, which nothing answers."""
+    one two turns before it; a system turn calls ``configure``, which nothing answers. Turns of any other role, or of none, are
+    results without an identifier, orphans."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     ident = lambda t: F.concat_ws(":", F.col("conv_id").cast("string"), t.cast("string"))
     user = turns.where("role = 'user'").select(
@@ -173,7 +174,8 @@ def query(spark, sf_dir: str) -> DataFrame:
         "conv_id", "turn", ident(F.col("turn")).alias("call_id"), F.lit("configure").alias("name"),
         F.to_json(F.struct(F.col("text").alias("instructions"))).alias("arguments"), F.array().cast("array<string>").alias("after"),
     )
-    results = turns.where("role = 'assistant'").select("conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    answers = turns.where("role IS NULL OR role NOT IN ('user', 'system')")
+    results = answers.select("conv_id", "turn", F.when(F.col("role") == "assistant", ident(F.col("turn") - 1)).alias("call_id"), F.col("text").alias("content"))
     schemas = spark.createDataFrame(SCHEMAS, "name string, field string, type string, required boolean, least int, most int")
     return link_tool_calls(user.unionByName(system), results, schemas).withColumn("problems", F.array_join("problems", "; "))
 
@@ -185,7 +187,8 @@ WITH RECURSIVE calls AS (
          CASE role WHEN 'user' THEN 'prompt' ELSE 'instructions' END AS field
   FROM conversations WHERE role IN ('user', 'system')
 ), results AS (
-  SELECT conv_id, turn, text, conv_id::VARCHAR || ':' || (turn - 1)::VARCHAR AS call_id FROM conversations WHERE role = 'assistant'
+  SELECT conv_id, turn, text, CASE WHEN role = 'assistant' THEN conv_id::VARCHAR || ':' || (turn - 1)::VARCHAR END AS call_id
+  FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'system')
 ), levels AS (
   SELECT c.conv_id, c.turn, c.call_id, 0 AS level FROM calls c
   WHERE c.role = 'system' OR NOT EXISTS (SELECT 1 FROM calls b WHERE b.conv_id = c.conv_id AND b.turn = c.turn - 2)
@@ -203,6 +206,6 @@ FROM calls c JOIN levels l ON l.call_id = c.call_id
 UNION ALL
 SELECT r.conv_id, r.turn, 'result', r.call_id, c.name, CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END,
        (2 * l.level + 1)::INTEGER, '',
-       '{"call_id":"' || r.call_id || '","content":' || coalesce(to_json(r.text)::VARCHAR, 'null') || ',"kind":"result","turn":' || r.turn::VARCHAR || '}'
+       '{"call_id":' || coalesce('"' || r.call_id || '"', 'null') || ',"content":' || coalesce(to_json(r.text)::VARCHAR, 'null') || ',"kind":"result","turn":' || r.turn::VARCHAR || '}'
 FROM results r LEFT JOIN calls c ON c.call_id = r.call_id LEFT JOIN levels l ON l.call_id = r.call_id
 """
