@@ -82,6 +82,21 @@ def test_tool_calls(spark):
     assert next(r.json for r in rows if r.call_id == "a" and r.turn == 0) == '{"arguments":{"a":"x","n":1},"call_id":"a","kind":"call","name":"f","turn":0}'
 
 
+def test_tool_calls_of_empty_tables_odd_roles_and_long_texts(spark, tmp_path):
+    calls = spark.createDataFrame([], "conv_id long, turn long, call_id string, name string, arguments string, after array<string>")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    schemas = spark.createDataFrame(toolcalls.SCHEMAS, "name string, field string, type string, required boolean, least int, most int")
+    assert toolcalls.link_tool_calls(calls, results, schemas).count() == 0
+    turns = [(1, 0, "user", "x" * 2_000_000), (1, 1, "assistant", None), (1, 2, "tool", "t"), (1, 3, None, None), (2, 0, "developer", ""), (None, 0, "user", "")]
+    path = str(tmp_path)
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({"c": F.lit(1), "r": F.lit(2), "level": F.lit(3)}).write.parquet(f"{path}/conversations.parquet")
+    got = {(r.conv_id, r.turn): (r.kind, r.status, r.problems) for r in toolcalls.query(spark, path).collect()}
+    assert got == {
+        (1, 0): ("call", "linked", "prompt: too long"), (1, 1): ("result", "linked", ""), (1, 2): ("result", "orphan", ""), (1, 3): ("result", "orphan", ""),
+        (2, 0): ("result", "orphan", ""), (None, 0): ("call", "unanswered", "prompt: too short"),
+    }
+
+
 def test_levels_agree_with_brute_force(spark):
     rng = random.Random(3)
     rows, want = [], {}
@@ -198,6 +213,14 @@ def test_sharding(corpus, n):
     assert all(zlib.crc32((texts[int(i)] or "").encode()) == c and len((texts[int(i)] or "").encode()) + 1 == z for i, c, z in zip(known.doc_id, known.text_crc32, known["size"]))
 
 
+def test_sources_of_one_prefix_are_told_apart(spark):
+    rows = spark.createDataFrame([(i, "x", None, f"https://h{i % 7}") for i in range(70)] + [(99, "y", "en", None)], "doc_id long, text string, lang string, source string")
+    got = sharding.points_of(rows).toPandas()
+    assert got.set_index("doc_id").d1.loc[99] == 0 and got["size"].eq(2).all()
+    ranks = sharding._ranked(rows, "source", "rank").toPandas().set_index("doc_id")["rank"]
+    assert [ranks[i] for i in range(7)] == [1, 2, 3, 4, 5, 6, 7] and ranks[99] == 0
+
+
 def test_sharding_is_even(spark, empty):
     rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same text").otherwise(F.repeat(F.lit("x"), (F.col("id") % 50).cast("int"))).alias("text"), F.lit("a").alias("lang"), F.lit(None).cast("string").alias("source"))
     size = sharding.shard_documents(rows).groupBy("shard").agg(F.sum("size").alias("s")).toPandas().s
@@ -309,6 +332,23 @@ def test_near_duplicates(corpus, empty):
     assert dartminhash.near_duplicates(empty).count() == 0 and dartminhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_keeps_columns_of_any_name(spark):
+    rows = [(2, "a b c d e f", 1, 2, 3), (1, "A b c d e f!", 4, 5, 6), (1, "A b c d e f!", 4, 5, 6), (None, "a b c d e f", 7, 8, 9), (5, None, 0, 0, 0), (6, "!", 0, 0, 0), (6, "!", 0, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_same int, stay_id int, stay_key int")
+    kept = dartminhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[4], rows[5], rows[6]], key=str)
+
+
+def test_a_large_component_beside_outsiders(spark):
+    """Members of the largest component of a bucket meet only those of others; all links are still found."""
+    rng = random.Random(4)
+    w = words(rng, 60).split()
+    copies = [" ".join(w[:i] + [f"x{i}"] + w[i + 1 :]) for i in range(0, 60, 2)]
+    docs = spark.createDataFrame(list(enumerate(copies + [words(rng, 60) for _ in range(5)])), "doc_id long, text string")
+    assert sorted(r.class_id for r in dartminhash.near_duplicates(docs).collect()) == [0] * 30 + list(range(30, 35))
+
+
 def test_near_duplicates_that_meet_in_one_band(spark):
     rng = random.Random(1598)
     w = words(rng, 50).split()
@@ -351,6 +391,25 @@ def test_mix(corpus, empty, spark):
     assert mixing.plan_mix(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
 
 
+def test_mix_takes_what_the_plan_says(spark):
+    """Null ids and repeated rows: each row's number of copies in the mix is that of the plan."""
+    rng = random.Random(12)
+    rows = [(None, words(rng, rng.randint(1, 30)), "a") for _ in range(60)] + [(i, words(rng, rng.randint(1, 30)), "b") for i in range(60)]
+    rows += [(7, rows[67][1], "b")] * 9 + [(None, None, "a"), (None, "", None), (900, "x y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"size": F.lit(1), "copies": F.lit(2), "salt": F.lit(3)})
+    plan, mixed = mixing.plan_mix(docs).toPandas(), mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns
+    per = mixed.groupBy(F.coalesce("source", F.lit("")).alias("s")).agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).toPandas().set_index("s").n
+    assert (per.sort_index() == plan[plan.copies > 0].groupby("source_key").taken.sum().sort_index()).all()
+    assert mixed.count() == plan.copies.sum()
+
+
+def test_mix_of_many_sources(spark, monkeypatch, corpus):
+    want = sorted(r.doc_id or -1 for r in mixing.mix_documents(corpus).collect())
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 0)
+    assert sorted(r.doc_id or -1 for r in mixing.mix_documents(corpus).collect()) == want
+
+
 def test_tokens(spark, corpus, empty, monkeypatch):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
