@@ -64,8 +64,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     of these names lose theirs. Null URLs and URLs without ``://`` have an empty host and path and fit no rule.
     Rules with a null or empty host fit nothing; a null path is the empty prefix. Rows are never dropped or merged.
 
-    Distinct (host, path) pairs are judged once, so a hot host costs one row for each of its paths. The lengths of
-    the listed paths come to the driver: as many as the longest listed path has characters at most.
+    Distinct (host, path) pairs are judged once, so a hot host costs one row for each of its paths. Of a host only the last
+    labels are looked up, as many as the longest listed host has. The lengths of the listed paths come to the driver: as
+    many as the longest listed path has characters at most.
     """
     rules = (
         rules.where("host IS NOT NULL AND host <> ''")
@@ -78,8 +79,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         .agg(F.min("rule_verdict").alias("rule_verdict"))
         .withColumn("key", F.concat_ws("\u0001", "rule_host", "rule_path"))
     )
-    stats = rules.agg(F.count("*"), F.collect_set(F.length("rule_path"))).first()
-    n_rules, lengths = stats[0], sorted(stats[1])
+    stats = rules.agg(F.count("*"), F.collect_set(F.length("rule_path")), F.max(F.size(F.split("rule_host", "[.]")))).first()
+    n_rules, lengths, most = stats[0], sorted(stats[1]), stats[2]
     judged = pages.drop("host", "path", "rule", "verdict").withColumn("host", url_host(F.col(url))).withColumn("path", url_path(F.col(url)))
     if not n_rules:
         return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
@@ -88,7 +89,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
 
     labels = F.split("host", "[.]")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - (most or 0) + 1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     prefixes = F.transform(
