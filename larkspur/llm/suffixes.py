@@ -32,8 +32,9 @@ PERIOD = ORDER * ORDER + ORDER + 1
 PIECE = 384 << 10
 #: Bytes of names in a range of hashes, and ranges at least.
 RANGE_BYTES, RANGES = 5 << 20, 64
-#: 64-bit words of the Bloom filter that keeps texts without repeated blocks out of the second shuffle: 16 bytes each.
-BLOOM_WORDS = 1 << 17
+#: 64-bit words of the Bloom filter that keeps texts without repeated blocks out of the second shuffle, 16 bytes each: one for
+#: every four of them, between these bounds. Beyond the upper one (16 MB) it lets more texts pass, none is lost.
+BLOOM_WORDS, MAX_BLOOM_WORDS = 1 << 17, 1 << 20
 
 _ONE, _TWO = Powers(0x9E3779B97F4A7C15), Powers(0xD1342543DE82EF95)
 
@@ -267,7 +268,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     blocks = cut(blocks, 256)
 
     slot = F.shiftrightunsigned(F.xxhash64("key"), 6)
-    word, bit = F.pmod(slot, F.lit(BLOOM_WORDS)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64("key").bitwiseAND(F.lit(63)).cast("int"))
+    word, bit = F.pmod(slot, F.lit(min(MAX_BLOOM_WORDS, max(BLOOM_WORDS, blocks.count() // 4)))).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64("key").bitwiseAND(F.lit(63)).cast("int"))
     bloom = blocks.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     texts = base.select("text", _key()).withColumn("word", word).join(F.broadcast(bloom), "word").where(F.col("bits").bitwiseAND(bit) != 0)
     texts = texts.groupBy("key").agg(F.any_value("text").alias("text"), F.count("*").alias("copies")).join(blocks, "key")
