@@ -136,6 +136,8 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
         discard(old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out.cut_path = e.cut_path
+            return out
         state = now
     raise RuntimeError(f"components are not complete after {rounds} rounds")

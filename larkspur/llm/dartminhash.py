@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import GOLDEN, components, cut, mix
+from larkspur.llm.common import GOLDEN, components, cut, discard, mix
 from larkspur.llm.shingles import cells
 
 #: Coordinates of a signature; BANDS * ROWS of them are used.
@@ -160,7 +160,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     active = cut(all_rows.join(full, "bucket").select("bucket", "key", "n"))
     # the text that meets most others comes first: in a group of near copies the one they were made of
     meets = active.groupBy("key").agg(F.sum("n").alias("meets"))
-    active = cut(active.join(meets, "key").select("bucket", "key", (-F.col("meets")).alias("turn"), F.col("key").alias("root")))
+    counted, active = active, cut(active.join(meets, "key").select("bucket", "key", (-F.col("meets")).alias("turn"), F.col("key").alias("root")))
+    discard(counted)
     wanted = active.select("key").distinct()
     sets = cut(texts.select("key", "text").join(wanted, "key").dropDuplicates(["key"]).mapInPandas(_cells_of, "key binary, cells binary"))
     n_keys = keys.count()
@@ -196,15 +197,20 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
         found = cut(
             pairs.join(a_cells, "a").join(b_cells, "b").select("a", "b", "a_cells", "b_cells").mapInPandas(_similar(threshold), "a binary, b binary")
         )
+        discard(pairs)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
+            discard(roots)
             roots = components(links)
         if last:
             break
+        old = active, pick
         active = open_.where("key <> center").drop("center", "center_root")
         if roots is not None:
             active = active.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         active = cut(active)
+        discard(*old)
+    discard(active)
     if roots is None:
         roots = rows.select(F.col("key").alias("node"), F.col("key").alias("root")).limit(0)
     return rows, roots

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut
+from larkspur.llm.common import cut, discard
 
 #: Bins of a histogram pass; a pass sends at most this many rows for each open node to the driver.
 BINS = 512
@@ -116,6 +116,7 @@ def kd_assign(points: DataFrame, shards: int, dimensions: int = 3, tolerance: fl
     dims = [f"d{i}" for i in range(dimensions)]
     out = points.withColumn("node", F.lit(0)).withColumn("first", F.lit(0)).withColumn("many", F.lit(shards))
     scale: list[float] | None = None
+    written: DataFrame | None = None
     while True:
         stats = (
             out.where("many > 1").groupBy("node", "first", "many")
@@ -163,6 +164,8 @@ def kd_assign(points: DataFrame, shards: int, dimensions: int = 3, tolerance: fl
             )
         )
         out = cut(out)
+        discard(written)
+        written = out
 
 
 def number_rows(rows: DataFrame, by: str, key: str, into: str, ranges: int) -> DataFrame:
