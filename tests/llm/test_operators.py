@@ -479,6 +479,23 @@ def test_language(spark, corpus, empty):
     assert langid.identify(empty, model).count() == 0 and langid.identify(corpus, langid.fit(empty)).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_of_held_out_documents(spark):
+    """Accuracy on documents that were not learned from, clashing columns, ties and repeated rows."""
+    rng = random.Random(21)
+    letters = {"aa": "abcdefgh", "bb": "ghijklmn", "cc": "абвгде"}
+    rows = [(i, words(rng, rng.randint(3, 60), letters[k]), k) for i, k in ((i, rng.choice(list(letters))) for i in range(900))]
+    docs = spark.createDataFrame(rows + rows[:50] + [(None, "abc", "bb"), (950, "abc", None), (951, None, "aa")], "doc_id long, text string, lang string")
+    docs = docs.withColumns({"lang_pred": F.lit("clash"), "score": F.lit(7), "spans": F.lit(1)})
+    model = langid.fit(docs)
+    assert model.langs == ["aa", "bb", "cc"]
+    got = langid.identify(docs, model).withColumn("held", langid.held_out()).where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").toPandas()
+    held = got[got.held]
+    assert len(got) == 950 and len(held) > 200 and (held.lang == held.lang_pred).mean() > 0.97
+    learned = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1]
+    tie = langid.fit(spark.createDataFrame([(learned[0], "abc", "yy"), (learned[1], "abc", "xx")], "doc_id long, text string, lang string"))
+    assert tie.langs == ["xx", "yy"] and tie.usual == 0
+
+
 def test_viterbi_agrees_with_brute_force():
     import itertools
 
@@ -528,3 +545,47 @@ def test_pipeline(spark, tmp_path, corpus):
     got = corpus_pipeline.run(spark, path).toPandas()
     assert not {5, 200} & set(got.doc_id) and set(got.doc_id) <= set(range(60)) and got.groupby("doc_id").size().max() <= 2
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "mixing", "sharding"]
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null, empty, very long and repeated texts, null ids and sources; then an empty table."""
+    import corpus_pipeline
+
+    rng = random.Random(16)
+    item = words(rng, 30)
+    rows = [(i, words(rng, 40), "en", f"s{i % 2}", 1) for i in range(40)]
+    rows += [(50, None, None, None, None), (51, "", "", "", 0), (52, words(rng, 200_000), "en", None, 1), (53, "!!! 123", "en", "s0", 1), (None, words(rng, 40), "en", "s1", 1), rows[3], rows[3]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, data in (("odd", rows), ("none", [])):
+        path = str(tmp_path / name)
+        spark.createDataFrame(data, schema).withColumns({"size": F.lit(1), "stay_id": F.lit(2)}).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, path)
+            assert out.columns == docs.columns
+            out.write.parquet(f"{path}/{stage.__name__}")
+            docs = spark.read.parquet(f"{path}/{stage.__name__}")
+        got = corpus_pipeline.run(spark, path).toPandas()
+        assert sorted(got.doc_id.dropna()) == sorted(r.doc_id for r in docs.collect() if r.doc_id is not None)
+        assert got.empty if not data else set(got.doc_id.dropna()) <= {*range(40), 52} and got.groupby("doc_id").size().max() <= 2
+
+
+def test_a_text_of_over_a_megabyte(spark, tmp_path):
+    rng = random.Random(17)
+    long = words(rng, 220_000)
+    assert len(long) > 1_000_000
+    item = " ".join(long.split()[150_000:150_030])
+    data = [(1, long, "en", "a"), (2, long[:-4] + "tail", "en", "a"), (3, words(rng, 50), "en", "b")]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert {r.doc_id for r in decontam.find_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).where("size(leaks) > 0").collect()} == {1, 2}
+    assert {r.doc_id: r.class_id for r in dartminhash.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert mixing.plan_mix(docs).agg(F.sum("size")).first()[0] == sum(len(r[1].split()) for r in data)
+    assert sharding.shard_documents(docs, 2).groupBy("shard").count().count() == 2
+    assert langid.identify(docs, langid.fit(docs)).where("lang_pred = 'en'").count() == 3
+    removed = {r.doc_id: r.n_removed for r in suffixes.repeated_strings(docs).collect()}
+    assert removed[3] == 0 and removed[1] >= len(long) - 8 and removed[2] == removed[1]
+    pages = spark.createDataFrame([(1, "h://a.b.com/" + "x" * 1_200_000), (2, "h://" + "y" * 1_200_000), (3, "h://" + "a." * 300_000 + "net/es/1")], "page_id long, url string")
+    rules = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
+    assert {r.page_id: r.rule for r in urls.filter_urls(pages, rules).collect()} == {1: "com/", 2: None, 3: "net/es/"}
