@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from larkspur.functions import significance, text
-from larkspur.operators import diff, merge, quality, queue, stats
+from larkspur.operators import accounts, diff, merge, quality, queue, stats
 from larkspur.plans import workflows
 from larkspur.plans.base import BARE, CHANGED, FIELDS, NOW, at, query
 from larkspur.plans.config import Settings, from_env
@@ -595,3 +595,76 @@ def _(s, d):
     log = feed.open_log(s, f"{d}/events*.parquet", t.read(s, d, "events").schema)
     out = feed.notifications(log.select(F.col("event_type").alias("type"), F.col("event_id").alias("id"), F.col("user_id").alias("property_id")))
     return feed.landed(out, f"{shared_dir(s)}/larkspur/feeds/{uuid.uuid4().hex}")
+
+
+def _log(s, d):
+    log = feed.open_log(s, f"{d}/events*.parquet", t.read(s, d, "events").schema)
+    return log.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("first_events", "SELECT DISTINCT user_id, event_type FROM events", False)
+def _(s, d):
+    """An extension: duplicates within a watermark go; the first of each user and type is landed."""
+    log = _log(s, d)
+    return feed.landed(feed.first_events(log, ["user_id", "event_type"]).select("user_id", "event_type"), f"{shared_dir(s)}/larkspur/feeds/{uuid.uuid4().hex}")
+
+
+@query("session_windows", """
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*)::BIGINT AS n FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM (
+    SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events))
+GROUP BY user_id, island HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""", False)
+def _(s, d):
+    """An extension: sessions of each user that the watermark has closed."""
+    log = _log(s, d)
+    return feed.landed(feed.sessions(log, "user_id"), f"{shared_dir(s)}/larkspur/feeds/{uuid.uuid4().hex}")
+
+
+# accounts
+
+_ACCOUNTS = f"""
+WITH users AS (SELECT c_custkey AS user_id, c_custkey % 4 AS login_count, TIMESTAMP '1995-01-01' AS last_login, c_custkey % 9 > 0 AS is_active FROM customer),
+sessions AS (SELECT o_orderkey AS id, o_custkey AS user_id, CASE WHEN o_orderkey % 11 > 0 THEN o_orderdate END AS expires_at FROM orders)"""
+
+
+def _users(s, d):
+    k = F.col("c_custkey")
+    return t.read(s, d, "customer").select(k.alias("user_id"), (k % 4).alias("login_count"), at("1995-01-01").alias("last_login"), (k % 9 > 0).alias("is_active"))
+
+
+def _visits(s, d):
+    return t.read(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.when(F.col("o_orderkey") % 11 > 0, F.col("o_orderdate")).alias("expires_at"))
+
+
+@query("login_counts", f"""{_ACCOUNTS}
+SELECT u.user_id, any_value(login_count) + count(o.o_orderkey)::BIGINT AS login_count, greatest(any_value(last_login), max(o_orderdate)) AS last_login FROM users u LEFT JOIN orders o ON o.o_custkey = u.user_id GROUP BY u.user_id""", False)
+def _(s, d):
+    logins = t.read(s, d, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("at"))
+    return accounts.count_logins(_users(s, d), logins).select("user_id", "login_count", "last_login")
+
+
+@query("account_sessions", f"""{_ACCOUNTS}
+SELECT id, expires_at > TIMESTAMP '1996-01-01' AND user_id IN (SELECT user_id FROM users WHERE is_active) AS valid FROM sessions WHERE expires_at IS NULL OR expires_at >= TIMESTAMP '1996-01-01'""", False)
+def _(s, d):
+    now = at("1996-01-01")
+    valid = accounts.valid_sessions(_visits(s, d), _users(s, d), now).select("id", F.lit(True).alias("ok"))
+    kept = accounts.drop_expired(_visits(s, d), now)
+    hit = F.when(F.col("expires_at").isNotNull(), F.coalesce("ok", F.lit(False)))
+    # without an expiry a session of an active user is neither valid nor not
+    known = kept.join(_users(s, d).where("is_active").select("user_id", F.lit(True).alias("active")), "user_id", "left").join(valid, "id", "left")
+    return known.select("id", F.when(F.col("expires_at").isNull() & F.col("active").isNull(), False).otherwise(hit).alias("valid"))
+
+
+@query("default_rows", f"""{_ACCOUNTS}
+SELECT user_id, 'mine' AS name, 3 AS places FROM users WHERE user_id % 3 = 0 UNION ALL SELECT user_id, 'Favourites', 0 FROM users WHERE user_id % 3 > 0""", False)
+def _(s, d):
+    users = _users(s, d)
+    rows = users.where("user_id % 3 = 0").select("user_id", F.lit("mine").alias("name"), F.lit(3).alias("places"))
+    return accounts.with_defaults(users, rows, name="Favourites", places=0)
+
+
+@query("catalog_markdown", """
+SELECT 'part' AS "table", concat_ws(chr(10), '| Column | Type |', '| --- | --- |', '| p_partkey | bigint |', '| p_name | string |', '| p_brand | string |', '| p_type | string |', '| p_size | int |', '| p_retailprice | double |') AS document
+UNION ALL SELECT 'region', concat_ws(chr(10), '| Column | Type |', '| --- | --- |', '| r_regionkey | int |', '| r_name | string |')""", False)
+def _(s, d):
+    return t.markdown(t.columns_of(s, {n: t.read(s, d, n) for n in ("part", "region")}))

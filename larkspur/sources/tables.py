@@ -16,6 +16,13 @@ def columns_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table string, column string, type string, nullable boolean, position int")
 
 
+def markdown(columns: DataFrame) -> DataFrame:
+    """(table, document): the columns of each table as a Markdown table."""
+    lines = F.array_sort(F.collect_list(F.struct("position", F.concat(F.lit("| "), "column", F.lit(" | "), "type", F.lit(" |")).alias("line"))))
+    body = F.transform(lines, lambda x: x["line"])
+    return columns.groupBy("table").agg(F.array_join(F.concat(F.array(F.lit("| Column | Type |"), F.lit("| --- | --- |")), body), "\n").alias("document"))
+
+
 def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"),
