@@ -6,7 +6,7 @@ import contextlib
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.sources.shared import shared_dir
@@ -68,6 +68,19 @@ def discard(*tables: DataFrame | None) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def numbered(rows: DataFrame, *by: str) -> DataFrame:
+    """Adds ``nth``, the place of each row from 0 in the order of ``by``, which must tell the rows apart.
+
+    The rows are range-sorted and written; the counts of the sorted parts, one row each, give their offsets.
+    """
+    at = F.monotonically_increasing_id()
+    parts = cut(rows.orderBy(*by).withColumn("_at", at)).withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return parts.join(F.broadcast(offsets), "_part").select(*rows.columns, place.alias("nth"))
+
+
 # 64-bit finalizer constants (fixed values).
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut
+from larkspur.llm.common import cut, numbered
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,21 +24,22 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most
 
     ``sizes``: (source_null, source_key, source_size), one row for each source. Sources in code-point order, the null
     source last, weigh ``weights`` in turn and share ``share`` of all words; none gets more than ``most`` times its
-    size and the excess goes to the others by weight. The windows here see one row for each source only.
+    size and the excess goes to the others by weight. The level of a weight of one rises, from one number of three sums to
+    the next, until no further source is full; sources are sorted, numbered and summed on the executors.
     """
-    by_name = Window.orderBy("source_null", "source_key")
-    w = F.element_at(F.array(*[F.lit(x) for x in weights]), F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))).cast("int") + 1)
-    rows = sizes.withColumn("w", w).withColumn("most", F.col("source_size") * most)
-    fill = Window.orderBy(F.col("most") / F.col("w"), "source_null", "source_key")
-    before, after = fill.rowsBetween(Window.unboundedPreceding, -1), fill.rowsBetween(0, Window.unboundedFollowing)
-    total = F.sum("source_size").over(Window.partitionBy())
-    rows = (
-        rows.withColumn("place", F.row_number().over(fill))
-        .withColumn("level", (total * F.lit(share) - F.coalesce(F.sum("most").over(before), F.lit(0))) / F.sum("w").over(after))
-    )
-    fits = F.min_by("level", F.when(F.col("level") * F.col("w") <= F.col("most"), F.col("place"))).over(Window.partitionBy())
-    target = F.coalesce(F.least(F.col("most").cast("double"), fits * F.col("w")), F.col("most").cast("double"))
-    return rows.withColumn("target", target).select("source_null", "source_key", "source_size", "target")
+    rows = numbered(sizes, "source_null", "source_key")
+    w = F.element_at(F.array(*[F.lit(x) for x in weights]), F.pmod("nth", F.lit(len(weights))).cast("int") + 1)
+    rows = rows.withColumn("w", w).withColumn("most", F.col("source_size") * most)
+    total = rows.agg(F.sum("source_size")).first()[0] or 0
+    level, full = 0.0, None
+    while True:
+        capped = F.col("most") < F.lit(level) * F.col("w")
+        n, taken, left = rows.agg(F.count_if(capped), F.sum(F.when(capped, F.col("most")).otherwise(0)), F.sum(F.when(capped, 0).otherwise(F.col("w")))).first()
+        if n == full or not left:
+            break
+        level, full = (total * share - taken) / left, n
+    target = F.least(F.col("most").cast("double"), F.lit(float(level)) * F.col("w")) if left else F.col("most").cast("double")
+    return rows.select("source_null", "source_key", "source_size", target.alias("target"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def plan_mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: int =
     keys.
     """
     rows = _keyed(docs).select("doc_id", "source_null", "source_key", "mix_key", "mix_range", "size")
-    ranges = rows.groupBy("source_null", "source_key", "mix_range").agg(F.sum("size").alias("range_size"))
+    ranges = cut(rows.groupBy("source_null", "source_key", "mix_range").agg(F.sum("size").alias("range_size")))
     sizes = ranges.groupBy("source_null", "source_key").agg(F.sum("range_size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     order = Window.partitionBy("source_null", "source_key").orderBy("mix_range")

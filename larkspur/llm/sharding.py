@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut, discard
+from larkspur.llm.common import cut, discard, numbered
 
 #: Bins of a histogram pass; a pass sends at most this many rows for each open node to the driver.
 BINS = 512
@@ -25,15 +25,9 @@ MAX_BROADCAST_RANKS = 100_000
 
 
 def _ranked(rows: DataFrame, column: str, into: str) -> DataFrame:
-    """Adds the rank of a string among its distinct values, from 1; null is 0.
-
-    The distinct values are range-sorted; the counts of the sorted parts, one row each, give their offsets.
-    """
-    known = cut(rows.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().orderBy("v").select("v", F.monotonically_increasing_id().alias("at")))
-    known = known.select("v", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("nth"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = known.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    ranks = known.join(F.broadcast(offsets), "part").select("v", (F.col("start") + F.col("nth") + 1).cast("double").alias(into))
+    """Adds the rank of a string among its distinct values, from 1; null is 0."""
+    known = numbered(rows.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct(), "v")
+    ranks = known.select("v", (F.col("nth") + 1).cast("double").alias(into))
     if known.count() <= MAX_BROADCAST_RANKS:
         ranks = F.broadcast(ranks)
     return rows.join(ranks, rows[column] == ranks["v"], "left").drop("v", column).withColumn(into, F.coalesce(into, F.lit(0.0)))
