@@ -164,24 +164,15 @@ def listing_date(published: Column, scraped_at: Column) -> Column:
     return out
 
 
-def amenity_category(item: Column) -> Column:
-    return first_match(item, AMENITIES, "general")
-
-
 def amenity_groups(items: Column) -> Column:
     """Map of category to items; known items once, unknown ones in general as often as they occur, no empty category."""
     items = F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
-    known = lambda x: contains_any(x, [w for words in AMENITIES.values() for w in words])
+    sorted_ = F.transform(items, lambda x: F.struct(x.alias("item"), first_match(x, AMENITIES, "").alias("group")))
+    of = lambda name: F.transform(F.filter(sorted_, lambda x: x["group"] == name), lambda x: x["item"])
     entries = []
-
-    def of(name: str):
-        return lambda x: known(x) & (amenity_category(x) == name)
-
     for name in AMENITIES:
-        own = F.array_distinct(F.filter(items, of(name)))
-        if name == "general":
-            own = F.concat(own, F.filter(items, lambda x: ~known(x)))
-        entries.append(F.struct(F.lit(name).alias("key"), own.alias("value")))
+        own = F.array_distinct(of(name))
+        entries.append(F.struct(F.lit(name).alias("key"), (F.concat(own, of("")) if name == "general" else own).alias("value")))
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: F.size(e["value"]) > 0))
 
 
