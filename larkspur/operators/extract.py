@@ -224,7 +224,7 @@ def staging_rows(cards: DataFrame, base: str, now: Column, operation: Column | N
     title = text.clean_text(F.col("title"))
     kind = text.operation_type(sale) if operation is None else operation
     return cards.select(
-        "page_id", text_id(link, prefix).alias("property_id"), title.alias("title"), link.alias("source_url"), F.col("image").alias("main_image_url"),
+        "page_id", identity.property_id(link, prefix).alias("property_id"), title.alias("title"), link.alias("source_url"), F.col("image").alias("main_image_url"),
         text.price_amount(F.col("price")).alias("price"), text.price_currency(F.coalesce("price", F.lit(""))).alias("currency"), text.location(F.col("location")).alias("place"),
         count(_last(F.filter(parts, beds))).alias("bedrooms"), count(_last(F.filter(parts, lambda x: ~beds(x) & baths(x)))).alias("bathrooms"),
         F.nullif(text.area(_last(F.filter(parts, lambda x: ~beds(x) & ~baths(x) & x.contains("m²")))), F.lit(0.0)).alias("total_area_m2"),
@@ -236,10 +236,6 @@ def staging_rows(cards: DataFrame, base: str, now: Column, operation: Column | N
     ).select("*", "place.*", "contact.*").drop("place", "contact")
 
 
-def text_id(url: Column, prefix: str) -> Column:
-    return identity.property_id(url, prefix)
-
-
 # Words of the detail page and what they stand for.
 KINDS = {"departamento": "apartment", "casa": "house", "terreno": "lot", "lote": "lot"}
 DEALS = {"venta": "sale", "renta": "rent", "sale": "sale", "rent": "rent"}

@@ -495,7 +495,7 @@ def _(s, d):
 
 
 @query("queue_results", f"""
-SELECT id, CASE WHEN hit THEN CASE WHEN id % 3 = 0 THEN 'completed' ELSE 'failed' END ELSE status END AS status, CASE WHEN hit THEN TIMESTAMP '{NOW}' END AS completed_at, CASE WHEN hit AND id % 3 > 0 THEN length(repeat('x', least(1000, id % 3000))) END AS error_length
+SELECT id, CASE WHEN hit THEN CASE WHEN id % 3 = 0 THEN 'completed' ELSE 'failed' END ELSE status END AS status, CASE WHEN hit THEN TIMESTAMP '{NOW}' END AS completed_at, CASE WHEN hit AND id % 3 > 0 THEN length(repeat('x', least(1000, id % 3000)))::INTEGER END AS error_length
 FROM (SELECT *, status = 'in_progress' AND id % 3 < 2 AS hit FROM queue)""")
 def _(s, d):
     done = t.queue(s, d).where("id % 3 < 2").select("id", (F.col("id") % 3 == 0).alias("ok"), F.repeat(F.lit("x"), (F.col("id") % 3000).cast("int")).alias("error"))
