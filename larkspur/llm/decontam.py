@@ -121,14 +121,18 @@ class Grams:
                 count += np.bincount(key, minlength=cells + 1)
             else:
                 key, n = np.unique(key, return_counts=True)
-                keys, where = np.unique(np.concatenate([keys, key]), return_inverse=True)
-                sums = np.bincount(where, np.concatenate([sums, n])).astype(np.int64)
+                if len(keys):
+                    key, where = np.unique(np.concatenate([keys, key]), return_inverse=True)
+                    n = np.bincount(where, np.concatenate([sums, n])).astype(np.int64)
+                keys, sums = key, n
             i = j
         if few:
             both = count[:-1] + count[1:]
             hit = np.flatnonzero(both.reshape(-1, stride) >= self.least[:, None])
         else:
-            starts = np.unique(np.concatenate([keys, keys - 1]))
+            before = keys - 1
+            alone = np.concatenate([[True], before[1:] != keys[:-1]])
+            starts = np.sort(np.concatenate([keys, before[alone]]), kind="stable")
             own = lambda k: np.where(keys[p := np.minimum(np.searchsorted(keys, k), len(keys) - 1)] == k, sums[p], 0)
             hit = starts[own(starts) + own(starts + 1) >= self.least[np.maximum(starts, 0) // stride]]
         for k in hit:
