@@ -64,7 +64,7 @@ ICONS = Schema("icons", "div.listing__features div.feature-icon", (Field("icon",
 AMENITY_GROUPS = Schema("groups", "div.listing__amenities div.amenities-group", (
     Field("title", "div.amenities-group-title"), Field("items", "div.amenities-list li span", many=True),
 ))
-#: Another site: the same reader with another list of fields.
+# The classes of another site's cards.
 OTHER_SITE = Schema("cards", ".posting-card, .property-card, article[data-qa='posting PROPERTY']", (
     Field("title", "h2, .posting-title, .property-title"), Field("price", ".price, .posting-price, .property-price"),
     Field("location", ".location, .posting-location, .property-location"), Field("details", ".details, .posting-details, .property-details"),
