@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and the SQL that gives the same rows, where SQL can."""
 
 import corpus_pipeline
-from larkspur.llm import dartminhash, decontam, hnsw, langid, mixing, sharding, suffixes, tokens, toolcalls, urls
+from larkspur.llm import dartminhash, decontam, divergence, filters, hnsw, langid, licenses, mixing, sharding, suffixes, tokens, toolcalls, urls
 
 QUERIES = {
     "op1_url_filter": urls.query,
@@ -14,6 +14,9 @@ QUERIES = {
     "op8_token_counts": tokens.query,
     "op9_language_id": langid.query,
     "op10_suffix_dedup": suffixes.query,
+    "op11_filter_audit": filters.query,
+    "op12_source_divergence": divergence.query,
+    "op13_license_scan": licenses.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -21,4 +24,6 @@ ORACLES = {
     "op1_url_filter": urls.ORACLE_SQL,
     "op2_tool_links": toolcalls.ORACLE_SQL,
     "op7_mix_sources": mixing.ORACLE_SQL,
+    "op11_filter_audit": filters.ORACLE_SQL,
+    "op12_source_divergence": divergence.ORACLE_SQL,
 }
