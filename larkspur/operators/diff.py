@@ -16,6 +16,14 @@ def paired(new: DataFrame, old: DataFrame, key: str, fields: list[str], kept: li
     return a.join(b, key, "full").withColumns({x: F.coalesce(x, F.lit(False)) for x in ("in_new", "in_old")})
 
 
+def one_each(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row for each key, as an update that meets the key several times leaves it: the last by ``order``, or without an order
+    the one that is last as text."""
+    rest = [c for c in rows.columns if c not in (key, order)]
+    by = F.to_json(F.struct(*rest)) if order is None else F.col(order)
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), by).alias("_r")).select(key, "_r.*")
+
+
 def any_change(fields: list[str]) -> Column:
     out = F.lit(False)
     for f in fields:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import identity, text
+from larkspur.operators.diff import one_each
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _STEP = re.compile(r"^([a-z0-9]+)?((?:\.[\w-]+)*)((?:\[[^\]]+\])*)$")
@@ -335,6 +336,6 @@ def page_total(html):
 
 
 def overlay(cards: DataFrame, details: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Details over cards, field by field; a missing detail keeps the card's value."""
-    d = details.select(key, *[F.col(f).alias(f"d_{f}") for f in fields])
+    """Details over cards, field by field; a missing detail keeps the card's value. A key has one detail."""
+    d = one_each(details.select(key, *fields), key).select(key, *[F.col(f).alias(f"d_{f}") for f in fields])
     return cards.join(d, key, "left").select(*[c for c in cards.columns if c not in fields], *[F.coalesce(f"d_{f}", f).alias(f) for f in fields])

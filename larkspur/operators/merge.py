@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.identity import is_hash_id, property_id
-from larkspur.operators.diff import any_change, paired
+from larkspur.operators.diff import any_change, one_each, paired
 from larkspur.operators.quality import RECORD, completeness
 
 
@@ -33,15 +33,29 @@ def promote(staging: DataFrame, live: DataFrame, now: Column, fields: list[str],
     return out.withColumn("completeness", F.round(completeness(fields, RECORD), 2))
 
 
-def sparse_upsert(details: DataFrame, live: DataFrame, fields: list[str]) -> DataFrame:
-    """Only values that are not null overwrite; touched rows become active with no misses and priority 3."""
-    rows = paired(details, live, "id", fields, ["status", "misses", "priority"])
-    touched = F.col("in_new")
-    return rows.select(
-        "id", *[F.coalesce(f"n_{f}", f"o_{f}").alias(f) for f in fields],
-        F.when(touched, "active").otherwise(F.col("status")).alias("status"),
-        F.when(touched, 0).otherwise(F.col("misses")).alias("misses"), F.when(touched, 3).otherwise(F.col("priority")).alias("priority"),
+def _set(rows: DataFrame, hit: str, **values) -> DataFrame:
+    """``values`` where the column ``hit`` is true; a column that the rows lack is null elsewhere."""
+    have = set(rows.columns)
+    return rows.withColumns({c: F.when(F.col(hit), v).otherwise(F.col(c) if c in have else F.lit(None)) for c, v in values.items()})
+
+
+def sparse_upsert(details: DataFrame, live: DataFrame, fields: list[str], now: Column, order: str | None = None) -> DataFrame:
+    """Only values that are not null overwrite; of an id that comes several times the last value by ``order`` of each field.
+
+    Touched rows are active and listed, with no misses and priority 3, and scraped, updated and seen now; new ones are also
+    seen first. Other columns of ``live`` stay.
+    """
+    by = lambda f: F.when(F.col(f).isNotNull(), F.to_json(F.struct(f)) if order is None else F.col(order))
+    last = details.groupBy("id").agg(*[F.max_by(f, by(f)).alias(f) for f in fields])
+    kept = [c for c in live.columns if c != "id" and c not in fields]
+    rows = paired(last, live, "id", fields, kept).withColumns({f: F.coalesce(f"n_{f}", f"o_{f}") for f in fields})
+    rows = _set(
+        rows, "in_new", status=F.lit("active"), listing_status=F.lit("active"), misses=F.lit(0), priority=F.lit(3), full_scrape=now, last_updated=now,
+        updated_at=now, last_seen=now, manifest_seen=now,
     )
+    if "first_seen" in kept:
+        rows = rows.withColumn("first_seen", F.when(~F.col("in_old"), now).otherwise(F.col("first_seen")))
+    return rows.drop("in_new", "in_old", *[f"{x}_{f}" for f in fields for x in "no"])
 
 
 def insert_ignore(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -49,13 +63,18 @@ def insert_ignore(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return target.unionByName(rows.dropDuplicates([key]).join(target.select(key), key, "left_anti").select(*target.columns))
 
 
+def listed(rows: DataFrame) -> Column:
+    """Whether a live row counts as active: by listing_status, or by status where the table has no such column."""
+    return F.col("listing_status" if "listing_status" in rows.columns else "status") == "active"
+
+
 def count_misses(live: DataFrame, seen: DataFrame, now: Column) -> DataFrame:
-    """Active rows that were not seen have one miss more; seen ones with misses have none again and are seen now."""
-    rows = live.join(seen.select("id", F.lit(True).alias("seen")).distinct(), "id", "left")
-    hit = F.coalesce("seen", F.lit(False))
-    reset = hit & (F.col("misses") > 0)
-    misses = F.when(reset, 0).when(~hit & (F.col("status") == "active"), F.col("misses") + 1).otherwise(F.col("misses"))
-    return rows.select(*[c for c in live.columns if c not in ("misses", "last_seen")], misses.cast("int").alias("misses"), F.when(reset, now).otherwise(F.col("last_seen")).alias("last_seen"))
+    """Listed rows that were not seen have one miss more; seen ones with misses have none again and are seen in a manifest now."""
+    rows = live.join(seen.select("id", F.lit(True).alias("_seen")).distinct(), "id", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+    rows = rows.withColumns({"_back": F.col("_seen") & (F.col("misses") > 0), "_miss": ~F.col("_seen") & F.coalesce(listed(live), F.lit(False))})
+    misses = F.when(F.col("_back"), 0).when(F.col("_miss"), F.col("misses") + 1).otherwise(F.col("misses")).cast("int")
+    rows = _set(rows.withColumns({"misses": misses, "_any": F.col("_back") | F.col("_miss")}), "_back", manifest_seen=now)
+    return _set(rows, "_any", updated_at=now).drop("_seen", "_back", "_miss", "_any")
 
 
 def removal_verdict(url: Column, status: Column, location: Column) -> Column:
@@ -67,19 +86,23 @@ def removal_verdict(url: Column, status: Column, location: Column) -> Column:
     )
 
 
-def apply_verdicts(live: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Confirmed removals turn inactive; rows that were kept have no misses again. verdicts: (id, verdict)."""
-    rows = live.join(verdicts, "id", "left")
-    return rows.select(
-        *[c for c in live.columns if c not in ("status", "misses")],
-        F.when(F.col("verdict") == "removed", "inactive").otherwise(F.col("status")).alias("status"),
-        F.when(F.col("verdict") == "kept", 0).otherwise(F.col("misses")).cast("int").alias("misses"),
-    )
+def apply_verdicts(live: DataFrame, verdicts: DataFrame, now: Column) -> DataFrame:
+    """Confirmed removals are removed and updated now; rows that were kept have no misses again and are seen in a manifest now.
+
+    verdicts: (id, verdict). An id with both verdicts gets both updates, as one batch of each is applied.
+    """
+    has = lambda v: F.bool_or(F.col("verdict") == v)
+    rows = live.join(verdicts.groupBy("id").agg(has("removed").alias("_gone"), has("kept").alias("_kept")), "id", "left")
+    rows = _set(rows, "_gone", status=F.lit("removed"), listing_status=F.lit("confirmed_removed"), last_updated=now, updated_at=now)
+    return _set(rows, "_kept", misses=F.lit(0), manifest_seen=now, updated_at=now).drop("_gone", "_kept")
 
 
-def relist(live: DataFrame, ids: DataFrame) -> DataFrame:
-    rows = live.join(ids.select("id", F.lit(True).alias("back")).distinct(), "id", "left")
-    return rows.withColumn("status", F.when(F.col("back"), "active").otherwise(F.col("status"))).withColumn("misses", F.when(F.col("back"), 0).otherwise(F.col("misses"))).drop("back")
+def relist(live: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
+    """Listings that are back are active and relisted, so that the next scan doesn't find them again."""
+    rows = live.join(ids.select("id", F.lit(True).alias("_back")).distinct(), "id", "left")
+    return _set(
+        rows, "_back", listing_status=F.lit("relisted"), status=F.lit("active"), misses=F.lit(0), manifest_seen=now, last_updated=now, updated_at=now,
+    ).drop("_back")
 
 
 def retain(rows: DataFrame, at: str, now: Column, days: int) -> DataFrame:
@@ -92,8 +115,8 @@ def expire_inactive(live: DataFrame, now: Column, days: int) -> DataFrame:
 
 
 def cascade_ids(children: DataFrame, mapping: DataFrame, id: str) -> DataFrame:
-    """Children follow the renaming (old_id, new_id) of their parents."""
-    m = mapping.select(F.col("old_id").alias(id), F.col("new_id").alias("renamed"))
+    """Children follow the renaming (old_id, new_id) of their parents; an old id has one new one."""
+    m = one_each(mapping.select("old_id", "new_id"), "old_id").select(F.col("old_id").alias(id), F.col("new_id").alias("renamed"))
     return children.join(m, id, "left").withColumn(id, F.coalesce("renamed", id)).drop("renamed").select(*children.columns)
 
 
@@ -180,10 +203,11 @@ def flags_to_amenities(rows: DataFrame) -> DataFrame:
     return rows.withColumn("amenities", F.when(F.coalesce(F.size("amenities"), F.lit(0)) <= 0, F.create_map(*groups)).otherwise(F.col("amenities")))
 
 
-def mark_seen(live: DataFrame, seen: DataFrame, kind: Column | None = None) -> DataFrame:
-    """All rows, or those of ``kind``, are off; those that were seen are on again, with price and page of the sight. A seen row of
-    another kind is on, too."""
-    rows = live.join(seen.select("id", F.col("price").alias("p"), F.col("page").alias("g"), F.lit(True).alias("hit")), "id", "left")
+def mark_seen(live: DataFrame, seen: DataFrame, kind: Column | None = None, order: str | None = None) -> DataFrame:
+    """All rows, or those of ``kind``, are off; those that were seen are on again, with price and page of the last sight by ``order``.
+    A seen row of another kind is on, too."""
+    last = one_each(seen.select("id", "price", "page", *filter(None, [order])), "id", order)
+    rows = live.join(last.select("id", F.col("price").alias("p"), F.col("page").alias("g"), F.lit(True).alias("hit")), "id", "left")
     off = F.lit(True) if kind is None else kind
     return rows.select(
         *[c for c in live.columns if c not in ("status", "price", "page")],
@@ -220,8 +244,8 @@ def cleanup_counts(sessions: DataFrame, staging: DataFrame, changes: DataFrame,
 
 
 def update_session(sessions: DataFrame, results: DataFrame, now: Column) -> DataFrame:
-    """Sessions with what their sync has inserted and updated, completed now. results: (id, inserted, updated)."""
-    rows = sessions.join(results.select("id", F.col("inserted").alias("i"), F.col("updated").alias("u"), F.lit(True).alias("hit")), "id", "left")
+    """Sessions with what their sync has inserted and updated, completed now. results: (id, inserted, updated), one for each id."""
+    rows = sessions.join(one_each(results.select("id", "inserted", "updated"), "id").select("id", F.col("inserted").alias("i"), F.col("updated").alias("u"), F.lit(True).alias("hit")), "id", "left")
     set_ = lambda c, v: F.when(F.col("hit"), v).otherwise(F.col(c)).alias(c)
     return rows.select(*[c for c in sessions.columns if c not in ("inserted", "updated", "completed_at")], set_("inserted", F.col("i")), set_("updated", F.col("u")), set_("completed_at", now))
 
@@ -231,8 +255,9 @@ SYNC_STEPS = {"pending": ["running", "failed"], "running": ["completed", "failed
 
 
 def advance_sync(syncs: DataFrame, steps: DataFrame, now: Column) -> DataFrame:
-    """Syncs take the status of ``steps`` (id, status, errors) where it may follow theirs; ends have a time, errors are joined by '; '."""
-    rows = syncs.join(steps.select("id", F.col("status").alias("to"), "errors"), "id", "left")
+    """Syncs take the status of ``steps`` (id, status, errors; one for each id) where it may follow theirs; ends have a time, errors
+    are joined by '; '."""
+    rows = syncs.join(one_each(steps.select("id", "status", "errors"), "id").select("id", F.col("status").alias("to"), "errors"), "id", "left")
     follows = F.lit(False)
     for before, after in SYNC_STEPS.items():
         follows = follows | ((F.col("sync_status") == before) & F.col("to").isin(after))

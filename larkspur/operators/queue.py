@@ -40,21 +40,25 @@ def drain(queue: DataFrame, scraped: DataFrame, n: int, now: Column, worker: str
 
     scraped: (url, ...), what came back; a claimed address without it fails. Claims older than half an hour are released first.
     """
-    free = release_stale(queue, now, at="claimed_at") if "claimed_at" in queue.columns else queue
-    claimed = claim(free, n, now, worker).select("id", "attempts", "claimed_at", "claimed_by", F.lit(True).alias("hit"))
+    free = release_stale(queue, now) if "claimed_at" in queue.columns else queue
+    claimed = claim(free, n, now, worker).select("id", F.col("attempts").alias("tried"), F.lit(True).alias("hit"))
     got = scraped.select("url", F.lit(True).alias("got")).distinct()
-    kept = [c for c in queue.columns if c not in ("status", "attempts", "claimed_at", "claimed_by", "completed_at", "last_error")]
-    rows = free.select(*kept, "status", F.col("attempts").alias("tried")).join(claimed, "id", "left").join(got, "url", "left")
+    rows = free.join(claimed, "id", "left").join(got, "url", "left")
     hit, ok = F.col("hit").isNotNull(), F.col("got").isNotNull()
-    return rows.select(
-        *kept, F.when(hit, F.when(ok, "completed").otherwise("failed")).otherwise(F.col("status")).alias("status"), F.coalesce("attempts", "tried").alias("attempts"),
-        "claimed_at", "claimed_by", F.when(hit, now).alias("completed_at"), F.when(hit & ~ok, "No data returned").alias("last_error"),
-    )
+    own = lambda c: F.col(c) if c in queue.columns else F.lit(None)
+    set_ = {
+        "status": F.when(hit, F.when(ok, "completed").otherwise("failed")).otherwise(F.col("status")), "attempts": F.coalesce("tried", "attempts"),
+        "claimed_at": F.when(hit, now).otherwise(own("claimed_at")), "claimed_by": F.when(hit, worker).otherwise(own("claimed_by")),
+        "completed_at": F.when(hit, now).otherwise(own("completed_at")), "last_error": F.when(hit, F.when(~ok, "No data returned")).otherwise(own("last_error")),
+    }
+    return rows.select(*[c for c in queue.columns if c not in set_], *[v.alias(c) for c, v in set_.items()])
 
 
 def finish(queue: DataFrame, results: DataFrame, now: Column | None = None) -> DataFrame:
-    """Claimed rows become completed or failed, at ``now`` if it is given; errors keep 1000 characters. results: (id, ok, error)."""
-    rows = queue.join(results, "id", "left")
+    """Claimed rows become completed or failed, at ``now`` if it is given; errors keep 1000 characters. results: (id, ok, error); of
+    several of an id a failure counts."""
+    once = results.groupBy("id").agg(F.bool_and("ok").alias("ok"), F.max(F.when(~F.col("ok"), F.col("error"))).alias("error"))
+    rows = queue.join(once, "id", "left")
     done = F.col("ok").isNotNull() & (F.col("status") == "in_progress")
     return rows.select(
         *[c for c in queue.columns if c not in ("status", "last_error")],
@@ -64,27 +68,37 @@ def finish(queue: DataFrame, results: DataFrame, now: Column | None = None) -> D
     )
 
 
+def _open_again(queue: DataFrame, hit: Column, fields: list[str], now: Column | None) -> DataFrame:
+    """Rows that are pending again: without what ``fields`` said of the last try; a field that the queue lacks is left out."""
+    hit = F.coalesce(hit, F.lit(False))
+    cleared = {c: F.when(~hit, F.col(c)) for c in fields if c in queue.columns}
+    touched = {} if now is None else {"updated_at": F.when(hit, now).otherwise(F.col("updated_at") if "updated_at" in queue.columns else F.lit(None))}
+    return queue.withColumns({"status": F.when(hit, "pending").otherwise(F.col("status"))} | cleared | touched)
+
+
 def release_stale(queue: DataFrame, now: Column, minutes: int = 30, at: str = "claimed_at") -> DataFrame:
+    """Claims older than ``minutes`` are pending again and nobody's; attempts stay."""
     old = (F.col("status") == "in_progress") & (F.unix_timestamp(now) - F.unix_timestamp(at) > minutes * 60)
-    return queue.withColumn("status", F.when(old, "pending").otherwise(F.col("status")))
+    return _open_again(queue, old, ["claimed_at", "claimed_by"], now)
 
 
 def cancel(queue: DataFrame, reason: str) -> DataFrame:
     return queue.withColumn("status", F.when((F.col("status") == "pending") & (F.col("reason") == reason), "cancelled").otherwise(F.col("status")))
 
 
-def retry(queue: DataFrame, most: int = 3, limit: int | None = None) -> DataFrame:
-    """Failed rows with fewer than ``most`` attempts are pending again; the oldest ``limit`` of them if it is given."""
-    again = (F.col("status") == "failed") & (F.col("attempts") < most)
+def retry(queue: DataFrame, most: int = 3, limit: int | None = None, now: Column | None = None) -> DataFrame:
+    """Failed rows with fewer than ``most`` attempts are pending again, without claim, end and error; the oldest ``limit`` of them if
+    it is given."""
+    again, fields = (F.col("status") == "failed") & (F.col("attempts") < most), ["claimed_at", "claimed_by", "completed_at", "last_error"]
     if limit is None:
-        return queue.withColumn("status", F.when(again, "pending").otherwise(F.col("status")))
-    some = queue.where(again).orderBy("queued_at", "id").limit(limit).select("id", F.lit(True).alias("again"))
-    return queue.join(some, "id", "left").withColumn("status", F.when(F.col("again"), "pending").otherwise(F.col("status"))).drop("again")
+        return _open_again(queue, again, fields, now)
+    some = queue.where(again).orderBy("queued_at", "id").limit(limit).select("id", F.lit(True).alias("_again"))
+    return _open_again(queue.join(some, "id", "left"), F.col("_again"), fields, now).drop("_again")
 
 
-def cleanup(queue: DataFrame, now: Column, days: int = 7, at: str = "queued_at") -> DataFrame:
-    """Without completed and cancelled rows older than ``days``; failed ones stay."""
-    return queue.where(~(F.col("status").isin("completed", "cancelled") & (F.col(at) < F.date_sub(now, days))))
+def cleanup(queue: DataFrame, now: Column, days: int = 7, at: str = "completed_at") -> DataFrame:
+    """Without completed and cancelled rows that ended more than ``days`` ago; those without an end and failed ones stay."""
+    return queue.where(F.coalesce(~(F.col("status").isin("completed", "cancelled") & (F.col(at) < F.date_sub(now, days))), F.lit(True)))
 
 
 def stats(queue: DataFrame) -> DataFrame:

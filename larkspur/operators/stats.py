@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.operators.merge import listed
+
 #: Hours between the runs of each tier.
 EVERY = {1: 6, 2: 24, 3: 168, 4: 720}
 
@@ -62,13 +64,41 @@ def staleness_pct(status: str, seen: str, now: Column, days: int = 30) -> Column
 def stale(live: DataFrame, seen: str, now: Column, days: int, n: int, with_never: bool = True) -> DataFrame:
     """The ``n`` active rows unseen for longest; rows never seen come first, or not at all."""
     old = F.col(seen) < F.date_sub(now, days)
-    rows = live.where((F.col("status") == "active") & ((F.col(seen).isNull() | old) if with_never else old))
+    rows = live.where(listed(live) & ((F.col(seen).isNull() | old) if with_never else old))
     return rows.orderBy(F.col(seen).asc_nulls_first(), "id").limit(n)
 
 
+#: Hexadecimal digits by which a pass counts hashes, and rows of one range that are sorted at most.
+HASH_DIGITS, SORTED = 4, 10_000
+
+
 def hash_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """A simple random sample that reruns repeat: the ``n`` least MD5 values of the key."""
-    return rows.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
+    """A simple random sample that reruns repeat: the ``n`` least MD5 values of the key.
+
+    A small sample is a distributed top-k. For a larger one the n-th value is selected: hashes are counted by their first
+    digits, 16**HASH_DIGITS numbers, then only those of the range that holds the n-th by the next digits, until it has up to SORTED
+    rows. The sample is a filter by that value, without a sort. The key tells rows apart: of a larger sample, rows that
+    share the last key are all taken. Rows without a key are taken last, or not at all.
+    """
+    if n <= SORTED:
+        return rows.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
+    h, prefix, left = F.md5(F.col(key).cast("string")), "", n
+    while True:
+        inside = rows.where(h.startswith(prefix)) if prefix else rows
+        counts = sorted(inside.groupBy(F.substring(h, len(prefix) + 1, HASH_DIGITS).alias("d")).agg(F.count("*").alias("n")).where("d IS NOT NULL").collect())
+        for digits, size in counts:
+            if size >= left:
+                break
+            left -= size
+        else:
+            return rows
+        prefix += digits
+        if size <= SORTED or len(prefix) == 32:
+            break
+    if size > SORTED:
+        return rows.where(h <= prefix)
+    last = rows.where(h.startswith(prefix)).select(h.alias("h"), F.col(key).alias("k")).orderBy("h", "k").offset(left - 1).limit(1).first()
+    return rows.where((h < last["h"]) | ((h == last["h"]) & (F.col(key) <= F.lit(last["k"]))))
 
 
 def miss_streaks(seen: DataFrame) -> DataFrame:
@@ -192,13 +222,13 @@ def tier_rollup(runs: DataFrame, errors: DataFrame, most: int = 5) -> DataFrame:
 
 def sample_size(live: DataFrame, percent: float) -> DataFrame:
     """One row: how many active rows are ``percent`` of them, rounded down."""
-    return live.where("status = 'active'").agg(F.floor(F.count("*") * percent / 100).alias("n"))
+    return live.where(listed(live)).agg(F.floor(F.count("*") * percent / 100).alias("n"))
 
 
 def sample_percent(live: DataFrame, key: str, percent: float) -> DataFrame:
     """``percent`` of the active rows in the order of the MD5 of their key; the size is one number that is read first."""
     n = sample_size(live, percent).first()["n"]
-    return hash_sample(live.where("status = 'active'"), key, int(n))
+    return hash_sample(live.where(listed(live)), key, int(n))
 
 
 def cancel_run(runs: DataFrame, tier: int, now: Column) -> DataFrame:

@@ -327,7 +327,9 @@ def _(s, d):
 
 _FLAGGED = """, seen AS (
   SELECT id, seq, price, CASE WHEN id % 8 = 0 THEN '' WHEN id % 8 > 1 THEN 'm' || id END AS url, id % 3 = 0 AS price_changed, id % 5 = 0 AS is_new, true AS needs_full_scrape, 1 + id % 2 AS session_id FROM manifest
-), listed AS (SELECT *, CASE WHEN id % 5 = 0 THEN 'sold' ELSE 'active' END AS listing_status, 'l' || id AS url FROM live)"""
+), listed AS (
+  SELECT *, CASE WHEN id % 5 = 0 THEN 'sold' WHEN status = 'inactive' THEN 'confirmed_removed' ELSE 'active' END AS listing_status, 'l' || id AS url, last_seen - 1 AS manifest_seen,
+         CASE WHEN id % 6 > 0 THEN last_seen - 2 END AS full_scrape, last_seen - 3 AS last_updated FROM live)"""
 
 
 def _seen(s, d):
@@ -339,7 +341,11 @@ def _seen(s, d):
 
 
 def _listed(s, d):
-    return t.live(s, d).withColumns({"listing_status": F.when(F.col("id") % 5 == 0, "sold").otherwise("active"), "url": F.concat(F.lit("l"), F.col("id").cast("string"))})
+    i = F.col("id")
+    return t.live(s, d).withColumns({
+        "listing_status": F.when(i % 5 == 0, "sold").when(F.col("status") == "inactive", "confirmed_removed").otherwise("active"), "url": F.concat(F.lit("l"), i.cast("string")),
+        "manifest_seen": F.date_sub("last_seen", 1), "full_scrape": F.when(i % 6 > 0, F.date_sub("last_seen", 2)), "last_updated": F.date_sub("last_seen", 3),
+    })
 
 
 @query("flagged_price_changes", f"""{_FLAGGED}
@@ -373,23 +379,37 @@ def _(s, d):
 
 
 @query("mark_seen", """
-SELECT id, CASE WHEN m.id IS NOT NULL THEN 1 WHEN id % 2 = 0 THEN 0 ELSE 7 END AS status, CASE WHEN m.id IS NOT NULL THEN id % 9 END AS page
-FROM live LEFT JOIN (SELECT DISTINCT id FROM manifest) m USING (id)""")
+SELECT id, CASE WHEN m.id IS NOT NULL THEN 1 WHEN id % 2 = 0 THEN 0 ELSE 7 END AS status, CASE WHEN m.id IS NOT NULL THEN id % 9 + page END AS page
+FROM live LEFT JOIN (SELECT id, max(seq) AS page FROM manifest GROUP BY id) m USING (id)""")
 def _(s, d):
+    """Ids that the manifest repeats are on the page where they were seen last."""
     live = t.live(s, d).select("id", "price", F.lit(7).alias("status"), F.lit(None).cast("long").alias("page"))
-    seen = t.manifest(s, d).select("id").distinct().select("id", F.lit(1.0).alias("price"), (F.col("id") % 9).alias("page"))
-    return merge.mark_seen(live, seen, F.col("id") % 2 == 0).select("id", "status", "page")
+    seen = t.manifest(s, d).select("id", F.lit(1.0).alias("price"), (F.col("id") % 9 + F.col("seq")).alias("page"), "seq")
+    return merge.mark_seen(live, seen, F.col("id") % 2 == 0, "seq").select("id", "status", "page")
 
 
 _PROBES = "SELECT id, CASE WHEN id % 3 = 0 THEN 404 WHEN id % 3 = 1 THEN 302 ELSE 200 END AS http_status, CASE WHEN id % 2 = 0 THEN '/search' ELSE '/x' END AS location FROM live"
+# Written from the rules of the feed: misses of listed rows rise, seen ones are reset; confirmed removals, kept rows and
+# listings that are back set the columns below.
 _DIFFED = f"""{_FLAGGED}, counted AS (
-  SELECT *, CASE WHEN id IN (SELECT id FROM manifest) THEN 0 WHEN status = 'active' THEN misses + 1 ELSE misses END AS n FROM listed
+  SELECT * REPLACE (CASE WHEN seen_now AND misses > 0 THEN {DAY} ELSE manifest_seen END AS manifest_seen), CASE WHEN seen_now THEN 0 WHEN listing_status = 'active' THEN misses + 1 ELSE misses END AS n,
+         (seen_now AND misses > 0) OR (NOT seen_now AND listing_status = 'active') AS touched
+  FROM (SELECT *, id IN (SELECT id FROM manifest) AS seen_now FROM listed)
 ), judged AS (
-  SELECT c.id, CASE WHEN http_status = 404 OR (http_status = 302 AND location = '/search') THEN 'removed' ELSE 'kept' END AS verdict FROM counted c JOIN ({_PROBES}) p USING (id) WHERE c.status = 'active' AND c.n >= 2
-), back AS (SELECT DISTINCT id FROM seen WHERE id IN (SELECT id FROM listed WHERE listing_status = 'sold')), after AS (
-  SELECT c.*, CASE WHEN c.id IN (SELECT id FROM back) THEN 'active' WHEN verdict = 'removed' THEN 'inactive' ELSE status END AS next, CASE WHEN c.id IN (SELECT id FROM back) OR verdict = 'kept' THEN 0 ELSE n END AS left_over
-  FROM counted c LEFT JOIN judged USING (id)
+  SELECT c.id, CASE WHEN http_status = 404 OR (http_status = 302 AND location = '/search') THEN 'removed' ELSE 'kept' END AS verdict FROM counted c JOIN ({_PROBES}) p USING (id) WHERE c.listing_status = 'active' AND c.n >= 2
+), back AS (SELECT DISTINCT id FROM seen WHERE id IN (SELECT id FROM listed WHERE listing_status IN ('sold', 'confirmed_removed', 'likely_removed'))), after AS (
+  SELECT id, price, title, property_type, city, bedrooms, url, last_seen, full_scrape, CASE WHEN is_back THEN 'active' WHEN verdict = 'removed' THEN 'removed' ELSE status END AS status,
+         CASE WHEN is_back THEN 'relisted' WHEN verdict = 'removed' THEN 'confirmed_removed' ELSE listing_status END AS listing_status, CASE WHEN is_back OR verdict = 'kept' THEN 0 ELSE n END AS misses,
+         CASE WHEN is_back OR verdict = 'kept' THEN {DAY} ELSE manifest_seen END AS manifest_seen, CASE WHEN is_back OR verdict = 'removed' THEN {DAY} ELSE last_updated END AS last_updated,
+         CASE WHEN is_back OR verdict IS NOT NULL OR touched THEN {DAY} END AS updated_at
+  FROM (SELECT c.*, verdict, c.id IN (SELECT id FROM back) AS is_back FROM counted c LEFT JOIN judged USING (id))
 )"""
+_STATE = ("status", "listing_status", "misses", "manifest_seen", "last_updated", "updated_at", "last_seen", "full_scrape")
+_SAID = "concat_ws('|', " + ", ".join(f"coalesce({c}::VARCHAR, '-')" for c in _STATE) + ")"
+
+
+def _state():
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in _STATE])
 
 
 def _probes(s, d):
@@ -400,12 +420,12 @@ def _probes(s, d):
 @query("full_diff", f"""{_DIFFED}
 SELECT 'new' AS kind, id, NULL AS detail FROM seen WHERE id NOT IN (SELECT id FROM live) GROUP BY id
 UNION ALL SELECT 'price', m.id, CASE WHEN m.price > o.price THEN 'up' ELSE 'down' END FROM seen m JOIN live o USING (id) WHERE price_changed AND m.price <> o.price AND m.price IS NOT NULL
-UNION ALL SELECT 'relisted', id, NULL FROM back UNION ALL SELECT 'candidate', id, n::VARCHAR FROM counted WHERE status = 'active' AND n >= 2 UNION ALL SELECT 'verdict', id, verdict FROM judged
-UNION ALL SELECT 'live', id, next || left_over FROM after""")
+UNION ALL SELECT 'relisted', id, NULL FROM back UNION ALL SELECT 'candidate', id, n::VARCHAR FROM counted WHERE listing_status = 'active' AND n >= 2 UNION ALL SELECT 'verdict', id, verdict FROM judged
+UNION ALL SELECT 'live', id, {_SAID} FROM after""")
 def _(s, d):
     f = workflows.full_diff(_seen(s, d), _listed(s, d), _day(), _probes(s, d))
     up = F.when(F.col("new_price") > F.col("old_price"), "up").otherwise("down")
-    parts = [("new", f.new, None), ("price", f.price_changes, up), ("relisted", f.relisted, None), ("candidate", f.candidates, F.col("misses")), ("verdict", f.verdicts, F.col("verdict")), ("live", f.live, F.concat("status", F.col("misses").cast("string")))]
+    parts = [("new", f.new, None), ("price", f.price_changes, up), ("relisted", f.relisted, None), ("candidate", f.candidates, F.col("misses")), ("verdict", f.verdicts, F.col("verdict")), ("live", f.live, _state())]
     out = None
     for name, rows, detail in parts:
         rows = rows.select(F.lit(name).alias("kind"), "id", (F.lit(None) if detail is None else detail).cast("string").alias("detail"))
@@ -413,9 +433,22 @@ def _(s, d):
     return out
 
 
-@query("relist", "SELECT id, CASE WHEN id % 17 = 0 AND id % 2 = 0 THEN 'active' ELSE status END AS status, CASE WHEN id % 17 = 0 AND id % 2 = 0 THEN 0 ELSE misses END AS misses FROM live")
+@query("relist", f"""{_FLAGGED}
+SELECT id, CASE WHEN hit THEN 'active' ELSE status END AS status, CASE WHEN hit THEN 'relisted' ELSE listing_status END AS listing_status, CASE WHEN hit THEN 0 ELSE misses END AS misses,
+       CASE WHEN hit THEN {DAY} ELSE manifest_seen END AS manifest_seen, CASE WHEN hit THEN {DAY} ELSE last_updated END AS last_updated
+FROM (SELECT *, listing_status <> 'active' AND id IN (SELECT id FROM seen) AS hit FROM listed)""")
+def _(s, d):
+    back = diff.relisted(_seen(s, d), _listed(s, d))
+    return merge.relist(_listed(s, d), back, _day()).select("id", "status", "listing_status", "misses", "manifest_seen", "last_updated")
+
+
+@query("relisted_once", f"""{_DIFFED}
+SELECT 1 AS scan, id FROM back UNION ALL SELECT 2, id FROM seen WHERE id IN (SELECT id FROM after WHERE listing_status IN ('sold', 'confirmed_removed', 'likely_removed')) GROUP BY id""")
 def _(s, d):
-    return merge.relist(t.live(s, d), t.live(s, d).where("id % 34 = 0")).select("id", "status", "misses")
+    """What is back in a scan isn't found again by the next one, which sees the same manifest."""
+    first = workflows.full_diff(_seen(s, d), _listed(s, d), _day(), _probes(s, d))
+    second = diff.relisted(_seen(s, d), first.live)
+    return first.relisted.select(F.lit(1).alias("scan"), "id").unionByName(second.select(F.lit(2).alias("scan"), "id"))
 
 
 @query("staging_retention", f"""
@@ -503,9 +536,10 @@ def _(s, d):
 
 
 @query("queue_retry_limit", """
-SELECT id, CASE WHEN id IN (SELECT id FROM queue WHERE status = 'failed' AND attempts < 3 ORDER BY queued_at, id LIMIT 40) THEN 'pending' ELSE status END AS status FROM queue""")
+SELECT id, CASE WHEN again THEN 'pending' ELSE status END AS status, CASE WHEN NOT again THEN 'e' END AS last_error
+FROM (SELECT *, id IN (SELECT id FROM queue WHERE status = 'failed' AND attempts < 3 ORDER BY queued_at, id LIMIT 40) AS again FROM queue)""")
 def _(s, d):
-    return queue.retry(t.queue(s, d), limit=40).select("id", "status")
+    return queue.retry(t.queue(s, d).withColumn("last_error", F.lit("e")), limit=40).select("id", "status", "last_error")
 
 
 @query("queue_drain", f"""
@@ -549,30 +583,72 @@ def _(s, d):
     return workflows.daily_sync(t.staging(s, d), live, at(), FIELDS, settings=Settings(score_gate=0.5)).live.select("id", "title", "status", "completeness")
 
 
-_PENDING = ", pend AS (SELECT id, property_id, reason, priority, 'q' || property_id AS url, status, queued_at, attempts FROM queue WHERE id % 10 = 0)"
-_WANTED = """SELECT id AS property_id, 1 AS priority, 'new' AS reason FROM seen WHERE id NOT IN (SELECT id FROM live)
-  UNION ALL SELECT m.id, 2, 'price_change' FROM seen m JOIN live o USING (id) WHERE price_changed AND m.price <> o.price AND m.price IS NOT NULL UNION ALL SELECT id, 2, 'relisted' FROM back
-  UNION ALL (SELECT id, 4, 'stale' FROM after WHERE next = 'active' AND CASE WHEN n = 0 AND misses > 0 THEN {day} ELSE last_seen END < {day} - 7 ORDER BY CASE WHEN n = 0 AND misses > 0 THEN {day} ELSE last_seen END, id LIMIT 5000)"""
+_PENDING = ", pend AS (SELECT id, property_id, reason, priority, 'q' || property_id AS url, status, queued_at, attempts FROM queue)"
+_STALE = """(SELECT id, 4, 'stale' FROM {rows} WHERE listing_status = 'active' AND full_scrape < {day} - {days} ORDER BY full_scrape, id LIMIT {most})"""
+_SAMPLE = "(SELECT id, 5, 'sample' FROM listed WHERE listing_status = 'active' ORDER BY md5(id::VARCHAR), id LIMIT (SELECT (count(*) * 10 // 100)::BIGINT FROM listed WHERE listing_status = 'active'))"
+
+
+def _wanted(level: int) -> str:
+    """What a tier asks for, in SQL: (property_id, priority, reason)."""
+    tier = next(x for x in Settings().tiers if x.level == level)
+    parts = ["SELECT id AS property_id, 1 AS priority, 'new' AS reason FROM seen WHERE id NOT IN (SELECT id FROM live)"]
+    if level > 1:
+        parts += ["SELECT m.id, 2, 'price_change' FROM seen m JOIN live o USING (id) WHERE price_changed AND m.price <> o.price AND m.price IS NOT NULL", "SELECT id, 2, 'relisted' FROM back"]
+    if level == 3:
+        parts += [_STALE.format(rows="after", day=DAY, days=tier.stale_days, most=tier.queue_cap // 2)]
+    if level == 4:
+        parts = [_STALE.format(rows="listed", day=DAY, days=tier.stale_days, most=tier.queue_cap).replace("SELECT id, 4, 'stale'", "SELECT id AS property_id, 4 AS priority, 'stale' AS reason"), _SAMPLE]
+    return " UNION ALL ".join(parts)
 
 
-@query("tier_run", f"""{_DIFFED}{_PENDING}, wanted AS ({_WANTED.format(day=DAY)}), asked AS (
+def _tier_sql(level: int) -> str:
+    """The queue and the live table after a tier's run, in SQL."""
+    cap = next(x for x in Settings().tiers if x.level == level).queue_cap
+    diffed = _DIFFED if level == 3 else _DIFFED.replace("WHERE c.listing_status = 'active' AND c.n >= 2", "WHERE false")
+    base = "after" if level in (2, 3) else "(SELECT *, NULL::DATE AS updated_at FROM listed)"
+    return f"""{diffed}{_PENDING}, wanted AS ({_wanted(level)}), asked AS (
   SELECT property_id, min((priority, reason, url)) AS w FROM (
-    SELECT w.property_id, w.priority, w.reason, coalesce((SELECT min(url) FROM seen m WHERE m.id = w.property_id), (SELECT url FROM listed o WHERE o.id = w.property_id)) AS url FROM wanted w
-  ) WHERE url <> '' AND property_id NOT IN (SELECT property_id FROM pend WHERE status = 'pending') GROUP BY 1
+    SELECT w.property_id, w.priority, w.reason, coalesce(m.url, o.url) AS url FROM wanted w LEFT JOIN (SELECT id, min(url) AS url FROM seen GROUP BY id) m ON m.id = w.property_id LEFT JOIN listed o ON o.id = w.property_id
+  ) WHERE url <> '' AND property_id NOT IN (SELECT property_id FROM pend WHERE status = 'pending') AND (SELECT count(*) FROM pend WHERE status = 'pending') < {_BACKLOG} GROUP BY 1
 ), whole AS (
   SELECT * FROM pend UNION ALL SELECT -property_id - 1, property_id, w[2], w[1], w[3], 'pending', TIMESTAMP '{NOW}', 0 FROM asked
-), claimed AS (SELECT id FROM whole WHERE status = 'pending' ORDER BY priority, queued_at, id LIMIT 10000)
-SELECT id, reason, priority, url, CASE WHEN id IN (SELECT id FROM claimed) THEN CASE WHEN property_id % 2 = 0 THEN 'completed' ELSE 'failed' END ELSE status END AS status FROM whole""")
-def _(s, d):
-    """Tier 3, the weekly run: the queue after it."""
-    i = F.col("id")
-    live = _listed(s, d).withColumn("priority", F.lit(5))
-    pending = t.queue(s, d).where(i % 10 == 0).select("id", "property_id", "reason", "priority", F.concat(F.lit("q"), F.col("property_id").cast("string")).alias("url"), "status", "queued_at", "attempts")
-    name = F.col("id").cast("string")
-    ids = t.live(s, d).select("id").unionByName(t.staging(s, d).select("id")).unionByName(pending.select(F.col("property_id").alias("id"))).distinct().where(i % 2 == 0)
-    scraped = ids.select("id", F.explode(F.array(*[F.concat(F.lit(x), name) for x in "qml"])).alias("url"), F.lit("t").alias("title"), F.lit(1.0).alias("price"), F.lit("p").alias("property_type"), F.lit("c").alias("city"), F.lit(1).alias("bedrooms"))
-    run = workflows.tier_run(3, _seen(s, d), live, pending, scraped, _day(), FIELDS, _probes(s, d), F.lit(1), row_id=-F.col("property_id") - 1)
-    return run.queue.select("id", "reason", "priority", "url", "status")
+), claimed AS (SELECT id FROM whole WHERE status = 'pending' ORDER BY priority, queued_at, id LIMIT {cap}
+), drained AS (
+  SELECT *, CASE WHEN id IN (SELECT id FROM claimed) THEN CASE WHEN property_id % 2 = 0 THEN 'completed' ELSE 'failed' END ELSE status END AS now_status FROM whole
+), scraped AS (SELECT DISTINCT property_id AS id FROM drained WHERE id IN (SELECT id FROM claimed) AND now_status = 'completed'
+), final AS (
+  SELECT coalesce(o.id, r.id) AS id, CASE WHEN r.id IS NULL THEN o.price ELSE 1.0 END AS price, CASE WHEN r.id IS NULL THEN o.status ELSE 'active' END AS status, CASE WHEN r.id IS NULL THEN o.listing_status ELSE 'active' END AS listing_status,
+         CASE WHEN r.id IS NULL THEN o.misses ELSE 0 END AS misses, CASE WHEN r.id IS NULL THEN o.manifest_seen ELSE {DAY} END AS manifest_seen, CASE WHEN r.id IS NULL THEN o.last_updated ELSE {DAY} END AS last_updated,
+         CASE WHEN r.id IS NULL THEN o.updated_at ELSE {DAY} END AS updated_at, CASE WHEN r.id IS NULL THEN o.last_seen ELSE {DAY} END AS last_seen, CASE WHEN r.id IS NULL THEN o.full_scrape ELSE {DAY} END AS full_scrape
+  FROM {base} o FULL JOIN scraped r ON o.id = r.id
+)
+SELECT 'queue' AS part, id, reason || priority || now_status || url AS detail FROM drained
+UNION ALL SELECT 'live', id, {_SAID} FROM {"(SELECT * REPLACE (CASE WHEN id IN (SELECT id FROM seen WHERE session_id = 1 AND price IS NOT NULL) THEN " + DAY + " ELSE manifest_seen END AS manifest_seen) FROM final)" if level == 2 else "final"}"""
+
+
+_BACKLOG = 10**12
+
+
+def _tier(level: int):
+    """A tier's run over the whole queue: the queue and the live table after it. The backlog has room; every even id gives details."""
+
+    def run(s, d):
+        i = F.col("id")
+        pending = t.queue(s, d).select("id", "property_id", "reason", "priority", F.concat(F.lit("q"), F.col("property_id").cast("string")).alias("url"), "status", "queued_at", "attempts")
+        name = F.col("id").cast("string")
+        ids = t.live(s, d).select("id").unionByName(t.staging(s, d).select("id")).unionByName(pending.select(F.col("property_id").alias("id"))).distinct().where(i % 2 == 0)
+        scraped = ids.select("id", F.explode(F.array(*[F.concat(F.lit(x), name) for x in "qml"])).alias("url"), F.lit("t").alias("title"), F.lit(1.0).alias("price"), F.lit("p").alias("property_type"), F.lit("c").alias("city"), F.lit(1).alias("bedrooms"))
+        run = workflows.tier_run(level, _seen(s, d), _listed(s, d), pending, scraped, _day(), FIELDS, _probes(s, d), F.lit(1), Settings(backlog_cap=_BACKLOG), row_id=-F.col("property_id") - 1)
+        after = run.queue.select(F.lit("queue").alias("part"), "id", F.concat("reason", F.col("priority").cast("string"), "status", "url").alias("detail"))
+        live = run.live if "updated_at" in run.live.columns else run.live.withColumn("updated_at", F.lit(None))
+        return after.unionByName(live.select(F.lit("live").alias("part"), "id", _state().alias("detail")))
+
+    return run
+
+
+query("tier_run", _tier_sql(3))(_tier(3))
+for _level in (1, 2, 4):
+    query(f"tier_run_{_level}", _tier_sql(_level))(_tier(_level))
 
 
 # payloads and streams

@@ -507,13 +507,24 @@ def _(s, d):
     return merge.promote(t.staging(s, d), base, _now(), FIELDS, gone).select("id", "title", F.round("price", 4).alias("price"), "status", "last_seen")
 
 
-@query("sparse_upsert", """
-SELECT coalesce(n.id, o.id) AS id, coalesce(n.title, o.title) AS title, round(coalesce(n.price, o.price), 4) AS price,
-       CASE WHEN n.id IS NOT NULL THEN 'active' ELSE o.status END AS status, CASE WHEN n.id IS NOT NULL THEN 0 ELSE o.misses END AS misses
-FROM staging n FULL JOIN live o ON n.id = o.id""")
-def _(s, d):
-    live = t.live(s, d).withColumn("priority", F.lit(2))
-    return merge.sparse_upsert(t.staging(s, d), live, FIELDS).select("id", "title", F.round("price", 4).alias("price"), "status", "misses")
+@query("sparse_upsert", f"""
+SELECT coalesce(n.id, o.id) AS id, coalesce(n.title, o.title) AS title, round(coalesce(n.price, o.price), 4) AS price, CASE WHEN hit THEN 'active' ELSE o.status END AS status,
+       CASE WHEN hit THEN 'active' ELSE 'sold' END AS listing_status, CASE WHEN hit THEN 0 ELSE o.misses END AS misses, CASE WHEN hit THEN 3 ELSE 2 END AS priority,
+       CASE WHEN hit THEN DATE '{NOW}' END AS full_scrape, CASE WHEN hit THEN DATE '{NOW}' ELSE o.last_seen END AS last_seen, CASE WHEN hit THEN DATE '{NOW}' END AS last_updated,
+       CASE WHEN hit THEN DATE '{NOW}' END AS manifest_seen, CASE WHEN o.id IS NULL THEN DATE '{NOW}' ELSE DATE '2023-06-01' END AS first_seen
+FROM (SELECT id, arg_max(title, seq) AS title, arg_max(price, seq) AS price, true AS hit FROM (
+  SELECT id, title, price, 1 AS seq FROM staging UNION ALL SELECT id, CASE WHEN id % 2 = 0 THEN 'again' END, CASE WHEN id % 4 = 0 THEN 7.5 END, 2 FROM staging WHERE id % 3 = 0) GROUP BY id) n
+FULL JOIN live o ON n.id = o.id""")
+def _(s, d):
+    """Details of every third id come twice; the second time some of their values are missing."""
+    none = F.lit(None).cast("date")
+    live = t.live(s, d).withColumns({"priority": F.lit(2), "listing_status": F.lit("sold"), "full_scrape": none, "last_updated": none, "manifest_seen": none, "first_seen": F.lit("2023-06-01").cast("date")})
+    rows, i = t.staging(s, d).withColumn("seq", F.lit(1)), F.col("id")
+    again = rows.where(i % 3 == 0).withColumns({"title": F.when(i % 2 == 0, "again"), "price": F.when(i % 4 == 0, 7.5), "seq": F.lit(2)})
+    out = merge.sparse_upsert(rows.unionByName(again), live, FIELDS, F.lit(NOW).cast("date"), "seq")
+    return out.select(
+        "id", "title", F.round("price", 4).alias("price"), "status", "listing_status", "misses", "priority", "full_scrape", "last_seen", "last_updated", "manifest_seen", "first_seen",
+    )
 
 
 @query("insert_ignore", "SELECT id, price FROM live UNION ALL SELECT id, price FROM staging WHERE id NOT IN (SELECT id FROM live)")
@@ -523,9 +534,10 @@ def _(s, d):
 
 @query("missing_count", f"""
 SELECT id, CASE WHEN id IN (SELECT id FROM manifest) THEN 0 WHEN status = 'active' THEN misses + 1 ELSE misses END AS misses,
-       CASE WHEN id IN (SELECT id FROM manifest) AND misses > 0 THEN DATE '{NOW}' ELSE last_seen END AS last_seen FROM live""")
+       CASE WHEN id IN (SELECT id FROM manifest) AND misses > 0 THEN DATE '{NOW}' ELSE last_seen - 1 END AS manifest_seen, last_seen FROM live""")
 def _(s, d):
-    return merge.count_misses(t.live(s, d), t.manifest(s, d), F.lit(NOW).cast("date")).select("id", "misses", "last_seen")
+    live = t.live(s, d).withColumn("manifest_seen", F.date_sub("last_seen", 1))
+    return merge.count_misses(live, t.manifest(s, d), F.lit(NOW).cast("date")).select("id", "misses", "manifest_seen", "last_seen")
 
 
 @query("removal_candidates", """
@@ -542,10 +554,16 @@ def _(s, d):
     return t.live(s, d).select("id", merge.removal_verdict(F.when(k == 0, "").otherwise("u"), status, F.when(k == 2, "/search").when(k == 3, "/home/x")).alias("verdict"))
 
 
-@query("apply_verdicts", "SELECT id, CASE WHEN id % 4 = 0 THEN 'inactive' ELSE status END AS status, CASE WHEN id % 4 = 1 THEN 0 ELSE misses END AS misses FROM live")
+@query("apply_verdicts", f"""
+SELECT o.id, CASE WHEN gone THEN 'removed' ELSE status END AS status, CASE WHEN gone THEN 'confirmed_removed' ELSE 'active' END AS listing_status, CASE WHEN kept THEN 0 ELSE misses END AS misses,
+       CASE WHEN gone THEN DATE '{NOW}' END AS last_updated, CASE WHEN kept THEN DATE '{NOW}' END AS manifest_seen, last_seen
+FROM live o LEFT JOIN (SELECT id, bool_or(verdict = 'removed') AS gone, bool_or(verdict = 'kept') AS kept FROM (
+  SELECT id, CASE WHEN price < 950 THEN 'removed' ELSE 'kept' END AS verdict FROM manifest WHERE price IS NOT NULL UNION ALL SELECT id, 'kept' FROM staging WHERE id % 6 = 0) GROUP BY id) v USING (id)""")
 def _(s, d):
-    v = t.live(s, d).where("id % 4 < 2").select("id", F.when(F.col("id") % 4 == 0, "removed").otherwise("kept").alias("verdict"))
-    return merge.apply_verdicts(t.live(s, d), v).select("id", "status", "misses")
+    v = t.manifest(s, d).where("price IS NOT NULL").select("id", F.when(F.col("price") < 950, "removed").otherwise("kept").alias("verdict"))
+    v = v.unionByName(t.staging(s, d).where("id % 6 = 0").select("id", F.lit("kept").alias("verdict")))
+    live = t.live(s, d).withColumn("listing_status", F.lit("active"))
+    return merge.apply_verdicts(live, v, F.lit(NOW).cast("date")).select("id", "status", "listing_status", "misses", "last_updated", "manifest_seen", "last_seen")
 
 
 @query("retention", f"SELECT id FROM live WHERE last_seen >= DATE '{NOW}' - 30")
@@ -590,9 +608,29 @@ def _(s, d):
     return queue.finish(t.queue(s, d), done).select("id", "status")
 
 
-@query("queue_release", "SELECT id, CASE WHEN status = 'in_progress' AND epoch(TIMESTAMP '1996-01-01') - epoch(queued_at) > 1800 THEN 'pending' ELSE status END AS status FROM queue")
+_CLAIMED = """, held AS (
+  SELECT *, CASE WHEN status = 'in_progress' THEN queued_at + INTERVAL 1 HOUR END AS claimed_at, CASE WHEN status = 'in_progress' THEN 'w' || id % 7 END AS claimed_by,
+         CASE WHEN status IN ('completed', 'failed') THEN queued_at + INTERVAL 400 DAY END AS completed_at, CASE WHEN status = 'failed' THEN 'e' || id END AS last_error FROM queue)"""
+
+
+def _held(s, d):
+    """The queue with the times and names of its claims and ends."""
+    is_ = lambda *x: F.col("status").isin(*x)
+    return t.queue(s, d).withColumns({
+        "claimed_at": F.when(is_("in_progress"), F.col("queued_at") + F.expr("INTERVAL 1 HOUR")), "claimed_by": F.when(is_("in_progress"), F.concat(F.lit("w"), (F.col("id") % 7).cast("string"))),
+        "completed_at": F.when(is_("completed", "failed"), F.col("queued_at") + F.expr("INTERVAL 400 DAY")), "last_error": F.when(is_("failed"), F.concat(F.lit("e"), F.col("id").cast("string"))),
+    })
+
+
+_HELD = ("id", "status", "claimed_at", "claimed_by", "completed_at", "last_error", "updated_at")
+
+
+@query("queue_release", f"""{_CLAIMED}
+SELECT id, CASE WHEN old THEN 'pending' ELSE status END AS status, CASE WHEN NOT old THEN claimed_at END AS claimed_at, CASE WHEN NOT old THEN claimed_by END AS claimed_by, completed_at, last_error,
+       CASE WHEN old THEN TIMESTAMP '1996-01-01' END AS updated_at
+FROM (SELECT *, coalesce(status = 'in_progress' AND claimed_at < TIMESTAMP '1996-01-01' - INTERVAL 30 MINUTE, false) AS old FROM held)""")
 def _(s, d):
-    return queue.release_stale(t.queue(s, d), _now("1996-01-01"), at="queued_at").select("id", "status")
+    return queue.release_stale(_held(s, d), _now("1996-01-01")).select(*_HELD)
 
 
 @query("queue_cancel", "SELECT id, CASE WHEN status = 'pending' AND reason = 'stale' THEN 'cancelled' ELSE status END AS status FROM queue")
@@ -600,14 +638,18 @@ def _(s, d):
     return queue.cancel(t.queue(s, d), "stale").select("id", "status")
 
 
-@query("queue_retry", "SELECT id, CASE WHEN status = 'failed' AND attempts < 3 THEN 'pending' ELSE status END AS status FROM queue")
+@query("queue_retry", f"""{_CLAIMED}
+SELECT id, CASE WHEN again THEN 'pending' ELSE status END AS status, CASE WHEN NOT again THEN claimed_at END AS claimed_at, CASE WHEN NOT again THEN claimed_by END AS claimed_by,
+       CASE WHEN NOT again THEN completed_at END AS completed_at, CASE WHEN NOT again THEN last_error END AS last_error, CASE WHEN again THEN TIMESTAMP '1996-01-01' END AS updated_at
+FROM (SELECT *, status = 'failed' AND attempts < 3 AS again FROM held)""")
 def _(s, d):
-    return queue.retry(t.queue(s, d)).select("id", "status")
+    return queue.retry(_held(s, d), now=_now("1996-01-01")).select(*_HELD)
 
 
-@query("queue_cleanup", "SELECT id FROM queue WHERE NOT (status IN ('completed', 'cancelled') AND queued_at < TIMESTAMP '1996-01-01' - INTERVAL 7 DAY)")
+@query("queue_cleanup", f"""{_CLAIMED}
+SELECT id FROM held WHERE NOT coalesce(status IN ('completed', 'cancelled') AND completed_at < TIMESTAMP '1996-06-01' - INTERVAL 7 DAY, false)""")
 def _(s, d):
-    return queue.cleanup(t.queue(s, d), F.lit("1996-01-01").cast("date")).select("id")
+    return queue.cleanup(_held(s, d), F.lit("1996-06-01").cast("date")).select("id")
 
 
 @query("manifest_to_queue", """

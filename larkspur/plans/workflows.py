@@ -88,16 +88,17 @@ def full_diff(manifest: DataFrame, live: DataFrame, now: Column, probes: DataFra
     """All differences of a scan: new ids, price changes of flagged rows, relisted ids, candidates for removal and, with ``probes``
     (id, url, http_status, location), their verdicts; and the live table after them.
 
-    manifest: (id, seq, price, url, price_changed); live: (id, price, status, listing_status, misses, last_seen, ...).
+    manifest: (id, seq, price, url, price_changed); live: (id, price, status, listing_status, misses, ...). Listings that are back
+    are found by the listing_status they had before.
     """
     back = diff.relisted(manifest, live)
     counted = merge.count_misses(live, manifest, now)
-    candidates = counted.where((F.col("status") == "active") & (F.col("misses") >= settings.missing_before_removal)).select("id", "misses")
+    candidates = counted.where(merge.listed(counted) & (F.col("misses") >= settings.missing_before_removal)).select("id", "misses")
     verdicts, after = None, counted
     if probes is not None:
         verdicts = candidates.join(probes, "id").select("id", merge.removal_verdict(F.col("url"), F.col("http_status"), F.col("location")).alias("verdict"))
-        after = merge.apply_verdicts(counted, verdicts)
-    return Diff(diff.new_keys(manifest, live, "id"), diff.flagged_price_changes(manifest, live), back, candidates, verdicts, merge.relist(after, back))
+        after = merge.apply_verdicts(counted, verdicts, now)
+    return Diff(diff.new_keys(manifest, live, "id"), diff.flagged_price_changes(manifest, live), back, candidates, verdicts, merge.relist(after, back, now))
 
 
 @dataclass(frozen=True)
@@ -111,14 +112,15 @@ def wanted_by_tier(level: int, found: Diff, live: DataFrame, now: Column, settin
     """(property_id, reason) that a tier asks for: 1 new; 2 and price changes and relisted; 3 and the stalest, half the cap at
     most; 4 the stalest and a sample of the active rows."""
     tier = next(t for t in settings.tiers if t.level == level)
+    at = "full_scrape" if "full_scrape" in live.columns else "last_seen"
     ask = lambda rows, why: rows.select(F.col("id").alias("property_id"), F.lit(why).alias("reason"))
     if level == 4:
-        return ask(stats.stale(live, "last_seen", now, tier.stale_days, tier.queue_cap, False), "stale").unionByName(ask(stats.sample_percent(live, "id", tier.sample_percent), "sample"))
+        return ask(stats.stale(live, at, now, tier.stale_days, tier.queue_cap, False), "stale").unionByName(ask(stats.sample_percent(live, "id", tier.sample_percent), "sample"))
     out = ask(found.new, "new")
     if level > 1:
         out = out.unionByName(ask(found.price_changes, "price_change")).unionByName(ask(found.relisted, "relisted"))
     if level == 3:
-        out = out.unionByName(ask(stats.stale(live, "last_seen", now, tier.stale_days, tier.queue_cap // 2, False), "stale"))
+        out = out.unionByName(ask(stats.stale(live, at, now, tier.stale_days, tier.queue_cap // 2, False), "stale"))
     return out
 
 
@@ -139,10 +141,10 @@ def tier_run(
     added = asked.select(key.alias("id"), "property_id", "reason", "priority", "url", F.lit("pending").alias("status"), now.alias("queued_at"), F.lit(0).alias("attempts"))
     after = queue.drain(pending.select(*added.columns).unionByName(added), scraped, tier.queue_cap, now)
     done = after.where(F.col("completed_at").isNotNull() & (F.col("status") == "completed")).select("url").distinct()
-    merged = merge.sparse_upsert(scraped.join(done, "url", "left_semi"), base, fields)
+    merged = merge.sparse_upsert(scraped.join(done, "url", "left_semi"), base, fields, now)
     seen = manifest
     if level == 2 and session is not None:
-        merged = diff.push_prices(manifest, merged.withColumns({"manifest_price": F.lit(None).cast("double"), "manifest_seen": F.lit(None).cast("date")}), session, now)
+        merged = diff.push_prices(manifest, merged if "manifest_price" in merged.columns else merged.withColumn("manifest_price", F.lit(None).cast("double")), session, now)
     if level == 3 and found.verdicts is not None:
         seen = seen.join(found.verdicts.where("verdict = 'removed'").select("id"), "id", "left_anti")
     if level < 4 and session is not None:
