@@ -1,15 +1,17 @@
-"""Listing cards and detail pages out of HTML at rest: an Arrow UDF reads the tags that a schema names, columns do the rest."""
+"""Listing cards and detail pages out of HTML at rest: one pass over each page reads the tags that a schema names, columns do the rest."""
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.functions import identity, text
 from larkspur.operators.diff import one_each
@@ -39,8 +41,11 @@ class Schema:
     card: str
     fields: tuple[Field, ...]
 
-    def ddl(self) -> str:
-        return "struct<" + ",".join(f"{f.name}:{'array<string>' if f.many else 'string'}" for f in self.fields) + ">"
+    def spark_type(self) -> T.ArrayType:
+        return T.ArrayType(T.StructType([T.StructField(f.name, T.ArrayType(T.StringType()) if f.many else T.StringType()) for f in self.fields]))
+
+    def arrow_type(self) -> pa.DataType:
+        return pa.list_(pa.struct([(f.name, pa.list_(pa.string()) if f.many else pa.string()) for f in self.fields]))
 
 
 # The classes of a result list, of a manifest's list and of a detail page.
@@ -85,98 +90,169 @@ def _selectors(where: str) -> list[list[tuple]]:
     return out
 
 
-def _is(step: tuple, element: tuple) -> bool:
-    (tag, classes, tests), (name, own, attrs) = step, element
-    return (
-        (tag is None or tag == name) and classes <= own
-        and all(n in attrs and (not v or (v in attrs[n] if part else v == attrs[n])) for n, part, v in tests)
-    )
-
+# What a page is made of: comments and other marks, end tags, and start tags with their attributes. Quotes count after = only; what isn't
+# closed goes to the end of the page, so that no character is looked at again and again.
+_MARK = re.compile(
+    r"""<(?:!--.*?(?:-->|(\Z))|[!?][^>]*(?:>|(\Z))|/([a-zA-Z][^\s/>]*)[^>]*(?:>|(\Z))|([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)(?:>|(\Z)))""", re.S
+)
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_RAW_END = {tag: re.compile(f"</{tag}", re.I) for tag in ("script", "style")}
+#: Tags with their attributes that a reader remembers, and the longest attributes that it does.
+_REMEMBERED, _LONGEST = 20_000, 200
 
-def _selected(selectors: list[list[tuple]], stack: list[tuple]) -> bool:
-    """Whether the innermost element of the stack is selected."""
-    for steps in selectors:
-        if _is(steps[-1], stack[-1]):
-            at = iter(stack[:-1])
-            if all(any(_is(step, x) for x in at) for step in steps[:-1]):
-                return True
-    return False
 
+class Reader:
+    """Records of several schemas in one pass over a page.
 
-class Reader(HTMLParser):
-    """Records of several schemas in one pass over a page."""
+    The steps of all selectors are bits of one automaton: of each open element a number tells which steps it and its ancestors
+    have reached, so that a tag costs a few operations on integers, whatever the number of fields; tags that no step names
+    aren't looked at any closer. Any text is read, without an error: marked sections are skipped, end tags that close
+    nothing are ignored, and what a page cuts off inside a tag is left out.
+    """
 
     def __init__(self, schemas: tuple[Schema, ...]):
-        super().__init__(convert_charrefs=True)
-        self.schemas = [(s, _selectors(s.card), [(f, _selectors(f.where)) for f in s.fields]) for s in schemas]
-
-    def read(self, html: str | None) -> dict[str, list[dict]]:
-        self.reset()
-        self.stack, self.open, self.texts = [], [], []
-        self.found = {s.name: [] for s, _, _ in self.schemas}
-        for s, card, fields in self.schemas:
-            if not card:
-                self._record(s, fields, 0)
-        self.feed(html or "")
-        self.close()
-        for r in (r for rows in self.found.values() for r in rows):
-            for k, v in r.items():
-                if isinstance(v, _Text):
-                    r[k] = v.value()
-                elif isinstance(v, list):
-                    r[k] = [y for y in (x.value() if isinstance(x, _Text) else x for x in v) if y]
-        return self.found
-
-    def _record(self, schema: Schema, fields: list, depth: int) -> dict:
+        self.schemas, self.steps, self.start, self.last = schemas, [], 0, 0
+        self.selected: list[tuple[int, tuple]] = []  # bits of last steps, and whose they are: (schema, field or None)
+        for s in schemas:
+            for f in (None, *s.fields):
+                ends = 0
+                for steps in _selectors(s.card if f is None else f.where):
+                    self.start |= 1 << len(self.steps)
+                    self.steps += steps
+                    ends |= 1 << (len(self.steps) - 1)
+                if ends:
+                    self.selected.append((ends, (s, f)))
+                    self.last |= ends
+        self.plain = {tag for tag, classes, tests in self.steps if not classes and not tests}
+        names = {c for _, classes, _ in self.steps for c in classes} | {n for _, _, tests in self.steps for n, *_ in tests}
+        self.named = re.compile("|".join(map(re.escape, sorted(names))) or r"(?!)", re.I)
+        self.known: dict[tuple[str, str], tuple[int, dict]] = {}
+        self.actions: dict[int, list[tuple]] = {}
+
+    def _look(self, tag: str, raw: str) -> tuple[int, dict]:
+        """The bits of the steps that an element of its own fits, and its attributes."""
+        if tag not in self.plain and "&" not in raw and not self.named.search(raw):
+            return self._keep(tag, raw, 0, {})
+        attrs: dict[str, str] = {}
+        for name, *values in _ATTRIBUTE.findall(raw):
+            value = next(filter(None, values), "")
+            attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
+        own, bits = frozenset(attrs.get("class", "").split()), 0
+        for i, (name, classes, tests) in enumerate(self.steps):
+            if (name is None or name == tag) and classes <= own and all(n in attrs and (not v or (v in attrs[n] if part else v == attrs[n])) for n, part, v in tests):
+                bits |= 1 << i
+        return self._keep(tag, raw, bits, attrs)
+
+    def _keep(self, tag: str, raw: str, bits: int, attrs: dict) -> tuple[int, dict]:
+        if len(raw) <= _LONGEST:
+            if len(self.known) >= _REMEMBERED:
+                self.known.clear()
+            self.known[tag, raw] = bits, attrs
+        return bits, attrs
+
+    def read(self, html: str | None) -> dict:
+        """The records of each schema by its name, and ``cut``: whether the page ends inside a tag or a comment."""
+        html = html or ""
+        found = {s.name: [] for s in self.schemas}
+        stack: list[tuple[str, int]] = []
+        tags: dict[str, int] = defaultdict(int)
+        self.open, self.texts = [], []  # records and texts of open elements with their depth
+        for s in self.schemas:
+            if not s.card:
+                self._record(found, s, 0, {})
+        at, reached, cut, known = 0, 0, False, self.known
+        while m := _MARK.search(html, at):
+            start = m.start()
+            if self.texts and start > at:
+                self._say(html[at:start])
+            at = m.end()
+            kind = m.lastindex
+            if kind == 6:
+                tag, raw = m.group(5, 6)
+                tag = tag.lower()
+                seen = known.get((tag, raw))
+                bits, attrs = self._look(tag, raw) if seen is None else seen
+                hit = bits & (reached << 1 | self.start)
+                stack.append((tag, reached))
+                tags[tag] += 1
+                reached |= hit
+                if hit & self.last:
+                    self._act(found, hit & self.last, len(stack), attrs)
+                if tag in VOID or raw.endswith("/"):
+                    reached = self._leave(stack, tags)
+                elif tag in _RAW_END:
+                    end = _RAW_END[tag].search(html, at)
+                    stop = end.start() if end else len(html)
+                    if self.texts and stop > at:
+                        self._say(html[at:stop], False)
+                    at = stop
+            elif kind == 3:
+                tag = m[3].lower()
+                if tags[tag]:
+                    while stack[-1][0] != tag:
+                        reached = self._leave(stack, tags)
+                    reached = self._leave(stack, tags)
+            elif kind is not None:
+                cut = True
+        if self.texts and at < len(html):
+            self._say(html[at:])
+        for records_ in found.values():
+            for r in records_:
+                for k, v in r.items():
+                    if isinstance(v, _Text):
+                        r[k] = v.value()
+                    elif isinstance(v, list):
+                        r[k] = [y for y in (x.value() if isinstance(x, _Text) else x for x in v) if y]
+        return found | {"cut": cut}
+
+    def _act(self, found: dict, hit: int, depth: int, attrs: dict) -> None:
+        """Fields of the records that are open already, then new records."""
+        if hit not in self.actions:
+            self.actions[hit] = [what for ends, what in self.selected if ends & hit]
+        for s, f in self.actions[hit]:
+            if f is not None:
+                for _, owner, record, done in self.open:
+                    if owner is s and f.name not in done:
+                        if not f.many:
+                            done.add(f.name)
+                        self._take(record, f, depth, attrs)
+        for s, f in self.actions[hit]:
+            if f is None:
+                self._record(found, s, depth, attrs)
+
+    def _record(self, found: dict, schema: Schema, depth: int, attrs: dict) -> None:
         record = {f.name: [] if f.many else None for f in schema.fields}
-        self.found[schema.name].append(record)
-        self.open.append((depth, record, fields, set()))
-        return record
+        found[schema.name].append(record)
+        self.open.append((depth, schema, record, set()))
+        for f in schema.fields:
+            if schema.card and not f.where:
+                self._take(record, f, depth, attrs)
 
-    def _take(self, record: dict, f: Field, attrs: dict) -> None:
+    def _take(self, record: dict, f: Field, depth: int, attrs: dict) -> None:
         if f.take:
             value = next((attrs[a] for a in f.take if attrs.get(a)), None)
         else:
             value = _Text(f.join)
-            self.texts.append((len(self.stack), value))
+            self.texts.append((depth, value))
         if f.many:
             record[f.name].append(value)
         else:
             record[f.name] = value
 
-    def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in reversed(attrs)}
-        self.stack.append((tag, frozenset(a.get("class", "").split()), a))
-        for _, record, fields, done in self.open:
-            for f, where in fields:
-                if where and f.name not in done and _selected(where, self.stack):
-                    if not f.many:
-                        done.add(f.name)
-                    self._take(record, f, a)
-        for s, card, fields in self.schemas:
-            if card and _selected(card, self.stack):
-                record = self._record(s, fields, len(self.stack))
-                for f, where in fields:
-                    if not where:
-                        self._take(record, f, a)
-        if tag in VOID:
-            self._leave()
-
-    def _leave(self):
-        self.stack.pop()
-        n = len(self.stack)
-        self.open = [x for x in self.open if x[0] <= n]
-        self.texts = [x for x in self.texts if x[0] <= n]
-
-    def handle_endtag(self, tag):
-        if any(x[0] == tag for x in self.stack):
-            while self.stack[-1][0] != tag:
-                self._leave()
-            self._leave()
-
-    def handle_data(self, data):
-        for _, t in self.texts:
-            t.parts.append(data)
+    def _leave(self, stack: list, tags: dict) -> int:
+        tag, reached = stack.pop()
+        tags[tag] -= 1
+        n = len(stack)
+        while self.texts and self.texts[-1][0] > n:
+            self.texts.pop()
+        while self.open and self.open[-1][0] > n:
+            self.open.pop()
+        return reached
+
+    def _say(self, data: str, escaped: bool = True) -> None:
+        data = unescape(data) if escaped and "&" in data else data
+        for _, x in self.texts:
+            x.parts.append(data)
 
 
 class _Text:
@@ -190,17 +266,22 @@ class _Text:
 
 
 def records(pages: DataFrame, *schemas: Schema) -> DataFrame:
-    """Adds an array of records to ``pages`` (with ``html``) for each schema, under its name, in one pass over each page."""
-    kind = "struct<" + ",".join(f"{s.name}:array<{s.ddl()}>" for s in schemas) + ">"
+    """``pages`` without ``html``, with an array of records for each schema under its name and ``cut``, in one pass over each page.
+
+    A page without text has no records; a page that ends inside a tag keeps what was read and is ``cut``. The pass is a
+    relation of its own, which no filter above it runs twice.
+    """
+    kept = [c for c in pages.columns if c != "html"]
+    more = [T.StructField(s.name, s.spark_type()) for s in schemas] + [T.StructField("cut", T.BooleanType())]
 
-    @F.pandas_udf(kind)
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(schemas)
-        for html in batches:
-            found = [reader.read(x) for x in html]
-            yield pd.DataFrame({s.name: [x[s.name] for x in found] for s in schemas})
+        for b in batches:
+            found = [reader.read(x) for x in b.column("html").to_pylist()]
+            arrays = [pa.array([x[s.name] for x in found], s.arrow_type()) for s in schemas] + [pa.array([x["cut"] for x in found], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *arrays], names=[*kept, *[f.name for f in more]])
 
-    return pages.withColumn("_read", parse("html")).select(*pages.columns, *[F.col(f"_read.{s.name}").alias(s.name) for s in schemas])
+    return pages.select(*kept, "html").mapInArrow(parse, T.StructType([*pages.select(*kept).schema.fields, *more]))
 
 
 def listing_cards(pages: DataFrame, schema: Schema = CARDS) -> DataFrame:
@@ -273,7 +354,7 @@ def _icon(name: str) -> Column:
 
 def detail_records(pages: DataFrame, site: str = "") -> DataFrame:
     """One typed record for each detail page: what its tags say, null where they say nothing. ``pages``: page_id, url, html."""
-    rows = records(pages.select("page_id", "url", "html"), PAGE, ICONS, AMENITY_GROUPS).withColumn("p", F.element_at("page", 1)).drop("html", "page")
+    rows = records(pages.select("page_id", "url", "html"), PAGE, ICONS, AMENITY_GROUPS).withColumn("p", F.element_at("page", 1)).drop("page")
     f = lambda n: F.col(f"p.{n}")
     kind = F.lower(F.element_at(F.split(f("kind"), r"\s+"), 1))
     center = F.split(F.try_url_decode(F.nullif(F.regexp_extract(f("map"), r"[?&]q=([^&#]*)", 1), F.lit(""))), ",")
