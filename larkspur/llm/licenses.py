@@ -10,7 +10,6 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -192,36 +191,38 @@ def candidates(docs: DataFrame, plans: list[_Plan]) -> DataFrame:
     return runs.where(F.col("votes") >= pick([p.votes for p in plans])).drop("run", "votes")
 
 
-_VERIFIED = "doc_id long, key string, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+_VERIFIED = {
+    "name": pa.string(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64(),
+}
 
 
 def _verifier(plans: list[_Plan]):
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for doc_id, key, text, spans in zip(f["doc_id"], f["key"], f["text"], f["spans"]):
-                words = words_of(text)
-                starts, base, labels, score = [], set(), set(), 0.0
-                for span in spans:
-                    p, low, high = plans[span["template"]], span["low"], span["high"]
-                    if p.edits == 0:
-                        good = float(words[low : low + len(p.words)] == p.words)
-                    else:
-                        ids = {w: i for i, w in enumerate(dict.fromkeys(p.words))}
-                        part = words[max(0, low - p.edits) : high + len(p.words) + p.edits]
-                        cost = edits_within(np.array([ids[w] for w in p.words]), np.array([ids.get(w, -1) for w in part]))
-                        good = 1 - cost / len(p.words) if cost <= p.edits else 0.0
-                    if good:
-                        score = max(score, good)
-                        labels.add(p.label)
-                        if p.base:
-                            base.add(p.label)
-                            starts.append(low)
-                if labels:
-                    out.append((doc_id, key, len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score))
-            if out:
-                found = pd.DataFrame(out, columns=["doc_id", "key", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
-                yield found.astype({c: "Int64" for c in ("doc_id", "first_word", "last_word")})
+    def said(text: str, spans: list[dict]) -> tuple | None:
+        words = words_of(text)
+        starts, base, labels, score = [], set(), set(), 0.0
+        for span in spans:
+            p, low, high = plans[span["template"]], span["low"], span["high"]
+            if p.edits == 0:
+                good = float(words[low : low + len(p.words)] == p.words)
+            else:
+                ids = {w: i for i, w in enumerate(dict.fromkeys(p.words))}
+                part = words[max(0, low - p.edits) : high + len(p.words) + p.edits]
+                cost = edits_within(np.array([ids[w] for w in p.words]), np.array([ids.get(w, -1) for w in part]))
+                good = 1 - cost / len(p.words) if cost <= p.edits else 0.0
+            if good:
+                score = max(score, good)
+                labels.add(p.label)
+                if p.base:
+                    base.add(p.label)
+                    starts.append(low)
+        if labels:
+            return len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(n, *row) for n, *x in zip(*(b.column(c).to_pylist() for c in ("name", "text", "spans"))) if (row := said(*x))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), _VERIFIED.values())], names=list(_VERIFIED))
 
     return verify
 
@@ -245,8 +246,8 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = (*PHRASES, *N
     bloom = F.broadcast(bloom_blocks(spans, "name", blocks))
     mine = docs.withColumns({"name": name, "block": _block(name, blocks)})
     possible = mine.join(bloom, "block").where(F.col("word").bitwiseAND(_mask(F.col("name"))) == _mask(F.col("name"))).select("name", "text")
-    found = possible.join(spans, "name").select("doc_id", "key", "text", "spans").mapInPandas(_verifier(plans), _VERIFIED)
-    found = found.select(name.alias("name"), *[c for c in found.columns if c not in ("doc_id", "key")]).dropDuplicates(["name"])
+    schema = "name string, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    found = possible.join(spans.select("name", "spans"), "name").select("name", "text", "spans").mapInArrow(_verifier(plans), schema).dropDuplicates(["name"])
     all_ = docs.select("doc_id", name.alias("name"), F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words")).join(found, "name", "left")
     none = lambda c, v: F.coalesce(c, F.lit(v)).alias(c)
     return all_.select(
