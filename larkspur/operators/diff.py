@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,29 @@ def classify(new: DataFrame, old: DataFrame, key: str, fields: list[str]) -> Dat
     return rows.select(key, change.alias("change"))
 
 
+#: Buckets of a kept snapshot, the same for all that are compared.
+SNAPSHOT_BUCKETS = 32
+
+
+def keep_snapshot(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """A snapshot as a bucketed and sorted table of the warehouse, with ``print``, the SHA-256 of its fields as JSON.
+
+    Written once, it is compared with any other one without a shuffle. Keys tell its rows apart.
+    """
+    spark, name = rows.sparkSession, f"snapshot_{uuid.uuid4().hex}"
+    marked = rows.select(key, *fields, F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256).alias("print"))
+    marked.repartition(SNAPSHOT_BUCKETS, key).write.bucketBy(SNAPSHOT_BUCKETS, key).sortBy(key).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def classify_stored(new: DataFrame, old: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """``classify`` of two kept snapshots: buckets are merged side by side, and fields compared where the prints differ."""
+    rows = paired(new, old, key, [*fields, "print"])
+    same = F.col("n_print") == F.col("o_print")
+    change = F.when(~F.col("in_old"), "new").when(~F.col("in_new"), "missing").when(same, "unchanged").when(any_change(fields), "updated").otherwise("unchanged")
+    return rows.select(key, change.alias("change"))
+
+
 def field_changes(new: DataFrame, old: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """One row for each changed field of the keys of both sides: old and new as text, confidence, reason."""
     rows = paired(new, old, key, fields).where("in_new AND in_old")

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from larkspur.functions import significance, text
-from larkspur.operators import accounts, diff, merge, quality, queue, stats
+from larkspur.operators import accounts, diff, merge, quality, queue, stats, views
 from larkspur.plans import workflows
 from larkspur.plans.base import BARE, CHANGED, FIELDS, NOW, at, query
 from larkspur.plans.config import Settings, from_env
+from larkspur.sources import stored
 from larkspur.sources import tables as t
-from larkspur.sources.shared import shared_dir
+from larkspur.sources.shared import fresh_path
 from larkspur.streaming import feed
 
 DAY = f"DATE '{NOW}'"
@@ -189,7 +188,7 @@ def _(s, d):
 
 @query("append_rows", "SELECT id, price FROM live UNION ALL SELECT id, price FROM staging")
 def _(s, d):
-    path = f"{shared_dir(s)}/larkspur/sinks/{uuid.uuid4().hex}"
+    path = fresh_path(s, "sinks")
     for rows in (t.live(s, d), t.staging(s, d)):
         merge.append(rows.select("id", "price"), path)
     return s.read.schema("id long, price double").parquet(path)
@@ -518,6 +517,91 @@ def _(s, d):
     )
 
 
+# tables at rest
+
+
+def _take(n: str, o: str) -> str:
+    """Whether a row of snapshot n replaces or adds to row o, in SQL."""
+    return f"({o}.id IS NULL OR (coalesce({CHANGED.replace('n.', n + '.').replace('o.', o + '.')}, false) AND {n}.id IS NOT NULL))"
+
+
+def _merged(n: str, o: str, day: str) -> str:
+    take = _take(n, o)
+    pick = ", ".join(f"CASE WHEN {take} THEN {n}.{c} ELSE {o}.{c} END AS {c}" for c in FIELDS)
+    return f"""SELECT coalesce({n}.id, {o}.id) AS id, {pick}, CASE WHEN {o}.id IS NULL THEN 'active' ELSE {o}.status END AS status, coalesce({o}.first_seen, DATE '{day}') AS first_seen,
+    CASE WHEN {n}.id IS NOT NULL THEN DATE '{day}' ELSE {o}.last_seen END AS last_seen, CASE WHEN {take} THEN DATE '{day}' ELSE {o}.last_updated END AS last_updated"""
+
+
+_SNAPSHOTS = f""", base AS (SELECT id, {", ".join(FIELDS)}, status, DATE '2023-06-01' AS first_seen, last_seen, DATE '2023-06-01' AS last_updated FROM live),
+second AS (SELECT id, title, price * 1.1::DOUBLE AS price, property_type, city || '2' AS city, bedrooms FROM staging WHERE id % 9 = 0),
+third AS (SELECT id + 5 AS id, 'moved' AS title, price, property_type, city, bedrooms FROM live WHERE status = 'inactive'),
+after1 AS ({_merged('n', 'o', '2024-02-01')} FROM staging n FULL JOIN base o ON n.id = o.id),
+after2 AS ({_merged('n', 'o', '2024-02-02')} FROM second n FULL JOIN after1 o ON n.id = o.id),
+after3 AS ({_merged('n', 'o', '2024-02-03')} FROM third n FULL JOIN after2 o ON n.id = o.id)"""
+
+
+def _snapshots(s, d):
+    """The live table, and three snapshots: all that is staged, the manifest's second sights with new prices, and listings in the place of inactive ones."""
+    day = lambda x: F.lit(x).cast("date")
+    live = t.live(s, d).withColumns({"first_seen": day("2023-06-01"), "last_updated": day("2023-06-01")})
+    base = live.select("id", *FIELDS, "status", "first_seen", "last_seen", "last_updated")
+    second = t.staging(s, d).where("id % 9 = 0").withColumns({"price": F.col("price") * 1.1, "city": F.concat("city", F.lit("2"))})
+    third = t.live(s, d).where("status = 'inactive'").withColumns({"id": F.col("id") + 5, "title": F.lit("moved")})
+    return base, [("2024-02-01", t.staging(s, d)), ("2024-02-02", second), ("2024-02-03", third)]
+
+
+def _promote(day):
+    return lambda new, live: merge.promote(new, live, F.lit(day).cast("date"), FIELDS)
+
+
+@query("merge_stored", f"{_SNAPSHOTS} SELECT id, title, round(price, 4) AS price, city, status, first_seen, last_seen, last_updated FROM after3")
+def _(s, d):
+    """Three snapshots merged into a table at rest, bucket by bucket; the second comes twice and counts once."""
+    base, snapshots = _snapshots(s, d)
+    path = fresh_path(s, "stores")
+    stored.create(base, path, "id", 16)
+    for batch, (day, rows) in enumerate(snapshots, 1):
+        stored.apply_batch(s, path, batch, rows, "id", _promote(day))
+    stored.apply_batch(s, path, 2, snapshots[1][1].withColumn("title", F.lit("again")), "id", _promote("2024-02-09"))
+    return stored.stored(s, path).select("id", "title", F.round("price", 4).alias("price"), "city", "status", "first_seen", "last_seen", "last_updated")
+
+
+_VIEW = """SELECT {n} AS batch, property_type, city, count(*)::BIGINT AS total, round(sum(price), 5) AS sum_price, round(min(price), 6) AS min_price, round(max(price), 6) AS max_price, sum(bedrooms)::DOUBLE AS sum_area,
+  (count(*) FILTER (status = 'active'))::BIGINT AS active FROM after{n} GROUP BY property_type, city"""
+
+
+@query("stats_kept", f"{_SNAPSHOTS} " + " UNION ALL ".join(_VIEW.format(n=n) for n in (1, 2, 3)))
+def _(s, d):
+    """property_stats after each of three snapshots, from what each changed: the live table is aggregated once, at the start."""
+    base, snapshots = _snapshots(s, d)
+    by, path, held = ["property_type", "city"], fresh_path(s, "stores"), fresh_path(s, "stores")
+    sized = lambda rows: rows.withColumn("total_area_m2", F.col("bedrooms"))
+    stored.create(base, path, "id", 16)
+    stored.create(views.counted(sized(base), by), held, views.GROUP, 16)
+    out = None
+    for batch, (day, rows) in enumerate(snapshots, 1):
+        log = fresh_path(s, "changes")
+        for way, x in views.changed_rows(rows, stored.stored(s, path), "id", _promote(day)).items():
+            x.write.parquet(f"{log}/{way}")
+        before, after = (s.read.parquet(f"{log}/{way}") for way in ("before", "after"))
+        stored.apply_batch(s, path, batch, after, "id", lambda new, live: live.join(new.select("id"), "id", "left_anti").unionByName(new))
+        stored.apply_batch(s, held, batch, views.deltas(sized(before), sized(after), by), views.GROUP, views.combine)
+        at_rest = fresh_path(s, "views")
+        views.stats_view(stored.stored(s, held), by, 10).withColumn("batch", F.lit(batch)).write.parquet(at_rest)
+        view = s.read.parquet(at_rest)
+        out = view if out is None else out.unionByName(view)
+    rounded = [F.round(F.col("avg_price") * F.col("total"), 5).alias("sum_price"), *[F.round(c, 6).alias(c) for c in ("min_price", "max_price")], F.round(F.col("avg_area") * F.col("total"), 5).alias("sum_area")]
+    return out.select("batch", *by, "total", *rounded, "active")
+
+
+@query("classify_stored", f"""
+SELECT coalesce(n.id, o.id) AS id, CASE WHEN o.id IS NULL THEN 'new' WHEN n.id IS NULL THEN 'missing' WHEN {CHANGED} THEN 'updated' ELSE 'unchanged' END AS change
+FROM staging n FULL JOIN live o ON n.id = o.id""")
+def _(s, d):
+    """Two snapshots at rest, bucketed by id with a fingerprint of their fields: compared where they lie."""
+    return diff.classify_stored(diff.keep_snapshot(t.staging(s, d), "id", FIELDS), diff.keep_snapshot(t.live(s, d), "id", FIELDS), "id", FIELDS)
+
+
 # queue
 
 
@@ -670,7 +754,7 @@ def _(s, d):
     """The change log read as a stream, its notifications written batch by batch, and what was written."""
     log = feed.open_log(s, f"{d}/events*.parquet", t.read(s, d, "events").schema)
     out = feed.notifications(log.select(F.col("event_type").alias("type"), F.col("event_id").alias("id"), F.col("user_id").alias("property_id")))
-    return feed.landed(out, f"{shared_dir(s)}/larkspur/feeds/{uuid.uuid4().hex}")
+    return feed.landed(out, fresh_path(s, "feeds"))
 
 
 def _log(s, d):
@@ -682,7 +766,7 @@ def _log(s, d):
 def _(s, d):
     """An extension: duplicates within a watermark go; the first of each user and type is landed."""
     log = _log(s, d)
-    return feed.landed(feed.first_events(log, ["user_id", "event_type"]).select("user_id", "event_type"), f"{shared_dir(s)}/larkspur/feeds/{uuid.uuid4().hex}")
+    return feed.landed(feed.first_events(log, ["user_id", "event_type"]).select("user_id", "event_type"), fresh_path(s, "feeds"))
 
 
 @query("session_windows", """
@@ -693,7 +777,7 @@ GROUP BY user_id, island HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts)
 def _(s, d):
     """An extension: sessions of each user that the watermark has closed."""
     log = _log(s, d)
-    return feed.landed(feed.sessions(log, "user_id"), f"{shared_dir(s)}/larkspur/feeds/{uuid.uuid4().hex}")
+    return feed.landed(feed.sessions(log, "user_id"), fresh_path(s, "feeds"))
 
 
 # accounts

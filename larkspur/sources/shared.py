@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,3 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="larkspur-"))
         found = context.getCheckpointDir()
     return found
+
+
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new place in the shared folder, below the folder of this application."""
+    return f"{shared_dir(spark)}/larkspur/{spark.sparkContext.applicationId}/{kind}/{uuid.uuid4().hex}"
