@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -161,19 +161,32 @@ class Index:
         """The best passage for each item that has one: (item_id, start, end, edits), in characters of the normalized text."""
         data = normalized(text)
         codes = codes_of(data)
-        best: dict[int, tuple[int, int, int]] = {}
+        found = []
         for g in self.grams:
+            # the best of each item's text, whatever other texts its id has
+            best: dict[int, tuple[int, int, int]] = {}
             for item, half in g.bands(codes):
-                if item.item_id in best and best[item.item_id][0] == 0:
+                if best.get(id(item), (1,))[0] == 0:
                     continue
                 low, high = half << item.shift, ((half + 2) << item.shift) - 1
-                found = align(item.data, data, low, high, item.edits)
-                if found and (item.item_id not in best or found < best[item.item_id]):
-                    best[item.item_id] = found
+                if hit := align(item.data, data, low, high, item.edits):
+                    if id(item) not in best:
+                        found.append((item.item_id, id(item), best))
+                    best[id(item)] = min(hit, best.get(id(item), hit))
+        passages = [(item_id, s, e, d) for item_id, k, best in found for d, s, e in [best[k]]]
         for item_id, part in self.short:
             if (s := data.find(part)) >= 0:
-                best[item_id] = min(best.get(item_id, (9**9, 0, 0)), (0, s, s + len(part)))
-        return [(k, s, e, d) for k, (d, s, e) in sorted(best.items())]
+                passages.append((item_id, s, s + len(part), 0))
+        return best_of(passages)
+
+
+def best_of(passages: Iterable[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """One passage (item_id, start, end, edits) for each item_id, in the order of the ids: the fewest edits, then the first place."""
+    best: dict[int, tuple[int, int, int, int]] = {}
+    for x in passages:
+        if x[0] not in best or (x[3], *x[1:3]) < (best[x[0]][3], *best[x[0]][1:3]):
+            best[x[0]] = x
+    return [best[k] for k in sorted(best)]
 
 
 def _rows(item: np.ndarray, text: np.ndarray, low: int, high: int, ends: bool, edits: int) -> tuple[np.ndarray, int]:
@@ -218,6 +231,7 @@ def align(item: str, data: str, low: int, high: int, edits: int) -> tuple[int, i
     return int(row[k]), a + max(0, end - length), a + end
 
 
+LEAK = ("item_id", "start", "end", "edits")
 LEAKS = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
 
 
@@ -226,7 +240,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, bl
 
     ``benchmark``: (item_id, text). Texts are compared in lower case with white space collapsed, character by character;
     a passage may have ``budget`` of an item's characters as edits, rounded down. Empty or null items and items with a null
-    id match nothing. A null or empty text has an empty array. Rows are kept as they are, repeated ones included; a column
+    id match nothing; of an id with several texts the best passage of any counts, whatever blocks they are in. A null or empty text has an empty array. Rows are kept as they are, repeated ones included; a column
     ``leaks`` is replaced. The benchmark comes in blocks of about ``block_bytes``, each broadcast once and held against all
     documents; after CHAIN blocks the documents are written. Equal q-grams are counted in slices, so that a repetitive text
     and a repetitive item take bounded memory.
@@ -245,8 +259,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, bl
         def scan(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for b in batches:
                 found = [index.value.leaks(x) for x in b["text"]]
-                more = [[dict(zip(("item_id", "start", "end", "edits"), y)) for y in x] for x in found]
-                b["leaks"] = [[*a, *c] for a, c in zip(b["leaks"], more)]
+                held = [[tuple(x[c] for c in LEAK) for x in a] for a in b["leaks"]]
+                b["leaks"] = [[dict(zip(LEAK, x)) for x in best_of([*a, *c])] for a, c in zip(held, found)]
                 yield b
 
         out = out.mapInPandas(scan, schema)

@@ -140,6 +140,19 @@ def test_decontamination(spark, corpus, empty):
     assert decontam.find_leaks(empty, bench).count() == 0 and decontam.find_leaks(corpus, bench.limit(0)).where("size(leaks) > 0").count() == 0
 
 
+def test_leaks_of_repeated_items_dont_depend_on_blocks(spark):
+    rng = random.Random(7)
+    long, other, short = words(rng, 30), words(rng, 25), "ab de"
+    bench = spark.createDataFrame([(1, long), (1, other), (1, long), (1, short), (2, other), (2, other + " " + words(rng, 9)), (3, short)], "item_id long, text string")
+    texts = [long + " " + other, other + " x " + long, long.replace(long[20], "Q", 1) + " " + other, long, other, short, short + " " + long.replace(long[9:11], "", 1), "none"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = [sorted((r.doc_id, *map(tuple, r.leaks)) for r in decontam.find_leaks(docs, bench, block_bytes=n).collect()) for n in (4 << 20, 200, 10)]
+    assert seen[0] == seen[1] == seen[2]
+    assert all(len({x[0] for x in r[1:]}) == len(r[1:]) for r in seen[0]) and [len(r) - 1 for r in seen[0]][:2] == [2, 2]
+    first = {r[0]: {x[0]: x[1:] for x in r[1:]} for r in seen[0]}
+    assert first[0][1] == (0, len(long), 0) and first[1][1] == (0, len(other), 0) and first[2][1][2] == 0
+
+
 def test_alignment_agrees_with_brute_force():
     rng = random.Random(3)
     for _ in range(60):
@@ -429,6 +442,31 @@ def test_mix_takes_what_the_plan_says(spark):
     assert mixed.count() == plan.copies.sum()
 
 
+def test_mix_of_repeated_and_null_ids(spark):
+    """60 rows of one id are cut row by row, and null ids are keyed as in the SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(2)
+    rows = [(5, "a b c d e", "hot")] * 60 + [(i, words(rng, 5), "cold") for i in range(100, 400)] + [(None, words(rng, rng.randint(1, 9)), rng.choice(["hot", None])) for _ in range(50)]
+    rows += [(5, "a b c d e f", "hot"), (None, None, None), (None, "x", "cold"), (None, "x", "cold")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    plan = mixing.plan_mix(docs, weights=(1, 1), share=0.4)
+    one = plan.where("source_key = 'hot'").toPandas()
+    assert abs(one.taken.sum() - one.target.iloc[0]) <= 9 and set(one.copies) == {0, 1}
+    mixed = mixing.mix_documents(docs, weights=(1, 1), share=0.4)
+    got, want = (collections.Counter(map(tuple, x)) for x in (mixed.collect(), docs.collect()))
+    assert sum(got.values()) == plan.agg(F.sum("copies")).first()[0] and all(got[k] <= 2 * want[k] for k in got)
+    assert 0 < got[5, "a b c d e", "hot"] < 60
+    frame = docs.toPandas()
+    frame["doc_id"] = frame["doc_id"].astype("Int64")
+    con = duckdb.connect()
+    con.register("frame", frame)
+    con.execute("CREATE TABLE documents AS SELECT doc_id::BIGINT AS doc_id, text, source FROM frame")
+    sql = con.execute(mixing.ORACLE_SQL).fetchall()
+    found = mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken").collect()
+    shown = lambda x: sorted(f"{a}|{b}|{c}|{t:.6f}|{n}" for a, b, c, t, n in x)
+    assert shown(found) == shown(sql)
+
+
 def test_mix_of_many_sources(spark, monkeypatch, corpus):
     want = sorted(r.doc_id or -1 for r in mixing.mix_documents(corpus).collect())
     monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 0)
