@@ -12,7 +12,7 @@ from larkspur.plans.config import Settings, from_env
 from larkspur.sources import stored
 from larkspur.sources import tables as t
 from larkspur.sources.shared import fresh_path
-from larkspur.streaming import feed
+from larkspur.streaming import feed, machines
 
 DAY = f"DATE '{NOW}'"
 
@@ -780,6 +780,44 @@ def _(s, d):
     return feed.landed(feed.sessions(log, "user_id"), fresh_path(s, "feeds"))
 
 
+_STEPS = """, told AS (
+  SELECT o_orderkey AS id, o_orderdate::TIMESTAMP + INTERVAL 1 MINUTE * (o_orderkey % 1440) AS t, o_orderkey % 5 AS k, 'w' || o_custkey % 3 AS who FROM orders
+), mark AS (SELECT max(t) + INTERVAL 80 MINUTE - INTERVAL 1 HOUR AS w FROM told), entered AS (
+  SELECT id, t, 1 AS nth, 'pending' AS status, 0 AS attempts, NULL::TIMESTAMP AS claimed_at, NULL AS claimed_by, NULL::TIMESTAMP AS completed_at, NULL AS last_error FROM told
+  UNION ALL SELECT id, t + INTERVAL 10 MINUTE, 2, 'in_progress', 1, t + INTERVAL 10 MINUTE, who, NULL, NULL FROM told WHERE k <> 4
+  UNION ALL SELECT id, t + INTERVAL 20 MINUTE, 3, 'completed', 1, t + INTERVAL 10 MINUTE, who, t + INTERVAL 20 MINUTE, NULL FROM told WHERE k = 0
+  UNION ALL SELECT id, t + INTERVAL 20 MINUTE, 3, 'failed', 1, t + INTERVAL 10 MINUTE, who, t + INTERVAL 20 MINUTE, 'gone' FROM told WHERE k = 1
+  UNION ALL SELECT id, t + INTERVAL 60 MINUTE, 4, 'pending', 1, NULL, NULL, NULL, NULL FROM told WHERE k = 1
+  UNION ALL SELECT id, t + INTERVAL 40 MINUTE, 3, 'pending', 1, NULL, NULL, NULL, NULL FROM told WHERE k IN (2, 3)
+  UNION ALL SELECT id, t + INTERVAL 50 MINUTE, 4, 'in_progress', 2, t + INTERVAL 50 MINUTE, 'late', NULL, NULL FROM told WHERE k = 2
+  UNION ALL SELECT id, t + INTERVAL 80 MINUTE, 5, 'pending', 2, NULL, NULL, NULL, NULL FROM told WHERE k = 2
+  UNION ALL SELECT id, t + INTERVAL 80 MINUTE, 2, 'cancelled', 0, NULL, NULL, NULL, NULL FROM told WHERE k = 4
+)"""
+
+
+def _queue_events(s, d):
+    """What happens to each row of the queue, as a stream: claims that end, fail, are late or never end."""
+    log = feed.open_log(s, f"{d}/orders*.parquet", t.read(s, d, "orders").schema)
+    k, minutes = F.col("o_orderkey") % 5, lambda n: F.lit(n)
+    what = [
+        (0, "enqueue", None, k >= 0), (10, "claim", F.concat(F.lit("w"), (F.col("o_custkey") % 3).cast("string")), k != 4), (20, "finish", None, k == 0), (20, "fail", None, k == 1), (60, "retry", None, k == 1),
+        (50, "claim", F.lit("late"), k == 2), (80, "finish", None, k == 2), (50, "finish", None, k == 3), (80, "cancel", None, k == 4),
+    ]
+    none = F.lit(None).cast("string")
+    told = F.array_compact(F.array(*[F.when(hit, F.struct(minutes(n).alias("n"), F.lit(i).cast("long").alias("seq"), F.lit(kind).alias("kind"), (none if who is None else who).alias("who"), (F.lit("gone") if kind == "fail" else none).alias("error"))) for i, (n, kind, who, hit) in enumerate(what)]))
+    start = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 1440) * 60)
+    rows = log.select(F.col("o_orderkey").alias("id"), start.alias("t"), F.explode(told).alias("e"))
+    return rows.select("id", F.timestamp_seconds(F.unix_timestamp("t") + F.col("e.n") * 60).alias("at"), "e.seq", "e.kind", "e.who", "e.error")
+
+
+@query("queue_stream", f"""{_STEPS}
+SELECT id, status, attempts, claimed_at, claimed_by, completed_at, last_error FROM entered, mark WHERE t <= w QUALIFY row_number() OVER (PARTITION BY id ORDER BY nth DESC) = 1""")
+def _(s, d):
+    """The queue after a stream of events, as far as its watermark: stale claims are released by their timers."""
+    entered = feed.landed(machines.transitions(_queue_events(s, d), "id", machines.queue_machine()), fresh_path(s, "feeds"))
+    return machines.current(entered, "id").select("id", "status", "attempts", "claimed_at", "claimed_by", "completed_at", "last_error")
+
+
 # accounts
 
 _ACCOUNTS = f"""
