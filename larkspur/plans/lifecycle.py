@@ -764,7 +764,7 @@ def _log(s, d):
 
 @query("first_events", "SELECT DISTINCT user_id, event_type FROM events", False)
 def _(s, d):
-    """An extension: duplicates within a watermark go; the first of each user and type is landed."""
+    """An extension: the first event of each user and type is landed."""
     log = _log(s, d)
     return feed.landed(feed.first_events(log, ["user_id", "event_type"]).select("user_id", "event_type"), fresh_path(s, "feeds"))
 
@@ -861,6 +861,43 @@ def _(s, d):
     return accounts.with_defaults(users, rows, name="Favourites", places=0)
 
 
+@query("profile_upserts", f"""{_ACCOUNTS}, told AS (
+  SELECT o_custkey AS id, o_orderkey AS seq, CASE WHEN o_orderkey % 5 > 0 THEN 'm' || o_orderkey END AS email, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS full_name, o_orderdate AS said_at FROM orders)
+SELECT coalesce(p.user_id, t.id) AS id, CASE WHEN t.id IS NULL THEN 'old' ELSE coalesce(t.r.email, '') END AS email, CASE WHEN t.id IS NULL THEN 'name' ELSE coalesce(t.r.full_name, '') END AS full_name, '' AS avatar_url,
+       coalesce(p.last_login, t.first_at) AS created_at, CASE WHEN t.id IS NULL THEN p.last_login ELSE t.r.at END AS updated_at
+FROM (SELECT * FROM users WHERE user_id % 2 = 0) p FULL JOIN (SELECT id, min(said_at) AS first_at, arg_max({{'email': email, 'full_name': full_name, 'at': said_at}}, seq) AS r FROM told GROUP BY id) t ON p.user_id = t.id""", False)
+def _(s, d):
+    """Sign-ups and changes of accounts into profiles: the last of each account overwrites, absent values are empty."""
+    k = F.col("o_orderkey")
+    told = t.read(s, d, "orders").select(
+        F.col("o_custkey").alias("id"), k.alias("seq"), F.when(k % 5 > 0, F.concat(F.lit("m"), k.cast("string"))).alias("email"), F.when(k % 3 > 0, F.col("o_orderpriority")).alias("full_name"),
+        F.lit(None).cast("string").alias("avatar_url"), F.col("o_orderdate").cast("timestamp").alias("at"),
+    )
+    old = F.col("last_login").cast("timestamp")
+    profiles = _users(s, d).where("user_id % 2 = 0").select(F.col("user_id").alias("id"), F.lit("old").alias("email"), F.lit("name").alias("full_name"), F.lit("").alias("avatar_url"), old.alias("created_at"), old.alias("updated_at"))
+    return accounts.upsert_profiles(profiles, told)
+
+
+_KEYED = ("region", "nation", "customer", "supplier", "part", "orders")
+_KEYS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey", "p_size"], "orders": ["o_orderkey", "o_custkey"]}
+_REFERENCES = [("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"), ("orders", "o_orderkey", "part", "p_partkey")]
+
+
+@query("catalog_keys", " UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", '{c}' AS \"column\", count(*)::BIGINT AS \"rows\", (count(*) - count({c}))::BIGINT AS nulls, count(DISTINCT {c})::BIGINT AS \"distinct\", count(DISTINCT {c}) = count(*) AS is_key FROM {n}" for n, cs in _KEYS.items() for c in cs), False)
+def _(s, d):
+    """The columns that identify the rows of a table, found in the rows."""
+    return t.keys_of({n: t.read(s, d, n).select(*cs) for n, cs in _KEYS.items()})
+
+
+@query("catalog_references", " UNION ALL ".join(
+    f"SELECT '{a}' AS \"table\", '{x}' AS \"column\", '{b}' AS target, '{y}' AS target_column, count(*)::BIGINT AS \"values\", (count(*) FILTER (k NOT IN (SELECT {y} FROM {b})))::BIGINT AS missing, count(*) FILTER (k NOT IN (SELECT {y} FROM {b})) = 0 AS holds FROM (SELECT DISTINCT {x} AS k FROM {a} WHERE {x} IS NOT NULL)"
+    for a, x, b, y in _REFERENCES), False)
+def _(s, d):
+    """Which columns refer to another table's key: how many of their values are missing there."""
+    return t.references_of({n: t.read(s, d, n) for n in _KEYED}, _REFERENCES)
+
+
 @query("catalog_markdown", """
 SELECT 'part' AS "table", concat_ws(chr(10), '| Column | Type |', '| --- | --- |', '| p_partkey | bigint |', '| p_name | string |', '| p_brand | string |', '| p_type | string |', '| p_size | int |', '| p_retailprice | double |') AS document
 UNION ALL SELECT 'region', concat_ws(chr(10), '| Column | Type |', '| --- | --- |', '| r_regionkey | int |', '| r_name | string |')""", False)

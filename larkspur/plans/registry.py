@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import identity, significance, text
 from larkspur.operators import diff, extract, merge, quality, queue, search, stats
-from larkspur.plans import lifecycle, listings, workflows  # noqa: F401
+from larkspur.plans import lifecycle, listings, searching, workflows  # noqa: F401
 from larkspur.plans.base import CHANGED as _CHANGED
 from larkspur.plans.base import FIELDS, NOW, ORACLES, QUERIES, at, query
 from larkspur.sources import tables as t

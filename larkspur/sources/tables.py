@@ -16,6 +16,33 @@ def columns_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table string, column string, type string, nullable boolean, position int")
 
 
+def keys_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, rows, nulls, distinct, is_key) of each column, by reading the rows: a column whose values are all there and all
+    different identifies the rows. Values are counted by column and value in one pass over a table, hot ones combined before the shuffle."""
+    out = None
+    for name, df in tables.items():
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in df.columns])
+        values = df.select(F.inline(pairs)).groupBy("column", "v").agg(F.count("*").alias("n"))
+        found = values.groupBy("column").agg(F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.count("v").alias("distinct"))
+        found = found.select(F.lit(name).alias("table"), "column", "rows", "nulls", "distinct", (F.col("distinct") == F.col("rows")).alias("is_key"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def references_of(tables: dict[str, DataFrame], pairs: list[tuple[str, str, str, str]]) -> DataFrame:
+    """(table, column, target, target_column, values, missing, holds): how many different values of a column the other table's
+    column lacks; a reference holds if it lacks none."""
+    out = None
+    for name, column, target, key in pairs:
+        values = tables[name].select(F.col(column).alias("k")).where("k IS NOT NULL").distinct()
+        there = tables[target].select(F.col(key).alias("k"), F.lit(True).alias("there")).distinct()
+        missing = F.count_if(F.col("there").isNull())
+        found = values.join(there, "k", "left").agg(F.count("*").alias("values"), missing.alias("missing"), (missing == 0).alias("holds"))
+        found = found.select(*[F.lit(v).alias(c) for c, v in zip(("table", "column", "target", "target_column"), (name, column, target, key))], "values", "missing", "holds")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def markdown(columns: DataFrame) -> DataFrame:
     """(table, document): the columns of each table as a Markdown table."""
     lines = F.array_sort(F.collect_list(F.struct("position", F.concat(F.lit("| "), "column", F.lit(" | "), "type", F.lit(" |")).alias("line"))))

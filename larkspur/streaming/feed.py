@@ -19,8 +19,13 @@ def open_log(spark: SparkSession, folder: str, schema, files: int = 1) -> DataFr
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
-def first_events(events: DataFrame, keys: list[str], at: str = "ts", late: str = "1 hour") -> DataFrame:
-    return events.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)
+def first_events(events: DataFrame, keys: list[str], at: str = "ts", late: str | None = None) -> DataFrame:
+    """One event for each of ``keys``, however the events are spread over files and batches: each key stays in the state.
+
+    With ``late`` keys are forgotten again once the watermark is that far behind their event, so that the state is bounded and a key
+    that comes back after that time is a first event again; when exactly depends on the batches.
+    """
+    return events.dropDuplicates(keys) if late is None else events.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)
 
 
 def sessions(events: DataFrame, key: str, at: str = "ts", gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
