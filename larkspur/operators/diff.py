@@ -124,8 +124,13 @@ def manifest_price_changes(manifest: DataFrame, live: DataFrame, least: float =
     )
 
 
+def unlisted() -> Column:
+    """Whether a live row counts as gone, so that a sight of it is a relisting."""
+    return F.coalesce(F.col("listing_status").isin("confirmed_removed", "sold", "likely_removed"), F.lit(False))
+
+
 def relisted(manifest: DataFrame, live: DataFrame) -> DataFrame:
-    gone = live.where(F.col("listing_status").isin("confirmed_removed", "sold", "likely_removed")).select("id")
+    gone = live.where(unlisted()).select("id")
     return manifest.select("id").distinct().join(gone, "id", "left_semi")
 
 

@@ -68,13 +68,18 @@ def listed(rows: DataFrame) -> Column:
     return F.col("listing_status" if "listing_status" in rows.columns else "status") == "active"
 
 
+def missed(rows: DataFrame, now: Column) -> DataFrame:
+    """``count_misses`` of live rows that say by ``_seen`` whether they were seen."""
+    rows = rows.withColumns({"_reset": F.col("_seen") & (F.col("misses") > 0), "_miss": ~F.col("_seen") & F.coalesce(listed(rows), F.lit(False))})
+    misses = F.when(F.col("_reset"), 0).when(F.col("_miss"), F.col("misses") + 1).otherwise(F.col("misses")).cast("int")
+    rows = _set(rows.withColumns({"misses": misses, "_any": F.col("_reset") | F.col("_miss")}), "_reset", manifest_seen=now)
+    return _set(rows, "_any", updated_at=now).drop("_reset", "_miss", "_any")
+
+
 def count_misses(live: DataFrame, seen: DataFrame, now: Column) -> DataFrame:
     """Listed rows that were not seen have one miss more; seen ones with misses have none again and are seen in a manifest now."""
-    rows = live.join(seen.select("id", F.lit(True).alias("_seen")).distinct(), "id", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
-    rows = rows.withColumns({"_back": F.col("_seen") & (F.col("misses") > 0), "_miss": ~F.col("_seen") & F.coalesce(listed(live), F.lit(False))})
-    misses = F.when(F.col("_back"), 0).when(F.col("_miss"), F.col("misses") + 1).otherwise(F.col("misses")).cast("int")
-    rows = _set(rows.withColumns({"misses": misses, "_any": F.col("_back") | F.col("_miss")}), "_back", manifest_seen=now)
-    return _set(rows, "_any", updated_at=now).drop("_seen", "_back", "_miss", "_any")
+    rows = live.join(seen.select("id", F.lit(True).alias("_seen")).distinct(), "id", "left")
+    return missed(rows.withColumn("_seen", F.coalesce("_seen", F.lit(False))), now).drop("_seen")
 
 
 def removal_verdict(url: Column, status: Column, location: Column) -> Column:
@@ -86,23 +91,34 @@ def removal_verdict(url: Column, status: Column, location: Column) -> Column:
     )
 
 
+def by_id(verdicts: DataFrame) -> DataFrame:
+    """(id, _gone, _kept): whether an id has either verdict."""
+    has = lambda v: F.bool_or(F.col("verdict") == v)
+    return verdicts.groupBy("id").agg(has("removed").alias("_gone"), has("kept").alias("_kept"))
+
+
+def judged(rows: DataFrame, now: Column) -> DataFrame:
+    """``apply_verdicts`` of live rows that say by ``_gone`` and ``_kept`` what was found."""
+    rows = _set(rows, "_gone", status=F.lit("removed"), listing_status=F.lit("confirmed_removed"), last_updated=now, updated_at=now)
+    return _set(rows, "_kept", misses=F.lit(0), manifest_seen=now, updated_at=now)
+
+
 def apply_verdicts(live: DataFrame, verdicts: DataFrame, now: Column) -> DataFrame:
     """Confirmed removals are removed and updated now; rows that were kept have no misses again and are seen in a manifest now.
 
     verdicts: (id, verdict). An id with both verdicts gets both updates, as one batch of each is applied.
     """
-    has = lambda v: F.bool_or(F.col("verdict") == v)
-    rows = live.join(verdicts.groupBy("id").agg(has("removed").alias("_gone"), has("kept").alias("_kept")), "id", "left")
-    rows = _set(rows, "_gone", status=F.lit("removed"), listing_status=F.lit("confirmed_removed"), last_updated=now, updated_at=now)
-    return _set(rows, "_kept", misses=F.lit(0), manifest_seen=now, updated_at=now).drop("_gone", "_kept")
+    return judged(live.join(by_id(verdicts), "id", "left"), now).drop("_gone", "_kept")
+
+
+def back_again(rows: DataFrame, now: Column) -> DataFrame:
+    """``relist`` of live rows that say by ``_back`` whether they are back."""
+    return _set(rows, "_back", listing_status=F.lit("relisted"), status=F.lit("active"), misses=F.lit(0), manifest_seen=now, last_updated=now, updated_at=now)
 
 
 def relist(live: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
     """Listings that are back are active and relisted, so that the next scan doesn't find them again."""
-    rows = live.join(ids.select("id", F.lit(True).alias("_back")).distinct(), "id", "left")
-    return _set(
-        rows, "_back", listing_status=F.lit("relisted"), status=F.lit("active"), misses=F.lit(0), manifest_seen=now, last_updated=now, updated_at=now,
-    ).drop("_back")
+    return back_again(live.join(ids.select("id", F.lit(True).alias("_back")).distinct(), "id", "left"), now).drop("_back")
 
 
 def retain(rows: DataFrame, at: str, now: Column, days: int) -> DataFrame:

@@ -224,15 +224,24 @@ def _(s, d):
     return merge.adopt_legacy(legacy, live).select("id", "price", "first_seen")
 
 
-@query("catalog_columns", "SELECT 'part' AS \"table\", column_name AS \"column\", ordinal_position::INTEGER AS position FROM (SELECT unnest(['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice']) AS column_name, generate_subscripts(['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice'], 1) AS ordinal_position)", False)
+@query("catalog_columns", " UNION ALL ".join(
+    f"SELECT 'part' AS \"table\", '{c}' AS \"column\", {i}::INTEGER AS position, count(DISTINCT {c}) = count(*) AS is_key FROM part"
+    for i, c in enumerate(["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"], 1)), False)
 def _(s, d):
-    return t.columns_of(s, {"part": t.read(s, d, "part")}).select("table", "column", "position")
+    """The columns of a table, and which of them identify its rows."""
+    tables = {"part": t.read(s, d, "part")}
+    return t.columns_of(s, tables).join(t.keys_of(tables), ["table", "column"]).select("table", "column", "position", "is_key")
 
 
-@query("settings_tiers", "SELECT * FROM (VALUES (1, 'hot_listings', 6, 500), (2, 'daily_sync', 12, 5000), (3, 'weekly_deep', 240, 10000), (4, 'monthly_refresh', 720, 20000)) v(level, name, hours, cap)", False)
+@query("settings_tiers", """
+SELECT level, name, hours, cap, count(event_id)::BIGINT AS runs, max(started_at) AS latest FROM (VALUES (1, 'hot_listings', 6, 500), (2, 'daily_sync', 12, 5000), (3, 'weekly_deep', 240, 10000), (4, 'monthly_refresh', 720, 20000)) v(level, name, hours, cap)
+LEFT JOIN runs ON tier = level GROUP BY ALL""")
 def _(s, d):
+    """The tiers with periods from the environment over their defaults, and how often each has run."""
     tiers = from_env(Settings(), {"TIER_2_EVERY": "12", "TIER_3_EVERY": "10"}).tiers
-    return s.createDataFrame([(x.level, x.name, x.every_hours, x.queue_cap) for x in tiers], "level int, name string, hours int, cap int")
+    rows = s.createDataFrame([(x.level, x.name, x.every_hours, x.queue_cap) for x in tiers], "level int, name string, hours int, cap int")
+    ran = t.runs(s, d).groupBy(F.col("tier").alias("level")).agg(F.count("*").alias("runs"), F.max("started_at").alias("latest"))
+    return F.broadcast(rows).join(ran, "level", "left").select("level", "name", "hours", "cap", F.coalesce("runs", F.lit(0)).alias("runs"), "latest")
 
 
 # projections and backfills

@@ -332,11 +332,11 @@ def _(s, d):
 @query("field_changes", """
 SELECT n.id, 'title' AS field, o.title AS old_value, n.title AS new_value, 0.8::DOUBLE AS confidence, 'Field ''title'' changed' AS reason
 FROM staging n JOIN live o ON n.id = o.id WHERE n.title IS NULL
-UNION ALL SELECT n.id, 'price', NULL, NULL, CASE WHEN abs(n.price - o.price) / o.price > 0.1 THEN 0.95 ELSE 0.9 END, 'Field ''price'' changed'
+UNION ALL SELECT n.id, 'price', round(o.price, 3)::VARCHAR, round(n.price, 3)::VARCHAR, CASE WHEN abs(n.price - o.price) / o.price > 0.1 THEN 0.95 ELSE 0.9 END, 'Field ''price'' changed'
 FROM staging n JOIN live o ON n.id = o.id WHERE abs(n.price - o.price) / o.price > 0.01""")
 def _(s, d):
     f = diff.field_changes(t.staging(s, d), t.live(s, d), "id", FIELDS)
-    text_of = lambda c: F.when(F.col("field") != "price", F.col(c)).alias(c)
+    text_of = lambda c: F.when(F.col("field") != "price", F.col(c)).otherwise(F.round(F.col(c).try_cast("double"), 3).cast("string")).alias(c)
     return f.select("id", "field", text_of("old_value"), text_of("new_value"), "confidence", "reason")
 
 
@@ -384,9 +384,10 @@ def _(s, d):
     return diff.relisted(t.manifest(s, d), gone)
 
 
-@query("change_confidence", "SELECT id, CASE WHEN id % 7 = 0 THEN 0.9 WHEN id % 3 = 0 THEN 0.95 ELSE 0.9 END::DOUBLE AS confidence FROM live")
+@query("change_confidence", """
+SELECT id, CASE WHEN price <> 0 AND abs(now_price - price) / price > 0.1 THEN 0.95 ELSE 0.9 END::DOUBLE AS confidence FROM (SELECT *, CASE WHEN id % 41 > 0 THEN price * (1 + (id % 40) / 131.0::DOUBLE) END AS now_price FROM live)""")
 def _(s, d):
-    new = F.when(F.col("id") % 7 == 0, F.col("price") * 1.05).when(F.col("id") % 3 == 0, F.col("price") * 1.2).otherwise(F.col("price"))
+    new = F.when(F.col("id") % 41 > 0, F.col("price") * (1 + (F.col("id") % 40) / 131))
     return t.live(s, d).select("id", significance.confidence("price", new, F.col("price")).cast("double").alias("confidence"))
 
 
@@ -409,29 +410,42 @@ def _(s, d):
     return quality.errors(t.staging(s, d), "id").groupBy("severity", "field").agg(F.count("*").alias("n"))
 
 
-@query("validate_pattern", "SELECT event_id AS id, 'bad' AS verdict FROM events WHERE event_id % 3 = 0", False)
+@query("validate_pattern", r"""
+SELECT id, 'bad' AS verdict FROM (SELECT event_id AS id, CASE WHEN event_id % 9 > 0 THEN event_type || '@' || user_id || CASE WHEN value > 50 THEN '.mx' ELSE '' END || CASE WHEN user_id % 2 = 0 THEN '@' ELSE ' x' END END AS mail FROM events)
+WHERE trim(mail) <> '' AND NOT regexp_matches(mail, '^(?:[^@]+@[^@]+\.[^@]+)')""", False)
 def _(s, d):
-    rule = quality.Rule("valid_email", "email", "pattern", "warning", regex=r"^[^@]+@[^@]+\.[^@]+$")
-    mail = F.when(F.col("event_id") % 3 == 0, "nobody").otherwise("a@b.c x")
-    return t.read(s, d, "events").where(quality.rule_message(rule, mail).isNotNull()).select(F.col("event_id").alias("id"), F.lit("bad").alias("verdict"))
+    rule = quality.Rule("valid_email", "email", "pattern", "warning", regex=r"[^@]+@[^@]+\.[^@]+")
+    mail = F.concat("event_type", F.lit("@"), F.col("user_id").cast("string"), F.when(F.col("value") > 50, ".mx").otherwise(""), F.when(F.col("user_id") % 2 == 0, "@").otherwise(" x"))
+    rows = t.read(s, d, "events").select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 9 > 0, mail).alias("mail"))
+    return rows.where(quality.rule_message(rule, F.col("mail")).isNotNull()).select("id", F.lit("bad").alias("verdict"))
 
 
-@query("gps_consistency", "SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 1 THEN 'coordinate_consistency' WHEN 2 THEN 'coordinate_format' END AS problem FROM customer", False)
+@query("gps_consistency", """
+SELECT id, CASE WHEN len(p) = 2 THEN CASE WHEN try_cast(p[1] AS DOUBLE) IS NULL OR try_cast(p[2] AS DOUBLE) IS NULL THEN 'coordinate_format'
+  WHEN abs(try_cast(p[1] AS DOUBLE) - lat) > 0.001 OR abs(try_cast(p[2] AS DOUBLE) - lng) > 0.001 THEN 'coordinate_consistency' END END AS problem
+FROM (SELECT *, string_split(gps, ',') AS p FROM (
+  SELECT c_custkey AS id, c_acctbal / 1000 AS lat, c_nationkey - 100.5::DOUBLE AS lng, CASE WHEN c_nationkey = 3 THEN 'north,' || c_custkey WHEN c_nationkey = 4 THEN '1,2,3' WHEN c_nationkey <> 5
+    THEN (c_acctbal / 1000 + (c_custkey % 5) * 0.0004::DOUBLE)::VARCHAR || ',' || (c_nationkey - 100.5::DOUBLE + (c_custkey % 3) * 0.0006::DOUBLE)::VARCHAR END AS gps FROM customer))""", False)
 def _(s, d):
-    k, lat, lng = F.col("c_custkey"), F.col("c_acctbal") / 1000, F.col("c_acctbal") / 500
-    gps = F.when(k % 4 == 1, F.concat_ws(",", lat + 1, lng)).when(k % 4 == 2, "north,west").when(k % 4 == 3, "1,2,3").otherwise(F.concat_ws(",", lat, lng))
+    k, n, lat, lng = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal") / 1000, F.col("c_nationkey") - F.lit(100.5)
+    gps = F.when(n == 3, F.concat(F.lit("north,"), k.cast("string"))).when(n == 4, "1,2,3").when(n != 5, F.concat_ws(",", lat + (k % 5) * 0.0004, lng + (k % 3) * 0.0006))
     return t.read(s, d, "customer").select(k.alias("id"), quality.gps_problem(gps, lat, lng).alias("problem"))
 
 
-@query("price_consistency", "SELECT id, CASE WHEN id % 3 = 1 THEN 'price_consistency' END AS problem FROM live")
+@query("price_consistency", """
+SELECT id, CASE WHEN coalesce(price, 0) <> 0 AND coalesce(per, 0) <> 0 AND abs(price - per * area) / price > 0.2 THEN 'price_consistency' END AS problem
+FROM (SELECT *, CASE WHEN id % 13 > 0 THEN price / (79.5::DOUBLE + id % 50) END AS per, 100.0::DOUBLE AS area FROM live)""")
 def _(s, d):
-    per = F.when(F.col("id") % 3 == 1, F.col("price") / 50).when(F.col("id") % 3 == 2, F.col("price") / 95).otherwise(0.0)
+    per = F.when(F.col("id") % 13 > 0, F.col("price") / (79.5 + F.col("id") % 50))
     return t.live(s, d).select("id", quality.price_problem(F.col("price"), per, F.lit(100.0)).alias("problem"))
 
 
-@query("array_urls", "SELECT page_id, 1 AS at, 'ftp:' || page_id::VARCHAR AS url FROM pages", False)
+@query("array_urls", f"""
+SELECT page_id, "at"::INTEGER AS "at", url FROM (SELECT page_id, unnest([0, 1, 2, 3]) AS "at", unnest([url, substr(url, 2), NULL, url || ' ' || page_id]) AS url FROM pages)
+WHERE NOT coalesce(regexp_matches(url, '{quality.URL_PATTERN}'), false)""", False)
 def _(s, d):
-    rows = t.read(s, d, "pages").select("page_id", F.array(F.col("url"), F.concat(F.lit("ftp:"), F.col("page_id").cast("string"))).alias("urls"))
+    url = F.col("url")
+    rows = t.read(s, d, "pages").select("page_id", F.array(url, F.substring(url, 2, 1 << 20), F.lit(None).cast("string"), F.concat(url, F.lit(" "), F.col("page_id").cast("string"))).alias("urls"))
     return quality.bad_urls(rows, "page_id", "urls")
 
 
@@ -546,12 +560,16 @@ def _(s, d):
     return merge.count_misses(t.live(s, d), t.manifest(s, d), F.lit(NOW).cast("date")).where("status = 'active' AND misses >= 2").select("id", "misses")
 
 
-@query("removal_verdict", """
-SELECT id, CASE WHEN id % 6 = 0 THEN 'removed' WHEN id % 6 = 1 THEN 'removed' WHEN id % 6 = 2 THEN 'removed' ELSE 'kept' END AS verdict FROM live""")
+@query("removal_verdict", r"""
+SELECT id, CASE WHEN coalesce(url, '') = '' OR http_status = 404 OR (http_status IN (301, 302, 303, 307, 308) AND regexp_matches(lower(coalesce(location, '')), 'search|properties|filter|\?')) THEN 'removed' ELSE 'kept' END AS verdict
+FROM (SELECT id, CASE WHEN id % 19 > 0 THEN CASE WHEN id % 23 > 0 THEN 'u' || id ELSE '' END END AS url, ([200, 301, 302, 303, 307, 308, 404, 503])[bedrooms % 8 + 1] AS http_status,
+             CASE WHEN price < 920 THEN '/Search/' || city WHEN price < 940 THEN '/x?p=' || id WHEN price < 960 THEN '/home/' || id WHEN price < 970 THEN '/Properties' END AS location FROM live)""")
 def _(s, d):
-    k = F.col("id") % 6
-    status = F.when(k == 1, 404).when(k.isin(2, 3), 301).when(k == 4, 200).otherwise(503)
-    return t.live(s, d).select("id", merge.removal_verdict(F.when(k == 0, "").otherwise("u"), status, F.when(k == 2, "/search").when(k == 3, "/home/x")).alias("verdict"))
+    i, price, name = F.col("id"), F.col("price"), F.col("id").cast("string")
+    url = F.when(i % 19 > 0, F.when(i % 23 > 0, F.concat(F.lit("u"), name)).otherwise(""))
+    status = F.element_at(F.array(*[F.lit(x) for x in (200, 301, 302, 303, 307, 308, 404, 503)]), (F.col("bedrooms") % 8 + 1).cast("int"))
+    to = F.when(price < 920, F.concat(F.lit("/Search/"), "city")).when(price < 940, F.concat(F.lit("/x?p="), name)).when(price < 960, F.concat(F.lit("/home/"), name)).when(price < 970, "/Properties")
+    return t.live(s, d).select("id", merge.removal_verdict(url, status, to).alias("verdict"))
 
 
 @query("apply_verdicts", f"""

@@ -89,16 +89,23 @@ def full_diff(manifest: DataFrame, live: DataFrame, now: Column, probes: DataFra
     (id, url, http_status, location), their verdicts; and the live table after them.
 
     manifest: (id, seq, price, url, price_changed); live: (id, price, status, listing_status, misses, ...). Listings that are back
-    are found by the listing_status they had before.
+    are found by the listing_status they had before. The live table is joined once with what was seen and once with what the
+    probes say; the rest are columns and filters of these rows.
     """
-    back = diff.relisted(manifest, live)
-    counted = merge.count_misses(live, manifest, now)
-    candidates = counted.where(merge.listed(counted) & (F.col("misses") >= settings.missing_before_removal)).select("id", "misses")
-    verdicts, after = None, counted
+    once = manifest.select("id", F.lit(True).alias("_seen")).distinct()
+    rows = live.join(once, "id", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+    rows = merge.missed(rows.withColumn("_back", F.col("_seen") & diff.unlisted()), now)
+    rows = rows.withColumns({"_candidate": F.coalesce(merge.listed(rows) & (F.col("misses") >= settings.missing_before_removal), F.lit(False)), "_misses": F.col("misses")})
+    verdicts = None
     if probes is not None:
-        verdicts = candidates.join(probes, "id").select("id", merge.removal_verdict(F.col("url"), F.col("http_status"), F.col("location")).alias("verdict"))
-        after = merge.apply_verdicts(counted, verdicts, now)
-    return Diff(diff.new_keys(manifest, live, "id"), diff.flagged_price_changes(manifest, live), back, candidates, verdicts, merge.relist(after, back, now))
+        said = probes.select("id", merge.removal_verdict(F.col("url"), F.col("http_status"), F.col("location")).alias("verdict"))
+        verdicts = rows.where("_candidate").select("id").join(said, "id")
+        rows = rows.join(merge.by_id(said), "id", "left").withColumns({c: F.col("_candidate") & F.col(c) for c in ("_gone", "_kept")})
+        rows = merge.judged(rows, now)
+    rows = merge.back_again(rows, now)
+    candidates = rows.where("_candidate").select("id", F.col("_misses").alias("misses"))
+    after = rows.drop("_seen", "_back", "_candidate", "_misses", "_gone", "_kept")
+    return Diff(diff.new_keys(manifest, live, "id"), diff.flagged_price_changes(manifest, live), rows.where("_back").select("id"), candidates, verdicts, after)
 
 
 @dataclass(frozen=True)
