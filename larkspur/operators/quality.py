@@ -67,15 +67,23 @@ def valid_rows(rows: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
 def report(rows: DataFrame, found: DataFrame, checks: DataFrame, key: str = "id") -> DataFrame:
     """One row: totals, scores, problems by severity and by field, scores by field, the checks and recommendations.
 
-    ``checks``: one row with duplicate_rate and freshness. Everything here has one row, or one for each field or rule.
+    ``checks``: one row with duplicate_rate and freshness. The rows are read once, the problems twice: all else comes from one row of
+    counts and an array with an entry for each severity and field.
     """
-    by = lambda c: found.groupBy(c).agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct(c, "n"))).alias(f"by_{c}"))
-    fields = field_scores(rows, found).agg(F.array_sort(F.collect_list(F.struct("field", F.round("score", 4).alias("score")))).alias("fields"))
+    zero, columns = F.lit(0).cast("long"), rows.columns
+    one = rows.agg(F.count("*").alias("n"), F.avg(completeness(columns)).alias("c"), *[F.count_if(populated(F.col(c))).alias(f"there_{i}") for i, c in enumerate(columns)])
+    broken = found.groupBy("severity", "field").agg(F.count("*").alias("n")).agg(F.collect_list(F.struct("severity", "field", "n")).alias("broken"))
     invalid = found.where("severity = 'error'").agg(F.count_distinct(key).alias("invalid"))
-    complete = rows.agg(F.coalesce(F.avg(completeness(rows.columns)), F.lit(0.0)).alias("completeness"))
-    one = overall_score(rows, found)
-    for t in (invalid, complete, by("severity"), by("field"), fields, checks):
+    for t in (broken, invalid, checks):
         one = one.join(F.broadcast(t))
+    of = lambda hit: F.aggregate(F.filter("broken", hit), zero, lambda s, x: s + x["n"])
+    by = lambda c: F.array_sort(F.transform(F.array_distinct(F.transform("broken", lambda x: x[c])), lambda v: F.struct(v.alias(c), of(lambda x: x[c] == v).alias("n")))).alias(f"by_{c}")
+    errors_, warnings = of(lambda x: x["severity"] == "error"), of(lambda x: x["severity"] == "warning")
+    n = F.nullif(F.col("n"), F.lit(0))
+    bad = lambda c: of(lambda x: (x["severity"] == "error") & (x["field"] == c))
+    shares = [(c, (F.col(f"there_{i}") - bad(c)) / n) for i, c in sorted(enumerate(columns), key=lambda x: x[1])]
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.round(F.coalesce(F.greatest(F.lit(0.0), x), F.lit(1.0)), 4).alias("score")) for c, x in shares])
+    one = one.select("n", "invalid", score_of(F.col("c"), errors_ / n, warnings / n).alias("score"), F.coalesce("c", F.lit(0.0)).alias("completeness"), by("severity"), by("field"), fields.alias("fields"), errors_.alias("errors"), *checks.columns)
     advice = recommendations(F.col("score"), F.col("completeness"), F.coalesce(F.col("errors") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0)), F.col("duplicate_rate"), F.col("freshness"), F.col("fields"))
     return one.select("n", (F.col("n") - F.col("invalid")).alias("valid"), "invalid", "score", "completeness", "by_severity", "by_field", "fields", *checks.columns, advice.alias("recommendations"))
 
@@ -146,13 +154,18 @@ def field_scores(rows: DataFrame, found: DataFrame) -> DataFrame:
     return long.join(F.broadcast(bad), "field", "left").select("field", F.coalesce(F.greatest(F.lit(0.0), share), F.lit(1.0)).alias("score"))
 
 
+def score_of(complete: Column, errors: Column, warnings: Column) -> Column:
+    """The overall score of completeness and the shares of errors and warnings; 1 where there are no rows."""
+    score = 0.4 * complete + 0.4 * F.greatest(F.lit(0.0), 1 - errors) + 0.2 * F.greatest(F.lit(0.0), 1 - 0.5 * warnings)
+    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), F.lit(1.0))
+
+
 def overall_score(rows: DataFrame, found: DataFrame) -> DataFrame:
     """One row: overall score of completeness, errors and warnings; 1 for no rows."""
     a = rows.agg(F.count("*").alias("n"), F.avg(completeness(rows.columns)).alias("c"))
     b = found.agg(F.count_if(F.col("severity") == "error").alias("e"), F.count_if(F.col("severity") == "warning").alias("w"))
     n = F.nullif(F.col("n"), F.lit(0))
-    score = 0.4 * F.col("c") + 0.4 * F.greatest(F.lit(0.0), 1 - F.col("e") / n) + 0.2 * F.greatest(F.lit(0.0), 1 - 0.5 * F.col("w") / n)
-    return a.join(F.broadcast(b)).select(F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), F.lit(1.0)).alias("score"), "n", F.col("e").alias("errors"), F.col("w").alias("warnings"))
+    return a.join(F.broadcast(b)).select(score_of(F.col("c"), F.col("e") / n, F.col("w") / n).alias("score"), "n", F.col("e").alias("errors"), F.col("w").alias("warnings"))
 
 
 def duplicate_rate(key: str) -> Column:
