@@ -64,17 +64,26 @@ def valid_rows(rows: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
     return rows.join(found.where("severity = 'error'").select(key), key, "left_anti")
 
 
-def report(rows: DataFrame, found: DataFrame, checks: DataFrame, key: str = "id") -> DataFrame:
+def has_error(columns: list[str], rules: list[Rule] = DEFAULT_RULES, custom: dict | None = None) -> Column:
+    """Whether a row breaks a rule of severity error."""
+    out = F.lit(False)
+    for r in rules:
+        if r.severity == "error" and r.field in columns:
+            out = out | rule_message(r, F.col(r.field), custom).isNotNull()
+    return out
+
+
+def report(rows: DataFrame, found: DataFrame, checks: DataFrame, rules: list[Rule] = DEFAULT_RULES, custom: dict | None = None) -> DataFrame:
     """One row: totals, scores, problems by severity and by field, scores by field, the checks and recommendations.
 
-    ``checks``: one row with duplicate_rate and freshness. The rows are read once, the problems twice: all else comes from one row of
-    counts and an array with an entry for each severity and field.
+    ``checks``: one row with duplicate_rate and freshness; ``rules`` and ``custom`` as in ``errors``. A row is invalid by itself, whether
+    or not others have its key. The rows are read once, the problems once: all else comes from one row of counts and an array with an
+    entry for each severity and field.
     """
     zero, columns = F.lit(0).cast("long"), rows.columns
-    one = rows.agg(F.count("*").alias("n"), F.avg(completeness(columns)).alias("c"), *[F.count_if(populated(F.col(c))).alias(f"there_{i}") for i, c in enumerate(columns)])
+    one = rows.agg(F.count("*").alias("n"), F.count_if(has_error(columns, rules, custom)).alias("invalid"), F.avg(completeness(columns)).alias("c"), *[F.count_if(populated(F.col(c))).alias(f"there_{i}") for i, c in enumerate(columns)])
     broken = found.groupBy("severity", "field").agg(F.count("*").alias("n")).agg(F.collect_list(F.struct("severity", "field", "n")).alias("broken"))
-    invalid = found.where("severity = 'error'").agg(F.count_distinct(key).alias("invalid"))
-    for t in (broken, invalid, checks):
+    for t in (broken, checks):
         one = one.join(F.broadcast(t))
     of = lambda hit: F.aggregate(F.filter("broken", hit), zero, lambda s, x: s + x["n"])
     by = lambda c: F.array_sort(F.transform(F.array_distinct(F.transform("broken", lambda x: x[c])), lambda v: F.struct(v.alias(c), of(lambda x: x[c] == v).alias("n")))).alias(f"by_{c}")
