@@ -7,6 +7,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -96,6 +97,8 @@ _MARK = re.compile(
     r"""<(?:!--.*?(?:-->|(\Z))|[!?][^>]*(?:>|(\Z))|/([a-zA-Z][^\s/>]*)[^>]*(?:>|(\Z))|([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)(?:>|(\Z)))""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+#: References end with a semicolon: what only looks like one, as &copy= in an address or a text that was cut off, stays as it is.
+_REFERENCE = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|([a-zA-Z][a-zA-Z0-9]*));")
 _RAW_END = {tag: re.compile(f"</{tag}", re.I) for tag in ("script", "style")}
 #: Tags with their attributes that a reader remembers, and the longest attributes that it does.
 _REMEMBERED, _LONGEST = 20_000, 200
@@ -103,6 +106,10 @@ _REMEMBERED, _LONGEST = 20_000, 200
 
 class Reader:
     """Records of several schemas in one pass over a page.
+def _unescaped(x: str) -> str:
+    return _REFERENCE.sub(lambda m: unescape(m[0]) if m[1] is None or f"{m[1]};" in html5 else m[0], x) if "&" in x else x
+
+
 
     The steps of all selectors are bits of one automaton: of each open element a number tells which steps it and its ancestors
     have reached, so that a tag costs a few operations on integers, whatever the number of fields; tags that no step names
@@ -136,7 +143,7 @@ class Reader:
         attrs: dict[str, str] = {}
         for name, *values in _ATTRIBUTE.findall(raw):
             value = next(filter(None, values), "")
-            attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
+            attrs.setdefault(name.lower(), _unescaped(value))
         own, bits = frozenset(attrs.get("class", "").split()), 0
         for i, (name, classes, tests) in enumerate(self.steps):
             if (name is None or name == tag) and classes <= own and all(n in attrs and (not v or (v in attrs[n] if part else v == attrs[n])) for n, part, v in tests):
@@ -250,7 +257,7 @@ class Reader:
         return reached
 
     def _say(self, data: str, escaped: bool = True) -> None:
-        data = unescape(data) if escaped and "&" in data else data
+        data = _unescaped(data) if escaped else data
         for _, x in self.texts:
             x.parts.append(data)
 
