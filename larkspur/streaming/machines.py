@@ -1,4 +1,4 @@
-"""The queue and the sync log as state machines over a stream of events, one state for each row.
+"""The queue and the sync log as state machines over a stream of events, a state for each row.
 
 Events of a key are taken in the order of their time, whatever micro-batch brings them: they wait in the state until the
 watermark has passed. A claim that nothing ends within its time is released by a timer of event time.
@@ -6,6 +6,8 @@ watermark has passed. A claim that nothing ends within its time is released by a
 
 from __future__ import annotations
 
+import pickle
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -79,7 +81,6 @@ def sync_machine() -> Machine:
 
 
 _STATE = "status string, attempts int, claimed_at long, claimed_by string, completed_at long, last_error string"
-_EVENT = "at long, seq long, kind string, who string, error string"
 
 
 def _advance(machine: Machine, state: State, events: list[tuple], until: int) -> tuple[State, list[tuple[int, State]], list[tuple]]:
@@ -101,37 +102,46 @@ def _advance(machine: Machine, state: State, events: list[tuple], until: int) ->
             return state, out, events[i:]
 
 
-def transitions(events: DataFrame, key: str, machine: Machine, late: str = "1 hour") -> DataFrame:
+#: Groups that the keys of a stream are dealt to. A batch takes some milliseconds a group and reads the state of each group that it
+#: touches whole, some hundred bytes a key: more groups for more than some ten million keys. A stream keeps its number.
+GROUPS = 1024
+
+
+def transitions(events: DataFrame, key: str, machine: Machine, late: str = "1 hour", groups: int = GROUPS) -> DataFrame:
     """(key, at, nth, status, attempts, claimed_at, claimed_by, completed_at, last_error): each state that a key enters, append-only.
 
     events: (key, at, seq, kind, who, error), a stream; ``key`` is a bigint and seq orders events of the same time. A timer that is due
     at the time of an event comes first. Events that are later than the watermark allows are dropped, repeated ones don't fit
-    their state and do nothing, and what is newer than the watermark isn't decided yet. The state of a key holds its row and the
-    events that wait.
+    their state and do nothing, and what is newer than the watermark isn't decided yet. Keys are dealt to ``groups`` by their hash; the
+    state of a group holds the row of each of its keys, the events that wait, and when the key has to be looked at again.
     """
-    entered = f"at long, nth int, {_STATE}"
+    entered = {key: "int64", "at": "int64", "nth": "int32", "status": object, "attempts": "int32", "claimed_at": "Int64", "claimed_by": object, "completed_at": "Int64", "last_error": object}
 
-    def step(name: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        *own, nth, waiting = held.get if held.exists else (*State().__dict__.values(), 0, [])
-        events = [tuple(x) for x in waiting]
+    def step(_: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        # key: (its state, how many it has entered, waiting events, when to look again)
+        keys = pickle.loads(held.get[0]) if held.exists else {}
+        mark, came = held.getCurrentWatermarkMs(), defaultdict(list)
         if not held.hasTimedOut:
             for f in frames:
-                events += [(int(a), int(q), k, w, e) for a, q, k, w, e in zip(f["micros"], f["seq"], f["kind"], f["who"], f["error"])]
-        events.sort(key=lambda x: (x[0], x[1], x[2]))
-        mark = held.getCurrentWatermarkMs()
-        state, done, rest = _advance(machine, State(*own), events, mark * 1000)
-        held.update((*state.__dict__.values(), nth + len(done), rest))
-        wake = [x for x in (rest[0][0] if rest else None, machine.due(state)) if x is not None]
-        if wake:
-            held.setTimeoutTimestamp(max(mark + 1, -(-min(wake) // 1000)))
-        if done:
-            steps = [{"at": at, "nth": nth + i, **s.__dict__} for i, (at, s) in enumerate(done, 1)]
-            yield pd.DataFrame({key: [name[0]], "steps": [steps]})
-
-    marked = events.withWatermark("at", late).withColumn("micros", F.unix_micros("at"))
-    arrays = {x: f"array<struct<{y.replace(' ', ':').replace(',:', ',')}>>" for x, y in (("steps", entered), ("waiting", _EVENT))}
-    rows = marked.groupBy(key).applyInPandasWithState(step, f"{key} long, steps {arrays['steps']}", f"{_STATE}, nth int, waiting {arrays['waiting']}", "append", GroupStateTimeout.EventTimeTimeout)
-    rows = rows.select(key, F.inline("steps"))
+                for i, *event in zip(*(f[c].tolist() for c in (key, "micros", "seq", "kind", "who", "error"))):
+                    came[i].append(tuple(event))
+        out = []
+        for i in {*came, *(i for i, (*_, wake) in keys.items() if wake is not None and wake <= mark * 1000)}:
+            own, nth, waiting, _ = keys.get(i, ((), 0, [], None))
+            todo = sorted([*waiting, *came.get(i, ())], key=lambda x: x[:3])
+            state, done, rest = _advance(machine, State(*own), todo, mark * 1000)
+            out += [(i, at, nth + k, *s.__dict__.values()) for k, (at, s) in enumerate(done, 1)]
+            keys[i] = tuple(state.__dict__.values()), nth + len(done), rest, min((x for x in (rest[0][0] if rest else None, machine.due(state)) if x is not None), default=None)
+        held.update((pickle.dumps(keys),))
+        wakes = [wake for *_, wake in keys.values() if wake is not None]
+        if wakes:
+            held.setTimeoutTimestamp(max(mark + 1, -(-min(wakes) // 1000)))
+        if out:
+            yield pd.DataFrame({c: pd.Series(v, dtype=kind) for (c, kind), v in zip(entered.items(), zip(*out))})
+
+    dealt = F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
+    marked = events.withWatermark("at", late).select(key, "at", F.unix_micros("at").alias("micros"), "seq", "kind", "who", "error", dealt.alias("dealt"))
+    rows = marked.groupBy("dealt").applyInPandasWithState(step, f"{key} long, at long, nth int, {_STATE}", "packed binary", "append", GroupStateTimeout.EventTimeTimeout)
     return rows.select(key, *[F.timestamp_micros(c).alias(c) if c in ("at", "claimed_at", "completed_at") else c for c in rows.columns[1:]])
 
 
