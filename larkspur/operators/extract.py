@@ -100,16 +100,18 @@ _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|
 #: References end with a semicolon: what only looks like one, as &copy= in an address or a text that was cut off, stays as it is.
 _REFERENCE = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|([a-zA-Z][a-zA-Z0-9]*));")
 _RAW_END = {tag: re.compile(f"</{tag}", re.I) for tag in ("script", "style")}
+#: Pages whose records a task holds at once.
+_AT_ONCE = 64
 #: Tags with their attributes that a reader remembers, and the longest attributes that it does.
 _REMEMBERED, _LONGEST = 20_000, 200
 
 
-class Reader:
-    """Records of several schemas in one pass over a page.
 def _unescaped(x: str) -> str:
     return _REFERENCE.sub(lambda m: unescape(m[0]) if m[1] is None or f"{m[1]};" in html5 else m[0], x) if "&" in x else x
 
 
+class Reader:
+    """Records of several schemas in one pass over a page.
 
     The steps of all selectors are bits of one automaton: of each open element a number tells which steps it and its ancestors
     have reached, so that a tag costs a few operations on integers, whatever the number of fields; tags that no step names
@@ -283,8 +285,8 @@ def records(pages: DataFrame, *schemas: Schema) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(schemas)
-        for b in batches:
-            found = [reader.read(x) for x in b.column("html").to_pylist()]
+        for b in (whole.slice(i, _AT_ONCE) for whole in batches for i in range(0, whole.num_rows, _AT_ONCE)):
+            found = [reader.read(x.as_py()) for x in b.column("html")]
             arrays = [pa.array([x[s.name] for x in found], s.arrow_type()) for s in schemas] + [pa.array([x["cut"] for x in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *arrays], names=[*kept, *[f.name for f in more]])
 
