@@ -149,5 +149,6 @@ def search_vector(rows: DataFrame, id: str, *columns: str) -> DataFrame:
     each = rows.select(F.col(id).alias("id"), F.posexplode(words).alias("at", "word"))
     kept = each.where(~F.col("word").isin(*STOP_WORDS))
     stems = kept.select("word").distinct().withColumn("token", stem(F.col("word")))
-    found = kept.join(stems, "word").groupBy("id", "token").agg(F.array_sort(F.collect_list(F.col("at") + 1)).alias("positions"))
+    # dealt by row, so that what follows groups by token or by row where the words lie
+    found = kept.join(stems, "word").select("id", "at", "token").repartition("id").groupBy("id", "token").agg(F.array_sort(F.collect_list(F.col("at") + 1)).alias("positions"))
     return found.select(F.col("id").alias(id), "token", "positions")
