@@ -9,7 +9,6 @@ turn, and equal neighbours are the repeated strings. Names are sorted within ran
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import math
 from collections.abc import Iterator
@@ -39,6 +38,7 @@ BLOOM_WORDS, MAX_BLOOM_WORDS = 1 << 17, 1 << 20
 _ONE, _TWO = Powers(0x9E3779B97F4A7C15), Powers(0xD1342543DE82EF95)
 
 PARTS = "batch string, part int, kind int, names binary, at binary, info binary"
+SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def difference_cover(p: int = ORDER) -> np.ndarray:
@@ -204,8 +204,7 @@ def _whole(length: int, ranges: int):
                 # a text that has copies is repeated as a whole: its positions are told to others, not asked for
                 known = (copies[i:j] > 1)[np.searchsorted(p.start, at, side="right") - 1] if len(at) else np.zeros(0, bool)
                 names = p.names(at, length, True)
-                info = np.int64(j - i).tobytes() + p.size.astype("<u4").tobytes() + (copies[i:j] > 1).tobytes()
-                info += b"".join(bytes(k) for k in keys[i:j]) + p.raw.tobytes()
+                info = p.size.astype("<u4").tobytes() + (copies[i:j] > 1).tobytes() + b"".join(bytes(k) for k in keys[i:j])
                 twice = np.concatenate([np.arange(len(at)), np.flatnonzero(known)])
                 rows = _dealt(_batch_name(seen), names[twice], at[twice], info, ranges, seen % ranges)
                 seen += 1
@@ -215,23 +214,24 @@ def _whole(length: int, ranges: int):
 
 
 def _removed(length: int):
+    """For each text with repeated strings: (key, starts and ends of its maximal runs of bytes that they cover)."""
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         info, at = _gathered(rows)
-        n = int(np.frombuffer(info[:8], np.int64)[0])
-        size = np.frombuffer(info[8 : 8 + 4 * n], "<u4").astype(np.int64)
-        copied = np.frombuffer(info[8 + 4 * n : 8 + 5 * n], bool)
-        keys = [info[8 + 5 * n + 16 * i : 8 + 5 * n + 16 * (i + 1)] for i in range(n)]
-        raw = np.frombuffer(info, np.uint8, offset=8 + 21 * n)
-        edge = np.zeros(len(raw) + 1, np.int64)
+        n = len(info) // 21
+        size = np.frombuffer(info[: 4 * n], "<u4").astype(np.int64)
+        copied = np.frombuffer(info[4 * n : 5 * n], bool)
+        keys = [info[5 * n + 16 * i : 5 * n + 16 * (i + 1)] for i in range(n)]
+        edge = np.zeros(size.sum() + 1, np.int64)
         np.add.at(edge, at, 1)
         np.add.at(edge, at + length, -1)
         gone = np.cumsum(edge[:-1]) > 0
         out = []
         for i, (s, m) in enumerate(zip(np.cumsum(size) - size, size)):
             g = np.ones(m, bool) if copied[i] and m >= length else gone[s : s + m]
-            spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum())
-            out.append((keys[i], int(g.sum()), spans, hashlib.sha256(raw[s : s + m][~g].tobytes()).hexdigest()))
-        return pd.DataFrame(out, columns=["key", "n_removed", "n_spans", "kept_sha256"])
+            turns = np.diff(g.astype(np.int8), prepend=0, append=0)
+            out.append((keys[i], np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)))
+        return pd.DataFrame(out, columns=["key", "starts", "ends"])
 
     return run
 
@@ -240,13 +240,26 @@ def _key():
     return F.unhex(F.md5("text")).alias("key")
 
 
-def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """What stays of each text without its repeated strings: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
+def _kept(text, spans):
+    """The bytes of a text outside of its spans."""
+    n = F.octet_length(text).cast("long")
+    gap = lambda a, b: F.struct(a.alias("start"), b.alias("end"))
+    gaps = F.zip_with(F.concat(F.array(F.lit(0).cast("long")), spans["end"]), F.concat(spans["start"], F.array(n)), gap)
+    piece = lambda raw: lambda g: F.hex(F.substring(raw, (g["start"] + 1).cast("int"), (g["end"] - g["start"]).cast("int")))
+    # the bytes are taken from the text once, not for each gap
+    cut_out = F.transform(F.array(text.cast("binary")), lambda raw: F.unhex(F.array_join(F.transform(gaps, piece(raw)), "")))[0]
+    return F.when(F.size(spans) > 0, cut_out).otherwise(text.cast("binary"))
+
+
+def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Each text without its repeated strings: doc_id, text, spans and kept.
 
     A byte goes if a string of ``length`` bytes that covers it also starts at another position of any text, the same one
-    included. Texts are UTF-8 bytes, null texts are empty, strings don't cross texts and are judged on the input. Equal
-    texts are worked on once and copied; repeated rows are texts of their own; other columns are ignored; an empty table
-    gives an empty table. ``length`` must be at least PERIOD + 7. ``docs`` must give the same rows on each reading.
+    included. ``spans`` holds the maximal runs of bytes that go, rising, as (start, end) in the UTF-8 bytes of the text; ``kept``
+    is the bytes that stay, which may cut a character. Texts are UTF-8 bytes, null texts are empty, strings don't cross texts
+    and are judged on the input. Equal texts are worked on once and copied; repeated rows are texts of their own; other columns
+    are ignored; an empty table gives an empty table. ``length`` must be at least PERIOD + 7. ``docs`` must give the same rows on
+    each reading.
 
     Each batch sends a name once, so that a string in a third of all texts costs a range one name for each batch.
     """
@@ -275,19 +288,30 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = (
         texts.select("key", "text", "blocks", "copies").mapInPandas(_whole(length, second), PARTS)
         .groupBy("part").applyInPandas(_matched(True), back)
-        .groupBy("batch").applyInPandas(_removed(length), "key binary, n_removed long, n_spans long, kept_sha256 string")
-        .where("n_removed > 0")
+        .groupBy("batch").applyInPandas(_removed(length), "key binary, starts array<long>, ends array<long>")
+        .where("size(starts) > 0").select("key", F.arrays_zip("starts", "ends").cast(SPANS).alias("spans"))
     )
     found = cut(found, 256)
-    rows = base.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), _key(), F.sha2(F.encode("text", "utf-8"), 256).alias("all_sha256"))
-    return rows.join(found, "key", "left").select(
-        "doc_id",
-        "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "all_sha256").alias("kept_sha256"),
-    )
+    rows = base.withColumn("key", _key()).join(found, "key", "left").select("doc_id", "text", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    return rows.withColumn("kept", _kept(F.col("text"), F.col("spans")))
+
+
+def digests(removed: DataFrame) -> DataFrame:
+    """What ``remove_repeated`` has done to each text: doc_id, n_bytes, n_removed, n_spans, kept_sha256, then spans and kept_text.
+
+    In ``kept_text`` characters that lost some of their bytes are U+FFFD; kept_sha256 is of the bytes themselves.
+    """
+    n = F.octet_length("text").cast("long")
+    return removed.select(
+        "doc_id", n.alias("n_bytes"), (n - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        "spans", F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
+    )
+
+
+def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The figures alone."""
+    return digests(remove_repeated(docs, length)).drop("spans", "kept_text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return repeated_strings(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return digests(remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet")))
