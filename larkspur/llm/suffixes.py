@@ -5,6 +5,8 @@ remainders both lie in the cover. So of two equal strings of ``length`` bytes a
 bytes is equal at sampled positions. The sampled blocks are sorted and named; the names that occur once go; of the
 remaining suffixes, those that have a repeated block in reach, the prefixes of the whole length are named and sorted in
 turn, and equal neighbours are the repeated strings. Names are sorted within ranges of their hashes.
+
+The same steps over words in place of bytes find the repeated passages, with a smaller cover.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ LENGTH = 400
 #: Order of the difference cover: ORDER + 1 of ORDER**2 + ORDER + 1 remainders, each difference once.
 ORDER = 11
 PERIOD = ORDER * ORDER + ORDER + 1
+#: Words of a repeated passage, and the order of its cover: 6 of 31 remainders.
+PASSAGE, WORD_ORDER = 51, 5
 #: Bytes of text whose positions are named together.
 PIECE = 384 << 10
 #: Bytes of names in a range of hashes, and ranges at least.
@@ -58,24 +62,59 @@ def difference_cover(p: int = ORDER) -> np.ndarray:
     raise ValueError("p must be prime")
 
 
+#: What stands between words, as spaces.
+_SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
+
+
+def _spaced(x: bytes) -> bytes:
+    """The words of a text with one space between them."""
+    x = x.translate(_SPACES)
+    while b"  " in x:
+        x = x.replace(b"  ", b" ")
+    return x.strip(b" ")
+
+
 class Piece:
     """Texts that are named together: one buffer with the start and end of each text."""
 
+    #: Bytes for each unit, about; bytes of text that are named together; texts in a batch.
+    factor, piece, rows = 1, PIECE, 256
+
     def __init__(self, texts: list[bytes]):
         self.size = np.array([len(x) for x in texts], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.raw = np.frombuffer(b"".join(texts), np.uint8)
 
+    def edges(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        return at, at + length
+
     def names(self, at: np.ndarray, length: int, wide: bool) -> np.ndarray:
         """Names of the blocks at positions: 64 bits, or 96 bits as (64, 32)."""
         kind = np.dtype([("a", "<u8"), ("b", "<u4")]) if wide else np.dtype([("a", "<u8")])
         out = np.empty(len(at), kind)
-        out["a"] = _ONE.spans(_ONE.prefix(self.raw), at, at + length)
+        start, end = self.edges(at, length)
+        out["a"] = _ONE.spans(_ONE.prefix(self.raw), start, end)
         if wide:
-            out["b"] = _TWO.spans(_TWO.prefix(self.raw), at, at + length) >> np.uint64(32)
+            out["b"] = _TWO.spans(_TWO.prefix(self.raw), start, end) >> np.uint64(32)
         return out
 
 
+class Words(Piece):
+    """The same with words as units; strings of words are named by their bytes with one space between words."""
+
+    factor, piece, rows = 5, 1 << 20, 512
+
+    def __init__(self, texts: list[bytes]):
+        texts = [_spaced(x) for x in texts]
+        self.size = np.array([x.count(b" ") + 1 if x else 0 for x in texts], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.raw = np.frombuffer(b" ".join([b"", *filter(None, texts), b""]), np.uint8)
+        self.space = np.flatnonzero(self.raw == 32)
+
+    def edges(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.space[at] + 1, self.space[at + length]
+
+
 def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sorting order, start of each run of equal names, length of each run)."""
     order = np.lexsort((names["b"], names["a"])) if "b" in names.dtype.names else np.argsort(names["a"], kind="stable")
@@ -150,17 +189,17 @@ def _batch_name(seen: int) -> str:
     return f"{c.partitionId() if c else 0}-{seen}"
 
 
-def _sampled(length: int, ranges: int, cover: np.ndarray):
-    block = length - PERIOD + 1
+def _sampled(length: int, ranges: int, cover: np.ndarray, period: int, unit: type[Piece]):
+    block = length - period + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = 0
         for b in batches:
             texts = [x.encode() for x in b.pop("text")]
             keys = b["key"].tolist()
-            for i, j in pieces(texts, PIECE):
-                p = Piece(texts[i:j])
-                at = [s + (o := (np.arange(0, n, PERIOD)[:, None] + cover).ravel())[o <= n - block] for s, n in zip(p.start, p.size) if n >= length]
+            for i, j in pieces(texts, unit.piece):
+                p = unit(texts[i:j])
+                at = [s + (o := (np.arange(0, n, period)[:, None] + cover).ravel())[o <= n - block] for s, n in zip(p.start, p.size) if n >= length]
                 at = np.concatenate(at) if at else np.zeros(0, np.int64)
                 info = p.size.astype("<u4").tobytes() + b"".join(bytes(k) for k in keys[i:j])
                 rows = _dealt(_batch_name(seen), p.names(at, block, False), at, info, ranges, seen % ranges)
@@ -182,24 +221,24 @@ def _candidates(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": [keys[i] for i in have], "blocks": [_pack(at[edge[i] : edge[i + 1]] - start[i]) for i in have]})
 
 
-def _reach(blocks: np.ndarray, n: int, length: int) -> np.ndarray:
+def _reach(blocks: np.ndarray, n: int, length: int, period: int) -> np.ndarray:
     """Positions from which a string of the whole length reaches a block within a period."""
     edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, np.maximum(blocks - PERIOD + 1, 0), 1)
+    np.add.at(edge, np.maximum(blocks - period + 1, 0), 1)
     np.add.at(edge, blocks + 1, -1)
     x = np.flatnonzero(np.cumsum(edge[:n]) > 0)
     return x[x <= n - length]
 
 
-def _whole(length: int, ranges: int):
+def _whole(length: int, ranges: int, period: int, unit: type[Piece]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = 0
         for b in batches:
             texts = [x.encode() for x in b["text"]]
             keys, blocks, copies = b["key"].tolist(), b["blocks"].tolist(), b["copies"].to_numpy()
-            for i, j in pieces(texts, PIECE):
-                p = Piece(texts[i:j])
-                at = [s + _reach(_unpack(k), n, length) for s, n, k in zip(p.start, p.size, blocks[i:j])]
+            for i, j in pieces(texts, unit.piece):
+                p = unit(texts[i:j])
+                at = [s + _reach(_unpack(k), n, length, period) for s, n, k in zip(p.start, p.size, blocks[i:j])]
                 at = np.concatenate(at) if at else np.zeros(0, np.int64)
                 # a text that has copies is repeated as a whole: its positions are told to others, not asked for
                 known = (copies[i:j] > 1)[np.searchsorted(p.start, at, side="right") - 1] if len(at) else np.zeros(0, bool)
@@ -214,7 +253,7 @@ def _whole(length: int, ranges: int):
 
 
 def _removed(length: int):
-    """For each text with repeated strings: (key, starts and ends of its maximal runs of bytes that they cover)."""
+    """For each text with repeated strings: (key, starts and ends of its maximal runs of units that they cover)."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         info, at = _gathered(rows)
@@ -251,34 +290,21 @@ def _kept(text, spans):
     return F.when(F.size(spans) > 0, cut_out).otherwise(text.cast("binary"))
 
 
-def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Each text without its repeated strings: doc_id, text, spans and kept.
-
-    A byte goes if a string of ``length`` bytes that covers it also starts at another position of any text, the same one
-    included. ``spans`` holds the maximal runs of bytes that go, rising, as (start, end) in the UTF-8 bytes of the text; ``kept``
-    is the bytes that stay, which may cut a character. Texts are UTF-8 bytes, null texts are empty, strings don't cross texts
-    and are judged on the input. Equal texts are worked on once and copied; repeated rows are texts of their own; other columns
-    are ignored; an empty table gives an empty table. ``length`` must be at least PERIOD + 7. ``docs`` must give the same rows on
-    each reading.
-
-    Each batch sends a name once, so that a string in a third of all texts costs a range one name for each batch.
-    """
-    if length < PERIOD + 7:
-        raise ValueError(f"length must be at least {PERIOD + 7}")
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cover = difference_cover()
-    first = max(RANGES, math.ceil(total * len(cover) / PERIOD * 10 / RANGE_BYTES))
-    second = max(RANGES, math.ceil(total * 0.15 * 14 / RANGE_BYTES))
+def _found(base: DataFrame, total: int, length: int, order: int, unit: type[Piece]) -> DataFrame:
+    """For each different text of ``total`` bytes in all: (key, its maximal runs that repeated strings of ``length`` units cover)."""
+    cover = difference_cover(order)
+    period = order * order + order + 1
+    first = max(RANGES, math.ceil(total / unit.factor * len(cover) / period * 10 / RANGE_BYTES))
+    second = max(RANGES, math.ceil(total / unit.factor * 0.15 * 14 / RANGE_BYTES))
     back = "batch string, at binary, info binary"
 
     blocks = (
-        base.select("text", _key()).mapInPandas(_sampled(length, first, cover), PARTS)
+        base.select("text", _key()).mapInPandas(_sampled(length, first, cover, period, unit), PARTS)
         .groupBy("part").applyInPandas(_matched(False), back)
         .groupBy("batch").applyInPandas(_candidates, "key binary, blocks binary")
         .groupBy("key").agg(F.any_value("blocks").alias("blocks"))
     )
-    blocks = cut(blocks, 256)
+    blocks = cut(blocks, unit.rows)
 
     slot = F.shiftrightunsigned(F.xxhash64("key"), 6)
     word, bit = F.pmod(slot, F.lit(min(MAX_BLOOM_WORDS, max(BLOOM_WORDS, blocks.count() // 4)))).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64("key").bitwiseAND(F.lit(63)).cast("int"))
@@ -286,25 +312,57 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = base.select("text", _key()).withColumn("word", word).join(F.broadcast(bloom), "word").where(F.col("bits").bitwiseAND(bit) != 0)
     texts = texts.groupBy("key").agg(F.any_value("text").alias("text"), F.count("*").alias("copies")).join(blocks, "key")
     found = (
-        texts.select("key", "text", "blocks", "copies").mapInPandas(_whole(length, second), PARTS)
+        texts.select("key", "text", "blocks", "copies").mapInPandas(_whole(length, second, period, unit), PARTS)
         .groupBy("part").applyInPandas(_matched(True), back)
         .groupBy("batch").applyInPandas(_removed(length), "key binary, starts array<long>, ends array<long>")
         .where("size(starts) > 0").select("key", F.arrays_zip("starts", "ends").cast(SPANS).alias("spans"))
     )
-    found = cut(found, 256)
-    rows = base.withColumn("key", _key()).join(found, "key", "left").select("doc_id", "text", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
-    return rows.withColumn("kept", _kept(F.col("text"), F.col("spans")))
+    return cut(found, unit.rows)
+
+
+def remove_repeated(docs: DataFrame, length: int = LENGTH, passage: int | None = None) -> DataFrame:
+    """Each text without its repeated strings: doc_id, text, spans and kept.
+
+    A byte goes if a string of ``length`` bytes that covers it also starts at another position of any text, the same one
+    included. ``spans`` holds the maximal runs of bytes that go, rising, as (start, end) in the UTF-8 bytes of the text; ``kept``
+    is the bytes that stay, which may cut a character. Texts are UTF-8 bytes, null texts are empty, strings don't cross texts
+    and are judged on the input. Equal texts are worked on once and copied; repeated rows are texts of their own; other columns
+    are ignored; an empty table gives an empty table. ``length`` must be at least PERIOD + 7. ``docs`` must give the same rows on
+    each reading.
+
+    With ``passage``, at least 38, the column ``passages`` tells what is left in but repeats by words (runs of bytes other than
+    ASCII white space): the maximal runs of words, from 0, that a string of so many words covers which also starts elsewhere.
+
+    Each batch sends a name once, so that a string in a third of all texts costs a range one name for each batch.
+    """
+    if length < PERIOD + 7:
+        raise ValueError(f"length must be at least {PERIOD + 7}")
+    if passage is not None and passage < (least := WORD_ORDER * WORD_ORDER + WORD_ORDER + 8):
+        raise ValueError(f"passage must be at least {least}")
+    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    none = F.array().cast(SPANS)
+    columns = ["doc_id", "text", F.coalesce("spans", none).alias("spans")]
+    rows = base.withColumn("key", _key()).join(_found(base, total, length, ORDER, Piece), "key", "left")
+    if passage is not None:
+        rows = rows.join(_found(base, total, passage, WORD_ORDER, Words).withColumnRenamed("spans", "passages"), "key", "left")
+        columns.append(F.coalesce("passages", none).alias("passages"))
+    rows = rows.select(*columns)
+    return rows.select("doc_id", "text", "spans", _kept(F.col("text"), F.col("spans")).alias("kept"), *rows.columns[3:])
 
 
 def digests(removed: DataFrame) -> DataFrame:
     """What ``remove_repeated`` has done to each text: doc_id, n_bytes, n_removed, n_spans, kept_sha256, then spans and kept_text.
 
-    In ``kept_text`` characters that lost some of their bytes are U+FFFD; kept_sha256 is of the bytes themselves.
+    In ``kept_text`` characters that lost some of their bytes are U+FFFD; kept_sha256 is of the bytes themselves. With passages
+    there are also ``passages`` and ``n_passage_words``, the number of words in them.
     """
     n = F.octet_length("text").cast("long")
+    words = F.aggregate("passages", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]) if "passages" in removed.columns else None
     return removed.select(
         "doc_id", n.alias("n_bytes"), (n - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
         "spans", F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
+        *([] if words is None else ["passages", words.alias("n_passage_words")]),
     )
 
 
@@ -314,4 +372,4 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return digests(remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return digests(remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet"), passage=PASSAGE))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -86,3 +87,28 @@ def test_a_run_that_cuts_a_character(spark):
     got = {r.doc_id: r for r in suffixes.digests(suffixes.remove_repeated(docs)).collect()}
     assert [(got[i].n_removed, got[i].kept_text) for i in (1, 2)] == [(len(same.encode()) + 1, "1\ufffd"), (len(same.encode()) + 1, "2\ufffdx")]
     assert [got[i].kept_sha256 for i in (1, 2)] == [hashlib.sha256(x).hexdigest() for x in (b"1\xc3", b"2\xc5x")]
+
+
+def test_passages_of_over_50_words(spark, tmp_path):
+    """Passages under 400 bytes that repeat across texts, with other spaces between their words: told, and left in."""
+    rng = random.Random(47)
+    items = [words(rng, n) for n in (51, 52, 58)]
+    short = " ".join(words(rng, 60).split()[:50])
+    assert max(map(len, items)) < 400
+    texts = {i: f"{words(rng, 30)}\n{items[i % 3].replace(' ', (' ', '  ', chr(9), chr(10) + ' ')[i % 4])} {words(rng, 30)}" for i in range(12)}
+    texts |= {20 + i: f"{words(rng, 30)} {short} {words(rng, 30)}" for i in range(3)}
+    texts |= {30: None, 31: "", 32: " \n ", 33: items[0], 34: "a " * 60, 35: "ñ\u00a0" * 60, 36: "  " + items[1] + "\t", 37: items[0] + "x", 38: items[2], 39: items[2]}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in suffixes.query(spark, str(tmp_path)).collect()}
+    cut = {i: re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for i, t in texts.items()}
+    seen = [tuple(x[k : k + 51]) for x in cut.values() for k in range(len(x) - 50)]
+    for i, x in cut.items():
+        gone = set()
+        for k in range(len(x) - 50):
+            if seen.count(tuple(x[k : k + 51])) > 1:
+                gone |= set(range(k, k + 51))
+        assert {k for a, b in got[i].passages for k in range(a, b)} == gone and got[i].n_passage_words == len(gone)
+    assert all(got[i].n_passage_words >= 51 and got[i].n_removed == 0 for i in range(12))
+    assert all(got[i].n_passage_words == 0 for i in (20, 21, 22, 30, 31, 32, 35, 37))
+    assert len(got) == len(texts) and got[34].n_passage_words == 60
